@@ -35,13 +35,17 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines of the cluster share; a fixed one where the session names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_CHECKPOINT_DIR
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a checkpoint in the folder that all executors share."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or FALLBACK_CHECKPOINT_DIR)
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 

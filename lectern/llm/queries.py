@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, embed_forest, quality_rules, simhash
+from lectern.llm import bpe, chat, embed_forest, line_dedup, mil, pfair, quality_rules, simhash, suffix_dedup, unigram
 from lectern.llm.common import documents, table
+from lectern.llm.oracles import ORACLES
 
 try:
     import public_tokenizers
@@ -20,10 +21,26 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name) if public_tokenizers else f"/opt/tokenizers/{name}"
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(documents(spark, sf_dir))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated(documents(spark, sf_dir)).drop("text_key")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
@@ -40,13 +57,20 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair.scheduled(documents(spark, sf_dir).select("doc_id", "source")).drop("src_key")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.verdicts(documents(spark, sf_dir))
+    return quality_rules.verdicts(documents(spark, sf_dir)).drop("class_distance", "word_distance")
+
+
+QUERIES = (op1_token_counts, op2_embedding_near_dedup, op3_line_dedup, op4_quality_classifier, op5_suffix_array_dedup, op6_chat_formatting, op7_simhash_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_embedding_near_dedup, op6_chat_formatting, op7_simhash_near_dedup, op8_bpe_round_trip, op10_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
