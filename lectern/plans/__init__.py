@@ -1 +1,13 @@
-"""Lectern subpackage; see README for the map of operators."""
+"""Queries over the tables, each with the SQL that it must agree with."""
+
+from __future__ import annotations
+
+from lectern.plans import base, shares
+
+
+def queries() -> dict[str, base.Query]:
+    return dict(base.QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(base.SQL)
