@@ -49,14 +49,14 @@ def marks_in(c: Column) -> Column:
 
 def first_of(c: Column, words: tuple[str, ...]) -> Column:
     """The first listed word, capital letter and all; else in any case, capitalised; else Other; null for empty text."""
-    exact = F.regexp_extract(c, rf"\b({'|'.join(words)})\b", 1)
-    loose = F.regexp_extract(F.lower(c), rf"\b({'|'.join(w.lower() for w in words)})\b", 1)
+    exact = F.regexp_extract(c, rf"(?U)\b({'|'.join(words)})\b", 1)
+    loose = F.regexp_extract(F.lower(c), rf"(?U)\b({'|'.join(w.lower() for w in words)})\b", 1)
     return F.when(F.length(c) > 0, F.coalesce(F.nullif(exact, F.lit("")), F.when(loose != "", F.concat(F.upper(F.substring(loose, 1, 1)), F.substring(loose, 2, 1000))), F.lit("Other")))
 
 
 def all_of(c: Column, words: tuple[str, ...]) -> Column:
     """Every listed word in the text, in order."""
-    return F.regexp_extract_all(c, F.lit(rf"\b({'|'.join(words)})\b"), F.lit(1))
+    return F.regexp_extract_all(c, F.lit(rf"(?U)\b({'|'.join(words)})\b"), F.lit(1))
 
 
 def bucket_key(c: Column, n: int = 3) -> Column:

@@ -53,17 +53,21 @@ def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
     return q.select("quote_id", "doc").join(hit, ["quote_id", "doc"], "left")
 
 
-def contained(needles: DataFrame, texts: DataFrame, needle: str = "needle", text: str = "text", gram: int = 12) -> DataFrame:
-    """Pairs of needle and text rows where the text holds the needle, found through the needle's first gram characters at every place of a text, so that no pair is tried without a shared start. Needles shorter than gram are tried under their own length."""
-    lengths = [r[0] for r in needles.where(F.length(needle) > 0).select(F.least(F.lit(gram), F.length(needle)).alias("n")).distinct().collect()]  # gram values at most
-    keyed = needles.withColumn("__key", F.substring(needle, 1, gram))
-    probes = None
-    for n in lengths:  # one pass for each length that occurs
-        one = texts.withColumn("__key", F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))))
-        probes = one if probes is None else probes.unionByName(one)
-    if probes is None:
-        return needles.limit(0).crossJoin(texts.limit(0))
-    return probes.join(small(keyed), "__key").where(F.contains(text, needle)).drop("__key")
+def contained(needles: DataFrame, texts: DataFrame, needle: str = "needle", text: str = "text") -> DataFrame:
+    """Pairs of needle and text rows where the text holds the needle; both are single-spaced.
+
+    The second to fourth word of a needle of five or more are whole words of any text that holds it, so such needles meet only texts with these three words in a row. Shorter needles have no such key and are tried on every text; they must be few.
+    """
+    words = lambda c: F.split(c, " ")
+    three = lambda w, i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    keyed = needles.withColumn("__w", words(F.col(needle)))
+    long = keyed.where(F.size("__w") >= 5).withColumn("__key", three(F.col("__w"), F.lit(1))).drop("__w")
+    w = texts.withColumn("__w", words(F.col(text))).where(F.size("__w") >= 3)
+    probes = w.withColumn("__key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("__w") - 3), lambda i: three(F.col("__w"), i))))).drop("__w")
+    found = probes.join(small(long), "__key").where(F.contains(text, needle)).drop("__key")
+    short = keyed.where((F.size("__w") < 5) & (F.length(needle) > 0)).drop("__w")
+    tried = texts.join(small(short, 1000), F.contains(F.col(text), F.col(needle)))
+    return found.unionByName(tried)
 
 
 def first_alias(wanted: DataFrame, aliases: DataFrame, present: DataFrame) -> DataFrame:
