@@ -66,11 +66,11 @@ def paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
     ranked = leaves.withColumn("branch", rank)
     ranked = ranked if branches is None else ranked.where(F.col("branch") <= branches)
-    on_path = ranked.select("tree", F.col("node").alias("leaf"), "branch", "total", "node", "height")
+    on_path = durable(ranked.select("tree", F.col("node").alias("leaf"), "branch", "total", "node", "height"))
     for k, step in reversed(list(enumerate(levels))):
         s = step.select(F.col("tree").alias("t"), F.col("node").alias("from"), "up")
         raised = on_path.join(s, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("from"))).select("tree", "leaf", "branch", "total", F.col("up").alias("node"), (F.col("height") - 2**k).alias("height"))
-        on_path = on_path.unionByName(raised)
+        on_path = durable(on_path.unionByName(raised))  # else each level's plan would hold the one before twice
     return on_path.withColumnRenamed("height", "depth")
 
 
