@@ -74,9 +74,9 @@ def grow(vectors: DataFrame, trees: int, leaf_vectors: int, seed: int) -> DataFr
 
 
 def compare_leaves(leaves: DataFrame, threshold: float) -> DataFrame:
-    """(vec, found, low): per leaf and vector, how many vectors it links with that no earlier tree's leaf has shown with it, weighted by their copies, and the smallest vector that it reaches within the leaf.
+    """(vec, found, low): per leaf and vector, how many vectors it links with that no earlier tree's leaf, nor a leaf of this tree with a smaller hash, has shown with it, weighted by their copies, and the smallest vector that it reaches within the leaf.
 
-    leaves: tree, leaf, vec, copies, embedding, seen (for each earlier tree its leaves of that vector). Cosines are dot products of unit vectors in double precision, by blocks.
+    leaves: tree, leaf, vec, copies, embedding, seen (for each tree the leaves of that vector). Cosines are dot products of unit vectors in double precision, by blocks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +95,8 @@ def compare_leaves(leaves: DataFrame, threshold: float) -> DataFrame:
             return i
 
         sizes = np.array([len(r) for r in rows])
-        earlier = [[frozenset(s) for s in seen[:tree]] for seen in own]
+        earlier, same = [[frozenset(s) for s in seen[:tree]] for seen in own], [frozenset(seen[tree]) for seen in own]
+        leaf = t["leaf"][0].as_py()
         for width in np.unique(sizes):
             at = np.flatnonzero(sizes == width)
             x = np.array([rows[i] for i in at], np.float64)
@@ -107,7 +108,7 @@ def compare_leaves(leaves: DataFrame, threshold: float) -> DataFrame:
                         p, q = at[a + i], at[b + j]
                         if p >= q:
                             continue
-                        if any(not s.isdisjoint(o) for s, o in zip(earlier[p], earlier[q])):
+                        if min(same[p] & same[q]) != leaf or any(not s.isdisjoint(o) for s, o in zip(earlier[p], earlier[q])):
                             continue
                         found[p] += copies[q]
                         found[q] += copies[p]
