@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.plans import base, documents, shares, timeline
+from lectern.plans import base, documents, reports, shares, timeline
 
 
 def queries() -> dict[str, base.Query]:
