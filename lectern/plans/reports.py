@@ -31,9 +31,9 @@ def k16_folded_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.folded_tail(u.groupBy("topic", "sub").agg(F.sum("marks").alias("marks")), ["topic"], "sub", "marks", 3)
 
 
-@query("WITH UNITS, h AS (SELECT DISTINCT sub, topic, year * 10 + season AS c FROM x WHERE paper % 50 = 0), g AS (SELECT * FROM (SELECT DISTINCT sub, topic FROM h), (SELECT DISTINCT c FROM h)) SELECT g.sub, g.c, CASE WHEN h.sub IS NOT NULL THEN 'hit' WHEN EXISTS (SELECT 1 FROM h n WHERE n.topic = g.topic AND n.c = g.c) THEN 'present' ELSE 'absent' END AS state FROM g LEFT JOIN h ON h.sub = g.sub AND h.topic = g.topic AND h.c = g.c")
+@query("WITH UNITS, h AS (SELECT DISTINCT sub, topic, year * 10 + season AS c FROM x), g AS (SELECT * FROM (SELECT DISTINCT sub, topic FROM h), (SELECT DISTINCT c FROM h)) SELECT g.sub, g.c, CASE WHEN h.sub IS NOT NULL THEN 'hit' WHEN EXISTS (SELECT 1 FROM h n WHERE n.topic = g.topic AND n.c = g.c) THEN 'present' ELSE 'absent' END AS state FROM g LEFT JOIN h ON h.sub = g.sub AND h.topic = g.topic AND h.c = g.c")
 def k17_presence_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = units(spark, sf_dir).where("paper % 50 = 0")  # the reports' rows in this example are such papers
+    u = units(spark, sf_dir)
     h = u.select((F.col("year") * 10 + F.col("season")).alias("c"), F.explode("tags").alias("sub")).withColumn("topic", stats.topic_of(F.col("sub")))
     return reports.presence_strip(h, h, "sub", "topic", "c").select("sub", F.col("c").cast("int").alias("c"), "state")
 
@@ -156,11 +156,12 @@ def e52_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.malformed_rows(lines, "line").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH f AS (SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents GROUP BY source), g AS (SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents WHERE doc_id % 500 <> 7 GROUP BY source) SELECT f.source, f.print <> g.print OR g.print IS NULL AS stale FROM f LEFT JOIN g USING (source)")
+@query("WITH f AS (SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents GROUP BY source), g AS (SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY source) SELECT f.source, f.print <> g.print OR g.print IS NULL AS stale FROM f LEFT JOIN g USING (source)")
 def d28_stale_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prints of before against those of inputs that lost some documents."""
+    """Prints of before against those of inputs that lost their toxic documents."""
     d = table(spark, sf_dir, "documents")
-    now = quality.fingerprints(d.where("doc_id % 500 <> 7"), ["source"], "doc_id", "text")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
+    now = quality.fingerprints(d.join(toxic, "doc_id", "left_anti"), ["source"], "doc_id", "text")
     return quality.stale(quality.fingerprints(d, ["source"], "doc_id", "text"), now, "source")
 
 

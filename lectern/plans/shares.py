@@ -17,11 +17,11 @@ pr AS (SELECT topic, count(DISTINCT paper) AS papers FROM x GROUP BY topic),
 al AS (SELECT count(DISTINCT paper) AS n FROM u)"""
 
 
-@query("WITH UNITS SELECT 'topic' AS level, topic AS name, count(*) AS n, CAST(sum(marks) AS BIGINT) AS marks, count(*) FILTER (WHERE paper % 7 <> 0) AS n_unique FROM x GROUP BY topic UNION ALL SELECT 'subtopic', sub, count(*), CAST(sum(marks) AS BIGINT), count(*) FILTER (WHERE paper % 7 <> 0) FROM x GROUP BY sub")
+@query("WITH UNITS SELECT 'topic' AS level, topic AS name, count(*) AS n, CAST(sum(marks) AS BIGINT) AS marks, count(*) FILTER (WHERE paper NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')) AS n_unique FROM x GROUP BY topic UNION ALL SELECT 'subtopic', sub, count(*), CAST(sum(marks) AS BIGINT), count(*) FILTER (WHERE paper NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')) FROM x GROUP BY sub")
 def e01_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E01-E03. Papers divisible by 7 stand for reprints."""
+    """E01-E03. Orders with status P stand for reprints."""
     u = units(spark, sf_dir)
-    return stats.tag_counts(u, table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("paper")))
+    return stats.tag_counts(u, table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("paper")))
 
 
 @query("WITH UNITS SELECT topic, count(DISTINCT paper) AS papers, 100.0 * count(DISTINCT paper) / (SELECT count(DISTINCT paper) FROM u) AS pct FROM x GROUP BY topic")
@@ -55,9 +55,9 @@ def e09_question_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.question_marks(units(spark, sf_dir))
 
 
-@query("WITH UNITS SELECT year, topic, count(*) AS n FROM x WHERE paper % 7 <> 0 GROUP BY year, topic")
+@query("WITH UNITS SELECT year, topic, count(*) AS n FROM x WHERE paper NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') GROUP BY year, topic")
 def e11_year_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.year_trend(units(spark, sf_dir), table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("paper")))
+    return stats.year_trend(units(spark, sf_dir), table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("paper")))
 
 
 @query("WITH UNITS SELECT q, topic, count(*) AS n FROM x GROUP BY q, topic")
@@ -165,9 +165,9 @@ def e39_sitting_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("topic", F.col("0").alias("march"), F.col("1").alias("june"), F.col("2").alias("november"))
 
 
-@query("WITH UNITS, d AS (SELECT paper, count(*) FILTER (WHERE q % 3 = 0) AS d, count(*) AS n FROM u GROUP BY paper) SELECT paper FROM d WHERE 2 * d >= n")
+@query("WITH UNITS, d AS (SELECT paper, count(*) FILTER (WHERE len(list_filter(tags, lambda z: starts_with(z, 'FLAG R'))) > 0) AS d, count(*) AS n FROM u GROUP BY paper) SELECT paper FROM d WHERE 2 * d >= n")
 def c11_reprinted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.reprinted(units(spark, sf_dir).withColumn("flag", F.col("q") % 3 == 0), "flag")
+    return stats.reprinted(units(spark, sf_dir).withColumn("flag", F.exists("tags", lambda t: F.startswith(t, F.lit("FLAG R")))), "flag")
 
 
 @query("WITH UNITS SELECT paper, CAST(sum(marks) AS BIGINT) AS total FROM u GROUP BY paper HAVING sum(marks) = CASE WHEN min(year) < 1998 THEN 90 ELSE 70 END")
