@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +12,10 @@ from lectern.llm import bpe, chat, embed_forest, line_dedup, mil, pfair, quality
 from lectern.llm.common import documents, table
 from lectern.llm.oracles import ORACLES
 
-try:
-    import public_tokenizers
-except ImportError:  # their path is then to be given
-    public_tokenizers = None
-
 
 def vocabulary(name: str) -> str:
-    return public_tokenizers.path(name) if public_tokenizers else f"/opt/tokenizers/{name}"
+    """Where a public tokenizer's file lies; operators take the path as a parameter."""
+    return public_tokenizers.path(name)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
