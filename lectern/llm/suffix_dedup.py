@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
 from lectern.llm.common import durable
 
@@ -52,18 +52,25 @@ class Runs:
         return mixed((s[starts + length] - s[starts]) * up[starts])
 
 
+def sliding(op: np.ufunc, a: np.ndarray, width: int) -> np.ndarray:
+    """op over each run of width values that follow each other, in a number of passes that is the logarithm of width."""
+    span = 1
+    while 2 * span <= width:
+        a = op(a[:-span], a[span:])
+        span *= 2
+    return op(a[: len(a) - (width - span)], a[width - span :]) if width > span else a
+
+
 def minimisers(runs: Runs, min_words: int = MIN_WORDS, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the gram, place) of the suffixes that are retained. Equal runs of min_words words retain the same place within them (of equal hashes the first)."""
+    """(hash of the gram, place) of the suffixes that are retained: those whose hash is the least of a window that holds them. Equal runs of min_words words retain the same places within them."""
     width = min_words - gram + 1
     if runs.n < min_words:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     grams = runs.of(np.arange(runs.n - gram + 1), gram)
-    step = 1 << 16
-    found = []
-    for a in range(0, len(grams) - width + 1, step):
-        view = np.lib.stride_tricks.sliding_window_view(grams[a : a + step + width - 1], width)
-        found.append(np.unique(view.argmin(axis=1) + np.arange(a, a + len(view))))
-    at = np.unique(np.concatenate(found))
+    least = sliding(np.minimum, grams, width)
+    around = np.zeros(width - 1, np.uint64)
+    most = sliding(np.maximum, np.concatenate([around, least, around]), width)  # of the minima of the windows that hold each place
+    at = np.flatnonzero(grams == most)
     return grams[at], at
 
 
@@ -76,19 +83,18 @@ def spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def retained(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """(id, key, gram, at): suffixes at minimisers. docs: id, text."""
+    """(id, key, gram, at): suffixes at minimisers. docs: id, key, text."""
 
-    @F.arrow_udf("struct<key:bigint,grams:array<bigint>,at:array<int>>")
+    @F.arrow_udf("struct<grams:array<bigint>,at:array<int>>")
     def sample(texts: pa.Array) -> pa.Array:
-        keys, grams, at = [], [], []
+        grams, at = [], []
         for t in texts.to_pylist():
             g, a = minimisers(Runs(t), min_words, gram)
-            keys.append(xxh3_64_intdigest((t or "").encode()) - (1 << 63))
             grams.append(g.view(np.int64))
             at.append(a.astype(np.int32))
-        return pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(grams, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32()))], ["key", "grams", "at"])
+        return pa.StructArray.from_arrays([pa.array(grams, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32()))], ["grams", "at"])
 
-    rows = docs.select("id", sample("text").alias("s")).select("id", "s.key", F.explode(F.arrays_zip("s.grams", "s.at")).alias("x"))
+    rows = docs.select("id", "key", sample("text").alias("s")).select("id", "key", F.explode(F.arrays_zip("s.grams", "s.at")).alias("x"))
     return rows.select("id", "key", F.col("x.grams").alias("gram"), F.col("x.at").alias("at"))
 
 
@@ -128,14 +134,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     Suffixes at minimisers are sorted and compared with their neighbours; those with an equal neighbour are extended to the left and right: all runs of min_words words around them are looked up by two hashes of 64 and 32 bits.
     Null, empty and short texts and rows with a null id have no row; rows that are equal in id and text are one document. No rows give none.
     """
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    alike = with_equal_neighbours(retained(rows, min_words, gram))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    alike = with_equal_neighbours(durable(retained(rows, min_words, gram)))  # ranges are drawn from a first look at the rows, which then must not be made twice
     places = durable(alike.groupBy("id", "key").agg(F.collect_set("at").alias("at")))
 
-    @F.arrow_udf("long")
-    def hashed(texts: pa.Array) -> pa.Array:
-        return pa.array([xxh3_64_intdigest((t or "").encode()) - (1 << 63) for t in texts.to_pylist()], pa.int64())
-
     @F.arrow_udf("struct<w:array<bigint>,v:array<int>,start:array<int>>")
     def extend(texts: pa.Array, at: pa.Array) -> pa.Array:
         w, v, start = [], [], []
@@ -149,8 +151,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
             start.append(s.astype(np.int32))
         return pa.StructArray.from_arrays([pa.array(w, pa.list_(pa.int64())), pa.array(v, pa.list_(pa.int32())), pa.array(start, pa.list_(pa.int32()))], ["w", "v", "start"])
 
-    own = rows.withColumn("own", hashed("text")).join(places.withColumnRenamed("id", "i"), (F.col("id") == F.col("i")) & (F.col("own") == F.col("key")))
-    own = own.select("id", "key", "text", "at").dropDuplicates(["id", "key"]).select("id", "key", extend("text", "at").alias("e"))
+    own = rows.join(places, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", extend("text", "at").alias("e"))
     windows = own.select("id", "key", F.explode(F.arrays_zip("e.w", "e.v", "e.start")).alias("x")).select("id", "key", "x.w", "x.v", "x.start")
     windows = durable(windows)
     counts = windows.groupBy("w", "v").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id")).where("copies > 1")
