@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from lectern.llm.common import durable
+from lectern.llm.common import stored
 
 #: Words that a repeated passage has at least; a passage of "over 50 words" has 51.
 MIN_WORDS = 50
@@ -83,7 +83,7 @@ def spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def retained(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """(id, key, gram, at): suffixes at minimisers. docs: id, key, text."""
+    """(gram, key, at, id): suffixes at minimisers. docs: id, key, text."""
 
     @F.arrow_udf("struct<grams:array<bigint>,at:array<int>>")
     def sample(texts: pa.Array) -> pa.Array:
@@ -95,7 +95,7 @@ def retained(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(grams, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32()))], ["grams", "at"])
 
     rows = docs.select("id", "key", sample("text").alias("s")).select("id", "key", F.explode(F.arrays_zip("s.grams", "s.at")).alias("x"))
-    return rows.select("id", "key", F.col("x.grams").alias("gram"), F.col("x.at").alias("at"))
+    return rows.select(F.col("x.grams").alias("gram"), "key", F.col("x.at").alias("at"), "id")
 
 
 def with_equal_neighbours(suffixes: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def with_equal_neighbours(suffixes: DataFrame) -> DataFrame:
         if held is not None:
             yield held
 
-    order = ["gram", "id", "key", "at"]
+    order = ["gram", "key", "at", "id"]
     ranged = suffixes.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.mapInArrow(neighbours, ranged.schema)
 
@@ -131,12 +131,14 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     """One row for each maximal repeated passage of a document: doc_id, text_key, first_word, n_words, first_doc_id (the smallest id that has one of its runs of min_words words) and copies (the most places that one of them has, this one included).
 
     A passage is repeated if each run of min_words words in it occurs at two places or more of the documents, be it in one text. Words are runs without space and U+0009 to U+000D, compared exactly.
-    Suffixes at minimisers are sorted and compared with their neighbours; those with an equal neighbour are extended to the left and right: all runs of min_words words around them are looked up by two hashes of 64 and 32 bits.
+    Suffixes at minimisers are sorted and compared with their neighbours; those with an equal neighbour are extended to the left and right: all runs of min_words words around them are looked up by two hashes of 64 and 32 bits. Equal texts are looked up once, with their number.
     Null, empty and short texts and rows with a null id have no row; rows that are equal in id and text are one document. No rows give none.
     """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    alike = with_equal_neighbours(durable(retained(rows, min_words, gram)))  # ranges are drawn from a first look at the rows, which then must not be made twice
-    places = durable(alike.groupBy("id", "key").agg(F.collect_set("at").alias("at")))
+    owners = rows.select("id", "key").distinct()
+    texts = owners.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    alike = with_equal_neighbours(stored(retained(rows, min_words, gram)))  # ranges are drawn from a first look at the rows, which then must not be made twice
+    places = alike.groupBy("key").agg(F.collect_set("at").alias("at")).join(texts, "key")
 
     @F.arrow_udf("struct<w:array<bigint>,v:array<int>,start:array<int>>")
     def extend(texts: pa.Array, at: pa.Array) -> pa.Array:
@@ -151,11 +153,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
             start.append(s.astype(np.int32))
         return pa.StructArray.from_arrays([pa.array(w, pa.list_(pa.int64())), pa.array(v, pa.list_(pa.int32())), pa.array(start, pa.list_(pa.int32()))], ["w", "v", "start"])
 
-    own = rows.join(places, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", extend("text", "at").alias("e"))
-    windows = own.select("id", "key", F.explode(F.arrays_zip("e.w", "e.v", "e.start")).alias("x")).select("id", "key", "x.w", "x.v", "x.start")
-    windows = durable(windows)
-    counts = windows.groupBy("w", "v").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id")).where("copies > 1")
-    hits = windows.join(counts, ["w", "v"]).groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "first_id", "copies"))).alias("hits"))
+    own = rows.join(places, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "n", extend("text", "at").alias("e"))
+    windows = stored(own.select("id", "key", "n", F.explode(F.arrays_zip("e.w", "e.v", "e.start")).alias("x")).select("id", "key", "n", "x.w", "x.v", "x.start"))
+    counts = windows.groupBy("w", "v").agg(F.sum("n").alias("copies"), F.min("id").alias("first_id")).where("copies > 1")
+    hits = windows.select("key", "w", "v", "start").join(counts, ["w", "v"]).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "first_id", "copies"))).alias("hits"))
 
     @F.arrow_udf("array<struct<first_word:int,n_words:int,first_id:bigint,copies:bigint>>")
     def merge(hit_lists: pa.Array) -> pa.Array:
@@ -171,5 +172,5 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         kind = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("first_id", pa.int64()), ("copies", pa.int64())]))
         return pa.array(out, kind)
 
-    found = hits.select("id", "key", F.explode(merge("hits")).alias("m"))
+    found = owners.join(hits.select("key", merge("hits").alias("m")), "key").select("id", "key", F.explode("m").alias("m"))
     return found.select(F.col("id").alias("doc_id"), F.col("key").alias("text_key"), "m.first_word", "m.n_words", F.col("m.first_id").alias("first_doc_id"), "m.copies")
