@@ -54,15 +54,15 @@ def paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     """
     nodes = durable(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0)).cast("double").alias("score")))
     levels = ancestors(nodes)
-    totals, here = nodes.select("tree", "node", F.col("node").alias("at"), F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("height")), nodes
+    parents = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
+    ends = nodes.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
+    totals = ends.select("tree", "node", F.col("node").alias("at"), F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("height"))
     for k, step in reversed(list(enumerate(levels))):
         s = step.select(F.col("tree").alias("t"), F.col("node").alias("from"), "up", "gain")
         totals = totals.join(s, F.col("tree").eqNullSafe(F.col("t")) & (F.col("at") == F.col("from")), "left").select(
             "tree", "node", F.coalesce("up", "at").alias("at"), (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total"), (F.col("height") + F.when(F.col("up").isNotNull(), 2**k).otherwise(0)).alias("height"))
     root = nodes.select(F.col("tree").alias("t"), F.col("node").alias("root"), F.col("score").alias("base"))
-    totals = durable(totals.join(root, F.col("tree").eqNullSafe(F.col("t")) & (F.col("at") == F.col("root"))).select("tree", "node", (F.col("total") + F.col("base")).alias("total"), "height"))
-    parents = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
-    leaves = totals.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
+    leaves = durable(totals.join(root, F.col("tree").eqNullSafe(F.col("t")) & (F.col("at") == F.col("root"))).select("tree", "node", (F.col("total") + F.col("base")).alias("total"), "height"))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
     ranked = leaves.withColumn("branch", rank)
     ranked = ranked if branches is None else ranked.where(F.col("branch") <= branches)
