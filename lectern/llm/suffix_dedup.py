@@ -156,6 +156,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     own = rows.join(places, ["id", "key"]).dropDuplicates(["id", "key"]).select("id", "key", "n", extend("text", "at").alias("e"))
     windows = stored(own.select("id", "key", "n", F.explode(F.arrays_zip("e.w", "e.v", "e.start")).alias("x")).select("id", "key", "n", "x.w", "x.v", "x.start"))
     counts = windows.groupBy("w", "v").agg(F.sum("n").alias("copies"), F.min("id").alias("first_id")).where("copies > 1")
+    counts = stored(counts)  # as a table of its own it can be joined with a very common run's partition split
     hits = windows.select("key", "w", "v", "start").join(counts, ["w", "v"]).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "first_id", "copies"))).alias("hits"))
 
     @F.arrow_udf("array<struct<first_word:int,n_words:int,first_id:bigint,copies:bigint>>")
