@@ -18,9 +18,8 @@ LEAF_VECTORS = 256
 SPILL = (0.45, 0.55)
 #: Deepest split. A node twice as large needs one more, so this is out of reach for data that can be split at all.
 MAX_DEPTH = 48
-#: Rows of one block of a comparison within a leaf.
+#: Rows of one block of a comparison.
 BLOCK = 512
-LEAF_RESULT = "vec long, found long, low long"
 
 
 def projections(embedding, trees: int, depth: int, seed: int):
@@ -73,56 +72,81 @@ def grow(vectors: DataFrame, trees: int, leaf_vectors: int, seed: int) -> DataFr
     return done.withColumnRenamed("node", "leaf")
 
 
-def compare_leaves(leaves: DataFrame, threshold: float) -> DataFrame:
-    """(vec, found, low): per leaf and vector, how many vectors it links with that no earlier tree's leaf, nor a leaf of this tree with a smaller hash, has shown with it, weighted by their copies, and the smallest vector that it reaches within the leaf.
-
-    leaves: tree, leaf, vec, copies, embedding, seen (for each tree the leaves of that vector). Cosines are dot products of unit vectors in double precision, by blocks.
-    """
+def unit_rows(rows: list[list[float]]) -> np.ndarray:
+    """Rows of one length, scaled to length 1, in double precision."""
+    x = np.array(rows, np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def reached(x: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """The rows of each component of two or more among unit vectors whose cosine is at least threshold."""
+    near = [np.concatenate([x[a : a + BLOCK] @ x[b : b + BLOCK].T >= threshold for b in range(0, len(x), BLOCK)], axis=1) for a in range(0, len(x), BLOCK)]
+    degree = np.concatenate([n.sum(axis=1) for n in near])
+    fresh, out = degree > 1, []
+    for i in np.flatnonzero(fresh):
+        if not fresh[i]:
+            continue
+        fresh[i] = False
+        own, front = [], [i]
+        while front:
+            own += front
+            hit = np.zeros(len(x), bool)
+            for f in front:
+                hit |= near[f // BLOCK][f % BLOCK]
+            hit &= fresh
+            fresh &= ~hit
+            front = np.flatnonzero(hit).tolist()
+        out.append(np.array(own))
+    return out
+
+
+def connect_leaves(leaves: DataFrame, threshold: float) -> DataFrame:
+    """(vec, low): for each leaf and vector that links within it, the smallest vector that it reaches there. leaves: tree, leaf, vec, embedding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches))
-        if not t.num_rows:
-            return
-        vec = t["vec"].to_numpy()
-        copies, tree = t["copies"].to_numpy(), int(t["tree"][0].as_py())
-        rows, own = t["embedding"].to_pylist(), t["seen"].to_pylist()
-        found, root = np.zeros(len(vec), np.int64), np.arange(len(vec))
-
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
+        vec, rows = t["vec"].to_numpy(), t["embedding"].to_pylist()
         sizes = np.array([len(r) for r in rows])
-        earlier, same = [[frozenset(s) for s in seen[:tree]] for seen in own], [frozenset(seen[tree]) for seen in own]
-        leaf = t["leaf"][0].as_py()
         for width in np.unique(sizes):
             at = np.flatnonzero(sizes == width)
-            x = np.array([rows[i] for i in at], np.float64)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            for a in range(0, len(at), BLOCK):
-                for b in range(a, len(at), BLOCK):
-                    near = x[a : a + BLOCK] @ x[b : b + BLOCK].T >= threshold
-                    for i, j in np.argwhere(near):
-                        p, q = at[a + i], at[b + j]
-                        if p >= q:
-                            continue
-                        if min(same[p] & same[q]) != leaf or any(not s.isdisjoint(o) for s, o in zip(earlier[p], earlier[q])):
-                            continue
-                        found[p] += copies[q]
-                        found[q] += copies[p]
-                        ri, rj = top(p), top(q)
-                        if ri != rj:
-                            root[max(ri, rj)] = min(ri, rj)
-        low: dict[int, int] = {}
-        tops = [top(i) for i in range(len(vec))]
-        for i, r in enumerate(tops):
-            low[r] = min(low.get(r, vec[i]), vec[i])
-        hit = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(vec[hit]), pa.array(found[hit]), pa.array([int(low[tops[i]]) for i in hit], pa.int64())], ["vec", "found", "low"])
-
-    return leaves.groupBy("tree", "leaf").applyInArrow(run, LEAF_RESULT)
+            for own in reached(unit_rows([rows[i] for i in at]), threshold):
+                ids = vec[at[own]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), ids.min()))], ["vec", "low"])
+
+    return leaves.groupBy("tree", "leaf").applyInArrow(run, "vec long, low long")
+
+
+def count_links(placed: DataFrame, threshold: float) -> DataFrame:
+    """(vec, found): with how many vectors of its component each vector links, weighted by their copies, of all pairs of the component. placed: vec, component, copies, embedding.
+
+    A component of more than BLOCK vectors is dealt over blocks by hash and each two blocks meet in a group of their own, so no task holds a whole one. Smaller ones share groups.
+    """
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cells = max(1, -(-placed.count() // BLOCK))
+    own = placed.join(sizes, "component").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    own = own.withColumn("block", F.pmod(F.xxhash64("vec", F.lit(1)), F.col("blocks")))
+    own = own.withColumn("home", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(cells))).otherwise(F.col("component")))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.select("home", (F.col("blocks") == 1).alias("whole"), F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "component", "vec", "copies", "embedding")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches)).sort_by("component")
+        vec, copies, block, component = (t[c].to_numpy() for c in ("vec", "copies", "block", "component"))
+        rows, a, b = t["embedding"].to_pylist(), t["a"][0].as_py(), t["b"][0].as_py()
+        found = np.zeros(len(vec), np.int64)
+        edges = [0, *(np.flatnonzero(np.diff(component)) + 1), len(vec)]
+        for lo, hi in zip(edges, edges[1:]):
+            x, side = unit_rows(rows[lo:hi]), block[lo:hi]
+            p, q = lo + np.flatnonzero(side == a), lo + np.flatnonzero(side == b)
+            near = x[p - lo] @ x[q - lo].T >= threshold
+            if a == b:
+                np.fill_diagonal(near, False)
+            found[p] += near @ copies[q]
+            if a != b:
+                found[q] += copies[p] @ near
+        yield pa.RecordBatch.from_arrays([pa.array(vec), pa.array(found)], ["vec", "found"])
+
+    return met.groupBy("whole", "home", "a", "b").applyInArrow(run, "vec long, found long").groupBy("vec").agg(F.sum("found").alias("found"))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label", *, threshold: float = 0.93, trees: int = TREES, leaf_vectors: int = LEAF_VECTORS, seed: int = 7) -> DataFrame:
@@ -130,7 +154,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     Equal vectors are compared once and counted by their number. Vectors that are null, empty, zero or hold a null or a value that isn't finite, and rows with a null label, link with nothing: 0 links, a component of their own.
     label_col None: one label for all. Null ids keep their row, count as links, and are never a component's smallest. Rows that repeat an id with the same vector are copies. Other columns are not read. No rows give none.
-    Found links are verified, so none is below the threshold; a link is missed only if no tree's leaf holds both ends (README: recall against brute force).
+    The forest only tells which vectors belong together: all pairs of a component are then compared, however many it has. A link is missed only if no chain of links within leaves joins its ends (README: recall against brute force).
     """
     label = F.col(label_col) if label_col else F.lit(0)
     rows = vectors.select(F.col(id_col).alias("vec_id"), label.alias("label"), F.col(vec_col).cast("array<double>").alias("embedding"))
@@ -140,12 +164,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     kinds = whole.where("usable").groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
     kinds = durable(kinds.withColumn("vec", F.xxhash64("label", "embedding")))
     leaves = durable(grow(kinds.select("vec", "label", "embedding"), trees, leaf_vectors, seed))
-    per_tree = leaves.groupBy("vec", "tree").agg(F.collect_list("leaf").alias("l")).groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("tree", "l"))).alias("all"))
-    seen = per_tree.select("vec", F.transform("all", lambda x: x["l"]).alias("seen"))
-    full = leaves.join(kinds.select("vec", "copies", "embedding").join(seen, "vec"), "vec")
-    found = durable(compare_leaves(full.select("tree", "leaf", "vec", "copies", "embedding", "seen"), threshold))
-    counts = found.groupBy("vec").agg(F.sum("found").alias("found"))
-    groups = components(found.select("vec", "low"), "vec", "low").withColumnRenamed("node", "vec")
+    full = leaves.join(kinds.select("vec", "embedding"), "vec")
+    joined = connect_leaves(full.select("tree", "leaf", "vec", "embedding"), threshold).distinct()
+    groups = durable(components(joined, "vec", "low").withColumnRenamed("node", "vec"))
+    counts = count_links(groups.join(kinds.select("vec", "copies", "embedding"), "vec"), threshold)
     placed = kinds.select("vec", "copies", "least").join(groups, "vec", "left").join(counts, "vec", "left").select("vec", "copies", "least", F.coalesce("component", "vec").alias("component"), F.coalesce("found", F.lit(0)).alias("found"))
     low = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     result = placed.join(low, "component").select("vec", (F.col("copies") - 1 + F.col("found")).cast("long").alias("n_links"), "component_id")

@@ -115,6 +115,21 @@ def test_op2_against_all_pairs(spark):
     assert embed_forest.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_op2_dense_groups_are_whole(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((7200, 64))
+    for lo, n in ((0, 3000), (3000, 600)):
+        x[lo : lo + n] = x[lo] + 0.2 * rng.standard_normal((n, 64))
+    df = spark.createDataFrame([(i, v.astype("f4").tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype("f4").astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.93).sum(axis=1) - 1
+    got = {r.vec_id: r for r in embed_forest.near_duplicates(df, label_col=None, trees=4).collect()}
+    assert want[:3600].min() > 100 and want[:3000].max() > 1000
+    assert [got[i].n_links for i in range(len(x))] == want.tolist()
+    assert {got[i].component_id for i in range(3000)} == {0} and {got[i].component_id for i in range(3000, 3600)} == {3000}
+
+
 def plain_alignment(docs, min_words=3):
     """Line deduplication by loops: each line's first holder, a quadratic longest rising run, blocks."""
     first, lines = {}, {}
