@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from xxhash import xxh3_128_digest
 
 from lectern.llm.common import durable, free_name
@@ -87,11 +88,71 @@ def without_places(text: str | None, places: list[int] | None) -> str | None:
     return "\n".join(out) if left else ""
 
 
-def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS) -> DataFrame:
+def least_runs(lines: list[tuple[bytes, int, int]], min_words: int) -> list[tuple[bytes, int, int]]:
+    """(hash, first place, last place) of the shortest runs of lines with min_words words that begin at a line and that end at one. A block of so many words is made of such runs."""
+    total = [0]
+    for _, _, n in lines:
+        total.append(total[-1] + n)
+    runs = set()
+    for i in range(len(lines)):
+        j = bisect_left(total, total[i] + max(1, min_words))
+        if j <= len(lines):
+            runs.add((i, j))
+        k = bisect_right(total, total[i + 1] - max(1, min_words)) - 1
+        if k >= 0:
+            runs.add((k, i + 1))
+    return [(xxh3_128_digest(b"".join(h for h, _, _ in lines[i:j])), i, j - 1) for i, j in sorted(runs)]
+
+
+def every_alignment(lines: DataFrame, min_words: int) -> DataFrame:
+    """(id, key, gone) as if each document were aligned with every earlier document. lines: id, key, hash, at, words.
+
+    A block that goes is made of shortest runs of min_words words (least_runs), and its partner holds them too. So runs ask for partners: first the earliest document that has the run, and, as long as a line of
+    the run is left, the next 2, 4, 8... ones. A run that every earlier holder was tried for stays in any alignment; one whose lines have gone needs no more. Each round aligns pairs on all lines that both have.
+    """
+
+    @F.arrow_udf("array<struct<run:binary,start:int,stop:int>>")
+    def runs_of(own: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("run", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())]))
+        return pa.array([[{"run": r, "start": i, "stop": j} for r, i, j in least_runs([(x["hash"], x["at"], x["words"]) for x in sorted(d, key=lambda x: x["at"])], min_words)] for d in own.to_pylist()], kind)
+
+    @F.arrow_udf("array<int>")
+    def align(shared: pa.Array) -> pa.Array:
+        return pa.array([deleted_places(((x["at"], x["words"], (), x["there"]) for x in r), min_words) for r in shared.to_pylist()], pa.list_(pa.int32()))
+
+    own = lines.distinct()  # rows with equal ids and texts are one document
+    runs = own.groupBy("id", "key").agg(F.collect_list(F.struct("hash", "at", "words")).alias("l")).select("id", "key", F.explode(runs_of("l")).alias("r")).select("id", "key", "r.*")
+    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
+    runs = runs.join(often, "run")
+    place = F.row_number().over(Window.partitionBy("run").orderBy("id", "key"))
+    runs = durable(runs.withColumn("nth", place - 1))
+    left, gone, low = runs.where("nth > 0"), None, 0
+    while True:
+        left = durable(left)
+        if left.isEmpty():
+            break
+        high = 2 * low + 1  # holders low to high - 1 of each run are tried in this round
+        holders = runs.where(f"nth >= {low} and nth < {high}").select("run", F.col("id").alias("pid"), F.col("key").alias("pkey"), F.col("nth").alias("pnth"))
+        pairs = durable(left.join(holders, "run").where("pnth < nth").select("id", "key", "pid", "pkey").distinct())
+        theirs = own.select(F.col("id").alias("pid"), F.col("key").alias("pkey"), "hash", F.col("at").alias("there"))
+        shared = pairs.join(own, ["id", "key"]).join(theirs, ["pid", "pkey", "hash"])
+        blocks = shared.groupBy("id", "key", "pid", "pkey").agg(F.collect_list(F.struct("at", "words", "there")).alias("s")).select("id", "key", F.explode(align("s")).alias("at"))
+        gone = durable((blocks if gone is None else gone.unionByName(blocks)).distinct())
+        low = high
+        cut = gone.groupBy("id", "key").agg(F.collect_set("at").alias("cut"))
+        left = left.where(f"nth > {low}").join(cut, ["id", "key"], "left").where("cut is null or exists(sequence(start, stop), x -> not array_contains(cut, x))").select(*runs.columns)
+    if gone is None:
+        gone = own.select("id", "key", "at").limit(0)
+    return gone.groupBy("id", "key").agg(F.sort_array(F.collect_set("at")).alias("gone"))
+
+
+def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, every_partner: bool = False) -> DataFrame:
     """(id, key, gone): places of lines to delete, for documents that have any. key is the 64-bit hash of the text; documents are ordered by id, then key.
 
     Overlapping documents are found through shared lines: each line is paired with its first holder only, the earliest document that has it (as often), so a line of any frequency gives one partner for each
     document and no cut on its frequency is needed; a line of fewer than MIN_WORDS words goes only as part of a block. A document is aligned with each of its partners by patience sorting of their shared lines.
+
+    every_partner: as if each document were aligned with every earlier one, on all lines that both have (see every_alignment).
     """
 
     @F.arrow_udf(LINES)
@@ -106,6 +167,8 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
     own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), split_lines(F.col(text_col)).alias("lines"))
     lines = durable(own.select("id", "key", F.explode("lines").alias("l")).select("id", "key", "l.*"))
+    if every_partner:
+        return every_alignment(lines, min_words)
     first = lines.groupBy("hash").agg(F.min(F.struct("id", "key", "at")).alias("first"), F.max(F.struct("id", "key")).alias("last"))
     first = first.where((F.col("last.id") > F.col("first.id")) | (F.col("last.key") > F.col("first.key"))).select("hash", "first")
     first = durable(first)  # few, and as a table of its own it can be joined with a hot line's partition split
@@ -115,14 +178,14 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     return gone.where(F.size("gone") > 0)
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, gone_col: str | None = None) -> DataFrame:
-    """docs with the aligned common blocks deleted from the later documents' texts; every row and column stays. gone_col: a further column, the number of lines deleted.
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, gone_col: str | None = None, every_partner: bool = False) -> DataFrame:
+    """docs with the aligned common blocks deleted from the later documents' texts; every row and column stays. gone_col: a further column, the number of lines deleted. every_partner: see deletions.
 
     Lines are compared exactly; lines without a word are never shared and stay, but a document that loses all its lines with words becomes empty. Null texts stay null. Rows with a null id are neither cleaned
     nor cleaned against. Rows with equal ids and texts are one document. No rows give none.
     """
     key, ident, gone = free_name(docs, "key"), free_name(docs, "id"), free_name(docs, "gone")
-    drops = deletions(docs, id_col, text_col, min_words=min_words).select(F.col("id").alias(ident), F.col("key").alias(key), F.col("gone").alias(gone))
+    drops = deletions(docs, id_col, text_col, min_words=min_words, every_partner=every_partner).select(F.col("id").alias(ident), F.col("key").alias(key), F.col("gone").alias(gone))
 
     @F.arrow_udf("string")
     def less(texts: pa.Array, places: pa.Array) -> pa.Array:
@@ -140,5 +203,5 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines_deleted, n_chars (code points left; 0 for null) and text_sha256 (null for null) of each row."""
-    rows = cleaned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), gone_col="n_lines_deleted")
+    rows = cleaned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), gone_col="n_lines_deleted", every_partner=True)
     return rows.select("doc_id", "n_lines_deleted", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))

@@ -179,6 +179,27 @@ def test_op3_against_loops(spark):
     assert got[201][1].split("\n")[-1] == "own line of words"
 
 
+def test_op3_aligns_every_overlapping_pair(spark):
+    rng = random.Random(6)
+    pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 6))) for _ in range(25)]
+    docs = [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    ten = [f"line {k} of ten" for k in range(10)]
+    docs += [(1, "\n".join(ten)), (2, "\n".join(ten[::-1])), (3, "\n".join(ten[::-1])), (4, "Dear Ann\nYes sir\nKind regards"), (5, "Dear Ann\nYes sir\nKind regards")]
+    docs += [(-3, "Dear Ann"), (-2, "x\nYes sir"), (-1, "Kind regards\nx")]
+    lines = {i: line_dedup.numbered_lines(t) for i, t in docs}
+    want = {}
+    for i in lines:
+        cut = set()
+        for j in lines:
+            there = {h: at for h, at, _ in lines[j]}
+            if j < i:
+                cut |= set(line_dedup.deleted_places([(at, n, (), there[h]) for h, at, n in lines[i] if h in there], 3))
+        want[i] = cut
+    assert len(want[3]) == 10 and len(want[5]) == 3
+    got = {r.doc_id: r.n_lines_deleted for r in line_dedup.digest(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: len(c) for i, c in want.items()}
+
+
 def test_op3_odd_rows(spark):
     docs = odd_documents(spark)
     out = line_dedup.cleaned(docs)
