@@ -19,12 +19,14 @@ from tokenizers import Tokenizer
 LEAF_CHARS = 256
 #: First width, in characters, of the window on each side of a join.
 WINDOW_CHARS = 24
-#: Words that a worker remembers at most; then it starts afresh.
-MEMO_WORDS = 300_000
+#: Bytes that a worker's remembered words take at most, by estimate; then it starts afresh.
+MEMO_BYTES = 48 << 20
+#: What a remembered word takes besides its characters, ids and tokens.
+ENTRY_BYTES = 330
 #: White space that no normalization composes with; other white space stays inside a word and is left to the tokenizer.
 WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
-#: Characters of text whose words are learned together.
-LEARN_CHARS = 1_500_000
+#: Characters of text whose words are learned together, and words that the library encodes in one call: its encodings are large.
+LEARN_CHARS, LEARN_WORDS = 250_000, 1024
 ENCODED = "struct<ids:array<int>,decoded:string>"
 DIGEST = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
@@ -50,10 +52,7 @@ class TreeEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.normal = Tokenizer.from_file(path)  # for text that is already normalized: to do it twice isn't the same for every text
-        self.normal.no_padding()
-        self.normal.no_truncation()
-        self.normal.normalizer = type(self.normal.normalizer)([]) if self.normal.normalizer else None
+        self.path, self._normal = path, None
         self.leaf_chars = max(2, leaf_chars)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token = [""] * (max(vocab.values(), default=-1) + 1)
@@ -63,9 +62,21 @@ class TreeEncoder:
         end = self.tokenizer.model.end_of_word_suffix or ""
         self.width = [len(t.removesuffix(end) if end else t) for t in self.token]
         self.memo: dict[str, tuple[bytes, int, str]] = {}
+        self.memo_bytes = 0
+
+    @property
+    def normal(self) -> Tokenizer:
+        """For text that is already normalized, as to do it twice isn't the same for every text; loaded when a stretch is too long for one piece."""
+        if self._normal is None:
+            t = self._normal = Tokenizer.from_file(self.path)
+            t.no_padding()
+            t.no_truncation()
+            t.normalizer = type(t.normalizer)([]) if t.normalizer else None
+        return self._normal
 
     def _batch(self, texts: list[str], normalized: bool = True) -> list[list[int]]:
-        return [e.ids for e in (self.normal if normalized else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+        own = self.normal if normalized else self.tokenizer
+        return [e.ids for i in range(0, len(texts), LEARN_WORDS) for e in own.encode_batch_fast(texts[i : i + LEARN_WORDS], add_special_tokens=False)]
 
     def _join(self, left: str, left_ids: list[int], right: str, right_ids: list[int]) -> list[int]:
         spans = lambda ids, at: [(at := at + w) - w for w in map(self.width.__getitem__, ids)]
@@ -122,15 +133,18 @@ class TreeEncoder:
         return [i for x in normal.split(" ") for i in self._tree(x)]
 
     def _learn(self, words: Iterable[str]) -> None:
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
+        """Remembers words, after it has forgotten the others if they took too much. Those of one call may take more: their texts are held as well."""
+        if self.memo_bytes > MEMO_BYTES:
             self.memo.clear()
-            new = list(words)
+            self.memo_bytes = 0
+        new = [w for w in words if w not in self.memo]
         short, long = [w for w in new if len(w) <= self.leaf_chars], [w for w in new if len(w) > self.leaf_chars]
         token, pack = self.token.__getitem__, struct.Struct
         for part, got in ((short, self._batch(short, False)), (long, map(self._long, long))):
             for w, ids in zip(part, got):
-                self.memo[w] = (pack(f"<{len(ids)}I").pack(*ids), len(ids), " ".join(map(token, ids)))
+                decoded = " ".join(map(token, ids))
+                self.memo[w] = (pack(f"<{len(ids)}I").pack(*ids), len(ids), decoded)
+                self.memo_bytes += ENTRY_BYTES + 2 * len(w) + 4 * len(ids) + 2 * len(decoded)
 
     def encode_bytes(self, texts: list[str | None]) -> Iterable[tuple[bytes, int, str]]:
         """For each text its ids as little-endian 32-bit integers, their number, and the text that they decode to."""
@@ -172,7 +186,7 @@ class TreeEncoder:
         return out.decode("utf-8", "replace").strip(" ")
 
 
-@lru_cache(2)
+@lru_cache(1)
 def encoder(path: str, leaf_chars: int = LEAF_CHARS) -> TreeEncoder:
     return TreeEncoder(path, leaf_chars)
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in tests.
-FALLBACK_CHECKPOINT_DIR = "/tmp/checkpoints/lectern"
-#: Rows of an Arrow batch that holds whole texts.
-TEXT_BATCH_ROWS = 512
+#: Used only where the session names no shared folder and all of Spark runs on this machine, as in tests.
+LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints/lectern"
+#: Rows, and bytes, of an Arrow batch that holds whole texts.
+TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 512, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +24,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts can be long: fewer of them in an Arrow batch bound a Python worker's memory."""
+    """Texts can be long: fewer of them in an Arrow batch bound a Python worker's memory. The queries and stages set this for their session, as a plan reads it only when it runs; the operators leave the session alone."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
 
 
 def free_name(df: DataFrame, stem: str) -> str:
@@ -38,8 +40,12 @@ def free_name(df: DataFrame, stem: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all machines of the cluster share; a fixed one where the session names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_CHECKPOINT_DIR
+    """The folder that all machines of the cluster share, as spark.checkpoint.dir names it. Where it is unset, a fixed one in local mode; on a cluster a folder of one machine would lose rows, so that is an error."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return LOCAL_CHECKPOINT_DIR
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh3_128_digest
 
-from lectern.llm.common import durable, free_name
+from lectern.llm.common import durable, free_name, stored
 
-#: Words of a line that may propose a pair of documents, and of a block that is deleted, at least.
+#: Words of a block that is deleted, at least.
 MIN_WORDS = 3
-BLANK = re.compile(r"[\x20\x09-\x0D]*")
+#: Texts that hold a rare run of lines, at most: all their pairs are aligned first.
+RARE_HOLDERS = 4
+#: How many times as many holders of a frequent run are tried from one round to the next.
+ROUND_GROWTH = 8
 LINES = "array<struct<hash:binary,at:int,words:int>>"
 
 
@@ -89,110 +92,129 @@ def without_places(text: str | None, places: list[int] | None) -> str | None:
 
 
 def least_runs(lines: list[tuple[bytes, int, int]], min_words: int) -> list[tuple[bytes, int, int]]:
-    """(hash, first place, last place) of the shortest runs of lines with min_words words that begin at a line and that end at one. A block of so many words is made of such runs."""
-    total = [0]
-    for _, _, n in lines:
-        total.append(total[-1] + n)
+    """(hash, first place, last place) of the shortest runs of lines with min_words words that begin at a line and that end at one, of lines in order that follow each other wherever their places do. A block of so many words is made of such runs."""
     runs = set()
-    for i in range(len(lines)):
-        j = bisect_left(total, total[i] + max(1, min_words))
-        if j <= len(lines):
-            runs.add((i, j))
-        k = bisect_right(total, total[i + 1] - max(1, min_words)) - 1
-        if k >= 0:
-            runs.add((k, i + 1))
-    return [(xxh3_128_digest(b"".join(h for h, _, _ in lines[i:j])), i, j - 1) for i, j in sorted(runs)]
+    begins = [k for k in range(len(lines)) if not k or lines[k][1] != lines[k - 1][1] + 1]
+    for lo, hi in zip(begins, [*begins[1:], len(lines)]):
+        total = [0, *accumulate(n for _, _, n in lines[lo:hi])]
+        for i in range(hi - lo):
+            j = bisect_left(total, total[i] + max(1, min_words))
+            if j < len(total):
+                runs.add((lo + i, lo + j))
+            k = bisect_right(total, total[i + 1] - max(1, min_words)) - 1
+            if k >= 0:
+                runs.add((lo + k, lo + i + 1))
+    return [(xxh3_128_digest(b"".join(h for h, _, _ in lines[i:j])), lines[i][1], lines[j - 1][1]) for i, j in sorted(runs)]
 
 
-def every_alignment(lines: DataFrame, min_words: int) -> DataFrame:
-    """(id, key, gone) as if each document were aligned with every earlier document. lines: id, key, hash, at, words.
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
 
-    A block that goes is made of shortest runs of min_words words (least_runs), and its partner holds them too. So runs ask for partners: first the earliest document that has the run, and, as long as a line of
-    the run is left, the next 2, 4, 8... ones. A run that every earlier holder was tried for stays in any alignment; one whose lines have gone needs no more. Each round aligns pairs on all lines that both have.
+
+def numbered(runs: DataFrame) -> DataFrame:
+    """runs with n, how many texts hold a run, and nth, how many earlier ones do (by id, then key). Only runs of two texts or more stay.
+
+    The holders of a run are numbered along one sorted order over all runs, range by range, so that a run which a third of all texts hold needs no task of its own.
     """
+    order = ["run", "id", "key"]
+    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranged = durable(runs.join(often, "run")).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = durable(ranged.withColumn("m", F.monotonically_increasing_id())).withColumn("range", F.shiftright("m", 33))
+    parts = ranged.groupBy("run", "range").agg(F.min("m").alias("low"), F.count(F.lit(1)).alias("c"))
+    before = F.sum("c").over(Window.partitionBy("run").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("run", "range", (F.coalesce(before, F.lit(0)) - F.col("low")).alias("shift"))
+    return ranged.join(parts, ["run", "range"]).select("run", "key", "start", "stop", "n", (F.col("m") + F.col("shift")).alias("nth"))
 
-    @F.arrow_udf("array<struct<run:binary,start:int,stop:int>>")
-    def runs_of(own: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("run", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())]))
-        return pa.array([[{"run": r, "start": i, "stop": j} for r, i, j in least_runs([(x["hash"], x["at"], x["words"]) for x in sorted(d, key=lambda x: x["at"])], min_words)] for d in own.to_pylist()], kind)
+
+def aligned_blocks(pairs: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
+    """(key, at): lines in common blocks of the alignment of each pair, on all lines that both have. pairs: key, pkey (the earlier text); lines: key, hash, at, words."""
 
     @F.arrow_udf("array<int>")
     def align(shared: pa.Array) -> pa.Array:
         return pa.array([deleted_places(((x["at"], x["words"], (), x["there"]) for x in r), min_words) for r in shared.to_pylist()], pa.list_(pa.int32()))
 
-    own = lines.distinct()  # rows with equal ids and texts are one document
-    runs = own.groupBy("id", "key").agg(F.collect_list(F.struct("hash", "at", "words")).alias("l")).select("id", "key", F.explode(runs_of("l")).alias("r")).select("id", "key", "r.*")
-    often = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
-    runs = runs.join(often, "run")
-    place = F.row_number().over(Window.partitionBy("run").orderBy("id", "key"))
-    runs = durable(runs.withColumn("nth", place - 1))
-    left, gone, low = runs.where("nth > 0"), None, 0
+    theirs = lines.select(F.col("key").alias("pkey"), "hash", F.col("at").alias("there"))
+    shared = pairs.join(lines, "key").join(theirs, ["pkey", "hash"])
+    return shared.groupBy("key", "pkey").agg(F.collect_list(F.struct("at", "words", "there")).alias("s")).select("key", F.explode(align("s")).alias("at"))
+
+
+def all_alignments(lines: DataFrame, min_words: int) -> DataFrame:
+    """(key, gone): for each text, the places that aligning it with every earlier text would delete. lines: id, key, hash, at, words, of lines that two texts or more have.
+
+    A block that goes is made of shortest runs of min_words words (least_runs), and its partner holds them too, so runs nominate the pairs. Rare runs, of RARE_HOLDERS texts at most, nominate all pairs of their holders. What these
+    alignments leave of frequent runs then nominates: first the earliest holder and the last one before, and, as long as a line of the run is left, the next 7, 56... holders. A run of which every earlier holder was tried stays in any
+    alignment, and one whose lines have gone needs no more, so the result is that of all pairs, while the number of alignments is in proportion to the lines unless texts hold the same lines in as many different orders.
+    """
+
+    @F.arrow_udf("array<struct<run:binary,start:int,stop:int>>")
+    def runs_of(own: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("run", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())]))
+        rows = (sorted(((x["hash"], x["at"], x["words"]) for x in d), key=lambda x: x[1]) for d in own.to_pylist())
+        return pa.array([[{"run": r, "start": i, "stop": j} for r, i, j in least_runs(d, min_words)] for d in rows], kind)
+
+    per_text = lines.groupBy("id", "key").agg(F.collect_list(F.struct("hash", "at", "words")).alias("l"))
+    runs = durable(numbered(per_text.select("id", "key", F.explode(runs_of("l")).alias("r")).select("id", "key", "r.*")))
+    lines = lines.drop("id")
+    holders = runs.select("run", F.col("key").alias("pkey"), F.col("nth").alias("pnth"))
+    left = runs.where("nth > 0")
+    rare = left.where(F.col("n") <= RARE_HOLDERS).join(holders, "run").where("pnth < nth").select("key", "pkey").distinct()
+    gone = durable(aligned_blocks(rare, lines, min_words).distinct())
+    left, low = left.where(F.col("n") > RARE_HOLDERS), 0
     while True:
-        left = durable(left)
+        cut = gone.groupBy("key").agg(F.collect_set("at").alias("cut"))
+        left = left.join(cut, "key", "left").where("cut is null or exists(sequence(start, stop), x -> not array_contains(cut, x))").select(*runs.columns)
+        left = durable(left.where(f"nth > {low}"))
         if left.isEmpty():
             break
-        high = 2 * low + 1  # holders low to high - 1 of each run are tried in this round
-        holders = runs.where(f"nth >= {low} and nth < {high}").select("run", F.col("id").alias("pid"), F.col("key").alias("pkey"), F.col("nth").alias("pnth"))
-        pairs = durable(left.join(holders, "run").where("pnth < nth").select("id", "key", "pid", "pkey").distinct())
-        theirs = own.select(F.col("id").alias("pid"), F.col("key").alias("pkey"), "hash", F.col("at").alias("there"))
-        shared = pairs.join(own, ["id", "key"]).join(theirs, ["pid", "pkey", "hash"])
-        blocks = shared.groupBy("id", "key", "pid", "pkey").agg(F.collect_list(F.struct("at", "words", "there")).alias("s")).select("id", "key", F.explode(align("s")).alias("at"))
-        gone = durable((blocks if gone is None else gone.unionByName(blocks)).distinct())
-        low = high
-        cut = gone.groupBy("id", "key").agg(F.collect_set("at").alias("cut"))
-        left = left.where(f"nth > {low}").join(cut, ["id", "key"], "left").where("cut is null or exists(sequence(start, stop), x -> not array_contains(cut, x))").select(*runs.columns)
-    if gone is None:
-        gone = own.select("id", "key", "at").limit(0)
-    return gone.groupBy("id", "key").agg(F.sort_array(F.collect_set("at")).alias("gone"))
-
-
-def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, every_partner: bool = False) -> DataFrame:
-    """(id, key, gone): places of lines to delete, for documents that have any. key is the 64-bit hash of the text; documents are ordered by id, then key.
-
-    Overlapping documents are found through shared lines: each line is paired with its first holder only, the earliest document that has it (as often), so a line of any frequency gives one partner for each
-    document and no cut on its frequency is needed; a line of fewer than MIN_WORDS words goes only as part of a block. A document is aligned with each of its partners by patience sorting of their shared lines.
-
-    every_partner: as if each document were aligned with every earlier one, on all lines that both have (see every_alignment).
-    """
+        if low == 0:
+            first = left.join(holders.where("pnth = 0").drop("pnth"), "run").select("key", "pkey")
+            last = left.join(holders.withColumn("pnth", F.col("pnth") + 1), (left.run == holders.run) & (F.col("nth") == F.col("pnth"))).select("key", "pkey")
+            pairs, low = first.unionByName(last), 1
+        else:
+            high = low * ROUND_GROWTH
+            tried = holders.where(f"pnth >= {low} and pnth < {high}")
+            pairs, low = left.join(tried, "run").where("pnth < nth - 1").select("key", "pkey"), high
+        gone = durable(gone.unionByName(aligned_blocks(pairs.distinct(), lines, min_words)).distinct())
+    return gone.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("gone"))
+
+
+def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, key, gone): places of lines to delete, for documents that have any. key is the md5 of the text; documents are ordered by id, then key. A text that several documents have is aligned once, for the first of them; its
+    other copies lose all lines."""
 
     @F.arrow_udf(LINES)
     def split_lines(texts: pa.Array) -> pa.Array:
         kind = pa.list_(pa.struct([("hash", pa.binary()), ("at", pa.int32()), ("words", pa.int32())]))
         return pa.array([[{"hash": h, "at": a, "words": w} for h, a, w in numbered_lines(t)] for t in texts.to_pylist()], kind)
 
-    @F.arrow_udf("array<int>")
-    def align(shared: pa.Array) -> pa.Array:
-        rows = ([(x["at"], x["words"], (x["first"]["id"], x["first"]["key"]), x["first"]["at"]) for x in r] for r in shared.to_pylist())
-        return pa.array([deleted_places(r, min_words) for r in rows], pa.list_(pa.int32()))
-
-    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), split_lines(F.col(text_col)).alias("lines"))
-    lines = durable(own.select("id", "key", F.explode("lines").alias("l")).select("id", "key", "l.*"))
-    if every_partner:
-        return every_alignment(lines, min_words)
-    first = lines.groupBy("hash").agg(F.min(F.struct("id", "key", "at")).alias("first"), F.max(F.struct("id", "key")).alias("last"))
-    first = first.where((F.col("last.id") > F.col("first.id")) | (F.col("last.key") > F.col("first.key"))).select("hash", "first")
-    first = durable(first)  # few, and as a table of its own it can be joined with a hot line's partition split
-    shared = lines.join(first, "hash").where(F.struct("id", "key") > F.struct("first.id", "first.key"))
-    per_doc = shared.groupBy("id", "key").agg(F.collect_list(F.struct("at", "words", "first")).alias("shared"))
-    gone = per_doc.select("id", "key", align("shared").alias("gone"))
-    return gone.where(F.size("gone") > 0)
-
-
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, gone_col: str | None = None, every_partner: bool = False) -> DataFrame:
-    """docs with the aligned common blocks deleted from the later documents' texts; every row and column stays. gone_col: a further column, the number of lines deleted. every_partner: see deletions.
-
-    Lines are compared exactly; lines without a word are never shared and stay, but a document that loses all its lines with words becomes empty. Null texts stay null. Rows with a null id are neither cleaned
-    nor cleaned against. Rows with equal ids and texts are one document. No rows give none.
+    named = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    own = named.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), split_lines(F.col(text_col)).alias("lines"))
+    texts = stored(own.groupBy("key").agg(F.min("id").alias("id"), F.first("lines").alias("lines")))
+    lines = texts.select("id", "key", F.explode("lines").alias("l")).select("id", "key", "l.*")
+    often = durable(lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))  # as a table of its own it can be joined with a hot line's partition split
+    gone = all_alignments(durable(lines.join(often, "hash").select("id", "key", "hash", "at", "words")), min_words)
+    sizes = texts.select("key", F.col("id").alias("first"), F.size("lines").alias("n"), F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["words"]).alias("words"))
+    every = F.when((F.col("words") >= min_words) & (F.col("n") > 0), F.sequence(F.lit(0), F.col("n") - 1))
+    rows = named.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key")).distinct().join(sizes.join(gone, "key", "left"), "key")
+    return rows.select("id", "key", F.when(F.col("id") == F.col("first"), F.col("gone")).otherwise(every).alias("gone")).where(F.size("gone") > 0)
+
+
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, gone_col: str | None = None) -> DataFrame:
+    """docs with the aligned common blocks deleted from the later documents' texts; every row and column stays. gone_col: a further column, the number of lines deleted.
+
+    The result is that of aligning each document with every earlier one (see all_alignments) by patience sorting of the lines that both have, and deleting from it each block of lines that follow each other on both sides and have
+    min_words words. Lines are compared exactly, a line's second occurrence in a text with second ones; lines without a word are never shared and stay, but a document that loses all its lines with words becomes empty.
+    Null texts stay null. Rows with a null id are neither cleaned nor cleaned against. Rows with equal ids and texts are one document; of other texts under one id the one with the least md5 comes first. No rows give none.
     """
     key, ident, gone = free_name(docs, "key"), free_name(docs, "id"), free_name(docs, "gone")
-    drops = deletions(docs, id_col, text_col, min_words=min_words, every_partner=every_partner).select(F.col("id").alias(ident), F.col("key").alias(key), F.col("gone").alias(gone))
+    drops = deletions(docs, id_col, text_col, min_words=min_words).select(F.col("id").alias(ident), F.col("key").alias(key), F.col("gone").alias(gone))
 
     @F.arrow_udf("string")
     def less(texts: pa.Array, places: pa.Array) -> pa.Array:
         return pa.array([without_places(t, p) for t, p in zip(texts.to_pylist(), places.to_pylist())], pa.string())
 
     own = free_name(docs, "own")
-    rows = docs.withColumn(own, F.xxhash64(text_col))
+    rows = docs.withColumn(own, text_key(F.col(text_col)))
     rows = rows.join(drops, (F.col(id_col) == F.col(ident)) & (F.col(own) == F.col(key)), "left")
     some = F.size(gone) > 0
     new = F.when(some, less(F.when(some, F.col(text_col)), F.col(gone))).otherwise(F.col(text_col))  # other texts don't go to Python
@@ -203,5 +225,5 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines_deleted, n_chars (code points left; 0 for null) and text_sha256 (null for null) of each row."""
-    rows = cleaned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), gone_col="n_lines_deleted", every_partner=True)
+    rows = cleaned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), gone_col="n_lines_deleted")
     return rows.select("doc_id", "n_lines_deleted", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))

@@ -16,10 +16,10 @@ PAIR_BINS, CLASSES = 1024, 8
 FEATURES = PAIR_BINS + CLASSES + 2
 #: Sizes of the passage code and of the attention layer.
 CODE, ATTENTION = 24, 12
-#: Labelled documents that the model is fitted on at most, and passages of each (evenly spaced): the bound of what the driver gathers. Scoring knows no such bound.
-TRAIN_DOCS, TRAIN_PASSAGES = 4000, 32
+#: Labelled documents that the model is fitted on at most, and bytes of their texts: the bound of what the driver gathers. Each is learned from with all its passages. Scoring knows no such bound.
+TRAIN_DOCS, TRAIN_BYTES = 4000, 16 << 20
 #: Passages encoded at a time.
-STEP = 2048
+STEP = 512
 #: A score from here up counts as good.
 CUT = 0.3
 
@@ -45,9 +45,9 @@ def features(parts: list[bytes]) -> np.ndarray:
     raw = np.frombuffer(b"".join(p.ljust(PASSAGE_BYTES, b"\0") for p in parts), np.uint8).reshape(len(parts), PASSAGE_BYTES)
     size = np.array([len(p) for p in parts])
     inside = np.arange(PASSAGE_BYTES) < size[:, None]
-    row = np.repeat(np.arange(len(parts)), PASSAGE_BYTES).reshape(raw.shape)
+    row = np.repeat(np.arange(len(parts), dtype=np.int32), PASSAGE_BYTES).reshape(raw.shape)
     both = inside[:, 1:]
-    pair = ((raw[:, :-1].astype(np.uint32) * 257 + raw[:, 1:]) * np.uint32(2654435761) >> np.uint32(22)).astype(np.int64)
+    pair = ((raw[:, :-1].astype(np.uint32) * 257 + raw[:, 1:]) * np.uint32(2654435761) >> np.uint32(22)).astype(np.int32)
     n = np.maximum(size, 1)[:, None]
     counts = np.bincount((row[:, 1:] * PAIR_BINS + pair)[both], minlength=len(parts) * PAIR_BINS).reshape(len(parts), PAIR_BINS)
     out[:, :PAIR_BINS] = np.sqrt(counts / n)
@@ -56,11 +56,17 @@ def features(parts: list[bytes]) -> np.ndarray:
     four = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(raw, 4, axis=1)).view(np.uint32)[..., 0].copy()
     four[~inside[:, 3:]] = 0
     four.sort(axis=1)
-    out[:, -1] = ((np.diff(four, axis=1) != 0).sum(axis=1) + 1) / np.maximum(size - 3, 1)
+    out[:, -1] = ((np.diff(four, axis=1) != 0).sum(axis=1) + (size == PASSAGE_BYTES)) / np.maximum(size - 3, 1)  # the filling of a short passage is one more kind
     out[size == 0] = 0
     return out
 
 
+def bag(text: str | None) -> np.ndarray:
+    """The features of all passages of a text."""
+    parts = passages(text)
+    return np.concatenate([features(parts[i : i + STEP]) for i in range(0, len(parts), STEP)])
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -112,8 +118,26 @@ class Model:
         return out
 
 
+def loss_and_gradients(m: Model, x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """The mean logistic loss of bags that begin at starts, and its gradients by hand through the output, the attention and the passage code."""
+    sizes = np.diff([*starts, len(x)])
+    h = np.tanh(x @ m.E + m.e)
+    p, q = np.tanh(h @ m.V), sigmoid(h @ m.U)
+    a, z = m.pooled(h, (p * q) @ m.w, starts)
+    out = sigmoid(z @ m.c + m.b[0])
+    err = (out - labels) / len(labels)
+    dz = np.repeat(err[:, None] * m.c, sizes, axis=0)
+    da = (dz * h).sum(axis=1)
+    dl = a * (da - np.repeat(np.add.reduceat(a * da, starts), sizes))
+    dp, dq = dl[:, None] * m.w * q * (1 - p * p), dl[:, None] * m.w * p * q * (1 - q)
+    dh = (a[:, None] * dz + dp @ m.V.T + dq @ m.U.T) * (1 - h * h)
+    grads = {"E": x.T @ dh, "e": dh.sum(axis=0), "V": h.T @ dp, "U": h.T @ dq, "w": (p * q).T @ dl, "c": z.T @ err, "b": np.array([err.sum()])}
+    loss = -np.mean(labels * np.log(np.maximum(out, 1e-300)) + (1 - labels) * np.log(np.maximum(1 - out, 1e-300)))
+    return float(loss), grads
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, *, epochs: int = 30, least_steps: int = 1000, rate: float = 0.004, decay: float = 1e-4, batch: int = 64, seed: int = 1) -> Model:
-    """Adam on the logistic loss, the gradients by hand through the output, the attention and the passage code. Few bags are gone over more often, for least_steps steps. No bags: an untrained model whose score is 0.5 throughout."""
+    """Adam on the logistic loss. Few bags are gone over more often, for least_steps steps. No bags: an untrained model whose score is 0.5 throughout."""
     rng = np.random.default_rng(seed)
     m = Model.fresh(rng)
     if not bags:
@@ -127,18 +151,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, *, epochs: int = 30, least_s
         order = rng.permutation(len(bags))
         for i in range(0, len(order), batch):
             own = order[i : i + batch]
-            x, starts = np.concatenate([bags[k] for k in own]), np.cumsum([0, *(len(bags[k]) for k in own[:-1])])
-            sizes = np.diff([*starts, len(x)])
-            h = np.tanh(x @ m.E + m.e)
-            p, q = np.tanh(h @ m.V), sigmoid(h @ m.U)
-            a, z = m.pooled(h, (p * q) @ m.w, starts)
-            err = (sigmoid(z @ m.c + m.b[0]) - labels[own]) / len(own)
-            dz = np.repeat(err[:, None] * m.c, sizes, axis=0)
-            da = (dz * h).sum(axis=1)
-            dl = a * (da - np.repeat(np.add.reduceat(a * da, starts), sizes))
-            dp, dq = dl[:, None] * m.w * q * (1 - p * p), dl[:, None] * m.w * p * q * (1 - q)
-            dh = (a[:, None] * dz + dp @ m.V.T + dq @ m.U.T) * (1 - h * h)
-            grads = {"E": x.T @ dh, "e": dh.sum(axis=0), "V": h.T @ dp, "U": h.T @ dq, "w": (p * q).T @ dl, "c": z.T @ err, "b": np.array([err.sum()])}
+            _, grads = loss_and_gradients(m, np.concatenate([bags[k] for k in own]), np.cumsum([0, *(len(bags[k]) for k in own[:-1])]), labels[own])
             t += 1
             step = rate * (1 - epoch / epochs)
             for k in names:
@@ -154,19 +167,25 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, max_docs: int = TRAIN_DOCS, seed: int = 1) -> Model:
-    """A model learned from the labels of rows that aren't held out: of max_docs ids at most, those with the least hash. An id with several labels counts by their mean, rounded (half up); null labels and ids are left out."""
-    known = labels.where(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_docs)
-
-    @F.arrow_udf("array<binary>")
-    def parts(texts: pa.Array) -> pa.Array:
-        cut = lambda p: [p[int(k)] for k in np.linspace(0, len(p) - 1, min(len(p), TRAIN_PASSAGES))]
-        return pa.array([cut(passages(t)) for t in texts.to_pylist()], pa.list_(pa.binary()))
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES, seed: int = 1) -> Model:
+    """A model learned from the labels of rows that aren't held out, from all passages of each text.
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "y", parts("text").alias("parts")).dropDuplicates(["id"]).collect()  # max_docs rows at most
-    rows.sort(key=lambda r: r["id"])
-    return fit([features([bytes(p) for p in r["parts"]]) for r in rows], np.array([r["y"] for r in rows], float), seed=seed)
+    The sample: of the labelled ids the max_docs with the least hash, and of these, in that order, as many as have max_bytes of text together (the first always). An id with several labels counts by their mean, rounded (half up);
+    one with several texts by the least of them, so nothing depends on the order of rows. Null labels and ids are left out.
+    """
+    known = labels.where(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
+    chosen = known.withColumn("at", F.xxhash64("id")).orderBy("at", "id").limit(max_docs)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sizes = texts.select("id", F.octet_length("text").alias("n")).join(F.broadcast(chosen), "id").groupBy("at", "id").agg(F.max("n").alias("n")).collect()  # max_docs ids and numbers
+    sizes.sort(key=lambda r: (r["at"], r["id"]))
+    room = np.searchsorted(np.cumsum([r["n"] for r in sizes]), max_bytes, side="right")
+    if not sizes:
+        return fit([], np.empty(0), seed=seed)
+    last = sizes[min(len(sizes), max(1, room)) - 1]
+    within = chosen.where((F.col("at") < last["at"]) | ((F.col("at") == last["at"]) & (F.col("id") <= F.lit(last["id"]))))
+    got = texts.join(F.broadcast(within), "id").groupBy("id", "y").agg(F.min("text").alias("text")).collect()  # max_bytes of text, unless the first is longer
+    got.sort(key=lambda r: r["id"])
+    return fit([bag(r["text"]) for r in got], np.array([r["y"] for r in got], float), seed=seed)
 
 
 def score(text: Column, model: Model) -> Column:

@@ -38,11 +38,8 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 
 MIX = r"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce('s' || source, 'n') AS src, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
-z AS (SELECT src, count(*) AS docs FROM d GROUP BY src),
-w AS (SELECT src, docs, sqrt(docs) AS weight, sum(sqrt(docs)) OVER () AS total, count(*) OVER () AS n, greatest(1000, 4 * count(*) OVER ()) AS slots FROM z),
-e AS (SELECT *, weight / total * (slots - n) AS exact FROM w),
-f AS (SELECT src, slots, 1 + floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, src) <= slots - n - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS share FROM e),
-s AS (SELECT src, CAST(slots AS BIGINT) AS slots, CAST(share AS BIGINT) AS share, row_number() OVER (ORDER BY src) AS i FROM f),
+z AS (SELECT src, CAST(floor(sqrt(count(*))) AS BIGINT) AS share FROM d GROUP BY src),
+s AS (SELECT src, share, CAST(sum(share) OVER () AS BIGINT) AS slots, row_number() OVER (ORDER BY share DESC, src) AS i FROM z),
 q AS (SELECT list(share ORDER BY i) AS q, any_value(slots) AS slots FROM s),
 edf AS (SELECT CAST(-1 AS BIGINT) AS t, CAST(0 AS BIGINT) AS pick, list_transform(q, lambda x: CAST(0 AS BIGINT)) AS done, q, slots FROM q WHERE slots IS NOT NULL
   UNION ALL

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,109 +14,140 @@ from lectern.llm.common import free_name
 
 #: Documents of one source in a block.
 BLOCK_DOCS = 16
-#: Slots of a cycle, at least: weights are rounded to parts of it.
-QUANTA = 1000
-#: Slots of a cycle for each source, at least.
-QUANTA_PER_SOURCE = 4
-#: More sources than this are refused: a cycle is worked out in one row.
-MAX_SOURCES = 5000
+#: Slots that are worked out in one go before their turns are set aside.
+STRETCH = 512
+#: Slots of a cycle that is broadcast at most (some 40 MB).
+BROADCAST_SLOTS = 1_000_000
+#: Weights are numbers, or text such as "1/3".
+Weights = dict[str, "int | float | str | Fraction"]
 
 
-def shares(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
-    """src, docs, share, slots: each source's whole number of slots in a cycle of `slots`, one at least, the rest by largest remainders (equal ones by source).
+def tickets(weights: Weights) -> dict[str, int]:
+    """Whole numbers, as small as can be, in exactly the proportions of the weights. Floats count as the decimals that they print as. Weights that are null, 0 or negative have no ticket."""
+    exact = {k: Fraction(str(w)) for k, w in weights.items() if w is not None and Fraction(str(w)) > 0}
+    whole = reduce(math.lcm, (w.denominator for w in exact.values()), 1)
+    common = reduce(math.gcd, (int(w * whole) for w in exact.values()), 0)
+    return {k: int(w * whole) // common for k, w in exact.items()}
 
-    weights None: the square root of the source's documents. A source without a weight, or of a weight that isn't above 0, gets its one slot.
+
+def weighted(sizes: DataFrame, weights: Weights | None) -> DataFrame:
+    """src, docs, share, slots: a source's target weight is exactly share / slots, share its tickets and slots those of all sources together.
+
+    weights None: as many tickets as the whole part of the square root of the source's documents. A source without a weight, or of one that isn't above 0, has no share and comes after all others.
     """
     if weights is None:
-        weight = F.sqrt("docs")
+        share = F.floor(F.sqrt("docs")).cast("long")
     else:
-        known = {f"s{k}": float(w) for k, w in weights.items() if w and w > 0}
-        table = F.create_map(*(F.lit(x) for kv in known.items() for x in kv)) if known else F.create_map().cast("map<string,double>")
-        weight = F.coalesce(F.get(F.array(table), F.lit(0))[F.col("src")], F.lit(0.0))
-    every = Window.partitionBy()
-    w = sizes.withColumn("weight", weight).withColumns({"all_weight": F.sum("weight").over(every), "n": F.count(F.lit(1)).over(every)})
-    w = w.withColumn("slots", F.when(F.col("n") > MAX_SOURCES, F.raise_error(F.lit(f"more than {MAX_SOURCES} sources"))).otherwise(F.greatest(F.lit(QUANTA), QUANTA_PER_SOURCE * F.col("n"))).cast("long"))
-    exact = F.when(F.col("all_weight") > 0, F.col("weight") / F.col("all_weight")).otherwise(1 / F.col("n")) * (F.col("slots") - F.col("n"))
-    w = w.withColumn("exact", exact).withColumn("whole", F.floor("exact"))
-    rank = F.row_number().over(Window.partitionBy().orderBy(F.desc(F.col("exact") - F.col("whole")), "src"))
-    left = F.col("slots") - F.col("n") - F.sum("whole").over(every)
-    return w.withColumn("share", (1 + F.col("whole") + F.when(rank <= left, 1).otherwise(0)).cast("long")).select("src", "docs", "share", "slots")
+        known = {f"s{k}": n for k, n in tickets(weights).items()}
+        table = F.create_map(*(F.lit(x) for kv in known.items() for x in kv)) if known else F.create_map().cast("map<string,bigint>")
+        share = F.coalesce(F.get(F.array(table), F.lit(0))[F.col("src")].cast("long"), F.lit(0).cast("long"))
+    return sizes.withColumn("share", share).withColumn("slots", F.sum("share").over(Window.partitionBy())).select("src", "docs", "share", "slots")
+
+
+def quotient(a: Column, b: Column) -> Column:
+    """a over b in whole numbers, both above 0 or a 0; exact up to 2^53."""
+    return ((a - a % b) / b).cast("long")
 
 
 def release(block: Column, share: Column, slots: Column) -> Column:
-    """The first slot that a source's block, counted from 0, may take."""
-    return F.floor(block * slots / share).cast("long")
+    """The first slot that a source's block, counted from 0, may take: its number over the weight, rounded down."""
+    return quotient(block * slots, share)
 
 
 def deadline(block: Column, share: Column, slots: Column) -> Column:
-    """The slot before which it must have been."""
-    return F.ceil((block + 1) * slots / share).cast("long")
+    """The slot before which it must have been: the next number over the weight, rounded up."""
+    return quotient((block + 1) * slots + share - 1, share)
 
 
-def cycle(weighted: DataFrame) -> DataFrame:
-    """src, nth, slot: where the nth block of a source's share stands in one cycle, by the earliest deadline of the blocks released (equal ones by source).
+def cycle(sources: DataFrame, block_docs: int) -> DataFrame:
+    """src, nth, slot: where the nth block of a source stands, by the earliest deadline of the blocks released; of equal deadlines the source of the larger share goes first, then the one before in order.
 
-    The shares fill the cycle, so every slot has a block and each block lies within its release and deadline: at any time a source is less than one block from its weight's part.
+    The shares fill the slots, so a block is always ready and each lies within its release and deadline: at any time a source is less than one block from its target weight. After `slots` slots all
+    is as at the start, so what is worked out is one cycle, or less if the documents need less. Sources of one share have the same releases and deadlines and take turns, so a step goes over the different shares only.
     """
-    one = weighted.groupBy("slots").agg(F.array_sort(F.collect_list(F.struct("src", "share"))).alias("s"))
+    ranked = sources.where("share > 0").withColumn("seat", F.row_number().over(Window.partitionBy("share").orderBy("src")) - 1)
+    needed = F.max(deadline(quotient(F.col("docs") + block_docs - 1, F.lit(block_docs)) - 1, F.col("share"), F.col("slots")))
+    kinds = ranked.groupBy("share", "slots").agg(F.count(F.lit(1)).alias("members"), needed.alias("needed"))
+    one = kinds.groupBy("slots").agg(F.reverse(F.array_sort(F.collect_list(F.struct("share", "members")))).alias("kinds"), F.least(F.max("needed"), F.first("slots")).alias("steps"))
+    slots = F.col("slots")
 
-    def step(state: Column, t: Column) -> Column:
-        def bid(s: Column, i: Column) -> Column:
-            done = F.get(state["done"], i)
-            ready = release(done, s["share"], F.col("slots")) <= t
-            return F.when(ready, F.struct(deadline(done, s["share"], F.col("slots")).alias("d"), i.alias("i")))
+    def bid(kind: Column, done: Column) -> Column:
+        """What a share's next block asks for, when `done` blocks of it were placed."""
+        nth = quotient(done, kind["members"])
+        return F.struct(done.alias("done"), release(nth, kind["share"], slots).alias("release"), deadline(nth, kind["share"], slots).alias("deadline"))
 
-        chosen = F.array_min(F.transform(F.col("s"), bid))["i"]
-        return F.transform(F.array(chosen), lambda c: F.struct(F.transform(state["done"], lambda d, i: d + F.when(i == c, 1).otherwise(0)).alias("done"), F.concat(state["turns"], F.array(c)).alias("turns")))[0]
-
-    start = F.struct(F.transform("s", lambda s: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("turns"))
-    turns = one.select("s", F.posexplode(F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1), start, step)["turns"]).alias("slot", "i"))
-    by_source = turns.select(F.get(F.col("s"), F.col("i"))["src"].alias("src"), F.col("slot").cast("long").alias("slot"))
-    return by_source.withColumn("nth", (F.row_number().over(Window.partitionBy("src").orderBy("slot")) - 1).cast("long"))
-
-
-def scheduled(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: dict[str, float] | None = None, block_docs: int = BLOCK_DOCS, names: dict[str, str] | None = None) -> DataFrame:
+    def step(state: Column, t: Column) -> Column:
+        """The kind of the next turn, and the bids after it."""
+        ready = F.transform(state["bids"], lambda b, i: F.when(b["release"] <= t, F.struct(b["deadline"].alias("deadline"), i.alias("kind"))))
+        turn = F.transform(F.array(F.array_min(ready)["kind"]), lambda c: F.struct(F.transform(state["bids"], lambda b, i: F.when(i == c, bid(F.get(F.col("kinds"), i), b["done"] + 1)).otherwise(b)).alias("bids"), F.concat(state["turns"], F.array(c)).alias("turns")))
+        return F.get(turn, F.lit(0))
+
+    def stretch(state: Column, first: Column) -> Column:
+        begun = F.struct(state["bids"].alias("bids"), F.array().cast("array<int>").alias("turns"))
+        over = F.transform(F.array(F.aggregate(F.sequence(first, F.least(first + STRETCH, F.col("steps")) - 1), begun, step)), lambda x: F.struct(x["bids"].alias("bids"), F.concat(state["turns"], F.array(x["turns"])).alias("turns")))
+        return F.get(over, F.lit(0))
+
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.transform("kinds", lambda k: bid(k, zero)).alias("bids"), F.array().cast("array<array<int>>").alias("turns"))
+    all_turns = F.flatten(F.aggregate(F.sequence(zero, F.col("steps") - 1, F.lit(STRETCH).cast("long")), start, stretch)["turns"])
+    turns = one.select("kinds", F.posexplode(all_turns).alias("slot", "kind")).select(F.get(F.col("kinds"), F.col("kind")).alias("k"), F.col("slot").cast("long").alias("slot"))
+    placed = turns.select("k.share", "k.members", "slot", (F.row_number().over(Window.partitionBy("k.share").orderBy("slot")) - 1).cast("long").alias("done"))
+    placed = placed.select("share", F.col("done") % F.col("members"), quotient(F.col("done"), F.col("members")), "slot").toDF("share", "seat", "nth", "slot")
+    return placed.join(ranked.select("share", "seat", "src"), ["share", "seat"]).select("src", "nth", "slot")
+
+
+def scheduled(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: Weights | None = None, block_docs: int = BLOCK_DOCS, names: dict[str, str] | None = None) -> DataFrame:
     """docs with src_key, share, slots, block, release, deadline, slot and place (its order in the mix): every row once.
 
-    Within a source documents go by the md5 of their id as text, equal ones by id. When a source has no more blocks its slots stay empty and the others go on as scheduled.
-    A null source is a source of its own. Null ids come first in their source. Repeated rows stay. Columns of docs that clash with one of the new names win no place: give `names` to rename the new ones. No rows give none.
+    Within a source documents go by the md5 of their id as text, then by id, then by the hash of their columns, so only rows that are equal may change places. When a source has no more blocks its slots stay empty and the others go on.
+    Sources without a weight (share 0) come after the last deadline of the others and take turns, a block each. A null source is a source of its own. Null ids come first in their source. Repeated rows stay. Columns of docs that
+    clash with one of the new names win no place: give `names` to rename the new ones. No rows give none.
 
-    A source with a third of all rows is ranked in parts, by the first digits of the md5, with the parts before counted ahead.
+    A source with a third of all rows is ranked in parts, by the first digits of the md5, with the parts before counted ahead. The cycle is worked out in one row: a step for each slot and different share, with the default weights
+    about the square root of documents times sources. It is broadcast only if it is small.
     """
     new = {c: c for c in ("src_key", "share", "slots", "block", "release", "deadline", "slot", "place")} | (names or {})
     digits = min(7, max(1, math.ceil(math.log(max(2, docs.count()), 16) / 2)))
-    md, src, part, ahead, seat, nth, at = (free_name(docs, x) for x in ("md5", "src", "part", "ahead", "seat", "nth", "at"))
-    share, slots = free_name(docs, "share"), free_name(docs, "slots")
-    rows = docs.withColumn(md, F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")))
+    md, row, src, part, ahead, seat, nth, at, turn = (free_name(docs, x) for x in ("md5", "row", "src", "part", "ahead", "seat", "nth", "at", "turn"))
+    share, slots, start, others = (free_name(docs, x) for x in ("share", "slots", "start", "others"))
+    rows = docs.withColumn(md, F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))).withColumn(row, F.xxhash64(*(F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind)))
     rows = rows.withColumn(src, F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))).withColumn(part, F.substring(md, 1, digits))
     counts = rows.groupBy(src, part).agg(F.count(F.lit(1)).alias("c"))
-    sizes = counts.groupBy(F.col(src).alias("src")).agg(F.sum("c").alias("docs"))
-    weighted = shares(sizes, weights)
+    sources = weighted(counts.groupBy(F.col(src).alias("src")).agg(F.sum("c").alias("docs")), weights)
+    last = F.max(F.when(F.col("share") > 0, deadline(quotient(F.col("docs") + block_docs - 1, F.lit(block_docs)) - 1, F.col("share"), F.col("slots"))))
+    last = sources.agg(F.coalesce(last, F.lit(0)).alias(start), F.count_if(F.col("share") == 0).alias(others), F.coalesce(F.max("slots"), F.lit(0)).alias("cycle"))
+    steps = min(last.select("cycle", start).first())
     before = F.sum("c").over(Window.partitionBy(src).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.withColumn(ahead, F.coalesce(before, F.lit(0))).drop("c")
-    offsets = offsets.join(weighted.select(F.col("src").alias(src), F.col("share").alias(share), F.col("slots").alias(slots)), src)
+    order = F.when(F.col("share") == 0, F.row_number().over(Window.partitionBy(F.col("share") == 0).orderBy("src")) - 1)
+    offsets = offsets.join(sources.select(F.col("src").alias(src), F.col("share").alias(share), F.col("slots").alias(slots), order.alias(turn)), src).crossJoin(F.broadcast(last.drop("cycle")))  # one row
     rows = rows.join(offsets, [src, part])
-    rank = F.row_number().over(Window.partitionBy(src, part).orderBy(md, F.col(id_col)))
+    rank = F.row_number().over(Window.partitionBy(src, part).orderBy(md, F.col(id_col), row))
     rows = rows.withColumn(seat, F.col(ahead) + rank - 1)
-    block = F.floor(F.col(seat) / block_docs).cast("long")
-    turns = F.broadcast(cycle(weighted).select(F.col("src").alias(src), F.col("nth").alias(nth), F.col("slot").alias(at)))  # one row for each slot of a cycle, bounded by MAX_SOURCES
-    rows = rows.withColumn(nth, (block % F.col(share)).cast("long")).join(turns, [src, nth])
-    slot = F.floor(block / F.col(share)).cast("long") * F.col(slots) + F.col(at)
+    block = quotient(F.col(seat), F.lit(block_docs))
+    turns = cycle(sources, block_docs).select(F.col("src").alias(src), F.col("nth").alias(nth), F.col("slot").alias(at))
+    turns = F.broadcast(turns) if steps <= BROADCAST_SLOTS else turns
+    rows = rows.withColumn(nth, F.when(F.col(share) > 0, block % F.col(share))).join(turns, [src, nth], "left")
+    of_cycle = quotient(block, F.col(share))
+    slot = F.when(F.col(share) > 0, of_cycle * F.col(slots) + F.col(at)).otherwise(F.col(start) + block * F.col(others) + F.col(turn))
+    begin = lambda x: F.when(F.col(share) > 0, of_cycle * F.col(slots) + x(F.col(nth), F.col(share), F.col(slots)))
     return rows.select(
         *(rows[c] for c in docs.columns),
         F.col(src).alias(new["src_key"]),
         F.col(share).alias(new["share"]),
         F.col(slots).alias(new["slots"]),
         block.alias(new["block"]),
-        release(block, F.col(share), F.col(slots)).alias(new["release"]),
-        deadline(block, F.col(share), F.col(slots)).alias(new["deadline"]),
+        F.coalesce(begin(release), slot).alias(new["release"]),
+        F.coalesce(begin(deadline), slot + 1).alias(new["deadline"]),
         slot.alias(new["slot"]),
         (slot * block_docs + F.col(seat) % block_docs).cast("long").alias(new["place"]),
     )
 
 
-def in_mixed_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: dict[str, float] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """The rows of docs, all of them and with their columns, in the order of the mix: written out, the files in their order are the mixed stream."""
+def in_mixed_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: Weights | None = None, block_docs: int = BLOCK_DOCS, place_col: str | None = None) -> DataFrame:
+    """The rows of docs, all of them and with their columns, in the order of the mix: written out, the files in the order of their names are the mixed stream. Spark reads files by size, so a reader that needs the order
+    sorts by place_col, a further column, or mixes again: the same rows give the same order."""
     kinds = ("src_key", "share", "slots", "block", "release", "deadline", "slot", "place")
     names = {k: free_name(docs, f"mix_{k}") for k in kinds}
-    return scheduled(docs, id_col, source_col, weights, block_docs, names).orderBy(names["place"]).select(*(F.col(c) for c in docs.columns))
+    more = [F.col(names["place"]).alias(place_col)] if place_col else []
+    return scheduled(docs, id_col, source_col, weights, block_docs, names).orderBy(names["place"]).select(*(F.col(c) for c in docs.columns), *more)

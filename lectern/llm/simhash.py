@@ -18,8 +18,12 @@ CHUNK = 1 << 15
 #: Most bits in which linked fingerprints differ. They touch at most so many of a fingerprint's eight bytes.
 RADIUS = 2
 BYTES = 8
-#: Longest posting list that is compared pair by pair; longer lists take the exact neighbour path.
-PAIRWISE_POSTINGS = 24
+#: Two ways to pair the eight positions. A key is two pairs of one way (four bytes), so each way has six keys, no two of the twelve of the same bytes.
+PAIRINGS = (((0, 1), (2, 3), (4, 5), (6, 7)), ((1, 2), (3, 4), (5, 6), (7, 0)))
+#: Keys that fingerprints within RADIUS bits share at least: two bytes that differ leave two pairs of each way whole, and with them one key of each way.
+LEAST_SHARED = len(PAIRINGS)
+#: Longest posting list of which the pairs are tallied; longer lists take the exact neighbour path.
+TALLIED_POSTINGS = 24
 
 
 def text_fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
@@ -52,30 +56,34 @@ def positional_byte(fp: str, position: int) -> Column:
     return F.shiftrightunsigned(F.col(fp), 8 * (BYTES - 1 - position)).bitwiseAND(F.lit(255))
 
 
+def posting_keys(fp: str) -> list[Column]:
+    """The keys of a fingerprint's posting lists: which key, and the four positional bytes that it holds."""
+    keys = []
+    for way in PAIRINGS:
+        for a, b in combinations(way, 2):
+            value = F.lit(len(keys)).cast("long")
+            for p in (*a, *b):
+                value = F.shiftleft(value, 8).bitwiseOR(positional_byte(fp, p))
+            keys.append(value)
+    return keys
+
+
 def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
     """(u, v): links that connect the distinct fingerprints in column fp just as all pairs within RADIUS bits would.
 
-    Of eight positional bytes a pair within two bits shares at least six. Bytes are indexed in four pairs of positions, of which such a pair shares two or more, so posting lists keyed by
-    two pairs of positions (four bytes) hold every pair to be found. A fingerprint alone in all its lists leaves here. In lists of up to PAIRWISE_POSTINGS the shared positional bytes of each pair are
-    tallied, pairs short of six go, and the rest are verified by their differing bits. Longer lists would give pairs by the square of their length; their members are instead
-    filed under themselves and each fingerprint one bit away, and everything filed in one place is within two bits of each other: one edge to the smallest member for each, exact as well.
+    The inverted index files a fingerprint under twelve keys of four positional bytes each (one byte alone would hold a 256th of all rows). The posting lists give a row for each two fingerprints
+    that share a key; these are tallied for each pair, pairs short of LEAST_SHARED keys go unverified, and of the others the differing bits are counted.
+    A list of more than TALLIED_POSTINGS would give pairs by the square of its length. All members of such lists are instead filed under themselves and each fingerprint one bit away: what is filed in one place
+    is within two bits of each other, and any two within two bits share a place, so one edge to the smallest member for each links the same. A pair that shares a long list is linked so; one that shares none has all its shared keys in the tally.
     """
-    groups = [(p, p + 1) for p in range(0, BYTES, 2)]
-    keys = []
-    for k, (a, b) in enumerate(combinations(groups, 2)):
-        value = F.lit(0).cast("long")
-        for p in (*a, *b):
-            value = F.shiftleft(value, 8).bitwiseOR(positional_byte("fp", p))
-        keys.append(F.shiftleft(F.lit(k).cast("long"), 32).bitwiseOR(value))
-    postings = fingerprints.select("fp", F.explode(F.array(*keys)).alias("key"))
+    postings = fingerprints.select("fp", F.explode(F.array(*posting_keys("fp"))).alias("key"))
     lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = durable(postings.join(lists, "key"))
-    few = shared.where(F.col("members") <= PAIRWISE_POSTINGS)
+    shared = durable(postings.join(lists, "key"))  # a fingerprint alone in all its lists leaves here
+    few = shared.where(F.col("members") <= TALLIED_POSTINGS)
     left, right = few.select("key", F.col("fp").alias("u")), few.select("key", F.col("fp").alias("v"))
-    tally = sum((positional_byte("u", p) == positional_byte("v", p)).cast("int") for p in range(BYTES))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS
-    pairs = left.join(right, "key").where("u < v").where(tally >= BYTES - RADIUS).where(near).select("u", "v")
-    many = shared.where(F.col("members") > PAIRWISE_POSTINGS).select("fp").distinct()
+    tally = left.join(right, "key").where("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("matches")).where(F.col("matches") >= LEAST_SHARED)
+    pairs = tally.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS).select("u", "v")
+    many = shared.where(F.col("members") > TALLIED_POSTINGS).select("fp").distinct()
     flips = [F.lit(0).cast("long"), *(F.shiftleft(F.lit(1).cast("long"), b) for b in range(64))]
     filed = many.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(x) for x in flips))).alias("place"))
     least = filed.groupBy("place").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -93,22 +101,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return with_components(durable(own))
 
 
-def with_components(own: DataFrame) -> DataFrame:
-    """The part of near_duplicates after the fingerprints: own has doc_id and fp."""
-    nodes = durable(own.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+def grouped(fingerprints: DataFrame) -> DataFrame:
+    """fp, component (one of its fingerprints) and component_id (its smallest id) of each fingerprint. fingerprints: doc_id, fp."""
+    nodes = durable(fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     groups = components(fingerprint_links(nodes.select("fp")))
     placed = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("component", "fp").alias("component"))
     least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = placed.join(least, "component").select("fp", "component_id")
-    out = own.join(ids, "fp")
+    return placed.join(least, "component").select("fp", "component", "component_id")
+
+
+def with_components(own: DataFrame) -> DataFrame:
+    """The part of near_duplicates after the fingerprints: own has doc_id and fp."""
+    out = own.join(grouped(own).drop("component"), "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_per_shingle: int = 3) -> DataFrame:
-    """The rows of docs, with all their columns, that are the one kept of their component: that with the smallest id (rows with null ids are kept)."""
-    fp, comp = free_name(docs, "fp"), free_name(docs, "component")
-    groups = near_duplicates(docs, id_col, text_col, words_per_shingle=words_per_shingle)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(fp)).distinct()
-    whole = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col(fp), "left_semi")
-    none = docs.where(F.col(id_col).isNull()).withColumn(comp, F.lit(None)).drop(comp)
-    return whole.dropDuplicates([id_col]).unionByName(none)
+    """The rows of docs, with all their columns, less those that near-duplicate another row that stays.
+
+    Of each component one row stays, one with its smallest id; rows are judged by their own texts, so a text is never dropped for an unlike one under the same id. If the smallest id has several rows in the component, the one
+    with the least fingerprint stays, then the least hash of the columns; rows that are equal throughout are one. Rows with null ids all stay, and no row goes for their sake. Null, empty and blank texts are alike. No rows give none.
+    """
+    row, ident = free_name(docs, "row"), free_name(docs, "id")
+    whole = F.xxhash64(*(F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    named = docs.where(F.col(id_col).isNotNull())
+    own = durable(named.select(F.col(id_col).alias("doc_id"), whole.alias("row"), fingerprint(F.col(text_col), words_per_shingle).alias("fp")))
+    least = own.join(grouped(own.select("doc_id", "fp")), "fp").where("doc_id = component_id").groupBy("component").agg(F.min(F.struct("fp", "doc_id", "row")).alias("x"))
+    kept = least.select(F.col("x.doc_id").alias(ident), F.col("x.row").alias(row))
+    rows = named.withColumn(row, whole)
+    one = rows.join(kept.withColumnRenamed(row, f"{row}_kept"), (F.col(id_col) == F.col(ident)) & (F.col(row) == F.col(f"{row}_kept")), "left_semi")
+    return one.dropDuplicates([id_col, row]).select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

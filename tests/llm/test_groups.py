@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
+import xxhash
 from compare import same
 from fixtures import odd_documents
+from pyspark.sql import functions as F
 
 from lectern.llm import chat, common, embed_forest, line_dedup, pfair, simhash, suffix_dedup
 from lectern.llm.oracles import ORACLES
@@ -44,9 +50,32 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
-@pytest.mark.parametrize("pairwise", [0, simhash.PAIRWISE_POSTINGS])
-def test_op7_links_by_both_paths(spark, monkeypatch, pairwise):
-    monkeypatch.setattr(simhash, "PAIRWISE_POSTINGS", pairwise)
+def plain_fingerprint(text, width=3):
+    """SimHash by the words of its definition: a bit is 1 if it is set in over half of the shingles' hashes."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)] or [" ".join(words)]
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64(s.encode("utf-8"), seed=42).intdigest()
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def test_op7_fingerprints(spark, data):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    got = {r.doc_id: r.fingerprint for r in queries()["op7_simhash_near_dedup"](spark, data).collect()}
+    assert got == {i: f"{plain_fingerprint(t):016x}" for i, t in texts.items()}
+    for t in (None, "", " \n", "One", "ÀB Z\x0bq", "a b c", "A\x1cb c d", "x \u00a0 y z x \u00a0 y z", "wOrd " * 40000):
+        assert simhash.text_fingerprint(t) == plain_fingerprint(t), t
+
+
+@pytest.mark.parametrize("tallied", [0, 3, simhash.TALLIED_POSTINGS])
+def test_op7_links_by_tally_and_neighbours(spark, monkeypatch, tallied):
+    monkeypatch.setattr(simhash, "TALLIED_POSTINGS", tallied)
     rng = random.Random(3)
     fps = [rng.getrandbits(64) for _ in range(60)]
     for f in list(fps):
@@ -61,6 +90,21 @@ def test_op7_links_by_both_paths(spark, monkeypatch, pairwise):
     assert got == {i: (f"{f:016x}", comp[i]) for i, f in enumerate(fps)}
 
 
+def test_op7_every_two_bits_share_the_least_number_of_keys(spark):
+    flips = [(1 << a) ^ (1 << b) for a in range(64) for b in range(a)] + [1 << a for a in range(64)]
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in flips], "f long").withColumn("z", F.lit(0).cast("long"))
+    shared = F.size(F.array_intersect(F.array(*simhash.posting_keys("f")), F.array(*simhash.posting_keys("z"))))
+    assert df.select(F.min(shared)).first()[0] == simhash.LEAST_SHARED
+
+
+def test_op7_keeps_unlike_texts_under_one_id(spark):
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four five " * 9, "uno due tre quattro cinque " * 9)
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, "quite another text with words of its own"), (7, c), (9, b), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one_each(docs).collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (7, c), (7, "quite another text with words of its own"), (None, a), (None, a)], key=repr)
+
+
 def test_op7_odd_rows(spark):
     docs = odd_documents(spark)
     rows = simhash.near_duplicates(docs).collect()
@@ -130,74 +174,89 @@ def test_op2_dense_groups_are_whole(spark):
     assert {got[i].component_id for i in range(3000)} == {0} and {got[i].component_id for i in range(3000, 3600)} == {3000}
 
 
-def plain_alignment(docs, min_words=3):
-    """Line deduplication by loops: each line's first holder, a quadratic longest rising run, blocks."""
-    first, lines = {}, {}
-    for i, t in sorted((i, t) for i, t in docs if i is not None and t is not None):
-        seen, own = defaultdict(int), []
-        for line in t.split("\n"):
-            if line.encode().split():
-                own.append((line, seen[line]))
-                seen[line] += 1
-        lines[i] = own
-        for at, k in enumerate(own):
-            first.setdefault(k, (i, at))
-    gone = {}
-    for i, own in lines.items():
-        partners = defaultdict(list)
-        for at, k in enumerate(own):
-            if first[k][0] != i:
-                partners[first[k][0]].append((at, first[k][1]))
-        cut = set()
-        for pairs in partners.values():
-            best = [1] * len(pairs)
-            for a in range(len(pairs)):
-                best[a] = 1 + max((best[b] for b in range(a) if pairs[b][1] < pairs[a][1]), default=0)
-            length = max(best)
-            assert len(line_dedup.patience(pairs)) == length
-            block = []
-            for p in [*line_dedup.patience(pairs), None]:
-                if block and (p is None or p != (block[-1][0] + 1, block[-1][1] + 1)):
-                    if sum(len(own[a][0].encode().split()) for a, _ in block) >= min_words:
-                        cut |= {a for a, _ in block}
-                    block = []
-                block.append(p)
-        gone[i] = cut
-    return gone
-
-
-def test_op3_against_loops(spark):
-    rng = random.Random(4)
-    pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 6))) for _ in range(25)]
-    docs = [(i, "\n".join(rng.choice([*pool, ""]) for _ in range(rng.randint(0, 14)))) for i in range(80)]
-    docs += [(200, docs[3][1]), (201, docs[3][1] + "\nown line of words")]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    want = plain_alignment(docs)
-    got = {r.doc_id: (r.n, r.text) for r in line_dedup.cleaned(df, gone_col="n").collect()}
-    for i, t in docs:
-        assert got[i] == (len(want[i]), line_dedup.without_places(t, sorted(want[i]))), i
-    assert got[201][1].split("\n")[-1] == "own line of words"
-
-
-def test_op3_aligns_every_overlapping_pair(spark):
-    rng = random.Random(6)
+def rising(pairs):
+    """Of the longest runs of pairs (in order of the first) that rise on the second as well: the one that ends last, and whose pair before the last, and so on, is the latest that makes up the length."""
+    length = []
+    for k, (_, b) in enumerate(pairs):
+        length.append(1 + max((length[j] for j in range(k) if pairs[j][1] < b), default=0))
+    out, k, want = [], len(pairs), max(length, default=0)
+    while want:
+        bound = out[-1][1] if out else float("inf")
+        k = max(j for j in range(k) if length[j] == want and pairs[j][1] < bound)
+        out.append(pairs[k])
+        want -= 1
+    return out[::-1]
+
+
+def plain_line_dedup(rows, min_words=3):
+    """(id, text) -> (lines deleted, text left): each document aligned with every earlier one by loops."""
+    numbered = {}
+    for i, t in rows:
+        if i is not None and t is not None:
+            seen, own = defaultdict(int), []
+            for line in t.split("\n"):
+                if re.search(r"[^\x20\x09-\x0D]", line):
+                    own.append((line, seen[line]))
+                    seen[line] += 1
+            numbered[i, t] = own
+    order = sorted(numbered, key=lambda d: (d[0], hashlib.md5(d[1].encode()).digest()))
+    out = {}
+    for n, d in enumerate(order):
+        own, cut = numbered[d], set()
+        for e in order[:n]:
+            there = {line: at for at, line in enumerate(numbered[e])}
+            run = rising([(at, there[line]) for at, line in enumerate(own) if line in there])
+            blocks = []
+            for p in run:
+                if blocks and p == (blocks[-1][-1][0] + 1, blocks[-1][-1][1] + 1):
+                    blocks[-1].append(p)
+                else:
+                    blocks.append([p])
+            for block in blocks:
+                if sum(len(re.findall(r"[^\x20\x09-\x0D]+", own[at][0])) for at, _ in block) >= min_words:
+                    cut |= {at for at, _ in block}
+        left, at = [], -1
+        for line in d[1].split("\n"):
+            worded = bool(re.search(r"[^\x20\x09-\x0D]", line))
+            at += worded
+            if not worded or at not in cut:
+                left.append(line)
+        out[d] = (len(cut), "" if cut and len(cut) == len(own) else "\n".join(left))
+    return out
+
+
+def cleaned_rows(df):
+    return {(i, t): got for i, t, got in ((r.doc_id, r.was, (r.n, r.text)) for r in line_dedup.cleaned(df.withColumn("was", F.col("text")), gone_col="n").collect())}
+
+
+@pytest.mark.parametrize("seed", [4, 6])
+def test_op3_against_every_pair_by_loops(spark, seed):
+    rng = random.Random(seed)
     pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 6))) for _ in range(25)]
-    docs = [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    docs = [(100 + i, "\n".join(rng.choice([*pool, ""]) for _ in range(rng.randint(0, 14)))) for i in range(80)]
+    docs += [(200, docs[3][1]), (201, docs[3][1] + "\nown line of words"), (150, "other words under a taken id\n" + docs[9][1])]
     ten = [f"line {k} of ten" for k in range(10)]
     docs += [(1, "\n".join(ten)), (2, "\n".join(ten[::-1])), (3, "\n".join(ten[::-1])), (4, "Dear Ann\nYes sir\nKind regards"), (5, "Dear Ann\nYes sir\nKind regards")]
     docs += [(-3, "Dear Ann"), (-2, "x\nYes sir"), (-1, "Kind regards\nx")]
-    lines = {i: line_dedup.numbered_lines(t) for i, t in docs}
-    want = {}
-    for i in lines:
-        cut = set()
-        for j in lines:
-            there = {h: at for h, at, _ in lines[j]}
-            if j < i:
-                cut |= set(line_dedup.deleted_places([(at, n, (), there[h]) for h, at, n in lines[i] if h in there], 3))
-        want[i] = cut
-    assert len(want[3]) == 10 and len(want[5]) == 3
-    got = {r.doc_id: r.n_lines_deleted for r in line_dedup.digest(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == {i: len(c) for i, c in want.items()}
+    docs += [(11, "}\nunrelated words of it"), (12, "foo bar\n}\nbaz qux"), (13, "foo bar\n}\nbaz qux\nand a line")]
+    docs += [(300 + i, "\n".join([*ten[:5], f"edit {i} of it", *ten[i % 5 :: 2], "last line of all"])) for i in range(30)]  # near copies
+    want = plain_line_dedup(docs)
+    assert want[3, "\n".join(ten[::-1])] == (10, "") and want[5, "Dear Ann\nYes sir\nKind regards"][0] == 3
+    assert want[13, "foo bar\n}\nbaz qux\nand a line"] == (3, "and a line") and want[201, docs[3][1] + "\nown line of words"][1].split("\n")[-1] == "own line of words"
+    assert cleaned_rows(spark.createDataFrame(docs, "doc_id long, text string")) == want
+
+
+def test_op3_rounds_reach_every_holder(spark):
+    rng = random.Random(9)
+    lines = [f"common line {k} here" for k in range(7)]
+    docs = [(i, "\n".join(rng.sample(lines, 7))) for i in range(120)]  # in as many orders: the rounds must go on
+    assert cleaned_rows(spark.createDataFrame(docs, "doc_id long, text string")) == plain_line_dedup(docs)
+
+
+def test_op3_query(spark, data):
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    want = {i: (n, len(t), hashlib.sha256(t.encode()).hexdigest()) for (i, _), (n, t) in plain_line_dedup(texts).items()}
+    assert {r.doc_id: (r.n_lines_deleted, r.n_chars, r.text_sha256) for r in queries()["op3_line_dedup"](spark, data).collect()} == want
 
 
 def test_op3_odd_rows(spark):
@@ -274,22 +333,35 @@ def test_op6_escapes_round_trip(spark):
         assert r.a == r.t and r.b == r.t and "### " not in r.e and "</turn>" not in r.e
 
 
-def test_op9_deviates_by_less_than_a_block(spark):
-    rows = [(i, "abcde"[min(4, i % 9)]) for i in range(4000)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string")
-    for weights in (None, {"a": 0.7, "b": 0.2, "c": 0.05, "d": 0.03, "e": 0.02}, {"a": 1.0}):
-        out = pfair.scheduled(docs, weights=weights, block_docs=4).collect()
-        assert len(out) == 4000 and len({r.place for r in out}) == 4000
+def test_op9_deviates_by_less_than_a_block_from_its_weight(spark):
+    common = [(i, "abcde"[min(4, i % 9)]) for i in range(4000)]
+    rare = [(i, "abc"[0 if i % 10 < 7 else 1 if i % 10000 else 2]) for i in range(28610)]
+    for rows, weights, block in ((common, None, 4), (common, {"a": 0.7, "b": 0.2, "c": 0.05, "d": 0.03, "e": 0.02}, 4), (rare, {"a": 0.7, "b": 0.2997, "c": 0.0003}, 1), (common, {"a": "1/3", "b": 2, "c": 0, "d": None}, 16), (common, {}, 16)):
+        docs = spark.createDataFrame(rows, "doc_id long, source string")
+        out = pfair.scheduled(docs, weights=weights, block_docs=block).collect()
+        assert len(out) == len(rows) and len({r.place for r in out}) == len(rows)
         assert all(r.release <= r.slot < r.deadline for r in out)
         blocks = {(r.src_key, r.block): r for r in out}
-        assert len({r.slot for r in blocks.values()}) == len(blocks)
-        share = {r.src_key: r.share / r.slots for r in out}
-        assert abs(sum(share.values()) - 1) < 1e-9
-        last = min(max(r.slot for r in out if r.src_key == s) for s in share)  # until a source ends
         order, seen = {r.slot: r.src_key for r in blocks.values()}, defaultdict(int)
+        assert len(order) == len(blocks)
+        sizes = Counter(s for _, s in rows)
+        plain = {f"s{s}": math.isqrt(n) if weights is None else Fraction(str(weights.get(s) or 0)) for s, n in sizes.items()}
+        weighed = {s: Fraction(w) / sum(plain.values()) for s, w in plain.items() if w}
+        last = min((max(r.slot for r in out if r.src_key == s) for s in weighed), default=-1)  # until a source ends
         for slot in range(last + 1):
             seen[order[slot]] += 1
-            assert all(abs(seen[s] - share[s] * (slot + 1)) < 1 for s in share)
+            assert all(abs(seen[s] - w * (slot + 1)) < 1 for s, w in weighed.items())
+        after = max((r.deadline for r in out if r.src_key in weighed), default=0)
+        assert all(r.slot >= after for r in out if r.src_key not in weighed)
+
+
+def test_op9_has_no_bound_on_sources_and_a_fixed_order(spark):
+    rows = [(k, f"source {k % 6000}") for k in range(9000)]
+    out = pfair.scheduled(spark.createDataFrame(rows, "doc_id long, source string"), block_docs=1).collect()
+    assert len({r.slot for r in out}) == len(out) == 9000 and all(r.release <= r.slot < r.deadline for r in out)
+    odd = spark.createDataFrame([(1, "s", f"text {k}") for k in range(50)], "doc_id long, source string, text string")
+    a, b = ({r.text: r.place for r in pfair.scheduled(x, block_docs=4).collect()} for x in (odd, odd.repartition(5).orderBy(F.desc("text"))))
+    assert a == b and len(set(a.values())) == 50
 
 
 def test_op9_odd_rows(spark):
@@ -301,7 +373,7 @@ def test_op9_odd_rows(spark):
     assert pfair.scheduled(docs.limit(0)).collect() == []
 
 
-def test_pipeline(spark, data):
+def test_pipeline_stages_against_loops(spark, data):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{data}/documents.parquet")
@@ -312,11 +384,40 @@ def test_pipeline(spark, data):
         kept.append({r.doc_id: r.text for r in docs.collect()})
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
     assert set(kept[0]) <= set(texts) and set(kept[1]) == set(kept[0]) and set(kept[2]) <= set(kept[1]) and set(kept[3]) == set(kept[2])
-    gone = plain_alignment(kept[0].items())
-    assert kept[1] == {i: line_dedup.without_places(t, sorted(gone[i])) for i, t in kept[0].items()}
+    assert kept[1] == {i: t for (i, _), (_, t) in plain_line_dedup(kept[0].items()).items()}
     ids = sorted(kept[1])
-    fps = [simhash.text_fingerprint(kept[1][i]) for i in ids]
+    fps = [plain_fingerprint(kept[1][i]) for i in ids]
     comp = components_of(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2])
     assert set(kept[2]) == {ids[c] for c in comp}
     tokens = corpus_pipeline.STAGES[-1][1](spark, docs, data).collect()
     assert {r.doc_id for r in tokens} == set(kept[3]) and all(r.n_tokens == len(r.ids) for r in tokens)
+
+
+def test_pipeline_stages_on_odd_rows(spark, data):
+    import corpus_pipeline
+
+    odd = odd_documents(spark).withColumn("__row", F.lit(1)).withColumn("place", F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, data)
+        rows = out.collect()
+        assert stage(spark, odd.limit(0), data).collect() == [], name
+        if name.startswith("BPE"):
+            assert len(rows) == odd.count() and [r.place for r in rows] == sorted(r.place for r in rows)
+        else:
+            assert out.columns == odd.columns
+        if name.startswith(("mixing", "line")):
+            assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd.collect())
+        if name.startswith("SimHash"):
+            assert sorted(r.doc_id for r in rows if r.doc_id) == [1, 3, 6, 7, 8, 9, 10, 11] or {r.doc_id for r in rows} >= {None, 1, 3, 6, 7, 8, 10, 11}
+            assert {2, 4, 5, 12}.isdisjoint(r.doc_id for r in rows)
+
+
+def test_pipeline_keeps_the_order_of_the_mix(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"), F.concat(F.lit("s"), F.col("id") % 7).alias("source"), F.lit(9).cast("long").alias("n_chars"))
+    want = [r.doc_id for r in pfair.in_mixed_order(docs).collect()]
+    corpus_pipeline.source_mix(spark, docs, "").write.option("maxRecordsPerFile", 700).parquet(str(tmp_path / "mixed"))
+    tokens = corpus_pipeline.bpe_tokens(spark, spark.read.parquet(str(tmp_path / "mixed")), "")
+    assert [r.doc_id for r in tokens.collect()] == want
+    assert [r.doc_id for r in tokens.orderBy("place").collect()] == want

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -112,6 +113,68 @@ def test_op10_keeps_labelled_good_documents(spark, data):
     assert all(kept[i].kept or kept[i].base_failed for i in good)
 
 
+def test_op4_gradients_by_finite_differences():
+    rng = np.random.default_rng(3)
+    m = mil.Model.fresh(rng)
+    m.b[0], starts, labels = 0.3, np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0])
+    x = np.abs(rng.standard_normal((7, mil.FEATURES)))
+    _, grads = mil.loss_and_gradients(m, x, starts, labels)
+    for name in m.__dataclass_fields__:
+        w, g = getattr(m, name).reshape(-1), grads[name].reshape(-1)
+        for k in rng.choice(w.size, min(12, w.size), replace=False):
+            was, sides = w[k], []
+            for step in (1e-5, -1e-5):
+                w[k] = was + step
+                sides.append(mil.loss_and_gradients(m, x, starts, labels)[0])
+            w[k] = was
+            assert abs((sides[0] - sides[1]) / 2e-5 - g[k]) < 1e-6, name
+
+
+def test_op4_scores_by_plain_loops():
+    m = mil.Model.fresh(np.random.default_rng(8))
+    texts = ["", None, "a", "Some words. " * 300, "x" * 513, "é" * 700, "tail"]
+    for t, got in zip(texts, m.scores(texts)):
+        raw = (t or "").encode()
+        cut = [raw[i : i + 512] for i in range(0, len(raw), 512)] or [b""]
+        codes, logits = [], []
+        for p in cut:
+            h = np.tanh(mil.features([p])[0].astype(float) @ m.E + m.e)
+            codes.append(h)
+            logits.append(sum(w * np.tanh(h @ v) / (1 + np.exp(-(h @ u))) for w, v, u in zip(m.w, m.V.T, m.U.T)))
+        weights = np.exp(np.array(logits) - max(logits))
+        z = sum(a * h for a, h in zip(weights / weights.sum(), codes))
+        assert abs(got - 1 / (1 + np.exp(-(z @ m.c + m.b[0])))) < 1e-6
+
+
+def test_op4_features_of_a_passage_by_loops():
+    p = "Ab 1,\n#é Ab 1".encode()
+    f = mil.features([p, b""])
+    pairs, kinds = Counter(), Counter()
+    for a, b in zip(p, p[1:]):
+        pairs[((a * 257 + b) * 2654435761 % 2**32) >> 22] += 1
+    for c in p:
+        kinds[0 if 97 <= c <= 122 else 1 if 65 <= c <= 90 else 2 if 48 <= c <= 57 else 3 if c in (32, 9) else 4 if c in (10, 13) else 5 if chr(c) in ".,;:?'\"()-" else 6 if 33 <= c < 127 else 7] += 1
+    assert np.allclose(f[0, :1024], [math.sqrt(pairs[k] / len(p)) for k in range(1024)])
+    assert np.allclose(f[0, 1024:1032], [3 * kinds[k] / len(p) for k in range(8)])
+    assert math.isclose(f[0, 1032], len(p) / 512, rel_tol=1e-6) and math.isclose(f[0, 1033], len({p[i : i + 4] for i in range(len(p) - 3)}) / (len(p) - 3), rel_tol=1e-6)
+    assert not f[1].any()
+
+
+def test_op4_learns_from_whole_texts_within_its_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mil, "fit", lambda bags, labels, seed=1: seen.append(([len(b) for b in bags], labels.tolist())))
+    docs = spark.createDataFrame([(i, "word " * (200 * i)) for i in range(1, 30)] + [(3, "zz"), (3, "aa")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, quality int")
+    free = [i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 5]
+    mil.train(docs, labels)
+    assert seen[0] == ([1 if i == 3 else -(-1000 * i // 512) for i in free], [float(i % 2) for i in free])
+    mil.train(docs, labels, max_bytes=40_000)
+    assert 0 < sum(seen[1][0]) * 512 <= 40_000 + 512 * len(seen[1][0])
+    mil.train(docs, labels, max_bytes=1)
+    mil.train(docs, labels, max_docs=5)
+    assert len(seen[2][0]) == 1 and len(seen[3][0]) == 5
+
+
 def test_op4_held_out_accuracy(spark):
     data = "/root/testdata/sf0.01"
     rows = run("op4_quality_classifier", spark, data)
