@@ -16,7 +16,10 @@ from lectern.llm.queries import vocabulary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects (a score under mil.CUT) go. It learns from the labels of documents that aren't held out."""
+    """Documents that the classifier rejects (a score under mil.CUT) go. It learns from the labels of documents that aren't held out.
+
+    Null and empty texts are scored as one empty passage; rows with null ids are scored like others; repeated rows fare alike. Without labels every score is 0.5 and all stay. No rows give none.
+    """
     small_batches(spark)
     model = mil.train(docs, table(spark, sf_dir, "labels"))
     score = free_name(docs, "score")
@@ -24,28 +27,36 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Blocks of lines that an earlier document has are cut from the later texts; n_chars follows. Every document stays."""
+    """Blocks of lines that an earlier document has are cut from the later texts; n_chars follows, and is as it was where the text is null. Every row stays; rows with null ids stay as they are. No rows give none."""
     small_batches(spark)
     size = F.char_length("text").cast("long")
     return line_dedup.cleaned(docs).withColumn("n_chars", F.coalesce(size, F.col("n_chars"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, that with the smallest id."""
+    """One document of each SimHash group stays, that with the smallest id; null, empty and blank texts are one group. Rows with null ids all stay. Unlike texts under one id are judged apart; equal rows are one. No rows give none.
+
+    Shingle width and radius are those of the query of this operator (three words, two bits).
+    """
     small_batches(spark)
     return simhash.keep_one_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which Pfair scheduling mixes the sources; weights go by the square roots of the sources' sizes."""
+    """All rows, in the order in which Pfair scheduling mixes the sources; tickets are the whole square roots of the sources' sizes. A null source is one of its own. No rows give none."""
     return pfair.in_mixed_order(docs)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids and the text that they decode to, in the order of the mix."""
+    """doc_id, lang, source, place, n_tokens, ids and the text that they decode to, in the order of the mix.
+
+    place is that order. A written table is read by file sizes, so the mix is worked out again here: the same rows give the same places. Null and empty texts have no tokens. Every row stays. No rows give none.
+    """
     small_batches(spark)
-    tokens = docs.select("doc_id", "lang", "source", bpe.encoded(F.col("text"), bpe.check_file(vocabulary("word_bpe_49k.json"))).alias("t"))
-    return tokens.select("doc_id", "lang", "source", F.size("t.ids").cast("long").alias("n_tokens"), "t.ids", "t.decoded")
+    place = free_name(docs, "place")
+    mixed = pfair.in_mixed_order(docs.select("doc_id", "text", "lang", "source"), place_col=place)
+    tokens = mixed.select("doc_id", "lang", "source", F.col(place).alias("place"), bpe.encoded(F.col("text"), bpe.check_file(vocabulary("word_bpe_49k.json"))).alias("t"))
+    return tokens.select("doc_id", "lang", "source", "place", F.size("t.ids").cast("long").alias("n_tokens"), "t.ids", "t.decoded")
 
 
 STAGES = [
@@ -56,7 +67,7 @@ STAGES = [
     ("BPE encoding and decoding", bpe_tokens),
 ]
 
-#: The classifier, the alignment and XXH64 have no SQL.
+#: The classifier, the alignment and XXH64 have no SQL; the tests hold each stage against plain loops.
 ORACLE_SQL = None
 
 
