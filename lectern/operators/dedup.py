@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import bucket_key
 
+#: Into how many parts the left side of a bucket's pairs is dealt.
+SALTS = 8
+
 
 def folded(units: DataFrame, key: list[Column], order: Column, ident: str) -> DataFrame:
-    """units with dupe_of (the first of the same key, for the others) and also_in (the others in order, for the first; null where there are none). A null or empty part of the key is no duplicate of anything.
+    """units with dupe_of (the first of the same key, for the others) and also_in (for the first: how many others there are; null where there are none). A null or empty part of the key is no duplicate of anything.
 
-    The first is a minimum, partially aggregated, and joined back; only the ids of a key meet in one row.
+    The first is a minimum, partially aggregated, and joined back, so a key that very many rows have meets in no row; `reprints` has the others row by row.
     """
     k = {f"__k{i}": c for i, c in enumerate(key)}
     u = units.withColumns(k | {"__o": order})
@@ -22,14 +25,18 @@ def folded(units: DataFrame, key: list[Column], order: Column, ident: str) -> Da
     for c in k:
         usable = usable & F.col(c).isNotNull() & (F.col(c).cast("string") != "")
     u = u.withColumn("__ok", usable)
-    g = u.where("__ok").groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("__o", F.col(ident).alias("__id")))).alias("__all")).where(F.size("__all") > 1)
-    g = g.select(*k, F.col("__all")[0]["__id"].alias("__first"), F.transform(F.slice("__all", F.lit(2), F.size("__all") - 1), lambda x: x["__id"]).alias("__rest"))
-    j = u.join(g, list(k), "left")
+    g = u.where("__ok").groupBy(*k).agg(F.min(F.struct("__o", F.col(ident).alias("__id"))).alias("__f"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    j = u.join(g.select(*k, F.col("__f.__id").alias("__first"), "__n"), list(k), "left")
     same = F.col(ident) == F.col("__first")
-    out = j.withColumns({"dupe_of": F.when(F.col("__ok") & ~same, F.col("__first")), "also_in": F.when(F.col("__ok") & same, F.col("__rest"))})
+    out = j.withColumns({"dupe_of": F.when(F.col("__ok") & ~same, F.col("__first")), "also_in": F.when(F.col("__ok") & same, F.col("__n") - 1)})
     return out.select(*units.columns, "dupe_of", "also_in")
 
 
+def reprints(units: DataFrame, key: list[Column], order: Column, ident: str) -> DataFrame:
+    """keeper, reprint: a row for each unit that is folded into another."""
+    return folded(units, key, order, ident).where("dupe_of is not null").select(F.col("dupe_of").alias("keeper"), F.col(ident).alias("reprint"))
+
+
 def duplicate_papers(blocks: DataFrame, by: list[str]) -> DataFrame:
     """paper, first: papers whose sorted block texts (first 200 characters, single-spaced) equal those of the first such paper of the same group. blocks: by, paper, text."""
     head = F.substring(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), 1, 200)
@@ -44,24 +51,42 @@ def repeats(units: DataFrame, key: Column, sitting: list[str], least: int = 2) -
     return u.groupBy("key").agg(F.count_distinct("s").alias("n"), F.max("s").alias("latest")).where(F.col("n") >= least)
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """Ratcliff-Obershelp similarity of two texts, as the standard library computes it (with its rule for very frequent characters; not symmetric). It has no built-in form."""
+def ratio(a: Column, b: Column, more_than: float | None = None) -> Column:
+    """Ratcliff-Obershelp similarity of two texts, as the standard library computes it (with its rule for very frequent characters; not symmetric). It has no built-in form.
+
+    more_than: null for pairs that aren't more alike than that; two upper bounds, by lengths and by counts of characters, spare most of these the comparison."""
+
+    def one(p: str | None, q: str | None) -> float | None:
+        if p is None or q is None:
+            return None
+        m = SequenceMatcher(None, p, q)
+        if more_than is not None and (m.real_quick_ratio() <= more_than or m.quick_ratio() <= more_than):
+            return None
+        r = m.ratio()
+        return r if more_than is None or r > more_than else None
 
     @F.arrow_udf("double")
     def similarity(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([None if p is None or q is None else SequenceMatcher(None, p, q).ratio() for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
+        return pa.array([one(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
 
     return similarity(a, b)
 
 
 def near_duplicates(units: DataFrame, ident: str, paper: str, text: str, *, more_than: float = 0.55, least_chars: int = 31) -> DataFrame:
-    """a, b, similarity (three decimals): pairs of different papers that share their first three words and are more alike than more_than. Texts under least_chars are left out.
+    """a, b, similarity (three decimals), kind. `pair`: two texts, each by the smallest id that has it (a < b), of different papers, that share their first three words and are more alike than more_than.
+    `copy`: b has the very text of a, the smallest id that has it. So equal texts meet others once and no holder is lost. Whole texts are compared; those under least_chars are left out.
 
-    Equal texts meet once: each distinct text of a bucket stands for all that have it, and the pairs are between texts; members (a list for each text) tell who has it. A pair's order is that of the smaller ids.
+    Texts meet within a bucket (three words) and bands of length: a pair that is alike enough differs in length by a factor of (2 - more_than) / more_than at most, that is by one band.
     """
-    u = units.where(F.length(text) >= least_chars).groupBy(text).agg(F.array_sort(F.collect_list(F.struct(ident, paper))).alias("members")).withColumn("bucket", bucket_key(F.col(text)))
-    x = u.select("bucket", F.col(text).alias("ta"), F.col("members").alias("ma"), F.col("members")[0][ident].alias("a"))
-    y = u.select("bucket", F.col(text).alias("tb"), F.col("members").alias("mb"), F.col("members")[0][ident].alias("b"))
-    other = F.exists("ma", lambda p: F.exists("mb", lambda q: p[paper] != q[paper]))
-    pairs = x.join(y, "bucket").where("a < b").where(other).withColumn("s", ratio(F.col("ta"), F.col("tb"))).where(F.col("s") > more_than)
-    return pairs.select("a", "b", F.round("s", 3).alias("similarity"))
+    own = units.where(F.length(text) >= least_chars).select(F.col(ident).alias("id"), F.col(paper).alias("paper"), F.col(text).alias("text"))
+    firsts = own.groupBy("text").agg(F.min("id").alias("rep"), F.min("paper").alias("lo"), F.max("paper").alias("hi"))
+    band = F.floor(F.log(F.length("text").cast("double")) / F.log(F.lit((2 - more_than) / more_than)))
+    x = firsts.select("rep", "lo", "hi", "text", bucket_key(F.col("text")).alias("bucket"), band.alias("band"))
+    x = x.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)))  # a common opening's pairs are dealt over tasks
+    left = x.select("bucket", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "salt", F.col("rep").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"), F.col("text").alias("ta"))
+    right = x.select("bucket", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("rep").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.col("text").alias("tb"))
+    other = (F.col("alo") != F.col("ahi")) | (F.col("blo") != F.col("bhi")) | (F.col("alo") != F.col("blo"))
+    s = left.join(right, ["bucket", "band", "salt"]).where("a < b").where(other).select("a", "b", ratio(F.col("ta"), F.col("tb"), more_than).alias("s")).where("s is not null")
+    pairs = s.select("a", "b", F.round("s", 3).alias("similarity"), F.lit("pair").alias("kind"))
+    copies = own.join(firsts, "text").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
+    return pairs.unionByName(copies)

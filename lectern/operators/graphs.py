@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FALLBACK_CHECKPOINT_DIR = "/tmp/checkpoints/lectern"
+#: Used only where the session names no shared folder and all of Spark runs on this machine, as in tests.
+LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints/lectern"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared checkpoint folder, so that a loop's plan doesn't grow and a lost executor costs no step."""
-    sc = df.sparkSession.sparkContext
+    """Writes df to the shared checkpoint folder, so that a loop's plan doesn't grow and a lost executor costs no step. On a cluster spark.checkpoint.dir must name that folder."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or FALLBACK_CHECKPOINT_DIR)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        sc.setCheckpointDir(named or LOCAL_CHECKPOINT_DIR)
     return df.checkpoint(eager=True)
 
 

@@ -10,6 +10,8 @@ from lectern.functions.text import quote_norm
 
 #: A side is broadcast only if it has so many rows at most; it is counted first.
 BROADCAST_ROWS = 200_000
+#: Needles without a key that are tried on every text, at most.
+SHORT_NEEDLES = 1000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -53,21 +55,26 @@ def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
     return q.select("quote_id", "doc").join(hit, ["quote_id", "doc"], "left")
 
 
-def contained(needles: DataFrame, texts: DataFrame, needle: str = "needle", text: str = "text") -> DataFrame:
-    """Pairs of needle and text rows where the text holds the needle; both are single-spaced.
+def contained(needles: DataFrame, texts: DataFrame, ident: str, needle: str = "needle", text: str = "text") -> DataFrame:
+    """Pairs of needle and text rows where the text holds the needle; both are single-spaced. ident: a key of texts.
 
-    The second to fourth word of a needle of five or more are whole words of any text that holds it, so such needles meet only texts with these three words in a row. Shorter needles have no such key and are tried on every text; they must be few.
+    The second to fourth word of a needle of five or more are whole words of any text that holds it, so such needles meet only texts with these three words in a row: keys and idents are joined first, and the texts of the pairs so found
+    are fetched once. Shorter needles have no such key and are tried on every text; more than SHORT_NEEDLES of them are refused, as that would be all pairs.
     """
     words = lambda c: F.split(c, " ")
     three = lambda w, i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
     keyed = needles.withColumn("__w", words(F.col(needle)))
     long = keyed.where(F.size("__w") >= 5).withColumn("__key", three(F.col("__w"), F.lit(1))).drop("__w")
-    w = texts.withColumn("__w", words(F.col(text))).where(F.size("__w") >= 3)
-    probes = w.withColumn("__key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("__w") - 3), lambda i: three(F.col("__w"), i))))).drop("__w")
-    found = probes.join(small(long), "__key").where(F.contains(text, needle)).drop("__key")
+    w = texts.select(ident, words(F.col(text)).alias("__w")).where(F.size("__w") >= 3)
+    probes = w.select(ident, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("__w") - 3), lambda i: three(F.col("__w"), i)))).alias("__key"))
+    found = probes.join(small(long), "__key").drop("__key").join(texts, ident).where(F.contains(text, needle))
     short = keyed.where((F.size("__w") < 5) & (F.length(needle) > 0)).drop("__w")
-    tried = texts.join(small(short, 1000), F.contains(F.col(text), F.col(needle)))
-    return found.unionByName(tried)
+    if (n := short.limit(SHORT_NEEDLES + 1).count()) > SHORT_NEEDLES:
+        raise ValueError(f"more than {SHORT_NEEDLES} needles of under five words")
+    if not n:
+        return found
+    tried = texts.join(F.broadcast(short), F.contains(F.col(text), F.col(needle)))
+    return found.unionByName(tried.select(*found.columns))
 
 
 def first_alias(wanted: DataFrame, aliases: DataFrame, present: DataFrame) -> DataFrame:

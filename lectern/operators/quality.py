@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Hexadecimal digits by which digests of rows are dealt into buckets.
+BUCKET_DIGITS = 3
+
+
 def violations(rules: dict[str, DataFrame]) -> DataFrame:
     """rule, n, example (smallest id as text): a row for each rule that something breaks. rules: frames with a column id."""
     parts = [df.select(F.lit(name).alias("rule"), F.col("id").cast("string").alias("id")) for name, df in rules.items()]
@@ -42,10 +46,14 @@ def provenance_grade(matches: Column, corroborated: Column) -> Column:
 
 
 def fingerprints(rows: DataFrame, by: list[str], ident: str, text: str) -> DataFrame:
-    """by, print: sha256 over ids and texts in the order of the ids, each followed by U+0001."""
-    one = F.concat(F.col(ident).cast("string"), F.lit("\u0001"), F.coalesce(text, F.lit("<missing>")), F.lit("\u0001"))
-    g = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(ident, one.alias("x")))).alias("all"))
-    return g.select(*by, F.sha2(F.array_join(F.transform("all", lambda a: a["x"]), "").cast("binary"), 256).alias("print"))
+    """by, print: a sha256 of the group's rows, whatever their order: each row's own (of its id and text, each followed by U+0001), then one over the sorted ones of each bucket (their first BUCKET_DIGITS digits), then one over the buckets.
+
+    So no row holds a group's texts, nor all its digests."""
+    one = F.sha2(F.concat(F.col(ident).cast("string"), F.lit("\u0001"), F.coalesce(text, F.lit("<missing>")), F.lit("\u0001")).cast("binary"), 256)
+    d = rows.select(*by, one.alias("d")).withColumn("bucket", F.substring("d", 1, BUCKET_DIGITS))
+    digest = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "").cast("binary"), 256)
+    buckets = d.groupBy(*by, "bucket").agg(F.concat("bucket", digest("d")).alias("p"))
+    return buckets.groupBy(*by).agg(digest("p").alias("print"))
 
 
 def stale(stored: DataFrame, now: DataFrame, key: str) -> DataFrame:

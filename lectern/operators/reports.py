@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.operators.joins import small
+
 
 def theme_counts(rows: DataFrame, ident: str, key: str, text: str, themes: list[tuple[str, str, list[str]]]) -> DataFrame:
     """key, theme, n: rows of a key whose text matches any pattern of a theme (key, theme, patterns; any case). One pass: each theme is a condition on its key."""
@@ -30,7 +32,7 @@ def folded_tail(rows: DataFrame, by: list[str], name: str, value: str, keep: int
 def presence_strip(hits: DataFrame, columns: DataFrame, row: str, group: str, column: str) -> DataFrame:
     """row, column, state: hit, or present where another row of its group has a hit there, or absent. hits: row, group, column. The grid has a cell for each row and column; both are report dimensions."""
     h = hits.select(row, group, column).distinct()
-    grid = h.select(row, group).distinct().crossJoin(F.broadcast(columns.select(column).distinct()))
+    grid = h.select(row, group).distinct().crossJoin(small(columns.select(column).distinct()))
     own = h.withColumn("__hit", F.lit(True))
     near = h.select(group, column).distinct().withColumn("__near", F.lit(True))
     j = grid.join(own, [row, group, column], "left").join(near, [group, column], "left")

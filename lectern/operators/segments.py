@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.operators.graphs import cut
+
 
 def accepted_starts(numbers: Column) -> Column:
     """Of an array of numbers (nulls: no number) the places, from 0, that begin a question: the first must be 1, each later one the number before plus one. A fold, since it depends on what was accepted."""
@@ -49,11 +51,18 @@ def leaf_parts(lines: DataFrame, ident: str) -> DataFrame:
     return b.withColumn("__next", nxt).where(~(F.col("l").isNotNull() & F.col("__next").isNotNull())).select(ident, "pos", "letter", F.when(F.col("l").isNull(), F.col("r")).alias("roman"))
 
 
-def batches(rows: DataFrame, by: list[str], order: list[Column], ident: str, size: int = 80) -> DataFrame:
-    """by, batch (from 0), ids: sorted rows in batches of a fixed size."""
-    n = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    b = rows.withColumn("__n", n).withColumn("batch", F.floor(F.col("__n") / size).cast("long"))
-    return b.groupBy(*by, "batch").agg(F.array_sort(F.collect_list(F.struct("__n", ident))).alias("x")).select(*by, "batch", F.transform("x", lambda s: s[ident]).alias("ids"))
+def batches(rows: DataFrame, by: list[str], order: list[str], ident: str, size: int = 80) -> DataFrame:
+    """by, batch (from 0), ids: sorted rows in batches of a fixed size.
+
+    Rows are numbered along one order over all groups, range by range, so a group with a third of all rows needs no task of its own. The sorted rows are cut off, as their ranges must not be drawn twice."""
+    cols = [*by, *order]
+    r = cut(rows.select(*dict.fromkeys([*cols, ident])).repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("__m", F.monotonically_increasing_id()))
+    r = r.withColumn("__range", F.shiftright("__m", 33))
+    parts = r.groupBy(*by, "__range").agg(F.min("__m").alias("__low"), F.count(F.lit(1)).alias("__c"))
+    before = F.sum("__c").over(Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(*by, "__range", (F.coalesce(before, F.lit(0)) - F.col("__low")).alias("__shift"))
+    b = r.join(parts, [*by, "__range"]).withColumn("__n", F.col("__m") + F.col("__shift")).withColumn("batch", F.floor(F.col("__n") / size).cast("long"))
+    return b.groupBy(*by, "batch").agg(F.array_sort(F.collect_list(F.struct("__n", F.col(ident).alias("__id")))).alias("x")).select(*by, "batch", F.transform("x", lambda s: s["__id"]).alias("ids"))
 
 
 def anchored(text: Column, keys: Column) -> Column:

@@ -51,9 +51,10 @@ def adjacent(rows: DataFrame, by: list[str], order: list[str], value: str, out:
 
 
 def running_set(rows: DataFrame, by: list[str], order: list[str], values: str, out: str) -> DataFrame:
-    """Each row with the distinct values of its array column so far in its group, sorted."""
+    """Each row with the distinct values of its array column so far in its group, sorted. A set grows only as long as its values are new, so a row holds distinct values, not all that came before."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn(out, F.array_sort(F.array_distinct(F.flatten(F.collect_list(values).over(w)))))
+    e = rows.withColumn("__v", F.explode_outer(values)).withColumn("__set", F.array_sort(F.collect_set("__v").over(w)))
+    return e.groupBy(*rows.columns).agg(F.max_by("__set", F.size("__set")).alias(out))
 
 
 def ranked(rows: DataFrame, by: list[str], order: list[Column], n: int, out: str = "rank") -> DataFrame:
@@ -70,3 +71,10 @@ def falling_run(rows: DataFrame, by: str, year: str, value: str) -> DataFrame:
     stop = after.where(~(F.col("v") < F.col("before"))).groupBy(by).agg(F.min(year).alias("stop"))
     ok = after.join(stop, by, "left").where(F.col("stop").isNull() | (F.col(year) < F.col("stop"))).groupBy(by).agg(F.max(year).alias("fell_until"))
     return top.join(ok, by, "left").select(by, "peak_year", "peak", F.coalesce("fell_until", "peak_year").alias("fell_until"))
+
+
+def running_total(rows: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """rows with running, the sum of a value so far in its group, and pct, that of the group's whole."""
+    so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = rows.withColumn("running", F.sum(value).over(so_far))
+    return r.withColumn("pct", 100.0 * F.col("running") / F.sum(value).over(Window.partitionBy(*by)))

@@ -213,3 +213,39 @@ def reprinted(units: DataFrame, flag: str) -> DataFrame:
 def reconciled(units: DataFrame, stated: Column) -> DataFrame:
     """Papers whose summed marks are the stated total, an expression over year."""
     return units.groupBy("paper").agg(F.sum("marks").alias("total"), F.min("year").alias("year")).where(F.col("total") == stated).select("paper", "total")
+
+
+def function_families(texts: DataFrame, sitting: str, text: str, families: dict[str, dict[str, str]]) -> DataFrame:
+    """family, sittings, members: in how many sittings a text matches any member's pattern, a sitting once, and the members with their own counts, the most frequent first. families: name -> member -> pattern."""
+    flags = {m: F.max(F.col(text).rlike(p).cast("long")).alias(f"{f}/{m}") for f, ms in families.items() for m, p in ms.items()}
+    s = texts.groupBy(sitting).agg(*flags.values())
+    cell = lambda f, m: F.col(f"`{f}/{m}`")
+    sums = s.agg(*(F.sum(cell(f, m)).alias(f"{f}/{m}") for f, ms in families.items() for m in ms), *(F.sum(F.greatest(*(cell(f, m) for m in ms), F.lit(0))).alias(f) for f, ms in families.items()))
+
+    def members(f: str) -> Column:
+        own = F.array_sort(F.array(*(F.struct((-cell(f, m)).alias("n"), F.lit(m).alias("m")) for m in families[f])))
+        return F.array_join(F.transform(own, lambda x: F.concat_ws(" ", x["m"], (-x["n"]).cast("string"))), ", ")
+
+    return sums.select(F.explode(F.array(*(F.struct(F.lit(f).alias("family"), F.col(f).alias("sittings"), members(f).alias("members")) for f in families))).alias("x")).select("x.*")
+
+
+def report_scalars(shares: DataFrame) -> DataFrame:
+    """One row: top3 (pct of the three largest topics), under (topics below 1 per cent), most, pair (the two largest). Shares that don't add up to 100 are an error."""
+    ranked = shares.select("topic", "pct", F.row_number().over(Window.orderBy(F.desc("pct"), "topic")).alias("r"))
+    top = F.array_sort(F.collect_list(F.when(F.col("r") <= 2, F.struct("r", "topic"))))
+    one = ranked.agg(F.sum(F.when(F.col("r") <= 3, F.col("pct"))).alias("top3"), F.count_if(F.col("pct") < 1).alias("under"), F.max("pct").alias("most"), F.array_join(F.transform(top, lambda x: x["topic"]), " and ").alias("pair"), F.sum("pct").alias("all"))
+    return one.select(F.when(F.abs(F.col("all") - 100) < 1e-6, F.col("top3")).otherwise(F.raise_error(F.lit("the shares don't add up"))).alias("top3"), "under", "most", "pair")
+
+
+def position_rules(positions: DataFrame, over_topics: int, least_pct: float, firm: float) -> DataFrame:
+    """q, topic, pct, grade of a map of positions (q, n, topic, hits), or no row if it has too few topics or no share of least_pct."""
+    p = positions.select("q", "topic", (100.0 * F.col("hits") / F.col("n")).alias("pct"))
+    rule = p.agg((F.count_distinct("topic") > over_topics).alias("many"), (F.max("pct") >= least_pct).alias("clear"))
+    return p.crossJoin(F.broadcast(rule)).where("many and clear").select("q", "topic", "pct", F.when(F.col("pct") >= firm, "firm").otherwise("loose").alias("grade"))  # one row
+
+
+def year_bounds(texts: DataFrame, stored: DataFrame) -> DataFrame:
+    """paper, first, last, n: the years of a paper's texts (paper, year); an error if they aren't as many as its stored sittings (paper, sittings)."""
+    g = texts.groupBy("paper").agg(F.min("year").alias("first"), F.max("year").alias("last"), F.count(F.lit(1)).alias("n"))
+    n = F.when(F.col("n") == F.col("sittings"), F.col("n")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("sittings differ:"), "paper")))
+    return g.join(stored, "paper").select("paper", "first", "last", n.alias("n"))

@@ -20,7 +20,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql is not None:
-            SQL[f.__name__] = sql.replace("UNITS", UNITS)
+            SQL[f.__name__] = sql.replace("UNITS0", UNITS.split("),\nt AS")[0].replace("u AS", "u0 AS", 1) + ")").replace("UNITS", UNITS)
         return f
 
     return add

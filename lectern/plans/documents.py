@@ -31,7 +31,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"WITH a AS (SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '[\x20\x09]+$', '')), lambda x: NOT regexp_matches(x, '^.{0,3}$|!!|[#$%&]{3}')), chr(10)) AS t FROM documents) SELECT doc_id, md5(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g')) AS cleaned_md5, length(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g')) AS n FROM a")
 def c06_clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Junk lines are very short ones, shouting and runs of symbols."""
+    """Junk lines are very short ones, shouting and runs of symbols."""
     c = fn.kept_lines(F.col("text"), r"^.{0,3}$|!!|[#$%&]{3}")
     return docs(spark, sf_dir).select("doc_id", c.alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("cleaned_md5"), F.char_length("c").cast("long").alias("n"))
 
@@ -53,7 +53,7 @@ def h03_quote_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"WITH e AS (SELECT doc_id, unnest(regexp_extract_all({SPACED}, ' ({'|'.join(COMMANDS)}) ', 1)) AS command FROM documents) SELECT command, count(*) AS n, count(DISTINCT doc_id) AS docs FROM e GROUP BY command")
 def e05_command_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E05, H04."""
+    """E05."""
     e = docs(spark, sf_dir).select("doc_id", F.explode(fn.all_of(F.col("text"), COMMANDS)).alias("command"))
     return e.groupBy("command").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"))
 
@@ -92,7 +92,7 @@ def e51_junk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH f AS (SELECT source, max(CAST(regexp_matches(text, 'ing\\b') AS INT)) AS a, max(CAST(regexp_matches(text, 'tion\\b') AS INT)) AS b, max(CAST(regexp_matches(text, 'zheit\\b') AS INT)) AS c FROM documents GROUP BY source) SELECT CAST(sum(a) AS BIGINT) AS ing, CAST(sum(b) AS BIGINT) AS tion, CAST(sum(c) AS BIGINT) AS zheit, CAST(sum(greatest(a, b, c)) AS BIGINT) AS family FROM f".replace("\\\\", "\\"))
 def e37_skill_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources with a text that has a word ending; the family counts a source once."""
+    """Sources with a text that has a word ending; the family counts a source once."""
     has = lambda p: F.max(F.col("text").rlike(p).cast("int"))
     f = docs(spark, sf_dir).groupBy("source").agg(has(r"ing\b").alias("a"), has(r"tion\b").alias("b"), has(r"zheit\b").alias("c"))
     return f.agg(F.sum("a").alias("ing"), F.sum("b").alias("tion"), F.sum("c").alias("zheit"), F.sum(F.greatest("a", "b", "c")).alias("family"))
@@ -122,7 +122,7 @@ def a15_page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g') AS t FROM pages), b AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?i)</(p|div|li|h[1-6]|tr)>|<br>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS t FROM a), c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS t FROM b), d AS (SELECT page_id, trim(regexp_replace(regexp_replace(t, '[\x20\x09]+', ' ', 'g'), ' ?\n[\x20\n]*', chr(10), 'g')) AS t FROM c) SELECT page_id, md5(t) AS text_md5, length(t) AS n_chars FROM d""")
 def h25_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A01, H25."""
+    """Text of pages."""
     p = table(spark, sf_dir, "pages").select("page_id", fn.html_text(F.col("html")).alias("t"))
     return p.select("page_id", F.md5(F.col("t").cast("binary")).alias("text_md5"), F.char_length("t").cast("long").alias("n_chars"))
 
@@ -140,29 +140,29 @@ def f03_marked_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {LINES}, s AS (SELECT *, sum(CASE WHEN length(line) BETWEEN 1 AND 12 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS section FROM k) SELECT doc_id, CAST(section AS BIGINT) AS section, arg_min(line, pos) AS title, count(*) AS n, CAST(sum(length(line)) AS BIGINT) AS chars FROM s WHERE section > 0 GROUP BY doc_id, section")
 def a04_heading_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short lines stand for headings."""
+    """Short lines stand for headings."""
     lines = segments.line_table(docs(spark, sf_dir), "doc_id", "text")
     return segments.heading_sections(lines, "doc_id", F.length("line").between(1, 12))
 
 
 @query("WITH s AS (SELECT source, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 80 AS batch FROM documents) SELECT source, batch, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last FROM s GROUP BY source, batch")
 def b03_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = segments.batches(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], [F.col("doc_id")], "doc_id")
+    b = segments.batches(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], ["doc_id"], "doc_id")
     return b.select("source", "batch", F.size("ids").cast("long").alias("n"), F.array_min("ids").alias("first"), F.array_max("ids").alias("last"))
 
 
-@query(None)
+@query("WITH RECURSIVE v AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: CASE WHEN length(x) % 4 < 3 THEN length(x) % 4 + 1 END) AS v FROM documents), r AS (SELECT doc_id, v, 1 AS i, 0 AS accepted, CAST(NULL AS BIGINT) AS last_place, 0 AS last FROM v UNION ALL SELECT doc_id, v, i + 1, accepted + CAST(ok AS INT), CASE WHEN ok THEN i - 1 ELSE last_place END, CASE WHEN ok THEN v[i] ELSE last END FROM (SELECT *, coalesce(v[i] = last + 1, false) AS ok FROM r WHERE i <= len(v))) SELECT doc_id, accepted, last_place FROM r WHERE i = len(v) + 1")
 def f01_question_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F01, on the lengths of lines modulo 4 as numbers: how many are accepted and where the last is."""
     n = F.transform(F.split("text", "\n", -1), lambda x: F.when(F.length(x) % 4 < 3, (F.length(x) % 4 + 1).cast("int")))
     return docs(spark, sf_dir).select("doc_id", segments.accepted_starts(n).alias("p")).select("doc_id", F.size("p").alias("accepted"), F.array_max("p").alias("last_place"))
 
 
-@query("WITH g AS (SELECT text, length(text) AS n, list(doc_id ORDER BY doc_id) AS ids FROM documents WHERE text <> '' GROUP BY text, length(text)) SELECT doc_id, CASE WHEN doc_id <> ids[1] THEN ids[1] END AS dupe_of, CASE WHEN doc_id = ids[1] AND len(ids) > 1 THEN array_to_string(ids[2:], ',') END AS also_in FROM documents LEFT JOIN g USING (text)")
+@query("SELECT doc_id, CASE WHEN text <> '' AND doc_id <> first THEN first END AS dupe_of, CASE WHEN text <> '' AND doc_id = first AND n > 1 THEN n - 1 END AS also_in FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first, count(*) OVER (PARTITION BY text) AS n FROM documents)")
 def e54_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies fold into the first."""
-    f = dedup.folded(docs(spark, sf_dir), [F.sha2(F.col("text").cast("binary"), 256), F.length("text")], F.col("doc_id"), "doc_id")
-    return f.select("doc_id", "dupe_of", F.array_join(F.transform("also_in", lambda x: x.cast("string")), ",").alias("also_in"))
+    f = dedup.folded(docs(spark, sf_dir), [F.sha2(F.col("text").cast("binary"), 256), F.nullif("text", F.lit(""))], F.col("doc_id"), "doc_id")
+    return f.select("doc_id", "dupe_of", "also_in")
 
 
 @query(rf"WITH f AS (SELECT lang, doc_id AS paper, list_sort(list_transform(string_split(text, chr(10)), lambda x: substr({SQUEEZE.format('x')}, 1, 200))) AS p FROM documents), g AS (SELECT *, min(paper) OVER (PARTITION BY lang, p) AS first FROM f) SELECT paper, first FROM g WHERE paper <> first")
@@ -181,12 +181,12 @@ def e22_exact_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def d09_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of stems of different sources."""
-    d = docs(spark, sf_dir).select("doc_id", "source", F.substring(fn.squeeze(F.col("text")), 1, 420).alias("stem"))
+    """Pairs of whole texts of different sources, and the copies of each."""
+    d = docs(spark, sf_dir).select("doc_id", "source", fn.squeeze(F.col("text")).alias("stem"))
     return dedup.near_duplicates(d, "doc_id", "source", "stem")
 
 
-@query("SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents GROUP BY source")
+@query("SELECT * FROM (SELECT source, sha256(string_agg(p, '' ORDER BY p)) AS print FROM (SELECT source, d[1:3] || sha256(string_agg(d, '' ORDER BY d)) AS p FROM (SELECT source, sha256(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1)) AS d FROM documents) GROUP BY source, d[1:3]) GROUP BY source)")
 def h21_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fingerprints(docs(spark, sf_dir), ["source"], "doc_id", "text")
 
@@ -235,7 +235,7 @@ def e53_provenance_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"SELECT item_id, doc_id FROM benchmark b, documents d WHERE contains({SQUEEZE.format('d.text')}, {SQUEEZE.format('b.text')})")
 def d10_quotes_in_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark texts that a document holds word for word."""
+    """Benchmark texts that a document holds word for word."""
     needles = table(spark, sf_dir, "benchmark").select("item_id", fn.squeeze(F.col("text")).alias("needle"))
     texts = table(spark, sf_dir, "documents").select("doc_id", fn.squeeze(F.col("text")).alias("text"))
-    return contained(needles, texts).select("item_id", "doc_id")
+    return contained(needles, texts, "doc_id").select("item_id", "doc_id")

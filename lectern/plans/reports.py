@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from lectern.functions import text as fn
 from lectern.operators import quality, reports, segments, stats
-from lectern.operators.dedup import folded
+from lectern.operators.dedup import reprints
 from lectern.plans.base import query, table, units
 
 THEMES = [("en", "ing", ["ing\\b", "ings"]), ("en", "tion", ["tion"]), ("de", "keit", ["keit"]), ("fr", "eaux", ["eaux", "aux"]), ("es", "cion", ["ción"])]
@@ -80,7 +80,7 @@ def e75_owners_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, greatest(3, least(34, CAST(round_even(1.7 * (o_orderkey % 25), 0) AS INTEGER))) AS lines, CASE WHEN o_orderkey % 4 >= 2 AND o_orderkey % 7 > 0 AND o_orderkey % 7 <= 0.6 * (o_orderkey % 11) THEN 'split' ELSE 'whole' END AS how FROM orders")
 def k07_answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K07, K13."""
+    """K07."""
     k = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select("o_orderkey", reports.answer_lines(k % 25).alias("lines"), reports.split_or_whole(k % 4, k % 7, k % 11).alias("how"))
 
@@ -96,7 +96,7 @@ def h26_number_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"WITH s AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.?])\s+', '\1' || chr(1), 'g'), chr(1))) AS sentence FROM documents) SELECT doc_id, count(*) AS n, CAST(sum(length(sentence)) AS BIGINT) AS chars FROM s WHERE length(sentence) BETWEEN 31 AND 699 AND regexp_matches('  ' || regexp_replace(lower(sentence), '[^\p{L}\p{N}\p{M}_]+', '  ', 'g'), ' the') GROUP BY doc_id")
 def h28_sentences_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C16, H07, H28."""
+    """H07, H28."""
     s = reports.sentences_naming(table(spark, sf_dir, "documents"), "doc_id", "text", "the")
     return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("sentence")).alias("chars"))
 
@@ -125,7 +125,7 @@ def g02_most_common(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH f AS (SELECT text, list(doc_id ORDER BY doc_id) AS ids FROM documents GROUP BY text) SELECT ids[1] AS keeper, unnest(ids[2:]) AS reprint FROM f WHERE len(ids) > 1")
 def d17_keeper_reprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("k"))
-    return folded(d, [F.col("k")], F.col("doc_id"), "doc_id").where("also_in is not null").select(F.col("doc_id").alias("keeper"), F.explode("also_in").alias("reprint"))
+    return reprints(d, [F.col("k")], F.col("doc_id"), "doc_id")
 
 
 @query("WITH UNITS, s AS (SELECT topic, count(DISTINCT year * 10 + season) AS sittings, CAST(sum(marks) AS BIGINT) AS marks FROM x GROUP BY topic) SELECT topic, sittings, marks, marks / sittings AS per_sitting FROM s")
@@ -156,7 +156,7 @@ def e52_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.malformed_rows(lines, "line").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH f AS (SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents GROUP BY source), g AS (SELECT source, sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1), '' ORDER BY doc_id)) AS print FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY source) SELECT f.source, f.print <> g.print OR g.print IS NULL AS stale FROM f LEFT JOIN g USING (source)")
+@query("WITH f AS (SELECT source, sha256(string_agg(p, '' ORDER BY p)) AS print FROM (SELECT source, d[1:3] || sha256(string_agg(d, '' ORDER BY d)) AS p FROM (SELECT source, sha256(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1)) AS d FROM documents) GROUP BY source, d[1:3]) GROUP BY source), g AS (SELECT source, sha256(string_agg(p, '' ORDER BY p)) AS print FROM (SELECT source, d[1:3] || sha256(string_agg(d, '' ORDER BY d)) AS p FROM (SELECT source, sha256(CAST(doc_id AS VARCHAR) || chr(1) || text || chr(1)) AS d FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)) GROUP BY source, d[1:3]) GROUP BY source) SELECT f.source, f.print <> g.print OR g.print IS NULL AS stale FROM f LEFT JOIN g USING (source)")
 def d28_stale_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prints of before against those of inputs that lost their toxic documents."""
     d = table(spark, sf_dir, "documents")
@@ -167,7 +167,7 @@ def d28_stale_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'reports' WHEN page_id % 5 = 1 THEN 'thresholds' ELSE 'paper' || CASE WHEN (page_id % 40) < 10 THEN page_id % 40 ELSE page_id % 40 // 10 END END AS folder, 's' || page_id % 26 AS sitting, CAST(page_id % 9 AS VARCHAR) AS task, CASE WHEN page_id % 2 = 0 THEN '(c)' END AS part FROM pages")
 def c23_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders of made file names, and parts of made refs."""
+    """Folders of made file names, and parts of made refs."""
     k = F.col("page_id")
     kind = F.when(k % 5 == 0, "er").when(k % 5 == 1, "gt").otherwise("qp")
     name = F.concat(F.lit("9626_s24_"), kind, F.lit("_"), F.lpad((k % 40).cast("string"), 2, "0"), F.lit(".pdf"))
@@ -184,7 +184,7 @@ def a07_compact_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT source, count(DISTINCT lang) AS kept, (SELECT count(DISTINCT lang) FROM documents) AS available, min(n_chars) AS least, max(n_chars) AS most, count(*) AS n FROM documents GROUP BY source")
 def e27_kept_and_available(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E27, E55, E73."""
+    """E27."""
     d = table(spark, sf_dir, "documents")
     g = d.groupBy("source").agg(F.count_distinct("lang").alias("kept"), F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.count(F.lit(1)).alias("n"))
     return g.crossJoin(F.broadcast(d.agg(F.count_distinct("lang").alias("available"))))

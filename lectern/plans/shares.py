@@ -176,9 +176,9 @@ def c12_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.reconciled(units(spark, sf_dir), F.when(F.col("year") < 1998, 90).otherwise(70))
 
 
-@query("SELECT year, avg(raw) AS mean_raw, avg(raw / 5000.0) AS mean_pct FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, month(o_orderdate) AS m, avg(o_totalprice) AS raw FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY month(o_orderdate) DESC) <= 6) GROUP BY year")
+@query("SELECT year, avg(raw) AS mean_raw, avg(raw / 5000.0) AS mean_pct FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY m DESC) AS r FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, month(o_orderdate) AS m, avg(o_totalprice) AS raw FROM orders GROUP BY 1, 2)) WHERE r <= 6 GROUP BY year")
 def e35_mean_of_last_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means of the last six sessions (months) of each year."""
+    """Means of the last six sessions (months) of each year."""
     o = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("m")).agg(F.avg("o_totalprice").alias("raw"))
     last = o.withColumn("r", F.row_number().over(Window.partitionBy("year").orderBy(F.desc("m")))).where("r <= 6")
     return last.groupBy("year").agg(F.avg("raw").alias("mean_raw"), F.avg(F.col("raw") / 5000.0).alias("mean_pct"))

@@ -19,7 +19,7 @@ def f04_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, (SELECT arg_max(s.value, s.ts) FROM events s WHERE s.event_type = 'purchase' AND s.user_id = e.user_id AND s.ts <= e.ts) AS last_purchase FROM events e WHERE event_type <> 'purchase'")
 def d12_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The purchase in force at each other event."""
+    """The purchase in force at each other event."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
     rows = e.where("event_type <> 'purchase'").select("event_id", "user_id", "ts")
     facts = e.where("event_type = 'purchase'").select("user_id", "ts", "value")
@@ -85,10 +85,10 @@ def e61_falling_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.falling_run(o, "o_orderpriority", "y", "o_totalprice")
 
 
-@query("WITH s AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS season FROM orders WHERE o_totalprice > 499500), e AS (SELECT min(year * 100 + season) AS a, max(year * 100 + season) AS b FROM s), g AS (SELECT CAST(y AS INTEGER) AS year, season FROM e, generate_series(CAST(a // 100 AS BIGINT), CAST(b // 100 AS BIGINT)) t(y), (SELECT DISTINCT season FROM s) WHERE y * 100 + season > a AND y * 100 + season < b) SELECT year, season FROM g ANTI JOIN s USING (year, season)")
+@query("WITH s AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS season FROM orders), e AS (SELECT min(year * 100 + season) AS a, max(year * 100 + season) AS b FROM s), g AS (SELECT CAST(y AS INTEGER) AS year, season FROM e, generate_series(CAST(a // 100 AS BIGINT), CAST(b // 100 AS BIGINT)) t(y), (SELECT DISTINCT season FROM s) WHERE y * 100 + season > a AND y * 100 + season < b) SELECT year, season FROM g ANTI JOIN s USING (year, season)")
 def d25_calendar_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions are the months with an order of a very high price."""
-    o = table(spark, sf_dir, "orders").where("o_totalprice > 499500")
+    """Sessions are the months with an order. The tables lack none, so the result is empty; a test has gaps."""
+    o = table(spark, sf_dir, "orders")
     return joins.calendar_gaps(o.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("season")))
 
 
@@ -100,14 +100,14 @@ def d18_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH c AS (SELECT DISTINCT o_custkey % 50 AS k, o_orderpriority AS owner FROM orders), e AS (SELECT k, list_sort(list(owner)) AS a FROM c GROUP BY k) SELECT k, owner, array_to_string(list_filter(a, lambda x: x <> owner), ',') AS also FROM c JOIN e USING (k)")
 def d21_shared_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D21, D23, E57."""
+    """D21."""
     c = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("k"), F.col("o_orderpriority").alias("owner"))
     return joins.shared_claims(c, ["k"], "owner").select("k", "owner", F.array_join("also", ",").alias("also"))
 
 
 @query("WITH w AS (SELECT p_brand AS id, p_name AS name, p_partkey FROM part), h AS (SELECT DISTINCT p_brand AS id, lower(p_name) AS h FROM part WHERE p_size > 25) SELECT id, name, p_partkey FROM w WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.id = w.id AND ends_with(h.h, lower(w.name)))")
 def d22_not_shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D22, C19, C20."""
+    """D22."""
     p = table(spark, sf_dir, "part")
     names = p.select(F.col("p_brand").alias("id"), F.col("p_name").alias("name")).distinct()
     gone = joins.not_shipped(names, p.where("p_size > 25").select(F.col("p_brand").alias("id"), F.col("p_name").alias("have")).distinct())

@@ -16,7 +16,7 @@ def test_quotes_are_found_on_a_page_or_across_two(spark):
 def test_contained_finds_needles_inside_words_too(spark):
     texts = spark.createDataFrame([(1, "xx one two three four five yy"), (2, "zone two three four fives"), (3, "one two")], "doc_id int, text string")
     needles = spark.createDataFrame([(1, "one two three four five"), (2, "two"), (3, "e two three four f"), (4, "")], "item_id int, needle string")
-    got = {(r.item_id, r.doc_id) for r in joins.contained(needles, texts).collect()}
+    got = {(r.item_id, r.doc_id) for r in joins.contained(needles, texts, "doc_id").collect()}
     assert got == {(1, 1), (1, 2), (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)}
 
 
@@ -39,7 +39,7 @@ def test_number_lists_refs_and_routes(spark):
 def test_folding_ignores_empty_keys_and_keeps_order(spark):
     u = spark.createDataFrame([("c", "x", 3), ("a", "x", 1), ("b", "", 2), ("d", None, 4), ("e", "", 5)], "id string, k string, o int")
     got = {r.id: (r.dupe_of, r.also_in) for r in dedup.folded(u, [F.col("k")], F.col("o"), "id").collect()}
-    assert got == {"a": (None, ["c"]), "c": ("a", None), "b": (None, None), "d": (None, None), "e": (None, None)}
+    assert got == {"a": (None, 1), "c": ("a", None), "b": (None, None), "d": (None, None), "e": (None, None)}
 
 
 def test_components_of_chains_and_stars(spark):
@@ -63,3 +63,44 @@ def test_marks_of_zero_and_null_count_as_none(spark):
     got = {r.topic: (r.marks, r.pct, r.papers) for r in stats.fractional_shares(u).collect()}
     assert got == {"a": (1.5, 50.0, 2), "b": (1.5, 50.0, 2)}
     assert [tuple(r) for r in stats.histogram(u).collect()] == [(3, 1)]
+
+
+def test_calendar_gaps(spark):
+    s = spark.createDataFrame([(2020, 1), (2020, 1), (2020, 3), (2021, 2), (2022, 1), (2022, 2)], "year int, season int")
+    assert sorted(map(tuple, joins.calendar_gaps(s).collect())) == [(2020, 2), (2021, 1), (2021, 3)]
+
+
+def test_paper_rules(spark):
+    import pytest
+
+    from lectern.functions import papers as fn
+    from lectern.operators import papers
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(fn.bank_clean(F.lit("9626/32/M/J/17\n(a) .......\n- ..... **[4]**\nkeep this ........\n\n\n\n© UCLES 2017\n12\nlast «"))) == "**[4]**\nkeep this\n\nlast ..."
+    assert one(fn.last_command(F.lit("Using it, describe x. Explain y and State z"))) == "Explain" and one(fn.last_command(F.lit("describe it"))) == "Describe" and one(fn.last_command(F.lit("none"))) is None
+    assert one(fn.first_command(F.lit("describe, then Draw"))) == "Draw" and one(fn.first_command(F.lit("describe"))) == "Describe" and one(fn.first_command(F.lit("x"))) == "Other"
+    assert one(fn.command_words(F.lit("Compare and contrast A. Assess B. Compare"))) == ["Compare and contrast", "Compare"]
+    assert tuple(one(fn.report_comment(F.lit("Question 1 short. (a) tiny (b) x Question 12 y"), F.lit("1"), F.lit("a")))) == ("short. (a) tiny (b) x", "question")
+    assert one(fn.report_comment(F.lit("Question 12 y"), F.lit("1"), F.lit("a"))) is None
+    assert one(fn.scheme_row(F.array(F.lit(f"{fn.BULLET}{fn.SPACE}one"), F.lit("two"), F.lit("3")))) == "- one\ntwo\n\n**Marks: 3**" and one(fn.scheme_row(F.array(F.lit("only")))) == "only"
+    assert one(fn.year_runs(F.array(*map(F.lit, (2023, 2019, 2020, 2021, 2020))))) == "2019-2021, 2023"
+    assert one(fn.names_file(F.lit("Open the French_Clients file"), F.lit("French_Clients"), F.lit("csv"))) and not one(fn.names_file(F.lit("the sales file"), F.lit("Sales"), F.lit("ods")))
+    with pytest.raises(Exception, match="not verified"):
+        one(fn.citation(F.lit("s24"), F.lit(None).cast("int")))
+    for bad in ("{other}", "{name} }"):
+        with pytest.raises(ValueError):
+            fn.filled(bad, {"name": F.lit("x")})
+    rows = spark.createDataFrame([("p", 1, "T1", 0, 100), ("p", 2, None, 0, 100), ("p", 3, "in", 10, 20), ("p", 4, None, 0, 100)], "paper string, pos int, label string, lo int, hi int")
+    assert sorted((r.pos, r.task, r.continued) for r in papers.task_rows(rows).collect()) == [(1, "T1", False), (2, "T1", True), (4, "T1", True)]
+
+
+def test_scalars_and_bounds_refuse_what_does_not_add_up(spark):
+    import pytest
+
+    with pytest.raises(Exception, match="add up"):
+        stats.report_scalars(spark.createDataFrame([("a", 50.0), ("b", 20.0)], "topic string, pct double")).collect()
+    texts = spark.createDataFrame([("a", 2019), ("a", 2021)], "paper string, year int")
+    assert tuple(stats.year_bounds(texts, spark.createDataFrame([("a", 2)], "paper string, sittings long")).first()) == ("a", 2019, 2021, 2)
+    with pytest.raises(Exception, match="sittings differ"):
+        stats.year_bounds(texts, spark.createDataFrame([("a", 3)], "paper string, sittings long")).collect()

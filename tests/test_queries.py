@@ -30,20 +30,20 @@ def test_shares_sum_to_all_and_do_not_depend_on_order(spark, data):
 
 
 def test_near_duplicates_agree_with_the_plain_loop(spark, data):
+    import re
     from difflib import SequenceMatcher
 
-    from lectern.operators import dedup
     from lectern.plans.base import table
 
-    docs = [(r.doc_id, r.source, " ".join(r.text.split())[:300]) for r in table(spark, data, "documents").collect()]
-    got = {(r.a, r.b) for r in dedup.near_duplicates(spark.createDataFrame(docs, "id long, paper string, text string"), "id", "paper", "text").collect()}
-    import re
-
+    docs = [(r.doc_id, r.source, re.sub(r"[\x20\x09-\x0D]+", " ", r.text).strip(" ")) for r in table(spark, data, "documents").collect()]
+    rows = plans.queries()["d09_near_duplicates"](spark, data).collect()
     key = lambda t: re.findall("[a-z]+", t.lower())[:3]
-    first = {}
-    for i, _, t in sorted(docs):
-        first.setdefault(t, i)
-    texts = {i: t for t, i in first.items() if len(t) > 30}
-    owners = {t: {p for _, p, x in docs if x == t} for t in texts.values()}
+    first, owners = {}, {}
+    for i, p, t in sorted(docs):
+        if len(t) > 30:
+            first.setdefault(t, i)
+            owners.setdefault(t, set()).add(p)
+    texts = {i: t for t, i in first.items()}
     want = {(a, b) for a in texts for b in texts if a < b and key(texts[a]) == key(texts[b]) and len(owners[texts[a]] | owners[texts[b]]) > 1 and SequenceMatcher(None, texts[a], texts[b]).ratio() > 0.55}
-    assert got == want
+    assert {(r.a, r.b) for r in rows if r.kind == "pair"} == want
+    assert {(r.a, r.b) for r in rows if r.kind == "copy"} == {(first[t], i) for i, _, t in docs if t in first and first[t] != i}
