@@ -20,13 +20,13 @@ LEAF_CHARS = 256
 #: First width, in characters, of the window on each side of a join.
 WINDOW_CHARS = 24
 #: Bytes that a worker's remembered words take at most, by estimate; then it starts afresh.
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 96 << 20
 #: What a remembered word takes besides its characters, ids and tokens.
 ENTRY_BYTES = 330
 #: White space that no normalization composes with; other white space stays inside a word and is left to the tokenizer.
 WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
 #: Characters of text whose words are learned together, and words that the library encodes in one call: its encodings are large.
-LEARN_CHARS, LEARN_WORDS = 250_000, 1024
+LEARN_CHARS, LEARN_WORDS = 1_000_000, 4096
 ENCODED = "struct<ids:array<int>,decoded:string>"
 DIGEST = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
