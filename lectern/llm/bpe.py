@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 import struct
 from collections.abc import Iterable
 from functools import lru_cache
@@ -25,6 +26,10 @@ MEMO_BYTES = 96 << 20
 ENTRY_BYTES = 330
 #: White space that no normalization composes with; other white space stays inside a word and is left to the tokenizer.
 WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
+#: Letters that lower-casing and composition keep single, and signs that end words; not the apostrophe (contractions) nor the signs of added tokens.
+LETTERS = string.ascii_letters + "".join(map(chr, (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))))
+SIGNS = "".join(c for c in string.punctuation if c not in "'<|>")
+PLAIN = re.compile(f"([{LETTERS}]+)([{re.escape(SIGNS)}]*)")
 #: Characters of text whose words are learned together, and words that the library encodes in one call: its encodings are large.
 LEARN_CHARS, LEARN_WORDS = 1_000_000, 4096
 ENCODED = "struct<ids:array<int>,decoded:string>"
@@ -61,8 +66,22 @@ class TreeEncoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         end = self.tokenizer.model.end_of_word_suffix or ""
         self.width = [len(t.removesuffix(end) if end else t) for t in self.token]
+        self.ends = np.array([bool(end) and t.endswith(end) for t in self.token], bool)
         self.memo: dict[str, tuple[bytes, int, str]] = {}
         self.memo_bytes = 0
+        self.parts_plain = self._parts_plain()
+
+    def _parts_plain(self) -> bool:
+        """Whether letters are one piece, signs another, and capitals as good as small letters."""
+        t = self.tokenizer
+        if t.normalizer is None or t.pre_tokenizer is None:
+            return False
+        pieces = lambda text: [at for _, at in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(text))]
+        lowers = all(t.normalizer.normalize_str(c) == c.lower() for c in LETTERS + SIGNS)
+        runs = pieces(LETTERS) == [(0, len(LETTERS))] and pieces(SIGNS) == [(0, len(SIGNS))]
+        parted = all(pieces("a" + c) == [(0, 2)] for c in LETTERS) and all(pieces(f"a{c}") == [(0, 1), (1, 2)] for c in SIGNS)
+        one_end = all(ids and self.ends[ids].sum() == 1 and self.ends[ids[-1]] for ids in self._batch([*LETTERS, *SIGNS], False))
+        return lowers and runs and parted and one_end
 
     @property
     def normal(self) -> Tokenizer:
@@ -137,8 +156,42 @@ class TreeEncoder:
         if self.memo_bytes > MEMO_BYTES:
             self.memo.clear()
             self.memo_bytes = 0
-        new = [w for w in words if w not in self.memo]
-        short, long = [w for w in new if len(w) <= self.leaf_chars], [w for w in new if len(w) > self.leaf_chars]
+        new, made, odd = [w for w in words if w not in self.memo], [], []
+        for w in new:
+            m = PLAIN.fullmatch(w) if self.parts_plain and len(w) <= self.leaf_chars else None
+            if m:
+                made.append((w, m[1].lower(), m[2]))
+            else:
+                odd.append(w)
+        self._learn_odd(odd)
+        atoms = [a for a in {a for _, *both in made for a in both} if a and a not in self.memo]
+        for i in range(0, len(atoms), LEARN_WORDS):
+            self._learn_atoms(atoms[i : i + LEARN_WORDS])
+        memo = self.memo
+        for w, head, signs in made:
+            if signs:
+                (b, n, d), (b2, n2, d2) = memo[head], memo[signs]
+                memo[w] = b + b2, n + n2, f"{d} {d2}"
+                self.memo_bytes += ENTRY_BYTES + 2 * len(w) + 4 * (n + n2) + 2 * (len(d) + len(d2))
+            elif head != w:
+                memo[w] = memo[head]
+                self.memo_bytes += ENTRY_BYTES // 2 + 2 * len(w)
+
+    def _learn_atoms(self, atoms: list[str]) -> None:
+        """Remembers runs of small letters or of signs, each of which has one word end, its last token."""
+        ids = np.array(self._batch([" ".join(atoms)], False)[0], "<u4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(stops) != len(atoms):
+            raise ValueError("the tokenizer gave other word ends than its letters and signs have alone")
+        packed, tokens, at = ids.tobytes(), [self.token[i] for i in ids.tolist()], 0
+        for a, stop in zip(atoms, stops):
+            self.memo[a] = packed[4 * at : 4 * stop], stop - at, " ".join(tokens[at:stop])
+            at = stop
+        self.memo_bytes += ENTRY_BYTES * len(atoms) + 2 * sum(map(len, atoms)) + 4 * len(ids) + 2 * sum(map(len, tokens)) + 2 * len(ids)
+
+    def _learn_odd(self, words: list[str]) -> None:
+        """Remembers words of any kind, each encoded on its own."""
+        short, long = [w for w in words if len(w) <= self.leaf_chars], [w for w in words if len(w) > self.leaf_chars]
         token, pack = self.token.__getitem__, struct.Struct
         for part, got in ((short, self._batch(short, False)), (long, map(self._long, long))):
             for w, ids in zip(part, got):

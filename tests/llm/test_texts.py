@@ -75,6 +75,16 @@ def test_op8_tree_joins_are_exact():
     assert own.plain_text(own.encode("Hello, wörld")) == "hello , wörld"
 
 
+def test_op8_letters_and_signs_learned_apart_are_exact():
+    t, own, rng = Tokenizer.from_file(WORDS), bpe.TreeEncoder(WORDS), random.Random(3)
+    assert own.parts_plain
+    texts = ["".join(rng.choice("abZ Éßÿ×İµªſK.,'!<|>=≠\u0338\u0301 \n-_#0²ﬁ漢\x85") for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["a.<|endoftext|>. X<|ENDOFTEXT|>, don't. DON'T! ÀÉ.\u0338 b≮ _x_.", "", None, "X" * 3000 + "." * 700, "Word word WORD. word.. word!"]
+    for text, (packed, n, decoded) in zip(texts, own.encode_bytes(texts), strict=True):
+        ids = t.encode(text or "", add_special_tokens=False).ids
+        assert (np.frombuffer(packed, "<u4").tolist(), n, decoded) == (ids, len(ids), t.decode(ids, skip_special_tokens=False))
+
+
 def base(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
