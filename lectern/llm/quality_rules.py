@@ -28,7 +28,7 @@ def covered_by_repeats(words: Column) -> Column:
 
     Windows are compared by 64-bit hashes of their words, sorted with their places; neighbours that are equal mark both places, and the marked places in order give the words they cover.
     """
-    windows = F.transform(F.sequence(F.lit(1), F.size(words) - 2), lambda i: F.struct(F.xxhash64(F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)).alias("h"), i.alias("at")))
+    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
 
     def marked(w: Column) -> Column:
         """(place, hash) of windows whose hash is that of a neighbour in sorted order."""
@@ -40,11 +40,12 @@ def covered_by_repeats(words: Column) -> Column:
         gaps = F.zip_with(places, F.slice(places, 2, F.size(places)), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
         return F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)
 
-    def of(w: Column) -> Column:
-        distinct = F.size(F.array_distinct(F.transform(w, lambda x: x["h"]))) == F.size(w)
-        return F.when(distinct, F.lit(0).cast("long")).otherwise(let(F.array_sort(w), lambda s: let(F.array_sort(marked(s)), covered)))
+    def of(h: Column) -> Column:
+        distinct = F.size(F.array_distinct(h)) == F.size(h)
+        placed = F.transform(h, lambda x, at: F.struct(x.alias("h"), at.alias("at")))
+        return F.when(distinct, F.lit(0).cast("long")).otherwise(let(F.sort_array(placed), lambda s: let(F.sort_array(marked(s)), covered)))
 
-    return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(let(windows, of))
+    return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(let(hashes, of))
 
 
 def let(value: Column, body) -> Column:
@@ -91,15 +92,20 @@ def class_histogram(text: Column) -> Column:
 
 
 def word_histogram(text: Column, lang: Column) -> Column:
-    """Counts of the language's common words, then of all other words; of a language without a list only the latter."""
+    """Counts of the language's common words, then of all other words; of a language without a list only the latter.
+
+    Every word gets a space of its own on both sides. The listed ones are taken out first and then counted in the little that they are.
+    """
     padded = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D.,;:!?'\"()]+", "  "), F.lit(" "))
-    listed = F.array().cast("array<string>")
-    for name, words in COMMON_WORDS.items():
-        listed = F.when(lang == name, F.array(*(F.lit(f" {w} ") for w in words))).otherwise(listed)
 
     def of(p: Column) -> Column:
-        total = F.size(F.filter(F.split(p, " +"), lambda w: w != ""))
-        counts = F.transform(listed, lambda w: ((F.octet_length(p) - F.octet_length(F.replace(p, w, F.lit("")))) / F.octet_length(w)).cast("long"))
+        listed, left = F.array().cast("array<string>"), F.lit("")
+        for name, words in COMMON_WORDS.items():
+            listed = F.when(lang == name, F.array(*(F.lit(f" {w} ") for w in words))).otherwise(listed)
+            left = F.when(lang == name, F.array_join(F.regexp_extract_all(p, F.lit(f"( (?:{'|'.join(words)}) )"), F.lit(1)), "")).otherwise(left)
+        trimmed = F.trim(p)
+        total = F.when(trimmed == "", 0).otherwise(1 + F.octet_length(trimmed) - F.octet_length(F.replace(trimmed, F.lit("  "), F.lit(" "))))
+        counts = let(left, lambda r: F.transform(listed, lambda w: ((F.octet_length(r) - F.octet_length(F.replace(r, w, F.lit("")))) / F.octet_length(w)).cast("long")))
         return let(counts, lambda c: F.concat(c, F.array(F.greatest(F.lit(0), total - F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + x)))))
 
     return let(padded, of)
