@@ -107,6 +107,22 @@ def least_runs(lines: list[tuple[bytes, int, int]], min_words: int) -> list[tupl
     return [(xxh3_128_digest(b"".join(h for h, _, _ in lines[i:j])), lines[i][1], lines[j - 1][1]) for i, j in sorted(runs)]
 
 
+def structs(rows: Iterable[list[tuple]], kind: dict[str, pa.DataType]) -> pa.ListArray:
+    """An array of lists of structs from the tuples of each row, put together by columns: a dict for each struct would take many times its size, and long texts have very many lines."""
+    stops, parts = [0], [[pa.array([], t)] for t in kind.values()]
+    for row in rows:
+        stops.append(stops[-1] + len(row))
+        for part, column, t in zip(parts, zip(*row), kind.values()):
+            part.append(pa.array(column, t))
+    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.StructArray.from_arrays([pa.concat_arrays(p) for p in parts], names=list(kind)))
+
+
+def tuples(lists: pa.ListArray, *names: str) -> Iterable[Iterable[tuple]]:
+    """The structs of each row as tuples of the fields named; those of one row at a time."""
+    for row in lists:
+        yield zip(*(row.values.field(n).to_pylist() for n in names))
+
+
 def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
@@ -131,7 +147,7 @@ def aligned_blocks(pairs: DataFrame, lines: DataFrame, min_words: int) -> DataFr
 
     @F.arrow_udf("array<int>")
     def align(shared: pa.Array) -> pa.Array:
-        return pa.array([deleted_places(((x["at"], x["words"], (), x["there"]) for x in r), min_words) for r in shared.to_pylist()], pa.list_(pa.int32()))
+        return pa.array([deleted_places(((at, words, (), there) for at, words, there in r), min_words) for r in tuples(shared, "at", "words", "there")], pa.list_(pa.int32()))
 
     theirs = lines.select(F.col("key").alias("pkey"), "hash", F.col("at").alias("there"))
     shared = pairs.join(lines, "key").join(theirs, ["pkey", "hash"])
@@ -148,9 +164,8 @@ def all_alignments(lines: DataFrame, min_words: int) -> DataFrame:
 
     @F.arrow_udf("array<struct<run:binary,start:int,stop:int>>")
     def runs_of(own: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("run", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())]))
-        rows = (sorted(((x["hash"], x["at"], x["words"]) for x in d), key=lambda x: x[1]) for d in own.to_pylist())
-        return pa.array([[{"run": r, "start": i, "stop": j} for r, i, j in least_runs(d, min_words)] for d in rows], kind)
+        rows = (sorted(r, key=lambda x: x[1]) for r in tuples(own, "hash", "at", "words"))
+        return structs((least_runs(d, min_words) for d in rows), {"run": pa.binary(), "start": pa.int32(), "stop": pa.int32()})
 
     per_text = lines.groupBy("id", "key").agg(F.collect_list(F.struct("hash", "at", "words")).alias("l"))
     runs = durable(numbered(per_text.select("id", "key", F.explode(runs_of("l")).alias("r")).select("id", "key", "r.*")))
@@ -184,8 +199,7 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
     @F.arrow_udf(LINES)
     def split_lines(texts: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("hash", pa.binary()), ("at", pa.int32()), ("words", pa.int32())]))
-        return pa.array([[{"hash": h, "at": a, "words": w} for h, a, w in numbered_lines(t)] for t in texts.to_pylist()], kind)
+        return structs((numbered_lines(t.as_py()) for t in texts), {"hash": pa.binary(), "at": pa.int32(), "words": pa.int32()})
 
     named = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     own = named.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), split_lines(F.col(text_col)).alias("lines"))
@@ -211,7 +225,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
 
     @F.arrow_udf("string")
     def less(texts: pa.Array, places: pa.Array) -> pa.Array:
-        return pa.array([without_places(t, p) for t, p in zip(texts.to_pylist(), places.to_pylist())], pa.string())
+        return pa.array([without_places(t, p) for t, p in ((t.as_py(), p.as_py()) for t, p in zip(texts, places))], pa.string())
 
     own = free_name(docs, "own")
     rows = docs.withColumn(own, text_key(F.col(text_col)))
