@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions import papers as fn
-from lectern.operators import joins, papers, sequences, stats
+from lectern.functions import sql as sql_functions
+from lectern.operators import joins, papers, reports, sequences, stats
 from lectern.operators.dedup import folded
 from lectern.plans.base import query, table, units
 from lectern.plans.shares import SHARES
@@ -483,3 +484,20 @@ def k13_resolved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("paper"), F.sequence(F.lit(0).cast("long"), 3 + F.col("o_orderkey") % 7).alias("content"))
     r = papers.resolved_pages(hits, content)
     return r.select("paper", "mode", F.array_join(F.transform("pages", lambda x: x.cast("string")), ",").alias("pages"))
+
+
+@query("WITH f AS (SELECT l_orderkey, CAST(l_linenumber * 5 % 4 AS VARCHAR) AS number, min(l_linenumber) AS first FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, string_agg(number, ',' ORDER BY first) AS numbers FROM f GROUP BY 1")
+def g08_whole_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels such as 3(a) as whole numbers, each once, in the order in which they are first seen."""
+    label = F.concat((F.col("l_linenumber") * 5 % 4).cast("string"), F.lit("(a)"))
+    g = lines(spark, sf_dir).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", label.alias("label")))).alias("x"))
+    whole = F.transform("x", lambda x: F.regexp_extract(x["label"], "^[0-9]+", 0))
+    return g.select("l_orderkey", F.array_join(reports.ordered_distinct(whole), ",").alias("numbers"))
+
+
+@query(r"WITH l AS (SELECT doc_id, unnest(string_split(text || ' [3] x [4]', chr(10))) AS line, generate_subscripts(string_split(text || ' [3] x [4]', chr(10)), 1) - 1 AS nth FROM documents) SELECT doc_id, CAST(nth AS INTEGER) AS nth, md5(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line_md5, CAST(list_sum(list_transform(regexp_extract_all(line, '\[([0-9]+)\]', 1), lambda x: CAST(x AS BIGINT))) AS BIGINT) AS marks, coalesce(CAST(100 AS DOUBLE) * nth / nullif(doc_id % 3, 0), 0) AS pct FROM l")
+def u07_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The functions that SQL text can call."""
+    sql_functions.register(spark)
+    marked = docs(spark, sf_dir).select("doc_id", F.concat("text", F.lit(" [3] x [4]")).alias("text"))
+    return spark.sql("SELECT doc_id, nth, md5(CAST(squeezed(line) AS BINARY)) AS line_md5, stated_marks(line) AS marks, percent_of(nth, doc_id % 3) AS pct FROM {docs} d, LATERAL text_lines(d.text)", docs=marked)

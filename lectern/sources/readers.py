@@ -73,6 +73,16 @@ def grade_rows(texts: DataFrame, ident: str = "code", text: str = "text") -> Dat
     return r.select("code", F.regexp_extract("l", pattern, 1).alias("component"), *(number(k).alias(n) for k, n in enumerate(("max", "A", "B", "C", "D", "E"))))
 
 
+def option_rows(texts: DataFrame, ident: str = "code", text: str = "text") -> DataFrame:
+    """code, option, components, max, A_star, A to E from lines of a layout text such as `AX 400  11, 21, 31  - 250 210 170 130 90`; a dash is null, and so is a maximum that isn't printed."""
+    pattern = r"(?m)^[ \t]*([A-Z]{2}[JN]?)[ \t]+(?:([0-9]{3})[ \t]+)?([0-9]{2}(?:,[ \t]*[0-9]{2})+)[ \t]+([0-9]+|[-–]+)((?:[ \t]+[0-9]+){5})[ \t]*$"
+    r = texts.select(F.col(ident).alias("code"), F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("l"))
+    part = lambda k: F.regexp_extract("l", pattern, k)
+    number = lambda c: F.when(c.rlike("^[0-9]+$"), c.cast("int"))
+    grades = F.split(F.trim(F.translate(part(5), "\t", " ")), " +")
+    return r.select("code", part(1).alias("option"), F.split(part(3), r",[ \t]*").alias("components"), number(part(2)).alias("max"), number(part(4)).alias("A_star"), *(number(grades[k]).alias(n) for k, n in enumerate("ABCDE")))
+
+
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path, name, length, modified of files, without their content."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "length", "modificationTime")

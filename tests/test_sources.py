@@ -45,6 +45,12 @@ def test_grade_rows(spark):
     assert [(r.component, r.max, r.A, r.E) for r in rows] == [("11", 70, 55, None), ("12", 70, 1, 5)]
 
 
+def test_option_rows(spark):
+    t = spark.createDataFrame([("s25", "head\n  AX 400  11, 21,  31   – 250 210 170 130 90\nAXJ  12, 22 300 1 2 3 4 5 \nAX 400 11 1 2 3 4 5 6\nelse"), ("e", ""), ("n", None)], "code string, text string")
+    rows = readers.option_rows(t).orderBy("option").collect()
+    assert [tuple(r) for r in rows] == [("s25", "AX", ["11", "21", "31"], 400, None, 250, 210, 170, 130, 90), ("s25", "AXJ", ["12", "22"], None, 300, 1, 2, 3, 4, 5)]
+
+
 def test_unpacked_archives(spark, tmp_path):
     def pack(files):
         b = io.BytesIO()
