@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import components, durable
@@ -27,7 +28,6 @@ def projections(embedding, trees: int, depth: int, seed: int):
 
     @F.arrow_udf("array<double>")
     def project(vectors: pa.Array, ids: pa.Array) -> pa.Array:
-        width = len(vectors[0])
         out = np.empty((len(vectors), trees))
         values, starts = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.cumsum([0, *(len(v) for v in vectors)])
         sizes = np.diff(starts)
@@ -149,6 +149,14 @@ def count_links(placed: DataFrame, threshold: float) -> DataFrame:
     return met.groupBy("whole", "home", "a", "b").applyInArrow(run, "vec long, found long").groupBy("vec").agg(F.sum("found").alias("found"))
 
 
+def identified(kinds: DataFrame, number: Callable[[int], Column]) -> tuple[DataFrame, Column]:
+    """kinds with vec, a long that no two rows share, and the column that gives it: number of the first of 0, 1, 2... by which no two rows agree."""
+    for salt in count():
+        own = durable(kinds.withColumn("vec", number(salt)))
+        if own.groupBy("vec").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            return own, number(salt)
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label", *, threshold: float = 0.93, trees: int = TREES, leaf_vectors: int = LEAF_VECTORS, seed: int = 7) -> DataFrame:
     """One row per row of vectors: vec_id, n_links, component_id, kept, of links between vectors of one label and size whose cosine is at least threshold.
 
@@ -162,7 +170,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     usable = F.coalesce(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite, F.lit(False))
     whole = durable(rows.withColumn("usable", usable))
     kinds = whole.where("usable").groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
-    kinds = durable(kinds.withColumn("vec", F.xxhash64("label", "embedding")))
+    kinds, vec = identified(kinds, lambda salt: F.xxhash64(F.lit(salt), "label", "embedding"))
     leaves = durable(grow(kinds.select("vec", "label", "embedding"), trees, leaf_vectors, seed))
     full = leaves.join(kinds.select("vec", "embedding"), "vec")
     joined = connect_leaves(full.select("tree", "leaf", "vec", "embedding"), threshold).distinct()
@@ -171,6 +179,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     placed = kinds.select("vec", "copies", "least").join(groups, "vec", "left").join(counts, "vec", "left").select("vec", "copies", "least", F.coalesce("component", "vec").alias("component"), F.coalesce("found", F.lit(0)).alias("found"))
     low = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     result = placed.join(low, "component").select("vec", (F.col("copies") - 1 + F.col("found")).cast("long").alias("n_links"), "component_id")
-    linked = whole.where("usable").select("vec_id", F.xxhash64("label", "embedding").alias("vec")).join(result, "vec").select("vec_id", "n_links", "component_id")
+    linked = whole.where("usable").select("vec_id", vec.alias("vec")).join(result, "vec").select("vec_id", "n_links", "component_id")
     alone = whole.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

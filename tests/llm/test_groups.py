@@ -159,6 +159,23 @@ def test_op2_against_all_pairs(spark):
     assert embed_forest.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_op2_repeated_ids_and_clashing_columns(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.999, 0.01, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, a, 0, 5, 0.5, "x"), (1, c, 0, 6, 0.5, "y"), (2, b, 0, 7, 0.5, "z"), (2, b, 0, 7, 0.5, "z"), (None, a, 0, 8, 0.5, None), (3, c, 1, 9, None, "w")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, vec int, copies double, component string")
+    got = sorted(((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in embed_forest.near_duplicates(df).collect()))
+    assert got == [(0, 3, 1, False), (1, 0, 1, True), (1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (3, 0, 3, True)]
+
+
+def test_op2_vectors_of_one_hash_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    kinds = spark.createDataFrame([(0, [1.0]), (0, [2.0]), (1, [1.0])], "label int, embedding array<double>")
+    own, vec = embed_forest.identified(kinds, lambda salt: F.xxhash64(F.lit(salt), "label", "embedding") if salt > 1 else F.lit(salt).cast("long"))
+    got = [r.vec for r in own.collect()]
+    assert len(set(got)) == 3 and set(got) == {r[0] for r in kinds.select(vec).collect()}
+
+
 def test_op2_dense_groups_are_whole(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((7200, 64))
