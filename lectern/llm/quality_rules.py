@@ -126,6 +126,28 @@ def js_distance(counts: Column, reference: Column) -> Column:
     return F.when(full(counts) & full(reference), d)
 
 
+def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """doc_id, lang, n_chars, the base counts, both histograms and base_failed of each row."""
+    text, lang = F.col(text_col), F.col(lang_col)
+    cols = [F.col(id_col).alias("doc_id"), lang.alias("lang"), F.char_length(F.coalesce(text, F.lit(""))).alias("n_chars"), base_counts(text).alias("b"), class_histogram(text).alias("classes"), word_histogram(text, lang).alias("words")]
+    rows = docs.select(*cols).select("doc_id", "lang", "n_chars", "b.*", "classes", "words")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.withColumn("base_failed", failed)
+
+
+def pooled(rows: DataFrame) -> DataFrame:
+    """ref_lang, ref_classes, ref_words: for each language the summed histograms of the measured rows that pass the base rules."""
+    sums = lambda c, n: F.array(*(F.sum(F.get(c, k)) for k in range(n)))
+    most = max(map(len, COMMON_WORDS.values())) + 1
+    refs = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("ref_lang")).agg(sums("classes", len(CLASSES) + 1).alias("ref_classes"), sums("words", most).alias("ref_words"))
+    return refs.withColumn("ref_words", F.filter("ref_words", lambda x: x.isNotNull()))
+
+
+def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """References to write once, from a corpus that is trusted, and to judge other documents by: one row per language with a sound document (null is one), as verdicts takes them. No sound documents give no rows."""
+    return pooled(measured(docs, text_col, text_col, lang_col))
+
+
 def verdicts(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -136,22 +158,16 @@ def verdicts(
     max_word_distance: float = MAX_WORD_DISTANCE,
     min_chars: int = MIN_CHARS,
     min_words: int = MIN_WORDS,
+    references: DataFrame | None = None,
 ) -> DataFrame:
     """One row per row of docs: doc_id, the base counts, base_failed, kept, and the two distances (null where a guard or an empty histogram leaves a text unjudged).
 
-    The references are the pooled histograms of all documents of a language that pass the base rules, so they grow with the corpus and need no fixed table. Null text is empty (base_failed by its length);
+    references: those that language_references learned from another corpus; a verdict then depends on the document alone, and a language without one is judged by the base rules only. None: the pooled histograms of all
+    documents of docs that pass the base rules, so no table is needed. Null text is empty (base_failed by its length);
     a null or unknown language has a class reference of its own and no word list, so no word distance. Null ids and repeated rows stay; other columns are not read; no rows give none.
     """
-    text, lang = F.col(text_col), F.col(lang_col)
-    cols = [F.col(id_col).alias("doc_id"), lang.alias("lang"), F.char_length(F.coalesce(text, F.lit(""))).alias("n_chars"), base_counts(text).alias("b"), class_histogram(text).alias("classes"), word_histogram(text, lang).alias("words")]
-    rows = docs.select(*cols).select("doc_id", "lang", "n_chars", "b.*", "classes", "words")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = durable(rows.withColumn("base_failed", failed))
-    sums = lambda c, n: F.array(*(F.sum(F.get(c, k)) for k in range(n)))
-    most = max(map(len, COMMON_WORDS.values())) + 1
-    sound = rows.where(~F.col("base_failed")).groupBy("lang")
-    refs = sound.agg(sums("classes", len(CLASSES) + 1).alias("ref_classes"), sums("words", most).alias("ref_words")).withColumnRenamed("lang", "ref_lang")
-    refs = refs.withColumn("ref_words", F.filter("ref_words", lambda x: x.isNotNull()))
+    rows = durable(measured(docs, id_col, text_col, lang_col))
+    refs = pooled(rows) if references is None else references.select("ref_lang", "ref_classes", "ref_words")
     judged = rows.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     by_class = F.when(F.col("n_chars") >= min_chars, js_distance(F.col("classes"), F.col("ref_classes")))
     by_word = F.when((F.col("n_words") >= min_words) & (F.size("words") > 1), js_distance(F.col("words"), F.col("ref_words")))

@@ -117,6 +117,24 @@ def test_op10_odd_rows(spark):
     assert got == {1: base("a b c a b c a\nb\nb\n\n")[:1] + base("a b c a b c a\nb\nb\n\n")[3:], 2: (4, 0, 4)}
 
 
+def test_op10_stored_references_judge_each_document_alone(spark, data, tmp_path):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    quality_rules.language_references(docs).write.parquet(str(tmp_path / "refs"))
+    refs = spark.read.parquet(str(tmp_path / "refs"))
+    own = {tuple(r) for r in quality_rules.verdicts(docs).collect()}
+    assert {tuple(r) for r in quality_rules.verdicts(docs, references=refs).collect()} == own
+    junk = "".join(f"K7Q{i}X " for i in range(100))
+    odd = spark.createDataFrame([(1, junk, "en"), (2, junk, "xx"), (3, None, "en"), (4, junk, None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.verdicts(odd, references=refs).collect()}
+    assert not got[1].kept and got[1].class_distance > quality_rules.MAX_CLASS_DISTANCE and got[1].word_distance > 0.3
+    assert got[2].kept and got[2].class_distance is None and not got[3].kept and len(got) == 4
+    part = {r.doc_id: tuple(r) for r in quality_rules.verdicts(docs.where("lang = 'en'"), references=refs).collect()}
+    assert part and set(part.values()) <= own
+    assert quality_rules.language_references(docs.limit(0)).collect() == []
+    none = quality_rules.verdicts(docs, references=refs.limit(0)).collect()
+    assert all(r.kept == (not r.base_failed) and r.class_distance is None for r in none)
+
+
 def test_op10_keeps_labelled_good_documents(spark, data):
     kept = {r.doc_id: r for r in run("op10_quality_rules", spark, data)}
     good = [r.doc_id for r in spark.read.parquet(f"{data}/labels.parquet").where("quality = 1").collect()]
