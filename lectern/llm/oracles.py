@@ -86,10 +86,37 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_d
 """
 
 
+TIES = r"""
+WITH RECURSIVE bits AS (SELECT i AS n, i AS c, 0 AS k FROM generate_series(0, 255) t(i) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+ids AS (SELECT sale_id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(sale_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 5 = 0 AS one FROM (SELECT DISTINCT sale_id FROM sale_lines WHERE sale_id IS NOT NULL), crc),
+l AS (SELECT CASE WHEN one THEN -1 ELSE vendor_id END AS vendor_id, CASE WHEN one THEN -1 ELSE coalesce(item_id % 5, -1) END AS part,
+    CASE WHEN one THEN -1 ELSE coalesce(100 * year(shipped_at) + month(shipped_at), -1) END AS month,
+    CAST(floor(quantity / 10) AS BIGINT) AS tens, CAST(floor(100 * discount + 0.5) AS BIGINT) AS percent, sale_id, CAST(line_no AS BIGINT) AS line_no, CAST(quantity AS BIGINT) AS quantity,
+    CAST(floor(100 * amount + 0.5) AS BIGINT) AS amount_cents FROM sale_lines LEFT JOIN ids USING (sale_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY vendor_id, part, month ORDER BY tens DESC NULLS LAST, percent NULLS LAST, sale_id NULLS LAST, line_no NULLS LAST, quantity NULLS LAST, amount_cents NULLS LAST) AS pos,
+    count(*) OVER (PARTITION BY vendor_id, part, month, tens, percent) AS tied FROM l)
+SELECT vendor_id, part, month, pos, pos AS place, sale_id, line_no, quantity, percent, amount_cents, tied FROM r WHERE pos <= 2
+"""
+
+#: Units are listed as they match, the hash draws are read as hexadecimal numbers, and each output is put together from lists of units; what is restored must be the text.
+MIDDLES = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+n AS (SELECT *, len(u) AS n, list_transform([0, 1, 2, 3], lambda k: CAST('0x' || substr(h, CAST(8 * k + 1 AS BIGINT), 8) AS BIGINT)) AS x FROM d),
+c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x[3] % 100 >= 90 THEN 'plain' WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+"""
+
 ORACLES = {
     "op2_embedding_near_dedup": EMBEDDINGS,
     "op5_suffix_array_dedup": REPEATS,
     "op6_chat_formatting": CHAT,
     "op9_source_mix": MIX,
     "op10_quality_rules": quality_rules_sql(),
+    "op11_grouped_ranking_ties": TIES,
+    "op12_fill_in_middle": MIDDLES,
 }

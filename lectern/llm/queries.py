@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, embed_forest, line_dedup, mil, pfair, quality_rules, simhash, suffix_dedup, unigram
+from lectern.llm import bpe, chat, embed_forest, fill_in_middle, line_dedup, mil, order_minhash, pfair, quality_rules, simhash, suffix_dedup, tie_ranks, unigram
 from lectern.llm.common import documents, table
 from lectern.llm.oracles import ORACLES
 
@@ -62,7 +62,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
-QUERIES = (op1_token_counts, op2_embedding_near_dedup, op3_line_dedup, op4_quality_classifier, op5_suffix_array_dedup, op6_chat_formatting, op7_simhash_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_rules)
+def op11_grouped_ranking_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tie_ranks.first_lines(table(spark, sf_dir, "sale_lines"))
+    return lines.select("vendor_id", "part", "month", "pos", "place", "sale_id", "line_no", "quantity", "percent", "amount_cents", "tied")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.with_next(documents(spark, sf_dir))
+
+
+QUERIES = (op1_token_counts, op2_embedding_near_dedup, op3_line_dedup, op4_quality_classifier, op5_suffix_array_dedup, op6_chat_formatting, op7_simhash_near_dedup, op8_bpe_round_trip, op9_source_mix, op10_quality_rules, op11_grouped_ranking_ties, op12_fill_in_middle, op13_document_fingerprints)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
