@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.plans import base, documents, papers, reports, shares, timeline
+from lectern.plans import base, documents, layout, papers, reports, shares, timeline
 
 
 def queries() -> dict[str, base.Query]:
