@@ -23,6 +23,12 @@ MAX_DEPTH = 48
 BLOCK = 512
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1. They are first divided by their largest magnitude, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def projections(embedding, trees: int, depth: int, seed: int):
     """array<double>: the unit vector of an embedding on the random direction of this depth in each tree, with a jitter of 1e-9 that lets vectors that coincide be split."""
 
@@ -34,7 +40,7 @@ def projections(embedding, trees: int, depth: int, seed: int):
         for width in np.unique(sizes):
             rows = np.flatnonzero(sizes == width)
             x = values[(starts[rows][:, None] + np.arange(width)).ravel()].reshape(len(rows), width)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = unit(x)
             out[rows] = x @ np.random.default_rng([seed, depth, int(width)]).standard_normal((width, trees))
         rng_bits = (ids.to_numpy(zero_copy_only=False).astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9) * np.uint64(depth + 1))
         out += ((rng_bits >> np.uint64(40)).astype(np.float64) / (1 << 24) - 0.5) * 1e-9
@@ -74,8 +80,7 @@ def grow(vectors: DataFrame, trees: int, leaf_vectors: int, seed: int) -> DataFr
 
 def unit_rows(rows: list[list[float]]) -> np.ndarray:
     """Rows of one length, scaled to length 1, in double precision."""
-    x = np.array(rows, np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return unit(np.array(rows, np.float64))
 
 
 def reached(x: np.ndarray, threshold: float) -> list[np.ndarray]:

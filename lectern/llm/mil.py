@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of a passage; the last of a text may be shorter.
 PASSAGE_BYTES = 512
@@ -170,24 +171,32 @@ def held_out(id_column: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES, seed: int = 1) -> Model:
     """A model learned from the labels of rows that aren't held out, from all passages of each text.
 
-    The sample: of the labelled ids the max_docs with the least hash, and of these, in that order, as many as have max_bytes of text together (the first always). An id with several labels counts by their mean, rounded (half up);
-    one with several texts by the least of them, so nothing depends on the order of rows. Null labels and ids are left out.
+    The sample: the labelled ids in the order of their hash, up to max_docs of them; each that fits into what is left of max_bytes of text is taken, one that doesn't is passed over, so a long text costs only itself and nothing over max_bytes
+    is gathered. An id with several labels counts by their mean, rounded (half up); one with several texts by the least of them, so nothing depends on the order of rows. Null labels and ids are left out.
     """
     known = labels.where(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     chosen = known.withColumn("at", F.xxhash64("id")).orderBy("at", "id").limit(max_docs)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sizes = texts.select("id", F.octet_length("text").alias("n")).join(F.broadcast(chosen), "id").groupBy("at", "id").agg(F.max("n").alias("n")).collect()  # max_docs ids and numbers
-    sizes.sort(key=lambda r: (r["at"], r["id"]))
-    room = np.searchsorted(np.cumsum([r["n"] for r in sizes]), max_bytes, side="right")
-    if not sizes:
+    own = fitting([(r["id"], r["n"]) for r in sorted(sizes, key=lambda r: (r["at"], r["id"]))], max_bytes)
+    if not own:
         return fit([], np.empty(0), seed=seed)
-    last = sizes[min(len(sizes), max(1, room)) - 1]
-    within = chosen.where((F.col("at") < last["at"]) | ((F.col("at") == last["at"]) & (F.col("id") <= F.lit(last["id"]))))
-    got = texts.join(F.broadcast(within), "id").groupBy("id", "y").agg(F.min("text").alias("text")).collect()  # max_bytes of text, unless the first is longer
+    within = docs.sparkSession.createDataFrame([(i,) for i in own], StructType([StructField("id", texts.schema["id"].dataType)]))
+    got = texts.join(F.broadcast(within), "id").groupBy("id").agg(F.min("text").alias("text")).join(F.broadcast(known.join(F.broadcast(within), "id")), "id").collect()  # max_docs ids and max_bytes of text
     got.sort(key=lambda r: r["id"])
     return fit([bag(r["text"]) for r in got], np.array([r["y"] for r in got], float), seed=seed)
 
 
+def fitting(sizes: list[tuple], room: int) -> list:
+    """The ids of a list of (id, size) that are taken in order, each if it fits into what room the ones before have left."""
+    out = []
+    for i, n in sizes:
+        if n <= room:
+            out.append(i)
+            room -= n
+    return out
+
+
 def score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def mil_score(texts: pa.Array) -> pa.Array:

@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import free_name
+from lectern.llm.common import durable, free_name
 
 #: Documents of one source in a block.
 BLOCK_DOCS = 16
-#: Slots that are worked out in one go before their turns are set aside.
-STRETCH = 512
+#: Slots that are worked out in one row.
+STRETCH = 4096
 #: Slots of a cycle that is broadcast at most (some 40 MB).
 BROADCAST_SLOTS = 1_000_000
 #: Weights are numbers, or text such as "1/3".
@@ -45,8 +45,8 @@ def weighted(sizes: DataFrame, weights: Weights | None) -> DataFrame:
 
 
 def quotient(a: Column, b: Column) -> Column:
-    """a over b in whole numbers, both above 0 or a 0; exact up to 2^53."""
-    return ((a - a % b) / b).cast("long")
+    """a over b in whole numbers, rounded down; none is below 0."""
+    return F.call_function("div", a, b)
 
 
 def release(block: Column, share: Column, slots: Column) -> Column:
@@ -59,16 +59,26 @@ def deadline(block: Column, share: Column, slots: Column) -> Column:
     return quotient((block + 1) * slots + share - 1, share)
 
 
-def cycle(sources: DataFrame, block_docs: int) -> DataFrame:
-    """src, nth, slot: where the nth block of a source stands, by the earliest deadline of the blocks released; of equal deadlines the source of the larger share goes first, then the one before in order.
+def guessed(kinds: Column, slots: Column, t: Column) -> Column:
+    """How many blocks of each kind (share, members) stand before slot t, as far as that shows without the slots before: of each source the whole part of t times its weight, and what t then lacks from the blocks of the earliest deadlines.
 
-    The shares fill the slots, so a block is always ready and each lies within its release and deadline: at any time a source is less than one block from its target weight. After `slots` slots all
-    is as at the start, so what is worked out is one cycle, or less if the documents need less. Sources of one share have the same releases and deadlines and take turns, so a step goes over the different shares only.
-    """
-    ranked = sources.where("share > 0").withColumn("seat", F.row_number().over(Window.partitionBy("share").orderBy("src")) - 1)
-    needed = F.max(deadline(quotient(F.col("docs") + block_docs - 1, F.lit(block_docs)) - 1, F.col("share"), F.col("slots")))
-    kinds = ranked.groupBy("share", "slots").agg(F.count(F.lit(1)).alias("members"), needed.alias("needed"))
-    one = kinds.groupBy("slots").agg(F.reverse(F.array_sort(F.collect_list(F.struct("share", "members")))).alias("kinds"), F.least(F.max("needed"), F.first("slots")).alias("steps"))
+    Those whole parts are never too many, and t minus their sum is what EDF has chosen from one further block of each source; which ones depends on the slots before, but mostly they are the most urgent."""
+    floors = F.transform(kinds, lambda k: quotient(t * k["share"], slots))
+    base = F.zip_with(kinds, floors, lambda k, n: k["members"] * n)
+    missing = t - F.aggregate(base, F.lit(0).cast("long"), lambda s, x: s + x)
+    urgent = F.array_sort(F.filter(F.transform(F.arrays_zip(kinds.alias("k"), floors.alias("n")), lambda x, i: F.when(release(x["n"], x["k"]["share"], slots) < t, F.struct(deadline(x["n"], x["k"]["share"], slots).alias("deadline"), i.alias("kind"), x["k"]["members"].alias("members")))), lambda x: x.isNotNull()))
+
+    def spend(s: Column, u: Column) -> Column:
+        n = F.least(s["left"], u["members"])
+        return F.struct((s["left"] - n).alias("left"), F.concat(s["more"], F.array(F.struct(u["kind"].alias("kind"), n.alias("n")))).alias("more"))
+
+    spent = F.aggregate(urgent, F.struct(missing.alias("left"), F.array().cast("array<struct<kind:int,n:bigint>>").alias("more")), spend)["more"]
+    more = F.map_from_entries(spent)
+    return F.transform(base, lambda n, i: n + F.coalesce(more[i], F.lit(0)))
+
+
+def played(ranges: DataFrame) -> DataFrame:
+    """ranges (kinds, slots, first, last, done: blocks of each kind before first) with turns, the kind of each slot from first to last, and after, the blocks of each kind before last + 1."""
     slots = F.col("slots")
 
     def bid(kind: Column, done: Column) -> Column:
@@ -82,16 +92,38 @@ def cycle(sources: DataFrame, block_docs: int) -> DataFrame:
         turn = F.transform(F.array(F.array_min(ready)["kind"]), lambda c: F.struct(F.transform(state["bids"], lambda b, i: F.when(i == c, bid(F.get(F.col("kinds"), i), b["done"] + 1)).otherwise(b)).alias("bids"), F.concat(state["turns"], F.array(c)).alias("turns")))
         return F.get(turn, F.lit(0))
 
-    def stretch(state: Column, first: Column) -> Column:
-        begun = F.struct(state["bids"].alias("bids"), F.array().cast("array<int>").alias("turns"))
-        over = F.transform(F.array(F.aggregate(F.sequence(first, F.least(first + STRETCH, F.col("steps")) - 1), begun, step)), lambda x: F.struct(x["bids"].alias("bids"), F.concat(state["turns"], F.array(x["turns"])).alias("turns")))
-        return F.get(over, F.lit(0))
+    begun = F.struct(F.zip_with("kinds", "done", bid).alias("bids"), F.array().cast("array<int>").alias("turns"))
+    end = ranges.withColumn("end", F.aggregate(F.sequence("first", "last"), begun, step))
+    return end.select("kinds", "slots", "first", "last", "done", F.col("end.turns").alias("turns"), F.transform("end.bids", lambda b: b["done"]).alias("after"))
 
-    zero = F.lit(0).cast("long")
-    start = F.struct(F.transform("kinds", lambda k: bid(k, zero)).alias("bids"), F.array().cast("array<array<int>>").alias("turns"))
-    all_turns = F.flatten(F.aggregate(F.sequence(zero, F.col("steps") - 1, F.lit(STRETCH).cast("long")), start, stretch)["turns"])
-    turns = one.select("kinds", F.posexplode(all_turns).alias("slot", "kind")).select(F.get(F.col("kinds"), F.col("kind")).alias("k"), F.col("slot").cast("long").alias("slot"))
-    placed = turns.select("k.share", "k.members", "slot", (F.row_number().over(Window.partitionBy("k.share").orderBy("slot")) - 1).cast("long").alias("done"))
+
+def cycle(sources: DataFrame, block_docs: int) -> DataFrame:
+    """src, nth, slot: where the nth block of a source stands, by the earliest deadline of the blocks released; of equal deadlines the source of the larger share goes first, then the one before in order.
+
+    The shares fill the slots, so a block is always ready and each lies within its release and deadline: at any time a source is less than one block from its target weight. After `slots` slots all
+    is as at the start, so what is worked out is one cycle, or less if the documents need less. Sources of one share have the same releases and deadlines and take turns, so a step goes over the different shares only.
+
+    The cycle is cut into ranges of STRETCH slots that are played in parallel, each from a guess of where it begins. A range that begins elsewhere than the one before has ended is played again from there, with only such ranges, until none is
+    left: the first range is right from the start, and each round settles one more at least. A guess that is wrong mostly meets the right course within its range, as an urgent block comes first in both.
+    """
+    ranked = sources.where("share > 0").withColumn("seat", F.row_number().over(Window.partitionBy("share").orderBy("src")) - 1)
+    needed = F.max(deadline(quotient(F.col("docs") + block_docs - 1, F.lit(block_docs)) - 1, F.col("share"), F.col("slots")))
+    kinds = ranked.groupBy("share", "slots").agg(F.count(F.lit(1)).alias("members"), needed.alias("needed"))
+    one = kinds.groupBy("slots").agg(F.reverse(F.array_sort(F.collect_list(F.struct("share", "members")))).alias("kinds"), F.least(F.max("needed"), F.first("slots")).alias("steps"))
+    ranges = one.select("kinds", "slots", "steps", F.explode(F.sequence(F.lit(0).cast("long"), F.col("steps") - 1, F.lit(STRETCH).cast("long"))).alias("first"))
+    ranges = ranges.repartition("first").select("kinds", "slots", "first", (F.least(F.col("first") + STRETCH, F.col("steps")) - 1).alias("last"), guessed(F.col("kinds"), F.col("slots"), F.col("first")).alias("done"))
+    settled = durable(played(ranges))
+    while True:
+        ends = settled.select((F.col("last") + 1).alias("first"), F.col("after").alias("begin"))
+        off = settled.join(ends, "first").where("done <> begin").select("kinds", "slots", "first", "last", F.col("begin").alias("done"))
+        again = durable(played(off))
+        if again.isEmpty():
+            break
+        settled = durable(settled.join(again.select("first"), "first", "left_anti").select(*again.columns).unionByName(again))
+    turns = settled.select("kinds", "first", "done", F.posexplode("turns").alias("n", "kind"))
+    turns = turns.select("first", F.get("kinds", F.col("kind")).alias("k"), F.get("done", F.col("kind")).alias("before"), "kind", (F.col("first") + F.col("n")).alias("slot"))
+    of_range = F.row_number().over(Window.partitionBy("first", "kind").orderBy("slot")) - 1
+    placed = turns.select("k.share", "k.members", "slot", (F.col("before") + of_range).cast("long").alias("done"))
     placed = placed.select("share", F.col("done") % F.col("members"), quotient(F.col("done"), F.col("members")), "slot").toDF("share", "seat", "nth", "slot")
     return placed.join(ranked.select("share", "seat", "src"), ["share", "seat"]).select("src", "nth", "slot")
 
@@ -103,8 +135,8 @@ def scheduled(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     Sources without a weight (share 0) come after the last deadline of the others and take turns, a block each. A null source is a source of its own. Null ids come first in their source. Repeated rows stay. Columns of docs that
     clash with one of the new names win no place: give `names` to rename the new ones. No rows give none.
 
-    A source with a third of all rows is ranked in parts, by the first digits of the md5, with the parts before counted ahead. The cycle is worked out in one row: a step for each slot and different share, with the default weights
-    about the square root of documents times sources. It is broadcast only if it is small.
+    A source with a third of all rows is ranked in parts, by the first digits of the md5, with the parts before counted ahead. The cycle (with the default weights about the square root of documents times sources) is worked out in
+    ranges of slots, and broadcast only if it is small.
     """
     new = {c: c for c in ("src_key", "share", "slots", "block", "release", "deadline", "slot", "place")} | (names or {})
     digits = min(7, max(1, math.ceil(math.log(max(2, docs.count()), 16) / 2)))

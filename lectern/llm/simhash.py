@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations, islice, repeat
 
 import numpy as np
@@ -22,8 +23,8 @@ BYTES = 8
 PAIRINGS = (((0, 1), (2, 3), (4, 5), (6, 7)), ((1, 2), (3, 4), (5, 6), (7, 0)))
 #: Keys that fingerprints within RADIUS bits share at least: two bytes that differ leave two pairs of each way whole, and with them one key of each way.
 LEAST_SHARED = len(PAIRINGS)
-#: Longest posting list of which the pairs are tallied; longer lists take the exact neighbour path.
-TALLIED_POSTINGS = 24
+#: A posting list of more members is split by further positions before its pairs are counted.
+SPLIT_POSTINGS = 24
 
 
 def text_fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
@@ -68,27 +69,51 @@ def posting_keys(fp: str) -> list[Column]:
     return keys
 
 
+def narrower(postings: DataFrame, bits: int) -> DataFrame:
+    """Posting lists that are split once more. postings: fp, key (array), free (the four positions, in pieces of so many bits, that the key leaves open).
+
+    Fingerprints within RADIUS bits differ in two of four open positions at most, so they agree in two others, and with them in one of the six keys of two positions. Each is a further part of the key; the other two positions stay open, in halves.
+    """
+    choices = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.array(*map(F.lit, rest)).alias("rest")) for a, b in combinations(range(4), 2) for rest in [[x for x in range(4) if x not in (a, b)]]))
+    x = postings.select("fp", "key", "free", F.explode(choices).alias("c"))
+    at = lambda i: F.get("free", F.col(i)).cast("int")
+    x = x.withColumns({"pa": at("c.a"), "pb": at("c.b")})
+    taken = lambda p: F.expr(f"shiftrightunsigned(fp, {64 - bits} - {bits} * {p}) & {(1 << bits) - 1}")
+    more = F.array(F.col("pa").cast("long"), taken("pa"), F.col("pb").cast("long"), taken("pb"))
+    halves = F.flatten(F.transform("c.rest", lambda r: F.array(2 * F.get("free", r), 2 * F.get("free", r) + 1)))
+    return x.select("fp", F.concat("key", more).alias("key"), halves.alias("free"))
+
+
+def paired(postings: DataFrame) -> DataFrame:
+    """(u, v, matches): each two fingerprints that share lists, and how many."""
+    left, right = postings.select("key", F.col("fp").alias("u")), postings.select("key", F.col("fp").alias("v"))
+    return left.join(right, "key").where("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("matches"))
+
+
 def fingerprint_links(fingerprints: DataFrame) -> DataFrame:
-    """(u, v): links that connect the distinct fingerprints in column fp just as all pairs within RADIUS bits would.
+    """(u, v): all pairs of the distinct fingerprints in column fp that lie within RADIUS bits.
 
     The inverted index files a fingerprint under twelve keys of four positional bytes each (one byte alone would hold a 256th of all rows). The posting lists give a row for each two fingerprints
     that share a key; these are tallied for each pair, pairs short of LEAST_SHARED keys go unverified, and of the others the differing bits are counted.
-    A list of more than TALLIED_POSTINGS would give pairs by the square of its length. All members of such lists are instead filed under themselves and each fingerprint one bit away: what is filed in one place
-    is within two bits of each other, and any two within two bits share a place, so one edge to the smallest member for each links the same. A pair that shares a long list is linked so; one that shares none has all its shared keys in the tally.
+    A list of more than SPLIT_POSTINGS would give pairs by the square of its length: it is split by two more of its four open bytes, and a list that is still so long by two of the four half bytes that these leave. Two fingerprints within
+    RADIUS bits share one of the six keys of each split, so one match is the guaranteed minimum there; after both, eight bits are open, so a list has 256 members at most. A pair of which one shared list is split is found there; one of
+    which none is has all its shared keys in the first tally.
     """
-    postings = fingerprints.select("fp", F.explode(F.array(*posting_keys("fp"))).alias("key"))
-    lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = durable(postings.join(lists, "key"))  # a fingerprint alone in all its lists leaves here
-    few = shared.where(F.col("members") <= TALLIED_POSTINGS)
-    left, right = few.select("key", F.col("fp").alias("u")), few.select("key", F.col("fp").alias("v"))
-    tally = left.join(right, "key").where("u < v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("matches")).where(F.col("matches") >= LEAST_SHARED)
-    pairs = tally.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS).select("u", "v")
-    many = shared.where(F.col("members") > TALLIED_POSTINGS).select("fp").distinct()
-    flips = [F.lit(0).cast("long"), *(F.shiftleft(F.lit(1).cast("long"), b) for b in range(64))]
-    filed = many.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(x) for x in flips))).alias("place"))
-    least = filed.groupBy("place").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = filed.join(least, "place").where("fp <> v").select(F.col("fp").alias("u"), "v")
-    return pairs.unionByName(stars).distinct()
+    keys = [(k, [p for p in range(BYTES) if p not in (*a, *b)]) for k, (a, b) in enumerate(x for way in PAIRINGS for x in combinations(way, 2))]
+    filed = F.array(*(F.struct(F.array(v).alias("key"), F.array(*map(F.lit, keys[k][1])).alias("free")) for k, v in enumerate(posting_keys("fp"))))
+    postings = fingerprints.select("fp", F.explode(filed).alias("x")).select("fp", "x.key", "x.free")
+    close = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS
+    found = []
+    for least, bits in ((LEAST_SHARED, 8), (1, 4), (1, None)):
+        lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        shared = durable(postings.join(lists, "key"))  # a fingerprint alone in all its lists leaves here
+        short = shared if bits is None else shared.where(F.col("members") <= SPLIT_POSTINGS)
+        found.append(paired(short).where((F.col("matches") >= least) & close).select("u", "v"))
+        long = shared.where(F.col("members") > SPLIT_POSTINGS).drop("members")
+        if bits is None or long.isEmpty():
+            break
+        postings = narrower(long, bits)
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words_per_shingle: int = 3) -> DataFrame:

@@ -50,6 +50,12 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_op2_very_large_and_small_numbers(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [5e-324, 5e-324]), (5, [-1e200, 1e200]), (6, [1.0, 1.0]), (7, [0.0, 0.0]), (8, [float("inf"), 1.0])]
+    got = embed_forest.near_duplicates(spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, label string")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 6: (4, 1), 5: (0, 5), 7: (0, 7), 8: (0, 8)}
+
+
 def plain_fingerprint(text, width=3):
     """SimHash by the words of its definition: a bit is 1 if it is set in over half of the shingles' hashes."""
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
@@ -73,9 +79,9 @@ def test_op7_fingerprints(spark, data):
         assert simhash.text_fingerprint(t) == plain_fingerprint(t), t
 
 
-@pytest.mark.parametrize("tallied", [0, 3, simhash.TALLIED_POSTINGS])
+@pytest.mark.parametrize("tallied", [0, 3, simhash.SPLIT_POSTINGS])
 def test_op7_links_by_tally_and_neighbours(spark, monkeypatch, tallied):
-    monkeypatch.setattr(simhash, "TALLIED_POSTINGS", tallied)
+    monkeypatch.setattr(simhash, "SPLIT_POSTINGS", tallied)
     rng = random.Random(3)
     fps = [rng.getrandbits(64) for _ in range(60)]
     for f in list(fps):
@@ -90,6 +96,17 @@ def test_op7_links_by_tally_and_neighbours(spark, monkeypatch, tallied):
     assert got == {i: (f"{f:016x}", comp[i]) for i, f in enumerate(fps)}
 
 
+def test_op7_splits_lists_that_share_most_bytes(spark):
+    rng = random.Random(8)
+    base = rng.getrandbits(64)
+    near = {base ^ rng.getrandbits(8) ^ (rng.getrandbits(6) << 40) for _ in range(700)} | {base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(0, 64, 9)}
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    fps = sorted(near)
+    links = simhash.fingerprint_links(spark.createDataFrame([(signed(f),) for f in fps], "fp long")).collect()
+    want = {tuple(sorted((signed(a), signed(b)))) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 2}
+    assert len(links) == len(want) and {tuple(sorted((r.u, r.v))) for r in links} == want
+
+
 def test_op7_every_two_bits_share_the_least_number_of_keys(spark):
     flips = [(1 << a) ^ (1 << b) for a in range(64) for b in range(a)] + [1 << a for a in range(64)]
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in flips], "f long").withColumn("z", F.lit(0).cast("long"))
@@ -372,6 +389,37 @@ def test_op9_deviates_by_less_than_a_block_from_its_weight(spark):
         assert all(r.slot >= after for r in out if r.src_key not in weighed)
 
 
+def plain_edf(shares, slots):
+    """The source of each slot, one after the other: of the blocks released the one of the earliest deadline, then of the larger share, then the first in order."""
+    order, done, out = sorted(shares, key=lambda s: (-shares[s], s)), dict.fromkeys(shares, 0), []
+    turn = {s: sorted(k for k in shares if shares[k] == shares[s]).index(s) for s in shares}
+    for t in range(slots):
+        ready = [(-(-(done[s] + 1) * slots // shares[s]), -shares[s], done[s], turn[s], s) for s in order if done[s] * slots // shares[s] <= t]
+        s = min(ready)[-1]
+        done[s] += 1
+        out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("shares", [{"a": 70000, "b": 29997, "c": 3}, {"a": 401, "b": 307, "c": 307, "d": 89, "e": 2, "f": 1}, {f"s{k:02}": 1 + k % 7 for k in range(60)}, {"a": 1}])
+def test_op9_ranges_in_parallel_are_the_course_of_one(spark, monkeypatch, shares):
+    slots = sum(shares.values())
+    monkeypatch.setattr(pfair, "STRETCH", 16 if slots < 5000 else 4096)
+    sources = spark.createDataFrame([(s, 10**9, n, slots) for s, n in shares.items()], "src string, docs long, share long, slots long")
+    got = pfair.cycle(sources, 1).collect()
+    want, nth = plain_edf(shares, slots), Counter()
+    by_slot = {r.slot: (r.src, r.nth) for r in got}
+    assert len(got) == len(by_slot) == slots
+    for t, s in enumerate(want):
+        assert by_slot[t] == (s, nth[s])
+        nth[s] += 1
+
+
+def test_op9_quotients_are_whole_beyond_doubles(spark):
+    big = (1 << 62) + 1
+    assert spark.range(1).select(pfair.quotient(F.lit(big), F.lit(3).cast("long"))).first()[0] == big // 3
+
+
 def test_op9_has_no_bound_on_sources_and_a_fixed_order(spark):
     rows = [(k, f"source {k % 6000}") for k in range(9000)]
     out = pfair.scheduled(spark.createDataFrame(rows, "doc_id long, source string"), block_docs=1).collect()

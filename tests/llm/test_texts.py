@@ -200,7 +200,21 @@ def test_op4_learns_from_whole_texts_within_its_bound(spark, monkeypatch):
     assert 0 < sum(seen[1][0]) * 512 <= 40_000 + 512 * len(seen[1][0])
     mil.train(docs, labels, max_bytes=1)
     mil.train(docs, labels, max_docs=5)
-    assert len(seen[2][0]) == 1 and len(seen[3][0]) == 5
+    assert len(seen[2][0]) == 0 and len(seen[3][0]) == 5
+
+
+def test_op4_a_text_that_is_too_long_costs_only_itself(spark, monkeypatch):
+    for at in range(6):
+        assert mil.fitting([(i, 1000 if i == at else 10) for i in range(6)], 60) == [i for i in range(6) if i != at]
+    assert mil.fitting([(1, 30), (2, 40), (3, 30)], 60) == [1, 3] and mil.fitting([], 5) == []
+    seen = []
+    monkeypatch.setattr(mil, "fit", lambda bags, labels, seed=1: seen.append(len(bags)))
+    free = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    for long in (free[0], free[len(free) // 2], free[-1]):
+        docs = spark.createDataFrame([(i, "word " * (9000 if i == long else 20)) for i in range(60)], "doc_id long, text string")
+        mil.train(docs, labels, max_bytes=20_000)
+    assert seen == [len(free) - 1] * 3
 
 
 def test_op4_held_out_accuracy(spark):
