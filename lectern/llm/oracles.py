@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.llm.quality_rules import COMMON_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_WORDS
+from lectern.llm.quality_rules import COMMON_WORDS, MAX_CLASS_DISTANCE, MIN_CHARS, MIN_WORDS, SCALE_STEPS, WORD_MOST, WORD_SLACK, WORD_SPREAD
 
 EMBEDDINGS = r"""
 WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -80,9 +80,11 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 h AS (SELECT *, list_append(common, greatest(0, all_words - coalesce(list_sum(common), 0))) AS words FROM f),
 rc AS (SELECT lang, list(v ORDER BY k) AS ref_classes FROM (SELECT lang, k, sum(classes[k]) AS v FROM h, generate_series(1, {len(classes) + 1}) s(k) WHERE NOT base_failed GROUP BY lang, k) GROUP BY lang),
 rw AS (SELECT lang, list(v ORDER BY k) AS ref_words FROM (SELECT lang, k, sum(words[k]) AS v FROM h, generate_series(1, 21) s(k) WHERE NOT base_failed AND words[k] IS NOT NULL GROUP BY lang, k) GROUP BY lang),
-j AS (SELECT h.*, CASE WHEN n_chars >= {MIN_CHARS} THEN {distance('classes', 'ref_classes')} END AS dc, CASE WHEN n_words >= {MIN_WORDS} AND len(words) > 1 THEN {distance('words', 'ref_words')} END AS dw
-    FROM h LEFT JOIN rc ON h.lang IS NOT DISTINCT FROM rc.lang LEFT JOIN rw ON h.lang IS NOT DISTINCT FROM rw.lang)
-SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(dc, 0) <= {MAX_CLASS_DISTANCE} AND coalesce(dw, 0) <= {MAX_WORD_DISTANCE} AS kept FROM j
+j AS (SELECT h.*, CASE WHEN n_chars >= {MIN_CHARS} THEN {distance('classes', 'ref_classes')} END AS dc, CASE WHEN n_words >= {MIN_WORDS} AND len(words) > 1 THEN {distance('words', 'ref_words')} END AS dw, {distance("list_transform(ref_words, lambda x, i: CASE WHEN i = len(ref_words) THEN 1 ELSE 0 END)", 'ref_words')} AS d0
+    FROM h LEFT JOIN rc ON h.lang IS NOT DISTINCT FROM rc.lang LEFT JOIN rw ON h.lang IS NOT DISTINCT FROM rw.lang),
+w AS (SELECT lang, quantile_disc(CAST(floor(dw * sqrt(n_words) * {SCALE_STEPS}) AS BIGINT), 0.5) AS middle FROM j WHERE NOT base_failed AND dw IS NOT NULL GROUP BY lang)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(dc, 0) <= {MAX_CLASS_DISTANCE} AND coalesce(dw <= least({WORD_MOST} * d0, {WORD_SLACK} + {WORD_SPREAD} * (middle + 1) / {SCALE_STEPS} / sqrt(n_words)), TRUE) AS kept
+FROM j LEFT JOIN w ON j.lang IS NOT DISTINCT FROM w.lang
 """
 
 

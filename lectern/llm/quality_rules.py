@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lectern.llm.common import ascii_words, durable
 
@@ -19,8 +20,13 @@ COMMON_WORDS = {
 }
 #: Guards: shorter texts are not judged by that histogram.
 MIN_CHARS, MIN_WORDS = 200, 80
-#: Largest Jensen-Shannon distance (square root of the divergence to base 2, 0 to 1) that is kept.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.40
+#: Largest Jensen-Shannon distance (square root of the divergence to base 2, 0 to 1) of character classes that is kept.
+MAX_CLASS_DISTANCE = 0.30
+#: The distance of common words falls with the square root of a text's words. Kept is what lies within WORD_SPREAD times the middle one of its language at that length, and WORD_SLACK; but never more than WORD_MOST of the distance
+#: of a text without any common word.
+WORD_SPREAD, WORD_SLACK, WORD_MOST = 1.6, 0.08, 0.9
+#: Steps of 1 in which distances times the square root of words are counted, to find the middle one.
+SCALE_STEPS = 100
 
 
 def covered_by_repeats(words: Column) -> Column:
@@ -135,17 +141,38 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Data
     return rows.withColumn("base_failed", failed)
 
 
-def pooled(rows: DataFrame) -> DataFrame:
-    """ref_lang, ref_classes, ref_words: for each language the summed histograms of the measured rows that pass the base rules."""
+def by_words(min_words: int) -> Column:
+    """The distance of common words from ref_words; null where a guard or an empty histogram leaves a text unjudged."""
+    return F.when((F.col("n_words") >= min_words) & (F.size("words") > 1), js_distance(F.col("words"), F.col("ref_words")))
+
+
+def pooled(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """ref_lang, ref_classes, ref_words, word_scale: for each language the summed histograms of the measured rows that pass the base rules, and the middle one of their distances of common words times the square root of their words.
+
+    The middle one is read from counts by steps, so no language's rows are sorted; it does not depend on how rows are dealt. It is null where no row is long enough."""
     sums = lambda c, n: F.array(*(F.sum(F.get(c, k)) for k in range(n)))
     most = max(map(len, COMMON_WORDS.values())) + 1
-    refs = rows.where(~F.col("base_failed")).groupBy(F.col("lang").alias("ref_lang")).agg(sums("classes", len(CLASSES) + 1).alias("ref_classes"), sums("words", most).alias("ref_words"))
-    return refs.withColumn("ref_words", F.filter("ref_words", lambda x: x.isNotNull()))
+    sound = rows.where(~F.col("base_failed"))
+    refs = sound.groupBy(F.col("lang").alias("ref_lang")).agg(sums("classes", len(CLASSES) + 1).alias("ref_classes"), sums("words", most).alias("ref_words"))
+    refs = durable(refs.withColumn("ref_words", F.filter("ref_words", lambda x: x.isNotNull())))
+    near = sound.join(refs.select("ref_lang", "ref_words"), F.col("lang").eqNullSafe(F.col("ref_lang"))).withColumn("d", by_words(min_words)).where("d is not null")
+    steps = near.groupBy(F.struct("ref_lang").alias("of"), F.floor(F.col("d") * F.sqrt("n_words") * SCALE_STEPS).alias("step")).agg(F.count(F.lit(1)).alias("c"))
+    so_far = F.sum("c").over(Window.partitionBy("of").orderBy("step"))
+    steps = steps.select("of", "step", so_far.alias("so_far"), F.sum("c").over(Window.partitionBy("of")).alias("all"))
+    middle = steps.where(2 * F.col("so_far") >= F.col("all")).groupBy("of").agg(((F.min("step") + 1) / SCALE_STEPS).alias("word_scale"))
+    return refs.join(middle, F.struct("ref_lang") == F.col("of"), "left").drop("of")
+
+
+def word_limit(spread: float, slack: float, most: float) -> Column:
+    """The largest kept distance of common words for a text of n_words, by the references joined to it."""
+    none = F.transform("ref_words", lambda x, i: (i == F.size("ref_words") - 1).cast("long"))
+    cap = most * js_distance(none, F.col("ref_words"))
+    return F.least(cap, slack + spread * F.col("word_scale") / F.sqrt(F.greatest("n_words", F.lit(1))))  # least passes over a null scale
 
 
 def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """References to write once, from a corpus that is trusted, and to judge other documents by: one row per language with a sound document (null is one), as verdicts takes them. No sound documents give no rows."""
-    return pooled(measured(docs, text_col, text_col, lang_col))
+    return pooled(durable(measured(docs, text_col, text_col, lang_col).drop("doc_id")))
 
 
 def verdicts(
@@ -155,22 +182,26 @@ def verdicts(
     lang_col: str = "lang",
     *,
     max_class_distance: float = MAX_CLASS_DISTANCE,
-    max_word_distance: float = MAX_WORD_DISTANCE,
+    word_spread: float = WORD_SPREAD,
+    word_slack: float = WORD_SLACK,
+    word_most: float = WORD_MOST,
     min_chars: int = MIN_CHARS,
     min_words: int = MIN_WORDS,
     references: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per row of docs: doc_id, the base counts, base_failed, kept, and the two distances (null where a guard or an empty histogram leaves a text unjudged).
+    """One row per row of docs: doc_id, the base counts, base_failed, kept, the two distances (null where a guard or an empty histogram leaves a text unjudged) and word_limit.
+
+    A text is rejected if its character classes are too far from those of its language, or its common words farther than word_limit, be they too many or too few: the limit is learned from the sound documents of the language, falls with a
+    text's length, and never reaches the distance of a text without common words.
 
     references: those that language_references learned from another corpus; a verdict then depends on the document alone, and a language without one is judged by the base rules only. None: the pooled histograms of all
     documents of docs that pass the base rules, so no table is needed. Null text is empty (base_failed by its length);
     a null or unknown language has a class reference of its own and no word list, so no word distance. Null ids and repeated rows stay; other columns are not read; no rows give none.
     """
     rows = durable(measured(docs, id_col, text_col, lang_col))
-    refs = pooled(rows) if references is None else references.select("ref_lang", "ref_classes", "ref_words")
+    refs = pooled(rows, min_words) if references is None else references.select("ref_lang", "ref_classes", "ref_words", "word_scale")
     judged = rows.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     by_class = F.when(F.col("n_chars") >= min_chars, js_distance(F.col("classes"), F.col("ref_classes")))
-    by_word = F.when((F.col("n_words") >= min_words) & (F.size("words") > 1), js_distance(F.col("words"), F.col("ref_words")))
-    judged = judged.withColumns({"class_distance": by_class, "word_distance": by_word})
-    fine = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance)
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & fine).alias("kept"), "class_distance", "word_distance")
+    judged = judged.withColumns({"class_distance": by_class, "word_distance": by_words(min_words), "word_limit": word_limit(word_spread, word_slack, word_most)})
+    fine = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & F.coalesce(F.col("word_distance") <= F.col("word_limit"), F.lit(True))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & fine).alias("kept"), "class_distance", "word_distance", "word_limit")

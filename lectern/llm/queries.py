@@ -59,7 +59,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.verdicts(documents(spark, sf_dir)).drop("class_distance", "word_distance")
+    return quality_rules.verdicts(documents(spark, sf_dir)).drop("class_distance", "word_distance", "word_limit")
 
 
 def op11_grouped_ranking_ties(spark: SparkSession, sf_dir: str) -> DataFrame:

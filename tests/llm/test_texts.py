@@ -117,6 +117,23 @@ def test_op10_odd_rows(spark):
     assert got == {1: base("a b c a b c a\nb\nb\n\n")[:1] + base("a b c a b c a\nb\nb\n\n")[3:], 2: (4, 0, 4)}
 
 
+def test_op10_words_of_no_language_fail_and_good_documents_stay(spark):
+    data = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), {r.doc_id: r.quality for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
+    rows = quality_rules.verdicts(docs).collect()
+    good = [r for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]
+    assert len(good) > 200 and all(r.kept for r in good)
+    bad = [r for r in rows if labels.get(r.doc_id) == 0 and not r.base_failed and r.n_words >= quality_rules.MIN_WORDS]
+    assert any(not r.kept and r.class_distance <= quality_rules.MAX_CLASS_DISTANCE for r in bad)  # by its words alone
+    rng = random.Random(5)
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) + rng.choice([""] * 9 + [","]) for _ in range(n)).capitalize() + "."
+    common = lambda n: " ".join(rng.choice(quality_rules.COMMON_WORDS["en"]) for _ in range(n)).capitalize() + "."
+    odd = [(k, f(n), "en") for k, (f, n) in enumerate((f, n) for f in (letters, common) for n in (90, 150, 600, 5000))]
+    got = quality_rules.verdicts(spark.createDataFrame(odd, "doc_id long, text string, lang string"), references=quality_rules.language_references(docs)).collect()
+    assert all(r.word_distance > r.word_limit and not r.kept for r in got)
+    assert all(r.class_distance <= quality_rules.MAX_CLASS_DISTANCE for r in got if r.doc_id < 4)
+
+
 def test_op10_stored_references_judge_each_document_alone(spark, data, tmp_path):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     quality_rules.language_references(docs).write.parquet(str(tmp_path / "refs"))
