@@ -12,8 +12,8 @@ ALL_MATCHES = ("Analyse", "Compare and contrast", "Compare", "Contrast", "Define
 FIRST_MATCH = ("Analyse", "Compare and contrast", "Compare", "Contrast", "Define", "Describe", "Discuss", "Evaluate", "Explain", "Identify", "Justify", "State", "Suggest", "Choose", "Complete", "Draw", "Give", "Assess")
 LAST_MATCH = ("Compare and contrast", "Analyse", "Assess", "Compare", "Contrast", "Define", "Describe", "Discuss", "Evaluate", "Explain", "Identify", "Justify", "State", "Suggest", "Give", "Complete", "Draw", "Write", "Calculate", "Name", "List")
 # Lines that extraction leaves behind, and phrases of legal notices.
-JUNK_LINE = r"^[ \t]*([0-9]{4}/[0-9]{2}/[A-Z](/[A-Z])*/[0-9]{2}|©[ \t]*UCLES[ \t]*[0-9]{4}|\[?Turn over\]?|BLANK PAGE|DC[ \t]*\([A-Z]+\)[ \t]*[0-9]+.*|\*[ \t]*[0-9]{6,}[ \t]*\*|(DO NOT WRITE IN THIS MARGIN[ \t]*)+|DFD|[^\x00-\x7F \t]{6,}|[0-9]{1,3}|[,\x00-\x20]+)[ \t]*$"
-NOTICES = ("Permission to reproduce items", "reasonable effort has been made by the publisher", "copyright acknowledgements")
+JUNK_LINE = r"^[ \t]*([0-9]{4}/[0-9]{2}/[A-Z](/[A-Z])*/[0-9]{2}|©[ \t]*UCLES[ \t]*[0-9]{4}|\[?Turn over\]?|BLANK PAGE|DC[ \t]*\([A-Z]+\)[ \t]*[0-9]+.*|\*[ \t]*[0-9]{6,}[ \t]*\*|(DO NOT WRITE IN THIS MARGIN[ \t]*)+|DFD|[^\x00-\x7F \t]{6,}|[0-9]{1,3}|[,\x00-\x20]+|www\.dynamicpapers\.com)[ \t]*$"
+NOTICES = ("Permission to reproduce items", "reasonable effort has been made by the publisher", "copyright acknowledgements", "Local Examinations Syndicate", "Cambridge Assessment is the brand name")
 ANSWER_LINE = r"^[ \t]*([0-9]+[.)]|\([A-Za-z0-9_]+\)|[-•])?[ \t]*\.{4,}[ \t.]*(\*\*\[[0-9]+\]\*\*)?[ \t]*$"
 LEAD_IN = "(?i)^(You may refer|Refer to|Read |Look at|Use the insert)"
 BOILER_PART = "(?i)^(Save your|Save this|Save the|Put your|Place your|Make sure|All tasks)"
@@ -63,7 +63,7 @@ def wording(c: Column, lead_in: str = LEAD_IN, boiler: str = BOILER_PART, least:
 
 
 def matches(words: tuple[str, ...]) -> str:
-    return rf"\b({'|'.join(words)})\b"
+    return rf"(?U)\b({'|'.join(words)})\b"
 
 
 def command_words(c: Column) -> Column:
@@ -91,7 +91,7 @@ def last_command(c: Column) -> Column:
 
 def names_saved(c: Column) -> Column:
     """Lower-case names that a text says to save as."""
-    found = F.regexp_extract_all(c, F.lit(rf"(?i)(?:save|saved|saving|store)\b[^.]{{0,80}}?\bas\s+(?:a\s+\w+\s+)?([A-Za-z0-9][\w.\-]{{0,40}}?\.(?:{ENDINGS}))"), F.lit(1))
+    found = F.regexp_extract_all(c, F.lit(rf"(?iU)(?:save|saved|saving|store)\b[^.]{{0,80}}?\bas\s+(?:a\s+\w+\s+)?([A-Za-z0-9][\w.\-]{{0,40}}?\.(?:{ENDINGS}))"), F.lit(1))
     return F.transform(found, F.lower)
 
 
@@ -101,8 +101,8 @@ def file_names(c: Column) -> Column:
 
 def names_file(text: Column, stem: Column, ending: Column) -> Column:
     """Whether a text names a file: in full, in any case and with breaks around the dot; or by its bare stem as a whole word, if that is distinctive (five signs or more, with a digit, an underscore or a hump)."""
-    full = F.regexp_like(text, F.concat(F.lit("(?i)"), stem, F.lit(r"\s*\.?\s*"), ending, F.lit(r"\b")))
-    bare = (F.length(stem) >= 5) & stem.rlike("[_0-9]|[a-z][A-Z]") & F.regexp_like(text, F.concat(F.lit(r"(^|[^\w.])"), stem, F.lit(r"($|[^\w.])")))
+    full = F.regexp_like(text, F.concat(F.lit("(?iU)"), stem, F.lit(r"\s*\.?\s*"), ending, F.lit(r"\b")))
+    bare = (F.length(stem) >= 5) & stem.rlike("[_0-9]|[a-z][A-Z]") & F.regexp_like(text, F.concat(F.lit(r"(?U)(^|[^\w.])"), stem, F.lit(r"($|[^\w.])")))
     return full | bare
 
 
@@ -144,7 +144,7 @@ def table_cell(c: Column) -> Column:
     """Text for a cell of a Markdown table: paragraphs and lines by breaks, pipes escaped, number words before `marks` in bold."""
     out = F.replace(F.trim(c), F.lit("|"), F.lit("\\|"))
     out = F.regexp_replace(F.regexp_replace(out, r"\n[ \t]*\n[\s]*", "<br><br>"), r"\n", "<br>")
-    return F.regexp_replace(out, r"\b(one|two|three|four|five|six) (marks?)\b", "**$1** $2")
+    return F.regexp_replace(out, r"(?U)\b(one|two|three|four|five|six) (marks?)\b", "**$1** $2")
 
 
 def moved_to_end(c: Column, block: str) -> Column:

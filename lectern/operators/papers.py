@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions import papers as fn
+from lectern.operators.graphs import cut
+from lectern.operators.sequences import outermost
 
 LABEL = r"^([1-9]|1[0-9]|20)(?:\s*\([a-h]\))?(?:\s*\([ivx]+\))?$"
 
@@ -23,12 +25,79 @@ def scheme_answers(rows: DataFrame) -> DataFrame:
 
 def task_rows(rows: DataFrame) -> DataFrame:
     """Rows of a scheme with the task in force: a row without a label continues the last labelled one. Rows of a table that lies within another are left out. rows: paper, pos, label, lo, hi (of its table)."""
-    tables = rows.select("paper", F.col("lo").alias("a"), F.col("hi").alias("b")).distinct()
-    inner = rows.join(tables, (rows.paper == tables.paper) & (F.col("a") <= F.col("lo")) & (F.col("hi") <= F.col("b")) & ((F.col("a") < F.col("lo")) | (F.col("hi") < F.col("b"))), "left_anti")
+    inner = rows.join(outermost(rows, ["paper"], "lo", "hi"), ["paper", "lo", "hi"], "left_semi")
     w = Window.partitionBy("paper").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return inner.withColumn("task", F.last("label", ignorenulls=True).over(w)).withColumn("continued", F.col("label").isNull())
 
 
+# A table that starts above this height continues the last page's; cells of a column header; labels of tasks, headings that name one, and sum lines.
+CONTINUATION_TOP, HEADER_HEIGHT = 130, 15
+HEADER_CELLS = ("", "question", "answer", "marks", "task", "mark")
+TASK_ROW, TASK_HEAD = r"^([0-9]{1,2})(?:\(|[ \t\n]|$)", r"(?i)^(?:See[ \t\n]+)?Tasks?[ \t\n]*([0-9]{1,2})"
+SUM_LABEL, SUM_CELL = r"(?i)^(total|mark total)($|[^\p{L}\p{N}_])", r"^(available|total) marks($|[^\p{L}\p{N}_])"
+
+
+def top_tables(rows: DataFrame) -> DataFrame:
+    """rows of tables that lie in no other table of their page, with place: the table's from 1 on its page, by its upper end. rows: paper, page, table, lo, hi and others."""
+    top = outermost(rows, ["paper", "page"], "lo", "hi")
+    x = rows.join(top, ["paper", "page", "lo", "hi"], "left_semi")
+    return x.withColumn("place", F.dense_rank().over(Window.partitionBy("paper", "page").orderBy("lo", "table")))
+
+
+def header_row(cells: Column) -> Column:
+    return F.forall(cells, lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))).isin(*HEADER_CELLS))
+
+
+def labelled_rows(rows: DataFrame) -> DataFrame:
+    """paper, label, page, table, n: every row of every table with a label, as it stands. rows: paper, page, table, n, cells."""
+    label = F.trim(F.get("cells", F.lit(0)))
+    return rows.withColumn("label", label).where("label <> ''").select("paper", "label", "page", "table", "n")
+
+
+def part_rows(rows: DataFrame) -> DataFrame:
+    """paper, page, table, n, label, continues: rows of the outer tables, column headers left out. label is without white space, null if empty: such a row goes on with the one before. continues marks the first row of a page whose first table
+    starts at its top, where a row that the page break has cut goes on. rows: paper, page, table, lo, hi, n, cells."""
+    x = top_tables(rows).where(~header_row(F.col("cells")))
+    label = F.nullif(F.regexp_replace(F.coalesce(F.get("cells", F.lit(0)), F.lit("")), r"[\s]", ""), F.lit(""))
+    first = F.row_number().over(Window.partitionBy("paper", "page").orderBy("place", "n")) == 1
+    return x.select("paper", "page", "table", "n", label.alias("label"), (first & (F.col("place") == 1) & (F.col("lo") <= CONTINUATION_TOP)).alias("continues"))
+
+
+def rows_by_task(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """paper, page, table, n, task: rows of the outer tables, each with the task that is in force there, or null. rows: paper, page, table, lo, hi, n, cells, top, bottom (of the row); heads: paper, page, y, task, headings printed outside tables.
+
+    A row labelled with a number starts that task. A row that names a task in words (`Task 4 - Webpage`) starts it too, unless rows so numbered came before: then it is a sub-heading within that task, and elsewhere the start of an appendix, which
+    has no task and is left out itself. A table ends the task in force, unless it is the first of its page, starts at the top, and no heading of another task stands above it. Sum lines and column headers further down end it; they are left out.
+
+    So what happens is of three kinds: a task is set, none is, or one is kept only if it is that one. After something was set, it is in force until it is set anew or something else was to be kept: two running values over a paper's rows, no fold.
+    """
+    cell = F.trim(F.coalesce(F.get("cells", F.lit(0)), F.lit("")))
+    low = F.transform("cells", lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
+    x = top_tables(rows).withColumns({"m": F.nullif(F.regexp_extract(cell, TASK_ROW, 1), F.lit("")), "h": F.nullif(F.regexp_extract(cell, TASK_HEAD, 1), F.lit("")), "some": F.exists(low, lambda c: c != "")})
+    head = header_row(F.col("cells")) & (F.col("some") | (F.col("bottom") - F.col("top") < HEADER_HEIGHT))
+    total = cell.rlike(SUM_LABEL) | F.exists(low, lambda c: c.rlike(SUM_CELL))
+    kind = F.when(F.col("m").isNotNull(), "number").when(F.col("h").isNotNull(), "heading").when(head, "header").when(total, "sum").otherwise("row")
+    pos = F.struct("page", "place", F.lit(1).alias("late"), "n")
+    x = x.withColumns({"kind": kind, "pos": pos}).withColumn("seen", F.min(F.when(F.col("kind") == "number", F.col("pos"))).over(Window.partitionBy("paper", F.coalesce("m", "h"))))
+    again = (F.col("kind") == "heading") & F.coalesce(F.col("seen") < F.col("pos"), F.lit(False))
+    ends = (F.col("kind") == "sum") | ((F.col("kind") == "header") & F.col("some") & (F.col("top") > CONTINUATION_TOP))
+    sets = (F.col("kind") == "number") | ((F.col("kind") == "heading") & ~again)
+    x = x.select("paper", "page", "table", "n", "pos", "kind", again.alias("again"), (sets | ends).alias("fresh"), F.when(sets, F.coalesce("m", "h")).alias("set"), F.when(again, F.col("h")).alias("keep"))
+    tables = top_tables(rows).select("paper", "page", "table", "place", "lo").distinct()
+    above = tables.join(heads, ["paper", "page"]).where("y < lo").groupBy("paper", "page", "table").agg(F.min("task").alias("one"), F.max("task").alias("other"))
+    t = tables.join(above, ["paper", "page", "table"], "left")
+    new = (F.col("place") > 1) | (F.col("lo") > CONTINUATION_TOP) | F.coalesce(F.col("one") != F.col("other"), F.lit(False))
+    start = F.struct("page", "place", F.lit(0).alias("late"), F.lit(None).cast(rows.schema["n"].dataType).alias("n"))
+    none = lambda kind: F.lit(None).cast(kind)
+    t = t.select("paper", "page", "table", none(rows.schema["n"].dataType).alias("n"), start.alias("pos"), F.lit("table").alias("kind"), F.lit(False).alias("again"), new.alias("fresh"), none("string").alias("set"), F.when(~new, F.col("one")).alias("keep"))
+    order = Window.partitionBy("paper").orderBy("pos")
+    e = x.unionByName(t).withColumn("run", F.sum(F.col("fresh").cast("int")).over(order))  # what happened since the last time that something was set
+    e = e.withColumn("held", F.max("set").over(Window.partitionBy("paper", "run")))
+    off = F.max((F.col("keep").isNotNull() & ~F.col("keep").eqNullSafe(F.col("held"))).cast("int")).over(Window.partitionBy("paper", "run").orderBy("pos"))
+    e = e.withColumn("task", F.when(off == 0, F.col("held")))
+    return e.where("kind in ('number', 'row') or (kind = 'heading' and not (again and task is null))").select("paper", "page", "table", "n", "task")
+
+
 def answer_pages(wanted: DataFrame, labels: DataFrame) -> DataFrame:
     """paper, q, part, page, n, by: the page with most rows (then the first) labelled exactly `q(part)`, else of all rows whose label begins `q(`; null if neither. wanted: paper, q, part; labels: paper, label, page."""
     exact = F.concat("q", F.lit("("), "part", F.lit(")"))
@@ -87,21 +156,22 @@ def files_named(texts: DataFrame, files: DataFrame) -> DataFrame:
     return j.select("paper", "id", F.concat_ws(".", "stem", "ending").alias("file"))
 
 
-def cites(sections: DataFrame) -> DataFrame:
-    """doc, page: every citation of a section, at any depth: of its words, points and examples. sections: words, points, examples as the section files have them."""
-    def of(c: Column) -> Column:
-        return F.transform(c, lambda x: F.struct(x["doc"].alias("doc"), x["page"].cast("int").alias("page")))
-
-    none = F.array().cast("array<struct<doc:string,page:int>>")
-    paths = [
-        F.transform("words", lambda w: w["syllabus"]),
-        F.flatten(F.transform("points", lambda p: F.coalesce(p["cites"], F.array()))),
-        F.transform("examples", lambda e: e["question"]),
-        F.flatten(F.transform("examples", lambda e: F.transform(F.coalesce(e["strong"], F.array()), lambda s: s["earns"]))),
-        F.transform("examples", lambda e: e["weak"]["basis"]),
-    ]
-    every = reduce(F.concat, (F.coalesce(of(p), none) for p in paths))
-    return sections.select(F.explode(F.filter(every, lambda x: x["doc"].isNotNull())).alias("c")).select("c.*")
+def cites(documents: DataFrame, ident: str, value: str) -> DataFrame:
+    """ident, depth, doc, quote, page of every object, at any depth and under any key, that has both a doc and a quote (be they null). value: a VARIANT column (see parse_json).
+
+    A level at a time: what lies in the objects and lists of one level is the next one, until nothing lies deeper; so there are as many rounds as the deepest value has levels. A null value has none."""
+    kind = lambda c: F.schema_of_variant(c)
+    has = lambda key: F.variant_get("v", f"$.{key}", "variant").isNotNull()
+    level, found, depth = documents.select(ident, F.col(value).alias("v")).where("v is not null"), [], 0
+    while True:
+        level = cut(level.withColumn("__k", kind(F.col("v"))).where("__k like 'OBJECT<%' or __k like 'ARRAY<%'"))
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found) if found else level.select(ident, F.lit(0).alias("depth"), *(F.lit(None).cast(t).alias(c) for c, t in (("doc", "string"), ("quote", "string"), ("page", "int"))))
+        own = level.where((F.col("__k").like("OBJECT<%")) & has("doc") & has("quote"))
+        text = lambda key, t: F.try_variant_get("v", f"$.{key}", t).alias(key)
+        found.append(own.select(ident, F.lit(depth).alias("depth"), text("doc", "string"), text("quote", "string"), text("page", "int")))
+        level = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("v").outer())).select(ident, F.col("value").alias("v"))
+        depth += 1
 
 
 def placed_units(lines: DataFrame, line: str = "line") -> DataFrame:

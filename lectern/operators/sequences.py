@@ -51,10 +51,22 @@ def adjacent(rows: DataFrame, by: list[str], order: list[str], value: str, out:
 
 
 def running_set(rows: DataFrame, by: list[str], order: list[str], values: str, out: str) -> DataFrame:
-    """Each row with the distinct values of its array column so far in its group, sorted. A set grows only as long as its values are new, so a row holds distinct values, not all that came before."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e = rows.withColumn("__v", F.explode_outer(values)).withColumn("__set", F.array_sort(F.collect_set("__v").over(w)))
-    return e.groupBy(*rows.columns).agg(F.max_by("__set", F.size("__set")).alias(out))
+    """Each row with the distinct values of its array column so far in its group, sorted; rows of one place see each other's. Every row stays, equal ones too.
+
+    Only where a value is first seen does a set grow: the places of first sight are found, a set is put together for each, and rows look up the last one. So sets are as many as distinct values, not as rows."""
+    at = F.struct(*order)
+    first = rows.select(*by, at.alias("__at"), F.explode(values).alias("__v")).groupBy(*by, "__v").agg(F.min("__at").alias("__at"))
+    new = first.groupBy(*by, "__at").agg(F.collect_set("__v").alias("__new"))
+    grown = new.select(*by, "__at", F.array_sort(F.flatten(F.collect_list("__new").over(Window.partitionBy(*by).orderBy("__at")))).alias("__seen"))
+    seen = as_of(rows.withColumn("__at", at), grown, by, "__at", "__seen", out).drop("__at")
+    return seen.withColumn(out, F.coalesce(out, F.array().cast(dict(grown.dtypes)["__seen"])))
+
+
+def outermost(intervals: DataFrame, by: list[str], lo: str, hi: str) -> DataFrame:
+    """by, lo, hi: the distinct intervals of a group that lie in no other one. One pass over each group by lower end, the longer first: an interval lies in another if an end before reached as far."""
+    w = Window.partitionBy(*by).orderBy(lo, F.desc(hi)).rowsBetween(Window.unboundedPreceding, -1)
+    d = intervals.select(*by, lo, hi).distinct().withColumn("__reach", F.max(hi).over(w))
+    return d.where(F.col("__reach").isNull() | (F.col("__reach") < F.col(hi))).drop("__reach")
 
 
 def ranked(rows: DataFrame, by: list[str], order: list[Column], n: int, out: str = "rank") -> DataFrame:

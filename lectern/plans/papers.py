@@ -22,14 +22,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
-MARKED = r"'1. ........ **[4]**' || chr(10) || text || ' ........' || chr(10) || '[Turn over]' || chr(10) || '(a) .....' || chr(10) || 'BLANK PAGE' || chr(10) || '12' || chr(10) || 'see copyright acknowledgements' || chr(10) || chr(10) || chr(10) || chr(10) || 'end «'"
+MARKED = r"'1. ........ **[4]**' || chr(10) || text || ' ........' || chr(10) || '[Turn over]' || chr(10) || '(a) .....' || chr(10) || 'BLANK PAGE' || chr(10) || '12' || chr(10) || 'see copyright acknowledgements' || chr(10) || 'the Local Examinations Syndicate (UCLES)' || chr(10) || 'Cambridge Assessment is the brand name of it' || chr(10) || ' www.dynamicpapers.com ' || chr(10) || chr(10) || chr(10) || chr(10) || 'end «'"
 JUNK, ANSWER = fn.JUNK_LINE.replace("'", "''"), fn.ANSWER_LINE
 
 
-@query(rf"WITH l AS (SELECT doc_id, list_transform(string_split({MARKED}, chr(10)), lambda x: CASE WHEN regexp_matches(x, '{ANSWER}') THEN nullif(regexp_extract(x, '{ANSWER}', 2), '') WHEN regexp_matches(x, '{JUNK}') OR contains(x, 'Permission to reproduce items') OR contains(x, 'reasonable effort has been made by the publisher') OR contains(x, 'copyright acknowledgements') THEN NULL ELSE regexp_replace(x, '[ \t]*\.{{6,}}[ \t]*$', '') END) AS l FROM documents), t AS (SELECT doc_id, regexp_replace(regexp_replace(replace(array_to_string(list_filter(l, lambda x: x IS NOT NULL), chr(10)), '«', '...'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^[ \t\n]+|[ \t\n]+$', '', 'g') AS t FROM l) SELECT doc_id, md5(t) AS clean_md5, length(t) AS n FROM t")
+@query(rf"WITH l AS (SELECT doc_id, list_transform(string_split({MARKED}, chr(10)), lambda x: CASE WHEN regexp_matches(x, '{ANSWER}') THEN nullif(regexp_extract(x, '{ANSWER}', 2), '') WHEN regexp_matches(x, '{JUNK}') OR contains(x, 'Permission to reproduce items') OR contains(x, 'reasonable effort has been made by the publisher') OR len(list_filter(['copyright acknowledgements', 'Local Examinations Syndicate', 'Cambridge Assessment is the brand name'], lambda n: contains(x, n))) > 0 THEN NULL ELSE regexp_replace(x, '[ \t]*\.{{6,}}[ \t]*$', '') END) AS l FROM documents), t AS (SELECT doc_id, regexp_replace(regexp_replace(replace(array_to_string(list_filter(l, lambda x: x IS NOT NULL), chr(10)), '«', '...'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^[ \t\n]+|[ \t\n]+$', '', 'g') AS t FROM l) SELECT doc_id, md5(t) AS clean_md5, length(t) AS n FROM t")
 def c06_bank_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C06 in full, on texts with an answer line, footers, a notice and dot leaders put in."""
-    marked = F.concat(F.lit("1. ........ **[4]**\n"), F.col("text"), F.lit(" ........\n[Turn over]\n(a) .....\nBLANK PAGE\n12\nsee copyright acknowledgements\n\n\n\nend «"))
+    marked = F.concat(F.lit("1. ........ **[4]**\n"), F.col("text"), F.lit(" ........\n[Turn over]\n(a) .....\nBLANK PAGE\n12\nsee copyright acknowledgements\nthe Local Examinations Syndicate (UCLES)\nCambridge Assessment is the brand name of it\n www.dynamicpapers.com \n\n\n\nend «"))
     t = docs(spark, sf_dir).select("doc_id", fn.bank_clean(marked).alias("t"))
     return t.select("doc_id", F.md5(F.col("t").cast("binary")).alias("clean_md5"), F.char_length("t").cast("long").alias("n"))
 
@@ -137,6 +137,62 @@ def a19_task_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers.task_rows(r).select("paper", "pos", "task", "continued")
 
 
+#: Rows of tables on pages, some of which lie within others, and headings between them.
+TABLES = r"""
+tb AS (SELECT l_suppkey AS paper, l_linenumber AS page, l_partkey % 4 AS tbl, 60 + l_partkey % 4 * 150 + (l_suppkey * 7 + l_linenumber * 13) % 90 AS lo, l_orderkey * 100000 + l_partkey AS n, l_orderkey % 40 AS d,
+    CASE l_orderkey % 13 WHEN 0 THEN [CAST(l_quantity AS BIGINT) % 9 + 1 || '(a) (i)', 'x'] WHEN 1 THEN ['Task ' || CAST(l_quantity AS BIGINT) % 9 + 1 || ' - Webpage', 'x'] WHEN 2 THEN ['Total', '9'] WHEN 3 THEN ['Question', 'Answer', 'Marks'] WHEN 4 THEN ['', NULL]
+      WHEN 5 THEN ['see tasks 3 below'] WHEN 6 THEN ['', 'Available marks', '24'] WHEN 7 THEN [CAST(CAST(l_quantity AS BIGINT) % 9 + 1 AS VARCHAR), ''] ELSE ['', 'more ' || l_partkey] END AS cells FROM lineitem),
+rw AS (SELECT *, lo + 60 + (paper * 11 + page * 5 + tbl * 17) % 400 AS hi, lo + d * 3 AS top, lo + d * 3 + 10 + d % 9 AS bottom FROM tb),
+hd AS (SELECT s_suppkey AS paper, p AS page, CAST(50 + (s_suppkey + p) % 2 * 100 AS BIGINT) AS y, CAST((s_suppkey + p) % 9 + 1 AS VARCHAR) AS task FROM supplier, generate_series(1, 7) t(p) WHERE (s_suppkey + p) % 3 = 0),
+bx AS (SELECT DISTINCT paper, page, tbl, lo, hi FROM rw),
+ot AS (SELECT *, row_number() OVER (PARTITION BY paper, page ORDER BY lo, tbl) AS place FROM bx a WHERE NOT EXISTS (SELECT 1 FROM bx b WHERE b.paper = a.paper AND b.page = a.page AND b.lo <= a.lo AND a.hi <= b.hi AND (b.lo < a.lo OR a.hi < b.hi))),
+tr AS (SELECT rw.*, place, len(list_filter(cells, lambda c: lower(trim(coalesce(c, ''))) NOT IN ('', 'question', 'answer', 'marks', 'task', 'mark'))) = 0 AS header FROM rw JOIN ot USING (paper, page, tbl))"""
+
+
+def scheme_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s, p, k, q, part = (F.col(c) for c in ("l_suppkey", "l_linenumber", "l_orderkey", "l_quantity", "l_partkey"))
+    task, table_no, case = (q.cast("long") % 9 + 1).cast("string"), part % 4, k % 13
+    texts = lambda *c: F.array(*(x if not isinstance(x, str) else F.lit(x) for x in c))
+    cells = F.when(case == 0, texts(F.concat(task, F.lit("(a) (i)")), "x")).when(case == 1, texts(F.concat(F.lit("Task "), task, F.lit(" - Webpage")), "x")).when(case == 2, texts("Total", "9")).when(case == 3, texts("Question", "Answer", "Marks"))
+    cells = cells.when(case == 4, texts("", F.lit(None).cast("string"))).when(case == 5, texts("see tasks 3 below")).when(case == 6, texts("", "Available marks", "24")).when(case == 7, texts(task, "")).otherwise(texts("", F.concat(F.lit("more "), part)))
+    lo = 60 + table_no * 150 + (s * 7 + p * 13) % 90
+    hi, d = lo + 60 + (s * 11 + p * 5 + table_no * 17) % 400, k % 40
+    rows = lines(spark, sf_dir).select(s.alias("paper"), p.alias("page"), table_no.alias("table"), lo.alias("lo"), hi.alias("hi"), (k * 100000 + part).alias("n"), (lo + d * 3).alias("top"), (lo + d * 3 + 10 + d % 9).alias("bottom"), cells.alias("cells"))
+    x = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("paper"), F.explode(F.sequence(F.lit(1), F.lit(7))).alias("page")).where((F.col("paper") + F.col("page")) % 3 == 0)
+    heads = x.select("paper", "page", (50 + (F.col("paper") + F.col("page")) % 2 * 100).alias("y"), ((F.col("paper") + F.col("page")) % 9 + 1).cast("string").alias("task"))
+    return rows, heads
+
+
+@query(f"WITH {TABLES} SELECT paper, trim(cells[1]) AS label, page, tbl AS table, n FROM rw WHERE trim(cells[1]) <> ''")
+def a19_labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return papers.labelled_rows(scheme_tables(spark, sf_dir)[0])
+
+
+@query(rf"WITH {TABLES} SELECT paper, page, tbl AS table, n, nullif(regexp_replace(cells[1], '\s', '', 'g'), '') AS label, place = 1 AND lo <= 130 AND row_number() OVER (PARTITION BY paper, page ORDER BY place, n, nullif(regexp_replace(cells[1], '\s', '', 'g'), '')) = 1 AS continues FROM tr WHERE NOT header")
+def a19_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A19, rows of parts: outer tables without column headers, and where a row goes on overleaf."""
+    return papers.part_rows(scheme_tables(spark, sf_dir)[0])
+
+
+@query(rf"""WITH RECURSIVE {TABLES},
+ev AS (SELECT paper, page, place, 1 AS late, n, tbl, nullif(regexp_extract(trim(cells[1]), '^([0-9]{{1,2}})(?:\(|[ \t\n]|$)', 1), '') AS m, nullif(regexp_extract(trim(cells[1]), '(?i)^(?:See[ \t\n]+)?Tasks?[ \t\n]*([0-9]{{1,2}})', 1), '') AS h,
+    header AND (len(list_filter(cells, lambda c: trim(coalesce(c, '')) <> '')) > 0 OR bottom - top < 15) AS head, len(list_filter(cells, lambda c: trim(coalesce(c, '')) <> '')) > 0 AND top > 130 AS far,
+    regexp_matches(trim(cells[1]), '(?i)^(total|mark total)\b') OR len(list_filter(cells, lambda c: regexp_matches(lower(trim(coalesce(c, ''))), '^(available|total) marks\b'))) > 0 AS total, CAST(NULL AS BOOLEAN) AS fresh, CAST(NULL AS VARCHAR[]) AS named FROM tr
+  UNION ALL SELECT paper, page, place, 0, NULL, tbl, NULL, NULL, NULL, NULL, NULL, place > 1 OR lo > 130, (SELECT list(DISTINCT task) FROM hd WHERE hd.paper = ot.paper AND hd.page = ot.page AND y < lo) FROM ot),
+sq AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY page, place, late, n, m) AS i, min(CASE WHEN m IS NOT NULL THEN page * 1000000000000000 + place * 100000000000000 + n END) OVER (PARTITION BY paper, coalesce(m, h)) AS seen FROM ev),
+st AS (SELECT paper, CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS task, FALSE AS kept, CAST(NULL AS BIGINT) AS page, CAST(NULL AS BIGINT) AS tbl, CAST(NULL AS BIGINT) AS n FROM (SELECT DISTINCT paper FROM ev)
+  UNION ALL
+  SELECT sq.paper, sq.i, CASE WHEN late = 0 THEN CASE WHEN fresh OR len(list_filter(coalesce(named, []), lambda x: x IS DISTINCT FROM st.task)) > 0 THEN NULL ELSE st.task END
+      WHEN m IS NOT NULL THEN m WHEN h IS NOT NULL THEN CASE WHEN h IS DISTINCT FROM st.task AND seen < sq.page * 1000000000000000 + place * 100000000000000 + sq.n THEN NULL ELSE h END
+      WHEN head THEN CASE WHEN far THEN NULL ELSE st.task END WHEN total THEN NULL ELSE st.task END,
+    late = 1 AND CASE WHEN m IS NOT NULL THEN TRUE WHEN h IS NOT NULL THEN NOT coalesce(h IS DISTINCT FROM st.task AND seen < sq.page * 1000000000000000 + place * 100000000000000 + sq.n, FALSE) ELSE NOT head AND NOT total END, sq.page, sq.tbl, sq.n
+  FROM st JOIN sq ON sq.paper = st.paper AND sq.i = st.i + 1)
+SELECT paper, page, tbl AS table, n, task FROM st WHERE kept""")
+def a19_rows_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A19, rows of tasks: numbered rows, headings in words, appendices, sum lines and tables that start anew. The SQL goes row by row."""
+    return papers.rows_by_task(*scheme_tables(spark, sf_dir))
+
+
 @query(r"SELECT conv_id AS paper, sum(len(string_split(text, ' '))) FILTER (WHERE role = 'user')::BIGINT AS asked_words, md5(coalesce(string_agg(CASE WHEN role = 'user' THEN text END, chr(10) ORDER BY turn), '') || chr(12) || coalesce(string_agg(CASE WHEN role <> 'user' AND turn > 1 THEN text END, chr(10) ORDER BY turn), '')) AS text_md5 FROM conversations GROUP BY conv_id")
 def a13_sitting_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sitting's question texts and, without its front matter (here: what stands before the third turn), its scheme's texts."""
@@ -277,21 +333,36 @@ def e34_newest_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.fractional_shares(u.join(newest, F.col("year") == F.col("newest")).drop("newest")).select("topic", "marks", "pct")
 
 
-@query(r"WITH s AS (SELECT source, max(CAST(regexp_matches(text, 'The\b') AS INT)) AS the, max(CAST(regexp_matches(text, 'Les\b') AS INT)) AS les, max(CAST(regexp_matches(text, 'Zu\b') AS INT)) AS zu FROM documents GROUP BY source), c AS (SELECT 'start' AS family, 'The' AS name, sum(the) AS n FROM s UNION ALL SELECT 'start', 'Les', sum(les) FROM s UNION ALL SELECT 'other', 'Zu', sum(zu) FROM s), f AS (SELECT 'start' AS family, sum(greatest(the, les)) AS sittings FROM s UNION ALL SELECT 'other', sum(zu) FROM s) SELECT family, CAST(any_value(sittings) AS BIGINT) AS sittings, string_agg(name || ' ' || n, ', ' ORDER BY n DESC, name) AS members FROM c JOIN f USING (family) GROUP BY family")
+@query(r"WITH s AS (SELECT source, max(CAST(regexp_matches(text, 'The([^\p{L}\p{N}_]|$)') AS INT)) AS the, max(CAST(regexp_matches(text, 'Les([^\p{L}\p{N}_]|$)') AS INT)) AS les, max(CAST(regexp_matches(text, 'Zu([^\p{L}\p{N}_]|$)') AS INT)) AS zu FROM documents GROUP BY source), c AS (SELECT 'start' AS family, 'The' AS name, sum(the) AS n FROM s UNION ALL SELECT 'start', 'Les', sum(les) FROM s UNION ALL SELECT 'other', 'Zu', sum(zu) FROM s), f AS (SELECT 'start' AS family, sum(greatest(the, les)) AS sittings FROM s UNION ALL SELECT 'other', sum(zu) FROM s) SELECT family, CAST(any_value(sittings) AS BIGINT) AS sittings, string_agg(name || ' ' || n, ', ' ORDER BY n DESC, name) AS members FROM c JOIN f USING (family) GROUP BY family")
 def e38_function_families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sittings that name a function, and families of functions that count a sitting once, members by count."""
-    return stats.function_families(docs(spark, sf_dir), "source", "text", {"start": {"The": r"The\b", "Les": r"Les\b"}, "other": {"Zu": r"Zu\b"}})
+    """Sittings that name a function, and families of functions that count a sitting once, members by count. A name ends where no letter, digit or underscore follows."""
+    end = r"(?![\p{L}\p{N}_])"
+    return stats.function_families(docs(spark, sf_dir), "source", "text", {"start": {"The": rf"The{end}", "Les": rf"Les{end}"}, "other": {"Zu": rf"Zu{end}"}})
+
+
+#: Sections as JSON: an order's citation lies under as many objects and lists as its key says, beside lists of lists, nulls, an object without a quote and one with a null quote.
+SECTIONS = """sc AS (SELECT o_orderkey AS id, '{"words": [null, [[]], {"syllabus": ' || c || '}], "k' || o_orderkey % 3 || '": ' || repeat('{"deep": [1, ', CAST(o_orderkey % 6 AS INTEGER)) || c || repeat(']}', CAST(o_orderkey % 6 AS INTEGER)) || ', "doc": "no quote", "weak": {"doc": "basis", "quote": null, "points": [' || c || ', {"quote": "no doc"}]}}' AS j
+  FROM (SELECT o_orderkey, '{"doc": "' || o_orderstatus || '", "quote": "' || o_orderpriority || '", "page": ' || o_custkey % 50 || '}' AS c FROM orders))"""
+
+
+def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, t = F.col("o_orderkey"), lambda x: F.lit(x)
+    c = F.concat(t('{"doc": "'), "o_orderstatus", t('", "quote": "'), "o_orderpriority", t('", "page": '), F.col("o_custkey") % 50, t("}"))
+    n = (k % 6).cast("int")
+    j = F.concat(t('{"words": [null, [[]], {"syllabus": '), c, t('}], "k'), k % 3, t('": '), F.repeat(t('{"deep": [1, '), n), c, F.repeat(t("]}"), n), t(', "doc": "no quote", "weak": {"doc": "basis", "quote": null, "points": ['), c, t(', {"quote": "no doc"}]}}'))
+    return table(spark, sf_dir, "orders").select(k.alias("id"), F.parse_json(j).alias("v"))
+
+
+@query(f"WITH {SECTIONS} SELECT sc.id, json_extract_string(t.value, '$.doc') AS doc, json_extract_string(t.value, '$.quote') AS quote, CAST(json_extract_string(t.value, '$.page') AS INTEGER) AS page, count(*) AS n FROM sc, json_tree(sc.j) t WHERE t.type = 'OBJECT' AND json_exists(t.value, '$.doc') AND json_exists(t.value, '$.quote') GROUP BY ALL")
+def h29_cites_at_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every object with a doc and a quote, wherever it lies."""
+    return papers.cites(sections(spark, sf_dir), "id", "v").groupBy("id", "doc", "quote", "page").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH c AS (SELECT l_returnflag AS doc FROM lineitem UNION ALL SELECT l_linestatus FROM lineitem UNION ALL SELECT l_linestatus FROM lineitem UNION ALL SELECT 's' || l_linenumber FROM lineitem WHERE l_linenumber > 1 UNION ALL SELECT l_returnflag FROM lineitem UNION ALL SELECT 'basis' FROM lineitem) SELECT doc, count(*) AS n FROM c GROUP BY doc")
+@query(f"WITH {SECTIONS} SELECT json_extract_string(t.value, '$.doc') AS doc, count(*) AS n FROM sc, json_tree(sc.j) t WHERE t.type = 'OBJECT' AND json_exists(t.value, '$.doc') AND json_exists(t.value, '$.quote') GROUP BY ALL")
 def e49_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations at any depth of sections made from order lines, by document."""
-    at = lambda doc: F.struct(doc.alias("doc"), F.lit("q").alias("quote"), F.col("l_linenumber").alias("page"))
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    strong = F.when(F.col("l_linenumber") > 1, F.array(F.struct(at(F.concat(F.lit("s"), "l_linenumber")).alias("earns"))))
-    example = F.struct(at(flag).alias("question"), strong.alias("strong"), F.struct(at(F.lit("basis")).alias("basis")).alias("weak"))
-    s = lines(spark, sf_dir).select(F.array(F.struct(at(flag).alias("syllabus"))).alias("words"), F.array(F.struct(F.array(at(status), at(status)).alias("cites")), F.struct(F.lit(None).cast("array<struct<doc:string,quote:string,page:int>>").alias("cites"))).alias("points"), F.array(example).alias("examples"))
-    return papers.cites(s).groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
+    """Citations of each document."""
+    return papers.cites(sections(spark, sf_dir), "id", "v").groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT lang AS split, count(*) AS units, count(DISTINCT source) AS papers, count(*) FILTER (WHERE quality IS NULL) AS without, count(*) FILTER (WHERE d.doc_id <> first) AS folded FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM documents) d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY lang")
