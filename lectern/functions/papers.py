@@ -42,6 +42,7 @@ def bank_clean(c: Column) -> Column:
 
 def noise(text: Column, height: Column, bottom: Column, page_height: Column) -> Column:
     """A tiny line without letters or digits, or a footer in the lowest 60 points."""
+    # What page footers hold.
     footer = text.rlike(r"(?i)UCLES|Turn over|^DC \([A-Z]+\)|[0-9]{4}/[0-9]{2}/ *[A-Z] */ *[A-Z] */ *[0-9]{2}")
     return ((height < 7) & ~text.rlike("[A-Za-z0-9]")) | ((bottom > page_height - 60) & footer)
 
@@ -90,7 +91,7 @@ def last_command(c: Column) -> Column:
 
 
 def names_saved(c: Column) -> Column:
-    """Lower-case names that a text says to save as."""
+    """Lower-case names that a text says to save as. The words that say so are fixed values."""
     found = F.regexp_extract_all(c, F.lit(rf"(?iU)(?:save|saved|saving|store)\b[^.]{{0,80}}?\bas\s+(?:a\s+\w+\s+)?([A-Za-z0-9][\w.\-]{{0,40}}?\.(?:{ENDINGS}))"), F.lit(1))
     return F.transform(found, F.lower)
 

@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The three vocabularies of command words, longest first where one begins another.
-COMMANDS = ("Analyse", "Compare and contrast", "Compare", "Contrast", "Define", "Describe", "Discuss", "Evaluate", "Explain", "Identify", "Justify", "State", "Suggest", "Choose", "Complete", "Draw", "Give", "Assess")
 #: Typographic signs and their plain forms, one to one.
 QUOTE_SIGNS = ("‘’“”–—−•", "''\"\"---*")
 #: Signs that become several letters.

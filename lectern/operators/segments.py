@@ -40,17 +40,6 @@ def heading_sections(lines: DataFrame, ident: str, heading: Column) -> DataFrame
     return s.groupBy(ident, "section").agg(F.min_by("line", "pos").alias("title"), F.count(F.lit(1)).alias("n"), F.sum(F.length("line")).alias("chars"))
 
 
-def leaf_parts(lines: DataFrame, ident: str) -> DataFrame:
-    """ident, pos, letter, roman: bullets `(a)` and `(i)`; a roman counts only under a letter; a letter that has romans under it is no leaf."""
-    letter, roman = F.regexp_extract("line", r"^\(([a-h])\)", 1), F.regexp_extract("line", r"^\((i{1,3}|iv|v|vi{0,3}|ix|x)\)", 1)
-    b = lines.withColumn("l", F.nullif(letter, F.lit(""))).withColumn("r", F.nullif(roman, F.lit("")))
-    w = Window.partitionBy(ident).orderBy("pos")
-    b = b.withColumn("letter", F.last("l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    b = b.where("l is not null or (r is not null and letter is not null)")
-    nxt = F.lead("r").over(w)
-    return b.withColumn("__next", nxt).where(~(F.col("l").isNotNull() & F.col("__next").isNotNull())).select(ident, "pos", "letter", F.when(F.col("l").isNull(), F.col("r")).alias("roman"))
-
-
 def batches(rows: DataFrame, by: list[str], order: list[str], ident: str, size: int = 80) -> DataFrame:
     """by, batch (from 0), ids: sorted rows in batches of a fixed size.
 
@@ -63,19 +52,3 @@ def batches(rows: DataFrame, by: list[str], order: list[str], ident: str, size:
     parts = parts.select(*by, "__range", (F.coalesce(before, F.lit(0)) - F.col("__low")).alias("__shift"))
     b = r.join(parts, [*by, "__range"]).withColumn("__n", F.col("__m") + F.col("__shift")).withColumn("batch", F.floor(F.col("__n") / size).cast("long"))
     return b.groupBy(*by, "batch").agg(F.array_sort(F.collect_list(F.struct("__n", F.col(ident).alias("__id")))).alias("x")).select(*by, "batch", F.transform("x", lambda s: s["__id"]).alias("ids"))
-
-
-def anchored(text: Column, keys: Column) -> Column:
-    """The places of keys in a text in order, each after the one before; null if one is missing. For cutting a mark scheme by the first words of its parts."""
-    start = F.struct(F.lit(1).alias("from"), F.array().cast("array<int>").alias("at"))
-
-    def step(s: Column, k: Column) -> Column:
-        p = F.instr(F.substring(text, s["from"], F.lit(1 << 30)), k)
-        return F.when(s.isNotNull() & (p > 0), F.struct((s["from"] + p).alias("from"), F.concat(s["at"], F.array(s["from"] + p - 1)).alias("at")))
-
-    return F.aggregate(keys, start, step)["at"]
-
-
-def positional_pairs(left: Column, right: Column) -> Column:
-    """Pairs of two arrays by place if they are of one length, else null: rather whole than wrongly paired."""
-    return F.when(F.size(left) == F.size(right), F.arrays_zip(left.alias("a"), right.alias("b")))

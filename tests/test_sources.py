@@ -6,6 +6,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from lectern.functions import papers
 from lectern.functions import text as fn
 from lectern.operators import quality, segments, sequences
 from lectern.sources import readers, writers
@@ -99,8 +100,8 @@ def test_text_functions(spark):
     assert col(spark, "a “b” – c…ﬁ", fn.quote_norm) == 'a "b" - c...fi'
     assert col(spark, "![x](y.png) Say 9626/12 **[3]** now....", fn.duplicate_norm) == "img say now"
     assert col(spark, "x [2] y [16]", fn.marks_in) == 18 and col(spark, "none", fn.marks_in) is None
-    assert col(spark, "We discuss it", lambda c: fn.first_of(c, fn.COMMANDS)) == "Discuss"
-    assert col(spark, "Then Explain it", lambda c: fn.first_of(c, fn.COMMANDS)) == "Explain" and col(spark, "", lambda c: fn.first_of(c, fn.COMMANDS)) is None
+    assert col(spark, "We discuss it", lambda c: fn.first_of(c, papers.FIRST_MATCH)) == "Discuss"
+    assert col(spark, "Then Explain it", lambda c: fn.first_of(c, papers.FIRST_MATCH)) == "Explain" and col(spark, "", lambda c: fn.first_of(c, papers.FIRST_MATCH)) is None
     assert col(spark, "9626_s24_qp_02", fn.code_parts) == ("s", 2024, "02", "2") and col(spark, "bad", fn.code_parts) is None
     assert col(spark, "1h 45m", fn.minutes) == 105 and col(spark, "50m", fn.minutes) == 50
     assert col(spark, "<p>a&amp;b</p><script>x</script><br>c", fn.html_text) == "a&b\n c".replace("\n ", "\n")
@@ -112,13 +113,6 @@ def test_text_functions(spark):
 def test_segments(spark):
     starts = spark.range(1).select(segments.accepted_starts(F.array(*(F.lit(x).cast("int") for x in (3, 1, None, 2, 9, 3)))).alias("x")).first().x
     assert starts == [1, 3, 5]
-    lines = spark.createDataFrame([("d", k, t) for k, t in enumerate(["(i) no letter", "(a) first", "(b) second", "(i) one", "(ii) two", "end"])], "id string, pos int, line string")
-    parts = segments.leaf_parts(lines, "id").orderBy("pos").collect()
-    assert [(r.letter, r.roman) for r in parts] == [("a", None), ("b", "i"), ("b", "ii")]
-    at = spark.range(1).select(segments.anchored(F.lit("one two one three"), F.array(F.lit("one"), F.lit("one"), F.lit("three"))).alias("x"), segments.anchored(F.lit("one"), F.array(F.lit("two"))).alias("y")).first()
-    assert at.x == [1, 9, 13] and at.y is None
-    p = spark.range(1).select(segments.positional_pairs(F.array(F.lit(1)), F.array(F.lit(2), F.lit(3))).alias("x")).first()
-    assert p.x is None
 
 
 def test_quality_rules_of_tables(spark):
