@@ -214,3 +214,108 @@ def touching_groups(boxes: DataFrame, by: list[str], ident: str = "id", tol: flo
     groups = components(touch_links(boxes, by, ident, tol))
     g = boxes.join(groups, boxes[ident] == groups.node, "left").withColumn("group", F.coalesce("component", F.col(ident)))
     return g.groupBy(*by, "group").agg(F.count(F.lit(1)).alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
+# Margins of a page, how far a clip may grow to take in a box that pokes out, and which boxes count.
+PAGE_HEIGHT, HEADER_ZONE, FOOT_MARGIN, SIDES = 842.0, 55.0, 50.0, (40.0, 560.0)
+GROW_DOWN, GROW_UP, SIDE_PAD, EDGE_PAD = 40.0, 20.0, 1.5, 2.0
+WIDE_BOX, WIDE_FRAME, TALL_BOX = 20.0, 100.0, 700.0
+#: Height of the strips of a page in which edges and boxes meet.
+STRIP = 64.0
+
+
+def widened(clips: DataFrame, boxes: DataFrame) -> DataFrame:
+    """clips (doc, clip, x0, y0, x1, y1) grown over boxes (doc, x0, y0, x1, y1) that poke out of them; rounds: how often a clip grew up or down.
+
+    Sideways a clip takes in the boxes of over WIDE_BOX width that reach into its height. Down or up, an edge that cuts a box of at least WIDE_FRAME width moves to the box's end if that is near (GROW_DOWN, GROW_UP); it may cut another one there, so
+    this goes on until no edge moves. Nothing grows beyond the margins. doc is a page; equal rows stay. clip: a key within doc.
+
+    In a round only the clips that grew in the one before are joined again. Edges and boxes meet by strips of a page, so an edge is compared with the boxes of its own strip only. Each round moves an edge by more than a point or none, and a
+    page is of a fixed height, so rounds are bounded whatever the data.
+    """
+    b = boxes.select("doc", *(F.col(c).cast("double").alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")))
+    strips = lambda df, lo, hi: df.withColumn("strip", F.explode(F.sequence(F.floor(F.col(lo) / STRIP), F.floor(F.col(hi) / STRIP))))
+    frames = cut(strips(b.where((F.col("bx1") - F.col("bx0") >= WIDE_FRAME) & (F.col("by1") - F.col("by0") <= TALL_BOX)), "by0", "by1").select("doc", "strip", "by0", "by1").distinct())
+    start = clips.select("doc", "clip", F.col("y0").cast("double").alias("y0"), F.col("y1").cast("double").alias("y1")).distinct()
+    live, done = cut(start.withColumn("rounds", F.lit(0))), []
+    while not live.isEmpty():
+        edges = live.select("doc", "clip", F.explode(F.array(F.struct(F.lit(False).alias("down"), F.col("y0").alias("y")), F.struct(F.lit(True).alias("down"), F.col("y1").alias("y")))).alias("e")).select("doc", "clip", "e.*")
+        met = edges.withColumn("strip", F.floor(F.col("y") / STRIP)).join(frames, ["doc", "strip"]).where("by0 < y and y < by1")
+        to = F.when(F.col("down") & (F.col("by1") - F.col("y") <= GROW_DOWN), F.least(F.col("by1") + EDGE_PAD, F.lit(PAGE_HEIGHT - FOOT_MARGIN))).when(~F.col("down") & (F.col("y") - F.col("by0") <= GROW_UP), F.greatest(F.col("by0") - EDGE_PAD, F.lit(HEADER_ZONE)))
+        moved = met.withColumn("to", to).groupBy("doc", "clip").agg(F.min(F.when(~F.col("down"), F.col("to"))).alias("up"), F.max(F.when(F.col("down"), F.col("to"))).alias("low"))
+        n = live.join(moved, ["doc", "clip"], "left").select("doc", "clip", F.least("y0", "up").alias("n0"), F.greatest("y1", "low").alias("n1"), "y0", "y1", "rounds")
+        n = cut(n.withColumn("grew", (F.col("n0") < F.col("y0")) | (F.col("n1") > F.col("y1"))))
+        done.append(n.where("not grew").select("doc", "clip", F.col("n0").alias("ny0"), F.col("n1").alias("ny1"), "rounds"))
+        live = n.where("grew").select("doc", "clip", F.col("n0").alias("y0"), F.col("n1").alias("y1"), (F.col("rounds") + 1).alias("rounds"))
+    upright = reduce(DataFrame.unionByName, done) if done else live.select("doc", "clip", F.col("y0").alias("ny0"), F.col("y1").alias("ny1"), "rounds")
+    wide = strips(b.where((F.col("bx1") - F.col("bx0") > WIDE_BOX) & (F.col("by1") - F.col("by0") < TALL_BOX) & (F.col("by1") >= HEADER_ZONE) & (F.col("by0") <= PAGE_HEIGHT - HEADER_ZONE)), "by0", "by1")
+    bands = strips(clips.select("doc", "clip", F.col("y0").cast("double").alias("y0"), F.col("y1").cast("double").alias("y1")).distinct(), "y0", "y1")
+    side = bands.join(wide, ["doc", "strip"]).where("by1 > y0 and by0 < y1").groupBy("doc", "clip").agg((F.min("bx0") - SIDE_PAD).alias("left"), (F.max("bx1") + SIDE_PAD).alias("right"))
+    x = clips.join(side, ["doc", "clip"], "left").join(upright, ["doc", "clip"])
+    x0, x1 = F.least(F.col("x0").cast("double"), F.greatest("left", F.lit(SIDES[0]))), F.greatest(F.col("x1").cast("double"), F.least("right", F.lit(SIDES[1])))
+    grown = {"x0": F.when(F.col("left").isNull(), F.col("x0").cast("double")).otherwise(x0), "x1": F.when(F.col("right").isNull(), F.col("x1").cast("double")).otherwise(x1), "y0": F.col("ny0"), "y1": F.col("ny1")}
+    return x.withColumns(grown).select(*clips.columns, "rounds")
+
+
+def without(intervals: DataFrame, taken: DataFrame, by: list[str], lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """by, lo, hi: what is left of intervals, as disjoint ones, where taken covers none of it. Both: by, lo, hi; intervals that touch are one, empty ones count for nothing.
+
+    Ends of both sides are put in order and what is open at each is counted, so no interval is paired with another: a stretch between two ends that follow each other is left if one of the first and none of the second side is open."""
+    def ends(df: DataFrame, a: int, b: int) -> DataFrame:
+        e = F.array(*(F.struct(c.cast("double").alias("at"), F.lit(s * a).alias("a"), F.lit(s * b).alias("b")) for c, s in ((F.col(lo), 1), (F.col(hi), -1))))
+        return df.where(F.col(lo) < F.col(hi)).select(*by, F.explode(e).alias("e")).select(*by, "e.*")
+
+    every = ends(intervals, 1, 0).unionByName(ends(taken, 0, 1)).groupBy(*by, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    w = Window.partitionBy(*by).orderBy("at")
+    open_ = every.select(*by, F.col("at").alias(lo), F.lead("at").over(w).alias(hi), F.sum("a").over(w).alias("a"), F.sum("b").over(w).alias("b"))
+    return merged_intervals(open_.where("a > 0 and b = 0"), by, lo, hi).drop("n")
+
+
+#: A gap above a question of more points than this holds a preamble.
+LEAST_PREAMBLE = 24
+#: Points kept above the first line of a page or of a preamble.
+FIRST_PAD = 4
+
+
+def preambles(questions: DataFrame, spans: DataFrame, lines: DataFrame) -> DataFrame:
+    """paper, q, page, lo, hi, by: the scenario printed above a question. questions: paper, q, opening (null: none is known); spans: paper, q, page, top, bottom; lines: paper, page, top, text.
+
+    With an opening, the preamble begins at the first line of the page that begins so (`words`); an opening that isn't found gives no row, rather than a wrong one. Without one, it is the gap above the question (`gap`): from the end of the
+    question before on that page, else from the page's first line, if it is wider than LEAST_PREAMBLE. The first page of a question counts. Two kinds of key, one of which wins; each is a join on (paper, page).
+    """
+    first = spans.groupBy("paper", "q").agg(F.min(F.struct("page", "top")).alias("s")).select("paper", "q", "s.page", "s.top")
+    at = questions.join(first, ["paper", "q"])
+    known = at.where("opening is not null").join(lines.select("paper", "page", F.col("top").alias("__y"), F.trim("text").alias("__t")), ["paper", "page"]).where(F.startswith("__t", "opening"))
+    by_words = known.groupBy("paper", "q", "page", "top").agg((F.min("__y") - FIRST_PAD).alias("lo")).select("paper", "q", "page", F.col("lo").cast("double").alias("lo"), F.col("top").cast("double").alias("hi"), F.lit("words").alias("by"))
+    before = spans.groupBy("paper", (F.col("q") + 1).alias("q"), "page").agg(F.max("bottom").alias("__end"))
+    top = lines.where(F.trim("text") != "").groupBy("paper", "page").agg((F.min("top") - FIRST_PAD).alias("__first"))
+    gap = at.where("opening is null").join(before, ["paper", "q", "page"], "left").join(top, ["paper", "page"], "left")
+    start = F.coalesce("__end", "__first", F.lit(0)).cast("double")
+    by_gap = gap.select("paper", "q", "page", start.alias("lo"), F.col("top").cast("double").alias("hi"), F.lit("gap").alias("by")).where(F.col("hi") - F.col("lo") > LEAST_PREAMBLE)
+    return by_words.unionByName(by_gap)
+
+
+def drawn_rules(drawings: DataFrame) -> DataFrame:
+    """The solid level and upright rules of drawings within their band, as boxes without width or height; the columns of drawings but those read here, and x0, y0, x1, y1. A row for each rule.
+
+    drawings: top, bottom (of the band), dashed, stroked, x0, y0, x1, y1 (what the drawing reaches over), items: array of struct(kind, x0, y0, x1, y1), kind `l` for a line and `re` for a box. A thin filled box is a rule, a stroked one its four
+    edges. Dashed strokes and what is as large as the page are left out, and so are rules of under 15 points across or 10 upright."""
+    d = lambda c: F.col(c).cast("double")
+    inside = (d("y1") >= d("top") - 1) & (d("y0") <= d("bottom") + 1) & ~F.coalesce("dashed", F.lit(False)) & ~((d("x1") - d("x0") > 560) & (d("y1") - d("y0") > 700))
+    stroked = F.coalesce("stroked", F.lit(False))
+
+    def segment(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+        return F.struct(x0.cast("double").alias("x0"), y0.cast("double").alias("y0"), x1.cast("double").alias("x1"), y1.cast("double").alias("y1"))
+
+    def of(i: Column) -> Column:
+        left, right, up, down = F.least(i["x0"], i["x1"]), F.greatest(i["x0"], i["x1"]), F.least(i["y0"], i["y1"]), F.greatest(i["y0"], i["y1"])
+        w, h = right - left, down - up
+        line = F.when((h < 1) & (w > 15), F.array(segment(left, i["y0"], right, i["y0"]))).when((w < 1) & (h > 10), F.array(segment(i["x0"], up, i["x0"], down)))
+        y, x = (up + down) / 2, (left + right) / 2
+        edges = F.array(segment(left, up, right, up), segment(left, down, right, down), segment(left, up, left, down), segment(right, up, right, down))
+        box = F.when((h <= 2) & (w > 15), F.array(segment(left, y, right, y))).when((w <= 2) & (h > 10), F.array(segment(x, up, x, down))).when((w > 15) & (h > 10) & stroked, edges)
+        return F.coalesce(F.when(i["kind"] == "l", line).when(i["kind"] == "re", box), F.array().cast("array<struct<x0:double,y0:double,x1:double,y1:double>>"))
+
+    kept = [c for c in drawings.columns if c not in ("top", "bottom", "dashed", "stroked", "x0", "y0", "x1", "y1", "items")]
+    s = drawings.where(inside).select(*kept, "top", "bottom", F.explode(F.flatten(F.transform("items", of))).alias("s"))
+    return s.where((F.col("s.y0") >= F.col("top") - 2) & (F.col("s.y1") <= F.col("bottom") + 2)).select(*kept, "s.*")

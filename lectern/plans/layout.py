@@ -112,3 +112,72 @@ def d27_touching_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     x1, y1 = x0 + F.when(level, k % 37).otherwise(0), y0 + F.when(level, 0).otherwise(k % 31)
     b = table(spark, sf_dir, "orders").select(F.expr("o_custkey div 10").alias("g"), k.alias("id"), d(x0).alias("x0"), d(y0).alias("y0"), d(x1).alias("x1"), d(y1).alias("y1"))
     return layout.touching_groups(b, ["g"])
+
+
+CLIPS = """cl AS (SELECT o_custkey // 10 AS doc, o_orderkey AS clip, 50 + o_orderkey % 200 AS x0, (o_orderkey * 7) % 500 + 100 AS y0, 300 + o_orderkey % 240 AS x1, (o_orderkey * 7) % 500 + 120 + o_orderkey % 90 AS y1 FROM orders),
+bx AS (SELECT o_custkey // 10 AS doc, o_orderkey % 90 AS x0, (o_orderkey * 13 + o_custkey * 3) % 760 AS y0, o_orderkey % 90 + 10 + o_custkey * 37 % 480 AS x1, (o_orderkey * 13 + o_custkey * 3) % 760 + o_orderkey % 60 AS y1 FROM orders)"""
+
+
+@query(f"""WITH RECURSIVE {CLIPS},
+up AS (SELECT doc, clip, CAST(y0 AS DOUBLE) AS y0, CAST(y1 AS DOUBLE) AS y1, 0 AS k FROM cl
+  UNION ALL SELECT doc, clip, n0, n1, k + 1 FROM (SELECT up.doc, clip, up.y0, up.y1, k,
+      least(up.y0, min(CASE WHEN bx.y0 < up.y0 AND up.y0 < bx.y1 AND up.y0 - bx.y0 <= 20 THEN greatest(bx.y0 - 2, 55) END)) AS n0, greatest(up.y1, max(CASE WHEN bx.y0 < up.y1 AND up.y1 < bx.y1 AND bx.y1 - up.y1 <= 40 THEN least(bx.y1 + 2, 792) END)) AS n1
+      FROM up JOIN bx ON bx.doc = up.doc AND bx.x1 - bx.x0 >= 100 AND bx.y1 - bx.y0 <= 700 GROUP BY up.doc, up.clip, up.y0, up.y1, k) WHERE n0 < y0 OR n1 > y1),
+en AS (SELECT doc, clip, min(y0) AS y0, max(y1) AS y1, max(k) AS rounds FROM up GROUP BY ALL),
+sd AS (SELECT cl.doc, clip, min(bx.x0) - 1.5 AS a, max(bx.x1) + 1.5 AS b FROM cl JOIN bx ON bx.doc = cl.doc AND bx.x1 - bx.x0 > 20 AND bx.y1 - bx.y0 < 700 AND bx.y1 >= 55 AND bx.y0 <= 787 AND bx.y1 > cl.y0 AND bx.y0 < cl.y1 GROUP BY ALL)
+SELECT cl.doc, cl.clip, CAST(CASE WHEN a IS NULL THEN cl.x0 ELSE least(cl.x0, greatest(a, 40)) END AS DOUBLE) AS x0, en.y0, CAST(CASE WHEN b IS NULL THEN cl.x1 ELSE greatest(cl.x1, least(b, 560)) END AS DOUBLE) AS x1, en.y1, rounds FROM cl JOIN en ON en.doc = cl.doc AND en.clip = cl.clip LEFT JOIN sd ON sd.doc = cl.doc AND sd.clip = cl.clip""")
+def k08_widened_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K08, its rule: clips grow over the boxes that poke out of them until none does."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    o, page = table(spark, sf_dir, "orders"), F.expr("o_custkey div 10").alias("doc")
+    y, by = (k * 7) % 500, (k * 13 + c * 3) % 760
+    clips = o.select(page, k.alias("clip"), (50 + k % 200).alias("x0"), (y + 100).alias("y0"), (300 + k % 240).alias("x1"), (y + 120 + k % 90).alias("y1"))
+    boxes = o.select(page, (k % 90).alias("x0"), by.alias("y0"), (k % 90 + 10 + c * 37 % 480).alias("x1"), (by + k % 60).alias("y1"))
+    return layout.widened(clips, boxes).select("doc", "clip", "x0", "y0", "x1", "y1", "rounds")
+
+
+@query("""WITH a AS (SELECT l_suppkey AS g, l_partkey * 3 % 4000 AS lo, l_partkey * 3 % 4000 + CAST(l_quantity AS BIGINT) % 40 AS hi FROM lineitem WHERE l_linenumber % 2 = 0), b AS (SELECT l_suppkey AS g, l_orderkey * 11 % 4000 AS lo, l_orderkey * 11 % 4000 + CAST(l_quantity AS BIGINT) % 25 AS hi FROM lineitem WHERE l_linenumber % 2 = 1),
+p AS (SELECT DISTINCT g, unnest(generate_series(lo, hi - 1)) AS x FROM a WHERE lo < hi), q AS (SELECT DISTINCT g, unnest(generate_series(lo, hi - 1)) AS x FROM b WHERE lo < hi),
+r AS (SELECT g, x, x - row_number() OVER (PARTITION BY g ORDER BY x) AS run FROM p ANTI JOIN q USING (g, x))
+SELECT g, CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) + 1 AS DOUBLE) AS hi FROM r GROUP BY g, run""")
+def f12_intervals_without(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of intervals where others cover nothing. The SQL counts unit by unit."""
+    li, q = table(spark, sf_dir, "lineitem"), F.col("l_quantity").cast("long")
+    x, y = F.col("l_partkey") * 3 % 4000, F.col("l_orderkey") * 11 % 4000
+    a = li.where("l_linenumber % 2 = 0").select(F.col("l_suppkey").alias("g"), x.alias("lo"), (x + q % 40).alias("hi"))
+    b = li.where("l_linenumber % 2 = 1").select(F.col("l_suppkey").alias("g"), y.alias("lo"), (y + q % 25).alias("hi"))
+    return layout.without(a, b, ["g"])
+
+
+@query(rf"""WITH {LINES},
+ql AS (SELECT q AS paper, CASE WHEN r >= 2 THEN k ELSE k - 1 END AS q, page, top, bottom, text FROM ln WHERE r NOT IN (0, 1)),
+sp AS (SELECT paper, q, page, min(top) AS top, max(bottom) AS bottom FROM ql GROUP BY ALL),
+fs AS (SELECT paper, q, arg_min(page, page * 100000 + top) AS page, min(page * 100000 + top) % 100000 AS top FROM sp GROUP BY paper, q),
+qu AS (SELECT *, CASE WHEN q % 3 = 1 THEN 'Evidence 5' WHEN q % 3 = 2 THEN 'no such words' END AS opening FROM fs)
+SELECT qu.paper, qu.q, qu.page, CAST(min(ln.top) - 4 AS DOUBLE) AS lo, CAST(any_value(qu.top) AS DOUBLE) AS hi, 'words' AS by FROM qu JOIN ln ON ln.q = qu.paper AND ln.page = qu.page AND starts_with(trim(ln.text), opening) GROUP BY ALL
+UNION ALL
+SELECT * FROM (SELECT qu.paper, qu.q, qu.page, CAST(coalesce((SELECT max(bottom) FROM sp WHERE sp.paper = qu.paper AND sp.q = qu.q - 1 AND sp.page = qu.page), (SELECT min(top) - 4 FROM ln WHERE ln.q = qu.paper AND ln.page = qu.page AND trim(text) <> '')) AS DOUBLE) AS lo, CAST(top AS DOUBLE) AS hi, 'gap' AS by FROM qu WHERE opening IS NULL) WHERE hi - lo > 24""")
+def k12_preambles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K12, its rule: a preamble by its opening words, else by the gap above the question."""
+    x = made_lines(spark, sf_dir)
+    own = x.where("r not in (0, 1)").select(F.col("q").alias("paper"), F.when(F.col("r") >= 2, F.col("k")).otherwise(F.col("k") - 1).alias("q"), "page", "top", "bottom")
+    spans = own.groupBy("paper", "q", "page").agg(F.min("top").alias("top"), F.max("bottom").alias("bottom"))
+    questions = spans.select("paper", "q").distinct().withColumn("opening", F.when(F.col("q") % 3 == 1, "Evidence 5").when(F.col("q") % 3 == 2, "no such words"))
+    p = layout.preambles(questions, spans, x.select(F.col("q").alias("paper"), "page", "top", "text"))
+    return p.withColumn("page", F.col("page").cast("long"))
+
+
+@query("""WITH d AS (SELECT l_suppkey AS doc, l_orderkey AS id, 100 AS top, 700 AS bottom, l_linenumber = 7 AS dashed, l_returnflag <> 'N' AS stroked, l_partkey % 400 AS x, l_orderkey % 800 AS y, CAST(l_quantity AS BIGINT) AS w, l_linenumber AS n FROM lineitem),
+i AS (SELECT *, unnest([{'k': 'l', 'a': x + w, 'b': y, 'c': x, 'd': y}, {'k': 'l', 'a': x, 'b': y + w, 'c': x, 'd': y}, {'k': 're', 'a': x, 'b': y, 'c': x + w * 2, 'd': y + n * 5 - 4}, {'k': 're', 'a': x, 'b': y, 'c': x + n, 'd': y + w}, {'k': 'c', 'a': 0, 'b': 0, 'c': 90, 'd': 0}]) AS i FROM d
+  WHERE NOT dashed AND y + 60 >= top - 1 AND y <= bottom + 1),
+s AS (SELECT doc, id, top, bottom, unnest(CASE WHEN i.k = 'l' AND i.b = i.d AND abs(i.a - i.c) > 15 THEN [[least(i.a, i.c), i.b, greatest(i.a, i.c), i.b]] WHEN i.k = 'l' AND i.a = i.c AND abs(i.b - i.d) > 10 THEN [[i.a, least(i.b, i.d), i.a, greatest(i.b, i.d)]]
+   WHEN i.k = 're' AND i.d - i.b <= 2 AND i.c - i.a > 15 THEN [[i.a, (i.b + i.d) / 2, i.c, (i.b + i.d) / 2]] WHEN i.k = 're' AND i.c - i.a <= 2 AND i.d - i.b > 10 THEN [[(i.a + i.c) / 2, i.b, (i.a + i.c) / 2, i.d]]
+   WHEN i.k = 're' AND i.c - i.a > 15 AND i.d - i.b > 10 AND stroked THEN [[i.a, i.b, i.c, i.b], [i.a, i.d, i.c, i.d], [i.a, i.b, i.a, i.d], [i.c, i.b, i.c, i.d]] ELSE [] END) AS s FROM i)
+SELECT doc, CAST(s[1] AS DOUBLE) AS x0, CAST(s[2] AS DOUBLE) AS y0, CAST(s[3] AS DOUBLE) AS x1, CAST(s[4] AS DOUBLE) AS y1, count(*) AS n FROM s WHERE s[2] >= top - 2 AND s[4] <= bottom + 2 GROUP BY ALL""")
+def k06_drawn_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K06, its rule: the level and upright rules of drawings, boxes by their edges."""
+    x, y, w, n = F.col("l_partkey") % 400, F.col("l_orderkey") % 800, F.col("l_quantity").cast("long"), F.col("l_linenumber")
+    item = lambda kind, *c: F.struct(F.lit(kind).alias("kind"), *((v if not isinstance(v, int) else F.lit(v)).cast("double").alias(k) for k, v in zip(("x0", "y0", "x1", "y1"), c)))
+    items = F.array(item("l", x + w, y, x, y), item("l", x, y + w, x, y), item("re", x, y, x + w * 2, y + n * 5 - 4), item("re", x, y, x + n, y + w), item("c", 0, 0, 90, 0))
+    d = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("doc"), F.lit(100).alias("top"), F.lit(700).alias("bottom"), (n == 7).alias("dashed"), (F.col("l_returnflag") != "N").alias("stroked"), x.alias("x0"), y.alias("y0"), (x + 100).alias("x1"), (y + 60).alias("y1"), items.alias("items"))
+    return layout.drawn_rules(d).groupBy("doc", "x0", "y0", "x1", "y1").agg(F.count(F.lit(1)).alias("n"))
