@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.llm.common import durable
-from lectern.llm.quality_rules import let
 
 #: A turn is HEAD, the role, a new line, the text, END. Roles and texts are escaped, so both strings occur in a formatted conversation only as markers.
 HEAD, END = "### ", "</turn>\n"
@@ -30,30 +29,33 @@ def unescape(value: Column, pairs=TEXT_ESCAPES) -> Column:
     return F.array_join(F.transform(F.split(value, r"\\\\", -1), part), "\\")
 
 
-def ancestors(nodes: DataFrame) -> list[DataFrame]:
-    """Self-joins by doubling: the k-th table has, for each node with at least 2^k ancestors, the one 2^k above it, and the summed score of the nodes from it up to, not including, that one.
+def ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Self-joins by doubling: the k-th table has, for each node with at least 2^k ancestors, the one 2^k above it, and the summed score of the nodes from it up to, not including, that one. Then the nodes whose parents run in a circle.
 
-    nodes: tree, node, parent (null: root), score. A parent that isn't a node of the same tree counts as null. The number of joins is the logarithm of the depth.
+    nodes: tree, node, parent (null: root), score. A parent that isn't a node of the same tree counts as null. The number of joins is the logarithm of the depth; a node with more ancestors than there are nodes is in a circle or below one.
     """
     ids = nodes.select(F.col("tree").alias("t"), F.col("node").alias("up"))
+    most = nodes.count().bit_length()
     step = durable(nodes.where("parent is not null").join(ids, (F.col("tree").eqNullSafe(F.col("t"))) & (F.col("parent") == F.col("up"))).select("tree", "node", "up", F.col("score").alias("gain")))
     levels = []
-    while not step.isEmpty():
+    while len(levels) < most and not step.isEmpty():
         levels.append(step)
         above = step.select(F.col("tree").alias("t"), F.col("node").alias("via"), F.col("up").alias("top"), F.col("gain").alias("more"))
         step = durable(step.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("via"))).select("tree", "node", F.col("top").alias("up"), (F.col("gain") + F.col("more")).alias("gain")))
-        if len(levels) > 40:
-            raise ValueError("the parents run in a circle")
-    return levels
+    return levels, step.select("tree", "node")
 
 
 def paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     """(tree, leaf, branch, total, node, depth): the nodes of the chosen root-to-leaf paths of each reply tree; branch 1 has the highest summed score.
 
     Branches of a tree with several roots are ranked together; equal sums by the smaller leaf. branches: how many are kept of each tree, None for all. Null scores count as 0.
+    Nodes whose parents run in a circle have no root: they, and what hangs below them, are on no path.
     """
     nodes = durable(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0)).cast("double").alias("score")))
-    levels = ancestors(nodes)
+    levels, circling = ancestors(nodes)
+    if not circling.isEmpty():
+        gone = circling.select(F.col("tree").alias("t"), F.col("node").alias("n"))
+        nodes, *levels = (durable(x.join(gone, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")) for x in (nodes, *levels))
     parents = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     ends = nodes.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
     totals = ends.select("tree", "node", F.col("node").alias("at"), F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("height"))
@@ -104,12 +106,12 @@ def loss_text(conversation: Column, spans: Column) -> Column:
 def format_trees(messages: DataFrame, tree_col: str, node_col: str, parent_col: str, role_col: str, text_col: str, score_col: str | None = None, branches: int | None = 1) -> DataFrame:
     """Formats the chosen branches of reply trees: tree, leaf, branch, total, conversation, loss_spans.
 
-    A node id names one message of its tree; rows with a null node, and a second row of the same tree and node, are errors of the input and raise. Null trees form one tree. No rows give none. Other columns are not read.
+    A node id names one message of its tree. Of several rows of one tree and node, equal or not, the first by parent, role, text and score (nulls first) is the message. A row with a null node has no place in a tree and is left out, and so are
+    messages whose parents run in a circle; a parent that isn't there makes a root. Null trees form one tree. No rows give none. Other columns are not read.
     """
     score = F.col(score_col) if score_col else F.lit(0)
     rows = messages.select(F.col(tree_col).alias("tree"), F.col(node_col).alias("node"), F.col(parent_col).alias("parent"), F.col(role_col).alias("role"), F.col(text_col).alias("text"), score.alias("score"))
-    once = F.count(F.lit(1)).over(Window.partitionBy("tree", "node"))
-    rows = rows.withColumn("node", F.when((once > 1) | F.col("node").isNull(), F.raise_error(F.lit("each message of a tree needs a node id of its own"))).otherwise(F.col("node")))
+    rows = rows.where("node is not null").groupBy("tree", "node").agg(F.min(F.struct("parent", "role", "text", "score")).alias("m")).select("tree", "node", "m.*")
     chosen = paths(rows.select("tree", "node", "parent", "score"), branches)
     texts = rows.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
     turns = chosen.join(texts, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))

@@ -159,19 +159,18 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     counts = stored(counts)  # as a table of its own it can be joined with a very common run's partition split
     hits = windows.select("key", "w", "v", "start").join(counts, ["w", "v"]).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "first_id", "copies"))).alias("hits"))
 
-    @F.arrow_udf("array<struct<first_word:int,n_words:int,first_id:bigint,copies:bigint>>")
+    kind = hits.schema["hits"].dataType.elementType["first_id"].dataType.simpleString()
+
+    @F.arrow_udf(f"array<struct<first_word:int,n_words:int,first_id:{kind},copies:bigint>>")
     def merge(hit_lists: pa.Array) -> pa.Array:
         flat, ends = hit_lists.flatten(), np.cumsum([0, *(len(x) for x in hit_lists)])
-        all_starts, ids, counts = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "first_id", "copies"))
-        out = []
+        all_starts, counts = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "copies"))
+        ids, out = flat.field("first_id").to_pylist(), []
         for a, b in zip(ends[:-1], ends[1:]):
-            starts = all_starts[a:b]
-            begin, size = spans(starts, min_words)
-            cut = np.searchsorted(starts, begin)
-            first, most = np.minimum.reduceat(ids[a:b], cut), np.maximum.reduceat(counts[a:b], cut)
-            out.append([{"first_word": int(w), "n_words": int(x), "first_id": int(y), "copies": int(z)} for w, x, y, z in zip(begin, size, first, most)])
-        kind = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("first_id", pa.int64()), ("copies", pa.int64())]))
-        return pa.array(out, kind)
+            begin, size = spans(all_starts[a:b], min_words)
+            cut = [*(a + np.searchsorted(all_starts[a:b], begin)), b]
+            out.append([{"first_word": int(w), "n_words": int(x), "first_id": min(ids[lo:hi]), "copies": int(counts[lo:hi].max())} for w, x, lo, hi in zip(begin, size, cut, cut[1:])])
+        return pa.array(out, pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("first_id", flat.field("first_id").type), ("copies", pa.int64())])))
 
     found = owners.join(hits.select("key", merge("hits").alias("m")), "key").select("id", "key", F.explode("m").alias("m"))
     return found.select(F.col("id").alias("doc_id"), F.col("key").alias("text_key"), "m.first_word", "m.n_words", F.col("m.first_id").alias("first_doc_id"), "m.copies")

@@ -340,6 +340,8 @@ def test_op5_against_all_windows(spark, seed):
 def test_op5_odd_rows(spark):
     docs = odd_documents(spark)
     assert {r.doc_id for r in suffix_dedup.repeated(docs).collect()} == {8, 9}
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    assert {(r.doc_id, r.first_doc_id) for r in suffix_dedup.repeated(named).collect()} == {("d8", "d8"), ("d9", "d8")}
     assert suffix_dedup.repeated(docs.limit(0)).collect() == []
 
 
@@ -354,8 +356,17 @@ def test_op6_trees_rank_branches(spark):
     alone = spark.createDataFrame([(got["u", 1].conversation,)], "c string").select(chat.read_back(chat.F.col("c")).alias("t")).first().t
     assert [(t.role, t.text) for t in alone] == [("", "alone\n### </turn>\\h")]
     assert (None, 1) in got and chat.format_trees(df.limit(0), "tree", "node", "parent", "role", "text").collect() == []
-    with pytest.raises(Exception, match="node id of its own"):
-        chat.format_trees(df.union(df), "tree", "node", "parent", "role", "text").collect()
+
+
+def test_op6_odd_trees_have_a_result(spark):
+    long = "word </turn> " * 20000
+    rows = [("t", 1, None, "user", "a", 0.0), ("t", 1, None, "user", "a", 0.0), ("t", 1, None, "user", "later", 0.0), ("t", 2, 1, "assistant", long, 0.0), ("t", None, 1, "user", "nowhere", 9.0), (None, None, None, None, None, None)]
+    rows += [("c", 1, 3, "user", "x", 0.0), ("c", 2, 1, "user", "y", 0.0), ("c", 3, 2, "user", "z", 0.0), ("c", 4, 3, "user", "below the circle", 0.0), ("c", 5, None, "user", "sound", 0.0), ("c", 6, 5, "assistant", "too", 0.0), ("s", 7, 7, "user", "its own parent", 0.0)]
+    df = spark.createDataFrame([(*r, 1, "x", True) for r in rows], "tree string, node long, parent long, role string, text string, score double, branch int, leaf string, depth boolean")
+    out = chat.format_trees(df, "tree", "node", "parent", "role", "text", "score", branches=None)
+    back = out.select("tree", "leaf", chat.read_back(F.col("conversation")).alias("t"), chat.loss_text(F.col("conversation"), F.col("loss_spans")).alias("l")).collect()
+    got = {(r.tree, r.leaf): ([(t.role, t.text) for t in r.t], r.l) for r in back}
+    assert got == {("t", 2): ([("user", "a"), ("assistant", long)], long), ("c", 6): ([("user", "sound"), ("assistant", "too")], "too")}
 
 
 def test_op6_escapes_round_trip(spark):
