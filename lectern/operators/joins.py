@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.text import quote_norm
 
-#: A side is broadcast only if it has so many rows at most; it is counted first.
-BROADCAST_ROWS = 200_000
-#: Needles without a key that are tried on every text, at most.
-SHORT_NEEDLES = 1000
+#: A side is broadcast only if it has so many rows and bytes of text at most; it is counted first.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+#: Characters of the piece by which a short needle is looked up, at most.
+PIECE = 4
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count, cut off above the bound, shows that it is small; else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if a count, cut off above the bound of rows, shows that it and its texts are small; else as it is."""
+    texts = [F.octet_length(c) for c, kind in df.dtypes if kind in ("string", "binary")]
+    n, held = df.limit(rows + 1).select(sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0)).cast("long").alias("b")).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= size else df
 
 
 def inherited_tags(units: DataFrame, tags: DataFrame) -> DataFrame:
@@ -58,23 +62,23 @@ def verified_quotes(quotes: DataFrame, pages: DataFrame) -> DataFrame:
 def contained(needles: DataFrame, texts: DataFrame, ident: str, needle: str = "needle", text: str = "text") -> DataFrame:
     """Pairs of needle and text rows where the text holds the needle; both are single-spaced. ident: a key of texts.
 
-    The second to fourth word of a needle of five or more are whole words of any text that holds it, so such needles meet only texts with these three words in a row: keys and idents are joined first, and the texts of the pairs so found
-    are fetched once. Shorter needles have no such key and are tried on every text; more than SHORT_NEEDLES of them are refused, as that would be all pairs.
+    The second to fourth word of a needle of five or more are whole words of any text that holds it, so such needles meet only texts with these three words in a row. A shorter needle is looked up by the PIECE characters that it begins with (all of
+    them, if it has fewer), among the pieces of each text. Keys and idents are joined first, and the texts of the pairs so found are fetched once. Empty and null needles are in no text.
     """
     words = lambda c: F.split(c, " ")
     three = lambda w, i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    keyed = needles.withColumn("__w", words(F.col(needle)))
+    keyed = needles.where(F.length(needle) > 0).withColumn("__w", words(F.col(needle)))
     long = keyed.where(F.size("__w") >= 5).withColumn("__key", three(F.col("__w"), F.lit(1))).drop("__w")
     w = texts.select(ident, words(F.col(text)).alias("__w")).where(F.size("__w") >= 3)
     probes = w.select(ident, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("__w") - 3), lambda i: three(F.col("__w"), i)))).alias("__key"))
-    found = probes.join(small(long), "__key").drop("__key").join(texts, ident).where(F.contains(text, needle))
-    short = keyed.where((F.size("__w") < 5) & (F.length(needle) > 0)).drop("__w")
-    if (n := short.limit(SHORT_NEEDLES + 1).count()) > SHORT_NEEDLES:
-        raise ValueError(f"more than {SHORT_NEEDLES} needles of under five words")
-    if not n:
-        return found
-    tried = texts.join(F.broadcast(short), F.contains(F.col(text), F.col(needle)))
-    return found.unionByName(tried.select(*found.columns))
+    found = [probes.join(small(long), "__key").drop("__key")]
+    short = keyed.where(F.size("__w") < 5).drop("__w").withColumn("__n", F.least(F.length(needle), F.lit(PIECE)))
+    for (n,) in short.select("__n").distinct().orderBy("__n").collect():  # PIECE numbers at most
+        own = short.where(F.col("__n") == n).withColumn("__key", F.substring(needle, 1, n)).drop("__n")
+        letters = texts.select(ident, F.split(text, "").alias("__c")).where(F.size("__c") >= n)
+        pieces = F.transform(F.sequence(F.lit(0), F.size("__c") - n), lambda i: F.concat(*(F.get("__c", i + k) for k in range(n))))  # noqa: B023
+        found.append(letters.select(ident, F.explode(F.array_distinct(pieces)).alias("__key")).join(small(own), "__key").drop("__key"))
+    return reduce(DataFrame.unionByName, found).join(texts, ident).where(F.contains(text, needle))
 
 
 def first_alias(wanted: DataFrame, aliases: DataFrame, present: DataFrame) -> DataFrame:

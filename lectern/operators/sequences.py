@@ -6,19 +6,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.operators.graphs import cut
+
+
+def dealt(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """rows over ranges of (by, order), with __range, each row's range. Rows of one place are in one range, and a group with a third of all rows lies in as many as it fills. Ranges are drawn from a look at the rows and then used more than once,
+    so they are cut off."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(rows.repartitionByRange(n, *by, *order).withColumn("__range", F.spark_partition_id()))
+
+
+def running(ranges: DataFrame, by: list[str], order: list[str], value: Column, how: str, out: str, *, own: bool = True) -> DataFrame:
+    """ranges (see dealt) with out: of a value's rows so far in its group, with the row itself if own, the sum, the max or the last one that isn't null; null before there is any.
+
+    Each range is gone through by itself; what its group has before it comes from one row for each group and range. So no group needs a task of its own."""
+    v = ranges.withColumn("__v", value).withColumn("__g", F.struct(*by, "__range"))
+    local = Window.partitionBy("__g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    whole = {"sum": F.sum("__v"), "max": F.max("__v"), "last": F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(*order)))}[how]
+    fold = lambda c: F.last(c, ignorenulls=True) if how == "last" else getattr(F, how)(c)
+    ends = v.groupBy("__g").agg(whole.alias("__whole")).select("__g", F.struct(*(F.col(f"__g.{c}") for c in by)).alias("__b"), "__whole")
+    ends = ends.select("__g", fold("__whole").over(Window.partitionBy("__b").orderBy("__g.__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__before"))
+    near = fold("__v").over(local)
+    both = {"sum": F.coalesce(F.col("__near") + F.col("__before"), "__near", "__before"), "max": F.greatest("__near", "__before"), "last": F.coalesce("__near", "__before")}[how]
+    return v.withColumn("__near", near).join(ends, "__g").withColumn(out, both).drop("__v", "__g", "__near", "__before")
+
 
 def carried(rows: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """The last value that isn't null, up to each row of its group."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    return running(dealt(rows, by, order), by, order, F.col(value), "last", out).drop("__range")
 
 
 def as_of(rows: DataFrame, facts: DataFrame, by: list[str], at: str, value: str, out: str) -> DataFrame:
     """rows with the value of the latest fact of their group at or before them (facts: by, at, value; equal times: the largest value). Rows and facts are merged and the value carried, so nothing is paired."""
     f = facts.groupBy(*by, at).agg(F.max(value).alias(out))
     marked = f.select(*by, at, out, F.lit(0).alias("__side"), *(F.lit(None).cast(t).alias(c) for c, t in rows.dtypes if c not in (*by, at)))
-    both = marked.unionByName(rows.withColumns({out: F.lit(None).cast(dict(f.dtypes)[out]), "__side": F.lit(1)}))
-    return carried(both, by, [at, "__side"], out, out).where("__side = 1").drop("__side")
+    both = marked.unionByName(rows.withColumns({out: F.lit(None).cast(dict(f.dtypes)[out]), "__side": F.lit(1)})).withColumnRenamed(out, "__fact")
+    return carried(both, by, [at, "__side"], "__fact", out).where("__side = 1").drop("__side", "__fact")
 
 
 def islands(rows: DataFrame, by: list[str], position: str) -> DataFrame:
@@ -31,10 +54,9 @@ def islands(rows: DataFrame, by: list[str], position: str) -> DataFrame:
 
 def merged_intervals(rows: DataFrame, by: list[str], lo: str, hi: str, gap: float = 0) -> DataFrame:
     """by, lo, hi, n: intervals that overlap, or lie at most gap apart, as one."""
-    w = Window.partitionBy(*by).orderBy(lo, hi)
-    reach = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(F.col(lo) <= reach + F.lit(gap), 0).otherwise(1)
-    g = rows.withColumn("__new", fresh).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    r = running(dealt(rows.select(*by, lo, hi), by, [lo, hi]), by, [lo, hi], F.col(hi), "max", "__reach", own=False)
+    fresh = F.when(F.col(lo) <= F.col("__reach") + F.lit(gap), 0).otherwise(1)
+    g = running(r.withColumn("__new", fresh), by, [lo, hi], F.col("__new"), "sum", "__run")
     return g.groupBy(*by, "__run").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count(F.lit(1)).alias("n")).drop("__run")
 
 
@@ -86,7 +108,7 @@ def falling_run(rows: DataFrame, by: str, year: str, value: str) -> DataFrame:
 
 
 def running_total(rows: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
-    """rows with running, the sum of a value so far in its group, and pct, that of the group's whole."""
-    so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = rows.withColumn("running", F.sum(value).over(so_far))
-    return r.withColumn("pct", 100.0 * F.col("running") / F.sum(value).over(Window.partitionBy(*by)))
+    """rows with running, the sum of a value so far in its group, and pct, that of the group's whole. order tells all rows of a group apart, or rows of one place are summed in any order."""
+    r = running(dealt(rows, by, order), by, order, F.col(value), "sum", "running").withColumn("__b", F.struct(*by))
+    whole = rows.groupBy(F.struct(*by).alias("__b")).agg(F.sum(value).alias("__whole"))
+    return r.join(whole, "__b").withColumn("pct", 100.0 * F.col("running") / F.col("__whole")).select(*rows.columns, "running", "pct")

@@ -127,3 +127,28 @@ def test_cites_against_recursion(spark):
     assert sorted((g[0], g[1]) for g in got) == sorted((w[0], w[1]) for w in want)
     assert [g for g in got if not any(str(x)[:1] in "[{" for x in g[2:] if x)] == [w for w in want if "?" not in w]
     assert papers.cites(df.limit(0), "id", "v").collect() == []
+
+
+def test_short_needles_have_no_bound(spark):
+    from lectern.operators import joins
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcé😀") for _ in range(rng.randint(1, 4)))
+    texts = [(i, " ".join(word() for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(98, ""), (99, None)]
+    needles = [(k, " ".join(word() for _ in range(rng.randint(1, 6)))) for k in range(1500)] + [(2000, ""), (2001, None), (2002, "a"), (2003, "a"), (2004, texts[3][1][2:])]
+    got = joins.contained(spark.createDataFrame(needles, "k int, needle string"), spark.createDataFrame(texts, "id int, text string"), "id").select("k", "id").collect()
+    want = sorted((k, i) for k, n in needles for i, t in texts if n and t is not None and n in t)
+    assert sorted(map(tuple, got)) == want and len(want) > 500
+
+
+@pytest.mark.parametrize("how", ["sum", "max", "last"])
+def test_running_values_over_ranges(spark, how):
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot"] * 5 + ["a", "b", None]), k, rng.choice([None, rng.randrange(100)])) for k in range(400)]
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    for own in (True, False):
+        got = {r.o: r.x for r in sequences.running(sequences.dealt(df, ["g"], ["o"]), ["g"], ["o"], F.col("v"), how, "x", own=own).collect()}
+        assert len(got) == 400
+        for g, o, v in rows:
+            seen = [y for h, p, y in rows if h == g and (p <= o if own else p < o) and y is not None]
+            assert got[o] == (None if not seen else {"sum": sum, "max": max, "last": lambda s: s[-1]}[how](seen))
