@@ -136,11 +136,14 @@ def recency(units: DataFrame, last_n: int = 4) -> DataFrame:
 
 
 def band(rows: DataFrame, value: str, lo: float, hi: float, by: list[str]) -> DataFrame:
-    """Nearest-rank percentiles lo and hi of a value in each group and the pct of values inside the closed band."""
-    q = rows.groupBy(*by).agg(F.expr(f"percentile_disc({lo}) within group (order by {value})").alias("lo"), F.expr(f"percentile_disc({hi}) within group (order by {value})").alias("hi"))
-    j = rows.join(q, by) if by else rows.crossJoin(F.broadcast(q))
-    g = j.groupBy(*by, "lo", "hi") if by else j.groupBy("lo", "hi")
-    return g.agg(F.count(F.lit(1)).alias("n"), (100.0 * F.count_if(F.col(value).between(F.col("lo"), F.col("hi"))) / F.count(F.lit(1))).alias("inside_pct"))
+    """Nearest-rank percentiles lo and hi of a value in each group and the pct of values inside the closed band. Equal values are counted first, and all else is read from the counts, so a task holds a group's distinct values and not its rows."""
+    group = Window.partitionBy(*by)
+    c = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    c = c.withColumns({"__seen": F.sum("__n").over(group.orderBy(value)), "__all": F.sum("__n").over(group)})
+    at = lambda p: F.min(F.when(F.col("__seen") >= F.ceil(F.lit(p) * F.col("__all")), F.col(value))).over(group)
+    c = c.withColumns({"lo": at(lo), "hi": at(hi)})
+    inside = F.sum(F.when(F.col(value).between(F.col("lo"), F.col("hi")), F.col("__n")).otherwise(0))
+    return c.groupBy(*by, "lo", "hi").agg(F.sum("__n").alias("n"), (100.0 * inside / F.sum("__n")).alias("inside_pct"))
 
 
 def question_totals(units: DataFrame) -> DataFrame:

@@ -221,7 +221,7 @@ def a17_topic_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers.topic_file_stats(table(spark, sf_dir, "part").select(F.col("p_brand").alias("file"), line.alias("line")))
 
 
-@query(r"""WITH s AS (SELECT doc_id % 97 AS session, lang AS component, doc_id AS page, 'Intro. Question 1 ' || substr(text, 1, 30) || ' Question 12 (a) ' || substr(text, 1, 90) || ' (b) short Question 3' AS text FROM documents),
+@query(r"""WITH s AS (SELECT doc_id % 97 AS session, lang AS component, doc_id AS page, 'Intro. Question 1 ' || text || ' Question 12 (a) ' || text || ' (b) short Question 3' AS text FROM documents),
 p AS (SELECT DISTINCT session, component, q, part FROM s, (VALUES ('1', 'a'), ('12', 'a'), ('12', 'b'), ('12', NULL), ('2', 'a')) v(q, part)),
 c AS (SELECT p.*, page, list_filter(string_split(regexp_replace(text, 'Question ([0-9])', chr(1) || '\1', 'g'), chr(1)), lambda x: regexp_matches(x, '^' || q || '([^0-9]|$)'))[1] AS x FROM p JOIN s USING (session, component)),
 b AS (SELECT *, trim(substr(x, length(q) + 1)) AS body FROM c WHERE x IS NOT NULL),
@@ -229,7 +229,7 @@ n AS (SELECT *, trim(CASE WHEN part IS NOT NULL THEN regexp_extract(body, '(?s)\
 f AS (SELECT session, component, q, part, md5(CASE WHEN length(own) > 40 THEN own ELSE body END) AS text_md5, CASE WHEN length(own) > 40 THEN 'part' ELSE 'question' END AS scope FROM n QUALIFY row_number() OVER (PARTITION BY session, component, q, part ORDER BY page) = 1)
 SELECT p.*, f.text_md5, f.scope FROM p LEFT JOIN f ON p.session = f.session AND p.component = f.component AND p.q = f.q AND p.part IS NOT DISTINCT FROM f.part""")
 def d08_report_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("Intro. Question 1 "), F.substring("text", 1, 30), F.lit(" Question 12 (a) "), F.substring("text", 1, 90), F.lit(" (b) short Question 3"))
+    text = F.concat(F.lit("Intro. Question 1 "), F.col("text"), F.lit(" Question 12 (a) "), F.col("text"), F.lit(" (b) short Question 3"))
     s = docs(spark, sf_dir).select((F.col("doc_id") % 97).alias("session"), F.col("lang").alias("component"), F.col("doc_id").alias("page"), text.alias("text"))
     wanted = F.array(*(F.struct(F.lit(q).alias("q"), F.lit(p).cast("string").alias("part")) for q, p in (("1", "a"), ("12", "a"), ("12", "b"), ("12", None), ("2", "a"))))
     parts = s.select("session", "component").distinct().select("session", "component", F.explode(wanted).alias("w")).select("session", "component", "w.*")
@@ -237,13 +237,13 @@ def d08_report_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("session", "component", "q", "part", F.md5(F.col("text").cast("binary")).alias("text_md5"), "scope")
 
 
-FIGURES = "st AS (SELECT l_suppkey AS doc, l_partkey AS y FROM lineitem WHERE l_linenumber = 1), fg AS (SELECT l_suppkey AS doc, l_orderkey * 100000 + l_partkey * 8 + l_linenumber AS figure, l_partkey AS lo, l_partkey + CAST(l_quantity AS BIGINT) % 9 AS hi FROM lineitem WHERE l_linenumber IN (2, 3)), ow AS (SELECT fg.doc, figure, lo, hi, (SELECT max(y) FROM st WHERE st.doc = fg.doc AND y <= (lo + hi) / 2) AS start FROM fg WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.doc = fg.doc AND y > lo AND y <= hi))"
+FIGURES = "st AS (SELECT l_suppkey AS doc, l_partkey AS y FROM lineitem WHERE l_linenumber % 3 = 1), fg AS (SELECT l_suppkey AS doc, l_orderkey * 100000 + l_partkey * 8 + l_linenumber AS figure, l_partkey AS lo, l_partkey + CAST(l_quantity AS BIGINT) % 9 AS hi FROM lineitem WHERE l_linenumber % 3 <> 1), ow AS (SELECT fg.doc, figure, lo, hi, (SELECT max(y) FROM st WHERE st.doc = fg.doc AND y <= (lo + hi) / 2) AS start FROM fg WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.doc = fg.doc AND y > lo AND y <= hi))"
 
 
 def figures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     li, lo = lines(spark, sf_dir), F.col("l_partkey")
-    starts = li.where("l_linenumber = 1").select(F.col("l_suppkey").alias("doc"), lo.alias("y"))
-    fig = li.where("l_linenumber in (2, 3)").select(F.col("l_suppkey").alias("doc"), (F.col("l_orderkey") * 100000 + lo * 8 + F.col("l_linenumber")).alias("figure"), lo.alias("lo"), (lo + F.col("l_quantity").cast("long") % 9).alias("hi"))
+    starts = li.where("l_linenumber % 3 = 1").select(F.col("l_suppkey").alias("doc"), lo.alias("y"))
+    fig = li.where("l_linenumber % 3 <> 1").select(F.col("l_suppkey").alias("doc"), (F.col("l_orderkey") * 100000 + lo * 8 + F.col("l_linenumber")).alias("figure"), lo.alias("lo"), (lo + F.col("l_quantity").cast("long") % 9).alias("hi"))
     return starts, fig
 
 
@@ -295,10 +295,10 @@ def d26_answer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers.answer_pages(wanted, labels)
 
 
-@query("WITH o AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS m, o_orderkey, o_custkey % 40 AS src FROM orders WHERE o_orderstatus = 'P'), a AS (SELECT list_sort(list_distinct(list(src))) AS every FROM o), g AS (SELECT year, m, count(*) AS whole, list_sort(list_distinct(list(src))) AS own FROM o GROUP BY year, m) SELECT year, m AS session, whole, len(own) AS sources, array_to_string(list_filter(every, lambda x: NOT list_contains(own, x)), ',') AS also FROM g, a")
+@query("WITH o AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS m, o_orderkey, o_custkey % 40 AS src FROM orders), a AS (SELECT list_sort(list_distinct(list(src))) AS every FROM o), g AS (SELECT year, m, count(*) AS whole, list_sort(list_distinct(list(src))) AS own FROM o GROUP BY year, m) SELECT year, m AS session, whole, len(own) AS sources, array_to_string(list_filter(every, lambda x: NOT list_contains(own, x)), ',') AS also FROM g, a")
 def d29_session_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each session its questions, its number of sources, and the sources that only other sessions cover (of 40)."""
-    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("session"), (F.col("o_custkey") % 40).alias("src"))
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("session"), (F.col("o_custkey") % 40).alias("src"))
     every = F.broadcast(o.agg(F.array_sort(F.collect_set("src")).alias("every")))  # one row
     g = o.groupBy("year", "session").agg(F.count(F.lit(1)).alias("whole"), F.collect_set("src").alias("own")).crossJoin(every)
     return g.select("year", "session", "whole", F.size("own").cast("long").alias("sources"), F.array_join(F.transform(F.array_except("every", "own"), lambda x: x.cast("string")), ",").alias("also"))
@@ -368,8 +368,9 @@ def e49_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT lang AS split, count(*) AS units, count(DISTINCT source) AS papers, count(*) FILTER (WHERE quality IS NULL) AS without, count(*) FILTER (WHERE d.doc_id <> first) AS folded FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM documents) d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY lang")
 def e55_split_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs(spark, sf_dir)
-    first = d.groupBy("text").agg(F.min("doc_id").alias("first"))
-    j = d.join(first, "text").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    d = d.withColumn("key", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
+    first = d.groupBy("key").agg(F.min("doc_id").alias("first"))
+    j = d.join(first, "key").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     return j.groupBy(F.col("lang").alias("split")).agg(F.count(F.lit(1)).alias("units"), F.count_distinct("source").alias("papers"), F.count_if(F.col("quality").isNull()).alias("without"), F.count_if(F.col("doc_id") != F.col("first")).alias("folded"))
 
 
@@ -462,13 +463,13 @@ def f14_rank_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", F.rank().over(coarse).alias("r"), F.dense_rank().over(coarse).alias("d"), F.ntile(4).over(fine).alias("quarter"), F.lag("s_acctbal", 2).over(fine).alias("two_before"), F.avg("s_acctbal").over(fine.rowsBetween(-1, 1)).alias("near"))
 
 
-STEM = "'Using it, describe ' || substr(replace(text, chr(10), ' '), 1, 200) || CASE WHEN doc_id % 3 = 0 THEN '. Compare and contrast this. Now Explain it [3]' WHEN doc_id % 3 = 1 THEN ' State why (b) Give one' ELSE '' END"
+STEM = "'Using it, describe ' || replace(text, chr(10), ' ') || CASE WHEN doc_id % 3 = 0 THEN '. Compare and contrast this. Now Explain it [3]' WHEN doc_id % 3 = 1 THEN ' State why (b) Give one' ELSE '' END"
 
 
 def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id") % 3
     tail = F.when(k == 0, ". Compare and contrast this. Now Explain it [3]").when(k == 1, " State why (b) Give one").otherwise("")
-    return docs(spark, sf_dir).select("doc_id", F.concat(F.lit("Using it, describe "), F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 200), tail).alias("stem"))
+    return docs(spark, sf_dir).select("doc_id", F.concat(F.lit("Using it, describe "), F.replace("text", F.lit("\n"), F.lit(" ")), tail).alias("stem"))
 
 
 @query(rf"WITH s AS (SELECT doc_id, {STEM} AS s FROM documents), e AS (SELECT doc_id, unnest(regexp_extract_all(s, '\b({'|'.join(fn.ALL_MATCHES)})\b', 1)) AS command FROM s) SELECT command, count(*) AS n, count(DISTINCT doc_id) AS docs FROM e GROUP BY command")
