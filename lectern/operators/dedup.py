@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import bucket_key
+from lectern.operators.graphs import cut
 
 #: Into how many parts the left side of a bucket's pairs is dealt.
 SALTS = 8
+#: Kinds of characters that a text's profile counts.
+PROFILE = 64
 
 
 def folded(units: DataFrame, key: list[Column], order: Column, ident: str) -> DataFrame:
@@ -72,21 +76,40 @@ def ratio(a: Column, b: Column, more_than: float | None = None) -> Column:
     return similarity(a, b)
 
 
+def profile(text: Column) -> Column:
+    """How often characters of each of PROFILE kinds (code point modulo PROFILE) occur in a text, as array<int>; null for null."""
+
+    @F.arrow_udf("array<int>")
+    def counts(texts: pa.Array) -> pa.Array:
+        rows = [None if t is None else np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) % PROFILE, minlength=PROFILE).tolist() for t in texts.to_pylist()]
+        return pa.array(rows, pa.list_(pa.int32()))
+
+    return counts(text)
+
+
 def near_duplicates(units: DataFrame, ident: str, paper: str, text: str, *, more_than: float = 0.55, least_chars: int = 31) -> DataFrame:
     """a, b, similarity (three decimals), kind. `pair`: two texts, each by the smallest id that has it (a < b), of different papers, that share their first three words and are more alike than more_than.
     `copy`: b has the very text of a, the smallest id that has it. So equal texts meet others once and no holder is lost. Whole texts are compared; those under least_chars are left out.
 
-    Texts meet within a bucket (three words) and bands of length: a pair that is alike enough differs in length by a factor of (2 - more_than) / more_than at most, that is by one band.
+    Texts meet within a bucket (three words) and bands of length: a pair that is alike enough differs in length by a factor of (2 - more_than) / more_than at most, that is by one band. What meets are ids with profiles: what two texts have in
+    common at most shows from the counts of their characters, and only pairs that can be alike enough fetch their texts.
     """
     own = units.where(F.length(text) >= least_chars).select(F.col(ident).alias("id"), F.col(paper).alias("paper"), F.col(text).alias("text"))
-    firsts = own.groupBy("text").agg(F.min("id").alias("rep"), F.min("paper").alias("lo"), F.max("paper").alias("hi"))
+    keyed = own.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+    firsts = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.min("paper").alias("lo"), F.max("paper").alias("hi"))
+    texts = keyed.select("key", "id", "text").join(firsts, (keyed.key == firsts.key) & (keyed.id == firsts.rep)).drop(keyed.key).dropDuplicates(["rep", "key"])
     band = F.floor(F.log(F.length("text").cast("double")) / F.log(F.lit((2 - more_than) / more_than)))
-    x = firsts.select("rep", "lo", "hi", "text", bucket_key(F.col("text")).alias("bucket"), band.alias("band"))
-    x = x.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)))  # a common opening's pairs are dealt over tasks
-    left = x.select("bucket", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "salt", F.col("rep").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"), F.col("text").alias("ta"))
-    right = x.select("bucket", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("rep").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.col("text").alias("tb"))
+    x = texts.select("rep", "lo", "hi", F.length("text").alias("n"), profile(F.col("text")).alias("p"), bucket_key(F.col("text")).alias("bucket"), band.alias("band"), F.pmod(F.xxhash64("key"), F.lit(SALTS)).alias("salt"))
+    x = cut(x)  # a common opening's pairs are dealt over tasks by salt
+    side = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("rep", "lo", "hi", "n", "p")]
+    left = x.select("bucket", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "salt", *side("a"))
+    right = x.select("bucket", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), *side("b"))
     other = (F.col("alo") != F.col("ahi")) | (F.col("blo") != F.col("bhi")) | (F.col("alo") != F.col("blo"))
-    s = left.join(right, ["bucket", "band", "salt"]).where("a < b").where(other).select("a", "b", ratio(F.col("ta"), F.col("tb"), more_than).alias("s")).where("s is not null")
+    common = F.aggregate(F.zip_with("ap", "bp", lambda m, n: F.least(m, n)), F.lit(0), lambda s, n: s + n)
+    met = left.join(right, ["bucket", "band", "salt"]).where("arep < brep").where(other).where(2 * common > more_than * (F.col("an") + F.col("bn"))).select(F.col("arep").alias("a"), F.col("brep").alias("b"))
+    whole = texts.select("rep", "text")
+    met = met.join(whole.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
+    s = met.select("a", "b", ratio(F.col("ta"), F.col("tb"), more_than).alias("s")).where("s is not null")
     pairs = s.select("a", "b", F.round("s", 3).alias("similarity"), F.lit("pair").alias("kind"))
-    copies = own.join(firsts, "text").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
+    copies = keyed.drop("text", "paper").join(firsts.select("key", "rep"), "key").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
     return pairs.unionByName(copies)
