@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions import notes
 from lectern.operators import schemes
 from lectern.plans.base import query, table
 
@@ -95,3 +96,36 @@ def d07_question_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = schemes.question_units(made_questions(spark, sf_dir))
     md = lambda c: F.md5(F.col(c).cast("binary"))
     return u.select("q", F.col("nth").cast("long").alias("nth"), "part", md("own").alias("own_md5"), md("answer").alias("answer_md5"), "marks", "split")
+
+
+ESC = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')".format
+SLUG = "regexp_replace(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g')".format
+
+
+@query(rf"""WITH wd AS (SELECT doc_id AS q, list_filter(string_split_regex(regexp_replace(text, '[`*|\\]', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+lx AS (SELECT q, len(w) AS nw, unnest(list_transform(generate_series(0, (len(w) - 1) // 6), lambda n: {{'n': n, 't': array_to_string(w[6 * n + 1:6 * n + 6], ' ')}})) AS x FROM wd WHERE len(w) > 0),
+ln AS (SELECT q, x.n AS n, x.n // 9 AS k, x.n % 9 AS r, {ESC('x.t')} AS t, (nw - 1) // 6 AS last, CASE WHEN x.n % 4 = 0 THEN {ESC("x.t || ' ' || x.t")} ELSE {ESC('x.t')} END AS wide FROM lx),
+tb AS (SELECT q, k, max(greatest(length(t), length(wide))) FILTER (WHERE r IN (4, 5)) > 60 AS cards FROM ln WHERE r BETWEEN 2 AND 5 GROUP BY q, k HAVING bool_or(r = 3)),
+hd AS (SELECT ln.*, cards FROM ln JOIN tb USING (q, k) WHERE r = 2),
+rw AS (SELECT ln.q, ln.k, string_agg('<tr><td' || CASE WHEN hd.cards THEN ' data-h="' || hd.t || '"' ELSE '' END || '>' || ln.t || '</td><td' || CASE WHEN hd.cards THEN ' data-h="b"' ELSE '' END || '><code>x,<wbr>y</code></td><td' || CASE WHEN hd.cards THEN ' data-h="c"' ELSE '' END || '>' || ln.wide || '</td></tr>', '' ORDER BY ln.n) AS rows
+  FROM ln JOIN hd ON hd.q = ln.q AND hd.k = ln.k WHERE ln.r IN (4, 5) GROUP BY ln.q, ln.k),
+ht AS (SELECT q, n, r, k, t, CASE r WHEN 0 THEN '<h2 id="' || {SLUG('t')} || '">' || t || '</h2>' WHEN 1 THEN CASE WHEN n % 2 = 0 THEN '<p class="prio">Priority: <b>HIGH</b> · ' || t || '</p>' ELSE '<div class="tip"><span class="lab">Exam tip:</span> ' || t || '</div>' END
+    WHEN 2 THEN CASE WHEN last = n THEN '<p>| ' || t || ' | b | c |</p>' ELSE (SELECT CASE WHEN cards THEN '<table class="stack">' ELSE '<table>' END || '<thead><tr><th>' || t || '</th><th>b</th><th>c</th></tr></thead><tbody>' || coalesce((SELECT rows FROM rw WHERE rw.q = ln.q AND rw.k = ln.k), '') || '</tbody></table>' FROM tb WHERE tb.q = ln.q AND tb.k = ln.k) END
+    WHEN 6 THEN '<ul><li>' || t || '</li>' || CASE WHEN last = n THEN '</ul>' ELSE '' END WHEN 7 THEN '<li><strong>' || t || '</strong></li></ul>' WHEN 8 THEN '<p>' || t || ' <code>a,<wbr> b</code></p>' END AS h FROM ln)
+SELECT q, md5(string_agg(h, chr(10) ORDER BY n)) AS body_md5, md5('<nav class="toc"><div class="lab">In this chapter</div><ol>' || string_agg('<li><a href="#' || {SLUG('t')} || '">' || t || '</a>' || CASE WHEN tier THEN ' <span class=t>HIGH</span>' ELSE '' END || '</li>', '' ORDER BY n) FILTER (WHERE r = 0) || '</ol></nav>') AS toc_md5
+FROM (SELECT *, coalesce(lead(n) OVER (PARTITION BY q ORDER BY n) % 2 = 0, FALSE) AS tier FROM ht) GROUP BY q""")
+def h25_notes_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes with headings, labels, tips, tables, lists and code as HTML, and their contents."""
+    words = F.filter(F.split(F.regexp_replace("text", r"[`*|\\]", ""), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("q"), words.alias("w")).where("size(w) > 0")
+    put = lambda a, t, b="": F.concat(F.lit(a), t, F.lit(b))
+
+    def line(n: Column) -> Column:
+        t, r = F.array_join(F.slice("w", 6 * n + 1, F.lit(6)), " "), n % 9
+        wide = F.when(n % 4 == 0, F.concat(t, F.lit(" "), t)).otherwise(t)
+        x = F.when(r == 0, put("## ", t)).when(r == 1, F.when(n % 2 == 0, put("*Priority: HIGH. ", t, "*")).otherwise(put("Exam tip: ", t))).when(r == 2, put("| ", t, " | b | c |")).when(r == 3, "|---|---|---|")
+        return x.when(r.isin(4, 5), F.concat(F.lit("| "), t, F.lit(" | `x,y` | "), wide, F.lit(" |"))).when(r == 6, put("- ", t)).when(r == 7, put("- **", t, "**")).otherwise(put("", t, " `a, b`"))
+
+    note = F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 6).cast("int")), line), "\n")
+    h = d.select("q", notes.notes_html(note).alias("h"))
+    return h.select("q", F.md5(F.col("h.body").cast("binary")).alias("body_md5"), F.md5(F.col("h.toc").cast("binary")).alias("toc_md5"))
