@@ -319,3 +319,48 @@ def drawn_rules(drawings: DataFrame) -> DataFrame:
     kept = [c for c in drawings.columns if c not in ("top", "bottom", "dashed", "stroked", "x0", "y0", "x1", "y1", "items")]
     s = drawings.where(inside).select(*kept, "top", "bottom", F.explode(F.flatten(F.transform("items", of))).alias("s"))
     return s.where((F.col("s.y0") >= F.col("top") - 2) & (F.col("s.y1") <= F.col("bottom") + 2)).select(*kept, "s.*")
+
+
+# How high and wide a grid is at least, the least height of its rows and width of its cells, the gap that makes a row empty, and the share of empty area that makes a grid one for answers.
+GRID_HEIGHT, GRID_WIDTH, ROW_HEIGHT, CELL_WIDTH, EMPTY_GAP, EMPTY_SHARE = 12, 30, 12, 20, 30, 0.25
+
+
+def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
+    """page, group, x0, y0, x1, y1, empties, height, is_space: grids of touching rules, with how many of their cells are empty, the height of the rows that hold them, and whether the grid is a space for answers: two empty cells or more, that
+    make up EMPTY_SHARE of its area. rules: page, id, x0, y0, x1, y1 (without width or height); words: page, x0, y0, x1, y1.
+
+    Rows lie between the level rules of a grid, cells between the upright ones that cross a row. A row without a word, or with a gap of EMPTY_GAP above, between or below its words, is empty as a whole and counts for two. Grids, rows, words and
+    cells meet by page and grid; words are placed by their middle.
+    """
+    links = components(touch_links(rules, ["page"]))
+    r = cut(rules.join(links, rules.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1"))))
+    key = ["page", "group"]
+    box = r.groupBy(*key).agg(F.min("x0").alias("bx0"), F.min("y0").alias("by0"), F.max("x1").alias("bx1"), F.max("y1").alias("by1")).where((F.col("by1") - F.col("by0") >= GRID_HEIGHT) & (F.col("bx1") - F.col("bx0") >= GRID_WIDTH))
+    level = r.where("y1 - y0 < 0.5").select(*key, F.round("y0", 1).alias("a")).distinct()
+    rows = level.withColumn("b", F.lead("a").over(Window.partitionBy(*key).orderBy("a"))).where(F.col("b") - F.col("a") >= ROW_HEIGHT).join(box, key)
+    rows = cut(rows.select(*key, "a", "b", "bx0", "bx1"))
+    mid = lambda lo, hi: ((F.col(lo) + F.col(hi)) / 2).cast("double")
+    w = words.select(F.col("page").alias("wp"), mid("x0", "x1").alias("cx"), mid("y0", "y1").alias("cy"), F.col("y0").cast("double").alias("wy0"), F.col("y1").cast("double").alias("wy1"))
+    inside = (F.col("page") == F.col("wp")) & (F.col("cx") >= F.col("bx0") - 1) & (F.col("cx") <= F.col("bx1") + 1) & (F.col("cy") > F.col("a")) & (F.col("cy") < F.col("b"))
+    held = cut(rows.join(w, inside).select(*key, "a", "b", "cx", "wy0", "wy1"))
+    before = F.max("wy1").over(Window.partitionBy(*key, "a").orderBy("wy0", "wy1").rowsBetween(Window.unboundedPreceding, -1))
+    gaps = held.withColumn("gap", F.col("wy0") - F.greatest(F.col("a"), before)).groupBy(*key, "a", "b").agg(F.greatest(F.max("gap"), F.col("b") - F.greatest(F.col("a"), F.max("wy1")), F.lit(0.0)).alias("gap"))
+    rows = cut(rows.join(gaps.drop("b"), [*key, "a"], "left").withColumn("empty", F.col("gap").isNull() | (F.col("gap") >= EMPTY_GAP)))
+    upright = r.where("x1 - x0 < 0.5").select(*(F.col(c).alias(f"u_{c}") for c in key), F.col("x0").alias("x"), F.col("y0").alias("uy0"), F.col("y1").alias("uy1"))
+    filled = rows.where("not empty")
+    crossing = filled.join(upright, (F.col("page") == F.col("u_page")) & (F.col("group") == F.col("u_group")) & (F.col("uy0") <= F.col("a") + 2) & (F.col("uy1") >= F.col("b") - 2)).select(*key, "a", "b", "x")
+    xs = crossing.unionByName(filled.select(*key, "a", "b", F.explode(F.array("bx0", "bx1")).alias("x"))).distinct()
+    cells = xs.withColumn("r", F.lead("x").over(Window.partitionBy(*key, "a").orderBy("x"))).where(F.col("r") - F.col("x") > CELL_WIDTH)
+    said = held.select(*(F.col(c).alias(f"s_{c}") for c in key), F.col("a").alias("s_a"), "cx")
+    blank = cells.join(said, (F.col("page") == F.col("s_page")) & (F.col("group") == F.col("s_group")) & (F.col("a") == F.col("s_a")) & (F.col("x") < F.col("cx")) & (F.col("cx") < F.col("r")), "left_anti")
+    some = blank.groupBy(*key, "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("r") - F.col("x")) * (F.col("b") - F.col("a"))).alias("area"))
+    whole = rows.where("empty").select(*key, "a", "b", F.lit(2).cast("long").alias("n"), ((F.col("b") - F.col("a")) * (F.col("bx1") - F.col("bx0"))).alias("area"))
+    sums = some.unionByName(whole).groupBy(*key).agg(F.sum("n").alias("empties"), F.sum("area").alias("area"), F.sum(F.col("b") - F.col("a")).alias("height"))
+    g = box.join(sums, key)
+    space = (F.col("empties") >= 2) & (F.col("area") >= EMPTY_SHARE * (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0")))
+    return g.select(*key, F.col("bx0").alias("x0"), F.col("by0").alias("y0"), F.col("bx1").alias("x1"), F.col("by1").alias("y1"), "empties", "height", space.alias("is_space"))
+
+
+def answer_space(grids: DataFrame) -> DataFrame:
+    """page, height: the writing space that the grids of a page draw."""
+    return grids.where("is_space").groupBy("page").agg(F.sum("height").alias("height"))

@@ -181,3 +181,27 @@ def k06_drawn_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.array(item("l", x + w, y, x, y), item("l", x, y + w, x, y), item("re", x, y, x + w * 2, y + n * 5 - 4), item("re", x, y, x + n, y + w), item("c", 0, 0, 90, 0))
     d = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("doc"), F.lit(100).alias("top"), F.lit(700).alias("bottom"), (n == 7).alias("dashed"), (F.col("l_returnflag") != "N").alias("stroked"), x.alias("x0"), y.alias("y0"), (x + 100).alias("x1"), (y + 60).alias("y1"), items.alias("items"))
     return layout.drawn_rules(d).groupBy("doc", "x0", "y0", "x1", "y1").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH g AS (SELECT o_orderkey AS k, 74 + o_orderkey % 3 * 16 AS y1, 74 + o_orderkey % 3 * 16 + 13 + o_orderkey % 20 AS y2, CASE WHEN o_orderkey % 4 <> 0 THEN 140 + o_orderkey % 5 * 40 END AS mid FROM orders),
+rw AS (SELECT k, 60 AS a, y1 AS b, y2, mid FROM g UNION ALL SELECT k, y1, y2, y2, mid FROM g),
+wd AS (SELECT l_orderkey AS k, 65 + l_partkey % 280 + 7.5 AS cx, 60 + l_suppkey * 7 % 70 AS y, 60 + l_suppkey * 7 % 70 + 4 AS cy FROM lineitem),
+hl AS (SELECT rw.k, a, b, cx, y, max(y + 8) OVER (PARTITION BY rw.k, a ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM rw JOIN wd ON wd.k = rw.k AND cy > a AND cy < b),
+gp AS (SELECT k, a, greatest(max(y - greatest(a, coalesce(before, a))), any_value(b) - greatest(any_value(a), max(y + 8)), 0) AS gap FROM hl GROUP BY k, a),
+em AS (SELECT rw.*, gap IS NULL OR gap >= 30 AS empty FROM rw LEFT JOIN gp USING (k, a)),
+ce AS (SELECT k, a, b, unnest(CASE WHEN mid IS NULL THEN [[60, 360]] ELSE [[60, mid], [mid, 360]] END) AS c FROM em WHERE NOT empty),
+bl AS (SELECT k, a, b, c[2] - c[1] AS w FROM ce WHERE NOT EXISTS (SELECT 1 FROM hl WHERE hl.k = ce.k AND hl.a = ce.a AND c[1] < cx AND cx < c[2])),
+al AS (SELECT k, a, b, 2 AS n, (b - a) * 300 AS area FROM em WHERE empty UNION ALL SELECT k, a, any_value(b), count(*), sum(w * (b - a)) FROM bl GROUP BY k, a),
+su AS (SELECT k, sum(n) AS empties, sum(area) AS area, sum(b - a) AS height FROM al GROUP BY k)
+SELECT su.k AS page, su.k * 8 AS group, CAST(y2 AS DOUBLE) AS y1, CAST(empties AS BIGINT) AS empties, CAST(height AS DOUBLE) AS height, empties >= 2 AND area >= 0.25 * 300 * (y2 - 60) AS is_space FROM su JOIN g USING (k)""")
+def k07_answer_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spaces for answers that ruled grids draw. Each order is a page with a grid of two rows, its lines are the words."""
+    k, n = F.col("o_orderkey"), lambda x: x.cast("double") if not isinstance(x, (int, float)) else F.lit(float(x))
+    y1, mid = 74 + k % 3 * 16, 140 + k % 5 * 40
+    y2 = y1 + 13 + k % 20
+    rule = lambda i, *c: F.struct((k * 8 + i).alias("id"), *(n(v).alias(name) for name, v in zip(("x0", "y0", "x1", "y1"), c)))
+    every = F.array(rule(0, 60, 60, 360, 60), rule(1, 60, y1, 360, y1), rule(2, 60, y2, 360, y2), rule(3, 60, 60, 60, y2), rule(4, 360, 60, 360, y2), F.when(k % 4 != 0, rule(5, mid, 60, mid, y2)))
+    rules = table(spark, sf_dir, "orders").select(k.alias("page"), F.explode(F.filter(every, lambda r: r.isNotNull())).alias("r")).select("page", "r.*")
+    x, y = 65 + F.col("l_partkey") % 280, 60 + F.col("l_suppkey") * 7 % 70
+    words = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), n(x).alias("x0"), n(y).alias("y0"), n(x + 15).alias("x1"), n(y + 8).alias("y1"))
+    return layout.answer_grids(rules, words).select("page", "group", "y1", "empties", "height", "is_space")
