@@ -174,6 +174,41 @@ def cites(documents: DataFrame, ident: str, value: str) -> DataFrame:
         depth += 1
 
 
+# An entry's heading (code, session, year, links), a link, the head of its table and how many lines below the heading that may stand.
+ENTRY, LINK, TABLE_HEAD, LOOK_AHEAD = r"^### ([0-9]{4}/[0-9]{2}) ([msw]) ([0-9]{4})(.*)$", r"\[[^\]]*\]\(([^)]*)\)", "| No.", 7
+
+
+def topic_entries(lines: DataFrame) -> DataFrame:
+    """file, pos, paper, scheme, q, label: the entries of a topic file. lines: file, pos, line.
+
+    A heading with two links at least is one, if a table's head stands within LOOK_AHEAD lines below it: the question is then the first cell of the table's first row, two lines below its head, as far as a slash. Each heading sees the lines right
+    below it only, so files are gone through once."""
+    w = Window.partitionBy("file").orderBy("pos")
+    head = F.when(F.startswith("line", F.lit(TABLE_HEAD)), F.struct(F.lead("line", 2).over(w).alias("row")))
+    x = lines.withColumn("__head", head).withColumn("__row", F.first("__head", ignorenulls=True).over(w.rowsBetween(1, LOOK_AHEAD)))
+    links = F.regexp_extract_all(F.regexp_extract("line", ENTRY, 4), F.lit(LINK), F.lit(1))
+    cell = F.regexp_extract(F.col("__row.row"), r"^\|[ \t]*([^|]+?)[ \t]*\|", 1)
+    x = x.where(F.col("line").rlike(ENTRY)).withColumns({"__links": links, "__cell": cell}).where((F.size("__links") >= 2) & (F.col("__cell") != ""))
+    label = F.concat_ws(" ", F.regexp_extract("line", ENTRY, 1), fn.session_name(F.concat(F.regexp_extract("line", ENTRY, 2), F.substring(F.regexp_extract("line", ENTRY, 3), 3, 2))))
+    return x.select("file", "pos", F.get("__links", F.lit(0)).alias("paper"), F.get("__links", F.lit(1)).alias("scheme"), F.trim(F.substring_index("__cell", "/", 1)).alias("q"), label.alias("label"))
+
+
+#: Bytes above which a copy of equal size counts as equal without a look at its content.
+DIGEST_LIMIT = 12 << 20
+
+
+def compared_copies(own: DataFrame, copies: DataFrame, limit: int = DIGEST_LIMIT) -> DataFrame:
+    """name, host, size, match, how: what each copy of a file shows. own: name, content (binary); copies: name, host, content, error (text, where nothing came).
+
+    By size first (`size`: they differ); only copies of equal size up to limit are digested (`md5`), larger ones count as equal (`size only`); an error or a missing content is told as it is. Names without a file of our own are left out."""
+    mine = own.select("name", F.octet_length("content").alias("__size"), F.when(F.octet_length("content") <= limit, F.md5("content")).alias("__md5"))
+    j = copies.withColumns({"size": F.octet_length("content")}).join(mine, "name")
+    same = F.col("size") == F.col("__size")
+    how = F.when(F.col("content").isNull(), F.coalesce("error", F.lit("no content"))).when(~same, "size").when(F.col("size") > limit, "size only").otherwise("md5")
+    match = F.when(F.col("content").isNull(), None).when(~same, F.lit(False)).when(F.col("size") > limit, F.lit(True)).otherwise(F.md5("content") == F.col("__md5"))
+    return j.select("name", "host", "size", match.alias("match"), how.alias("how"))
+
+
 def placed_units(lines: DataFrame, line: str = "line") -> DataFrame:
     """label, q: distinct units that citation lines such as `label • Question 3` name; continuations are left out."""
     pattern = r"^(\S.*?)\s+[•·∙]\s+Question (\S+?)(\s+\(continued\))?$"

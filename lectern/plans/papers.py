@@ -365,6 +365,44 @@ def e49_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers.cites(sections(spark, sf_dir), "id", "v").groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
 
 
+ENTRIES = r"""wd AS (SELECT doc_id AS file, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+lx AS (SELECT file, unnest(list_transform(generate_series(0, (len(w) - 1) // 10), lambda n: {'n': n, 't': replace(array_to_string(w[10 * n + 1:10 * n + 10], ' '), '|', '')})) AS x FROM wd WHERE len(w) > 0),
+ly AS (SELECT file, x.n AS n, x.t AS t, x.n % 13 AS r, (x.n // 13 + file) % 9 AS off FROM lx),
+ln AS (SELECT file, n, CASE WHEN r = 0 THEN '### 9626/' || 11 + file % 9 || ' ' || ['m', 's', 'w'][n % 3 + 1] || ' 20' || 15 + file % 10 || ' [qp](q' || n || '.pdf)' || CASE WHEN n % 5 = 0 THEN '' ELSE ', [ms](m' || n || '.pdf)' END
+  WHEN r = 1 + off THEN '| No. | Q |' WHEN r = 2 + off THEN '|--|--|' WHEN r = 3 + off THEN '| ' || n % 20 || '(a) / ' || t || ' | x |' ELSE t END AS line FROM ly)"""
+
+
+@query(rf"""WITH {ENTRIES},
+hd AS (SELECT file, n, line FROM ln WHERE regexp_matches(line, '^### [0-9]{{4}}/[0-9]{{2}} [msw] [0-9]{{4}}.*\]\([^)]*\).*\]\(')),
+nx AS (SELECT hd.file, hd.n, hd.line, min(ln.n) AS j FROM hd JOIN ln ON ln.file = hd.file AND ln.n BETWEEN hd.n + 1 AND hd.n + 7 AND starts_with(ln.line, '| No.') GROUP BY ALL)
+SELECT nx.file, nx.n AS pos, regexp_extract_all(nx.line, '\]\(([^)]*)\)', 1)[1] AS paper, regexp_extract_all(nx.line, '\]\(([^)]*)\)', 1)[2] AS scheme, trim(split_part(regexp_extract(ln.line, '^\|[ \t]*([^|]+?)[ \t]*\|', 1), '/', 1)) AS q,
+  nx.line[5:11] || ' ' || CASE nx.line[13] WHEN 'm' THEN 'March' WHEN 's' THEN 'June' ELSE 'November' END || ' ' || nx.line[15:18] AS label FROM nx JOIN ln ON ln.file = nx.file AND ln.n = nx.j + 2""")
+def a15_topic_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of topic files, with the question number from the table that follows within seven lines."""
+    w = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), w.alias("w")).where("size(w) > 0")
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 10).cast("int")), lambda n: F.replace(F.array_join(F.slice("w", 10 * n + 1, F.lit(10)), " "), F.lit("|"), F.lit("")))
+    x = d.select("file", F.posexplode(runs).alias("n", "t")).withColumns({"r": F.col("n") % 13, "off": (F.expr("n div 13") + F.col("file")) % 9})
+    n, r, off, f, s = F.col("n"), F.col("r"), F.col("off"), F.col("file"), F.lit
+    head = F.concat(s("### 9626/"), 11 + f % 9, s(" "), F.element_at(F.array(*map(F.lit, "msw")), n % 3 + 1), s(" 20"), 15 + f % 10, s(" [qp](q"), n, s(".pdf)"), F.when(n % 5 == 0, "").otherwise(F.concat(s(", [ms](m"), n, s(".pdf)"))))
+    line = F.when(r == 0, head).when(r == 1 + off, "| No. | Q |").when(r == 2 + off, "|--|--|").when(r == 3 + off, F.concat(s("| "), n % 20, s("(a) / "), "t", s(" | x |"))).otherwise(F.col("t"))
+    e = papers.topic_entries(x.select("file", n.alias("pos"), line.alias("line")))
+    return e.withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("""WITH p AS (SELECT page_id, html, strlen(html) AS size FROM pages), c AS (SELECT page_id, 'near' AS host, CASE WHEN page_id % 3 = 0 THEN reverse(html) WHEN page_id % 3 = 1 THEN html || '.' ELSE html END AS copy, NULL AS error FROM p WHERE page_id % 3 <> 0 OR strlen(html) = length(html)
+  UNION ALL SELECT page_id, 'far', CASE WHEN page_id % 4 > 0 THEN html END, CASE WHEN page_id % 4 = 0 AND page_id % 8 > 0 THEN 'timeout' END FROM p)
+SELECT page_id AS name, host, CAST(strlen(copy) AS INTEGER) AS size, CASE WHEN copy IS NULL THEN NULL WHEN strlen(copy) <> size THEN FALSE WHEN size > 3000 THEN TRUE ELSE copy = html END AS match,
+  CASE WHEN copy IS NULL THEN coalesce(error, 'no content') WHEN strlen(copy) <> size THEN 'size' WHEN size > 3000 THEN 'size only' ELSE 'md5' END AS how FROM c JOIN p USING (page_id)""")
+def a25_compared_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A25, its rule: copies of pages compared by size, then by digest, large ones by size only."""
+    k, html = F.col("page_id"), F.col("html")
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    near = p.where((k % 3 != 0) | (F.octet_length("html") == F.char_length("html"))).select(k.alias("name"), F.lit("near").alias("host"), F.when(k % 3 == 0, F.reverse("html")).when(k % 3 == 1, F.concat("html", F.lit("."))).otherwise(html).cast("binary").alias("content"), F.lit(None).cast("string").alias("error"))
+    far = p.select(k.alias("name"), F.lit("far").alias("host"), F.when(k % 4 > 0, html).cast("binary").alias("content"), F.when((k % 4 == 0) & (k % 8 > 0), "timeout").alias("error"))
+    return papers.compared_copies(p.select(k.alias("name"), html.cast("binary").alias("content")), near.unionByName(far), 3000)
+
+
 @query("SELECT lang AS split, count(*) AS units, count(DISTINCT source) AS papers, count(*) FILTER (WHERE quality IS NULL) AS without, count(*) FILTER (WHERE d.doc_id <> first) AS folded FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM documents) d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY lang")
 def e55_split_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs(spark, sf_dir)
