@@ -43,7 +43,7 @@ def labelled(lines: DataFrame, by: list[str], pattern: str) -> tuple[DataFrame,
     Lead-ins: by, nth (of the label that they introduce), lead, until (just above that label).
     """
     w = Window.partitionBy(*by).orderBy("page", "top")
-    own = lines.withColumn("__label", F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))).withColumn("__pos", place())
+    own = cut(lines).withColumn("__label", F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))).withColumn("__pos", place())
     own = own.withColumn("__seg", F.count("__label").over(w)).withColumn("__at", F.max(F.when(F.col("__label").isNotNull(), F.col("__pos"))).over(w))  # peers of one place are counted together
     between = own.where("__seg > 0 and __pos > __at").withColumn("__key", F.struct("page", "top", "bottom", "text"))
     end = F.max(F.when(F.col("text").rlike(SPACE_END), F.col("__key"))).over(Window.partitionBy(*by, "__seg"))
@@ -52,7 +52,7 @@ def labelled(lines: DataFrame, by: list[str], pattern: str) -> tuple[DataFrame,
     leads = leads.select(*by, (F.col("__seg") + 1).alias("nth"), above(place(F.col("__k.page"), F.col("__k.top"))).alias("lead"))
     order = Window.partitionBy(*by).orderBy("__pos", "__label")
     marks = own.where("__label is not null").select(*by, F.col("__label").alias("label"), F.col("__pos").alias("at"), F.row_number().over(order).cast("long").alias("nth"), F.lead("__pos").over(order).alias("until"))
-    marks = marks.withColumn("first", F.min("at").over(Window.partitionBy(*by))).join(leads, [*by, "nth"], "left")
+    marks = cut(marks.withColumn("first", F.min("at").over(Window.partitionBy(*by))).join(leads, [*by, "nth"], "left"))
     ins = marks.where("lead is not null").select(*by, "nth", "lead", above(F.col("at")).alias("until"))
     named = marks.withColumn("__again", F.row_number().over(Window.partitionBy(*by, "label").orderBy("nth"))).where("__again = 1").drop("__again")
     return named, ins
@@ -95,9 +95,9 @@ def narrowed(lines: DataFrame, spans: DataFrame | None = None) -> DataFrame:
 
     A range of places becomes a slice of each page that it runs over, within the question's own reach there; a slice of under a point, or in which no line starts, goes; slices that touch are one. Questions without labels have no rows.
     """
-    spans = line_spans(lines, ["q"]) if spans is None else spans
-    cols = ["q", "page", "top", "bottom", "text"]
-    r = part_ranges(lines.select(*cols), spans).select("q", "letter", "roman", F.col("lo").alias("a"), F.col("hi").alias("b"))
+    lines = cut(lines.select("q", "page", "top", "bottom", "text"))
+    spans = cut(line_spans(lines, ["q"]) if spans is None else spans)
+    r = part_ranges(lines, spans).select("q", "letter", "roman", F.col("lo").alias("a"), F.col("hi").alias("b"))
     cells = r.join(spans, "q").where((F.col("page") >= F.col("a.page")) & (F.col("page") <= F.col("b.page")))
     lo, hi = F.when(F.col("page") == F.col("a.page"), F.col("a.y")).otherwise(F.col("lo")), F.when(F.col("page") == F.col("b.page"), F.col("b.y")).otherwise(F.col("hi"))
     cells = cells.select("q", "letter", "roman", "page", lo.alias("lo"), hi.alias("hi")).where("hi - lo >= 1").distinct()
