@@ -31,7 +31,8 @@ def ranked(rows: DataFrame, group: list[str], tie: Order, then: Order, max_place
     last and equal each other. Repeated rows follow each other, each with a pos of its own. No rows give none.
 
     Equal rows become one tuple with a count, so the first shuffle carries a group's copies once. Tuples are dealt by ranges of (group, order), so a group with a third of all rows lies in as many tasks as it fills. A running
-    sum of counts within each range, on top of the sum of the group's ranges before (one number per group and range), is the first pos of a tuple; a sequence from there restores its copies. A range that begins beyond max_place is not gone through.
+    sum of counts within each range, on top of the sum of the group's ranges before (one number per group and range), is the first pos of a tuple; a sequence from there restores its copies. With max_place, only a range's first so many tuples of each group are
+    shuffled for that: those behind them cannot stand at such a place.
     """
     ties, rest = [c for c, _ in tie], [c for c, _ in then]
     order = ordering([*tie, *then])
@@ -41,11 +42,12 @@ def ranked(rows: DataFrame, group: list[str], tie: Order, then: Order, max_place
     parts = tuples.groupBy("__group", "__range").agg(F.sum("__n").alias("__c"))
     before = F.sum("__c").over(Window.partitionBy("__group").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.select("__group", "__range", F.coalesce(before, F.lit(0)).alias("__ahead"))
-    if max_place is not None:
-        parts = parts.where(F.col("__ahead") < max_place)
-    so_far = F.sum("__n").over(Window.partitionBy("__group", "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    first = F.col("__ahead") + F.coalesce(so_far, F.lit(0)) + 1
-    placed = tuples.join(parts, ["__group", "__range"]).withColumn("__first", first)
+    own = Window.partitionBy("__group", "__range").orderBy(*order)
+    near = tuples
+    if max_place is not None:  # a tuple stands behind all tuples before it, each of a row at least
+        near = near.withColumn("__nth", F.row_number().over(own)).where(F.col("__nth") <= max_place).drop("__nth")
+    near = near.withColumn("__near", F.coalesce(F.sum("__n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = near.join(parts, ["__group", "__range"]).withColumn("__first", F.col("__ahead") + F.col("__near") + 1)
     last = F.col("__first") + F.col("__n") - 1
     if max_place is not None:
         placed, last = placed.where(F.col("__first") <= max_place), F.least(last, F.lit(max_place))
