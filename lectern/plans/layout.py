@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators import layout
+from lectern.operators import layout, packing
 from lectern.operators.graphs import cut
 from lectern.plans.base import query, table
 
@@ -206,3 +206,42 @@ def k07_answer_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = 65 + F.col("l_partkey") % 280, 60 + F.col("l_suppkey") * 7 % 70
     words = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), n(x).alias("x0"), n(y).alias("y0"), n(x + 15).alias("x1"), n(y + 8).alias("y1"))
     return layout.answer_grids(rules, words).select("page", "group", "y1", "empties", "height", "is_space")
+
+
+#: doc, seq (number of the clip in its document), item, clip, fst (first of its item), h, k (scale), tot, cuts, clear, each.
+CLIPS_IN_ORDER = """
+cl AS (SELECT o_custkey // 10 AS doc, l_orderkey AS item, l_linenumber AS clip, CAST(30 + l_partkey * 7 % 300 + CASE WHEN l_quantity >= 49 THEN 1500 ELSE 0 END AS DOUBLE) AS h, CASE WHEN l_orderkey % 5 = 0 AND l_linenumber = 2 THEN 0.5::DOUBLE ELSE 1::DOUBLE END AS k0,
+    12 + l_suppkey % 4 * 4 AS step, l_partkey % 7 AS kind, o_custkey // 10 % 2 = 0 AS each FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+cu AS (SELECT *, list_transform(generate_series(1, CAST((h - 1) // step AS BIGINT)), lambda j: CAST(j * step AS DOUBLE)) AS cuts FROM cl),
+cc AS (SELECT *, list_filter(cuts, lambda c: kind > 1 AND (kind > 4 OR c <= h / 4 OR c >= h * 0.75)) AS clear FROM cu),
+cs AS (SELECT doc, item, clip, h, each, cuts, clear, min(k0) OVER (PARTITION BY doc, item) AS k,
+    sum(h) OVER (PARTITION BY doc, item) * min(k0) OVER (PARTITION BY doc, item) AS tot, row_number() OVER (PARTITION BY doc ORDER BY item, clip, h, cuts, clear) AS seq FROM cc),
+cp AS (SELECT *, seq = min(seq) OVER (PARTITION BY doc, item) AS fst FROM cs)"""
+
+
+@query(f"""WITH RECURSIVE {CLIPS_IN_ORDER},
+st AS (SELECT doc, CAST(1 AS BIGINT) AS seq, CAST(0 AS DOUBLE) AS done, CAST(1 AS BIGINT) AS page, CAST(0 AS DOUBLE) AS used, true AS due, NULL::BIGINT AS item, NULL::BIGINT AS clip, NULL::DOUBLE AS lo, NULL::DOUBLE AS hi, NULL::DOUBLE AS scale, NULL::BIGINT AS on_page,
+    NULL::DOUBLE AS top, NULL::BOOLEAN AS headed, NULL::BOOLEAN AS continued FROM (SELECT DISTINCT doc FROM cp)
+  UNION ALL
+  SELECT doc, CASE WHEN h - stop > 0.5 THEN seq ELSE seq + 1 END, CASE WHEN h - stop > 0.5 THEN stop ELSE 0::DOUBLE END, CASE WHEN h - stop > 0.5 THEN p2 + 1 ELSE p2 END,
+    CASE WHEN h - stop > 0.5 THEN 0::DOUBLE ELSE y + (stop - done) * k + 20 END, h - stop > 0.5, item, clip, done, stop, k, p2, 40 + y, d2, d2 AND begun
+  FROM (SELECT *, CASE WHEN stop0 < h - 0.5 THEN coalesce(list_max(list_filter(clear, lambda c: c > done AND c <= stop0)), list_max(list_filter(cuts, lambda c: c > done AND c <= stop0)), stop0) ELSE stop0 END AS stop FROM (
+    SELECT *, u2 + CASE WHEN d2 THEN 28 ELSE 0 END AS y, done + least((762 - u2 - CASE WHEN d2 THEN 28 ELSE 0 END) / k, h - done) AS stop0 FROM (
+      SELECT *, CASE WHEN t2 THEN 0::DOUBLE ELSE u1 END AS u2, CASE WHEN t2 THEN p1 + 1 ELSE p1 END AS p2, t2 OR d1 AS d2 FROM (
+        SELECT *, b1 < h - done - 0.5 AND u1 > 0 AND len(list_filter(clear, lambda c: c >= done + 12 AND c <= done + b1)) = 0 AS t2 FROM (
+          SELECT *, CASE WHEN t1 THEN 0::DOUBLE ELSE used END AS u1, CASE WHEN t1 THEN page + 1 ELSE page END AS p1, t1 OR d0 AS d1, (762 - CASE WHEN t1 THEN 0::DOUBLE ELSE used END - CASE WHEN t1 OR d0 THEN 28 ELSE 0 END) / k AS b1 FROM (
+            SELECT *, used > 0 AND CASE WHEN 762 - used < CASE WHEN d0 THEN 58 ELSE 20 END THEN true WHEN NOT begun THEN 3 * (762 - used - 28) < tot
+                ELSE each AND done = 0 AND 3 * (762 - used - CASE WHEN d0 THEN 28 ELSE 0 END) < h * k END AS t1 FROM (
+              SELECT st.doc, st.seq, st.done, st.page, st.used, st.due OR (cp.fst AND st.done = 0) AS d0, NOT (cp.fst AND st.done = 0) AS begun, cp.item, cp.clip, cp.h, cp.k, cp.tot, cp.cuts, cp.clear, cp.each FROM st JOIN cp ON cp.doc = st.doc AND cp.seq = st.seq)))))))
+)
+SELECT doc, item, clip, on_page AS page, top, lo, hi, scale, headed, continued FROM st WHERE item IS NOT NULL""")
+def k09_packed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K09, its rule: where each clip of an item comes to lie, on which sheets, and where it is cut. Ten customers are a document, an order is an item, its lines are the clips."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("o_custkey div 10").alias("doc"))
+    h = (30 + F.col("l_partkey") * 7 % 300 + F.when(F.col("l_quantity") >= 49, 1500).otherwise(0)).cast("double")
+    step, kind = 12 + F.col("l_suppkey") % 4 * 4, F.col("l_partkey") % 7
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("clip"), h.alias("height"), step.cast("int").alias("step"), kind.alias("kind"))
+    wide = (F.col("item") % 5 == 0) & (F.col("clip") == 2)
+    x = li.join(o, F.col("item") == F.col("o_orderkey")).withColumn("width", F.when(wide, 2 * packing.WIDTH).otherwise(400)).withColumn("cuts", F.transform(F.sequence(F.lit(1), F.floor((F.col("height") - 1) / F.col("step")).cast("int")), lambda j: (j * F.col("step")).cast("double")))
+    free = F.filter("cuts", lambda c: (F.col("kind") > 1) & ((F.col("kind") > 4) | (c <= F.col("height") / 4) | (c >= F.col("height") * 0.75)))
+    return packing.packed(x.withColumn("clear", free), F.col("doc") % 2 == 0)
