@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.plans import base, documents, layout, papers, reports, schemes, shares, timeline
+from lectern.plans import base, documents, layout, papers, reports, schemes, shares, sources, timeline
 
 
 def queries() -> dict[str, base.Query]:
