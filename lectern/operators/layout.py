@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.functions.papers import noise
 from lectern.operators.graphs import components, cut
+from lectern.operators.reports import answer_lines
 from lectern.operators.sequences import merged_intervals
 
 #: Points kept above a first and below a last line.
@@ -325,6 +327,12 @@ def drawn_rules(drawings: DataFrame) -> DataFrame:
 GRID_HEIGHT, GRID_WIDTH, ROW_HEIGHT, CELL_WIDTH, EMPTY_GAP, EMPTY_SHARE = 12, 30, 12, 20, 30, 0.25
 
 
+def grid_rules(rules: DataFrame) -> DataFrame:
+    """page, group, x0, y0, x1, y1: rules with the grid that they belong to by touching."""
+    links = components(touch_links(rules, ["page"]))
+    return cut(rules.join(links, rules.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1"))))
+
+
 def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
     """page, group, x0, y0, x1, y1, empties, height, is_space: grids of touching rules, with how many of their cells are empty, the height of the rows that hold them, and whether the grid is a space for answers: two empty cells or more, that
     make up EMPTY_SHARE of its area. rules: page, id, x0, y0, x1, y1 (without width or height); words: page, x0, y0, x1, y1.
@@ -332,9 +340,7 @@ def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
     Rows lie between the level rules of a grid, cells between the upright ones that cross a row. A row without a word, or with a gap of EMPTY_GAP above, between or below its words, is empty as a whole and counts for two. Grids, rows, words and
     cells meet by page and grid; words are placed by their middle.
     """
-    links = components(touch_links(rules, ["page"]))
-    r = cut(rules.join(links, rules.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1"))))
-    key = ["page", "group"]
+    r, key = grid_rules(rules), ["page", "group"]
     box = r.groupBy(*key).agg(F.min("x0").alias("bx0"), F.min("y0").alias("by0"), F.max("x1").alias("bx1"), F.max("y1").alias("by1")).where((F.col("by1") - F.col("by0") >= GRID_HEIGHT) & (F.col("bx1") - F.col("bx0") >= GRID_WIDTH))
     level = r.where("y1 - y0 < 0.5").select(*key, F.round("y0", 1).alias("a")).distinct()
     rows = level.withColumn("b", F.lead("a").over(Window.partitionBy(*key).orderBy("a"))).where(F.col("b") - F.col("a") >= ROW_HEIGHT).join(box, key)
@@ -364,3 +370,78 @@ def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
 def answer_space(grids: DataFrame) -> DataFrame:
     """page, height: the writing space that the grids of a page draw."""
     return grids.where("is_space").groupBy("page").agg(F.sum("height").alias("height"))
+
+
+# The least width of a tick table, its least levels, the least height of its rows and width of a box to tick, and the rows that need one.
+TICK_WIDTH, TICK_LEVELS, TICK_ROW, TICK_BOX, TICK_ROWS = 100, 3, 10, 12, 2
+
+
+def tick_tables(rules: DataFrame, words: DataFrame) -> DataFrame:
+    """page, group, ticks: grids in which two rows or more have words and, beside them, an empty box; ticks is how many. rules and words as for answer_grids.
+
+    A box lies between two upright rules that cross its row, or the sides of the grid. Such tables are spaces for answers, however little of their area is empty.
+    """
+    r, key = grid_rules(rules), ["page", "group"]
+    box = r.groupBy(*key).agg(F.min("x0").alias("bx0"), F.max("x1").alias("bx1")).where(F.col("bx1") - F.col("bx0") >= TICK_WIDTH)
+    level = r.where("y1 - y0 < 0.5").select(*key, F.round("y0", 1).alias("a")).distinct()
+    of = Window.partitionBy(*key)
+    rows = level.withColumn("b", F.lead("a").over(of.orderBy("a"))).withColumn("levels", F.count(F.lit(1)).over(of))
+    rows = cut(rows.where((F.col("levels") >= TICK_LEVELS) & (F.col("b") - F.col("a") >= TICK_ROW)).join(box, key).drop("levels"))
+    w = words.select(F.col("page").alias("wp"), ((F.col("x0") + F.col("x1")) / 2).cast("double").alias("cx"), ((F.col("y0") + F.col("y1")) / 2).cast("double").alias("cy"))
+    inside = (F.col("page") == F.col("wp")) & (F.col("cx") > F.col("bx0")) & (F.col("cx") < F.col("bx1")) & (F.col("cy") > F.col("a")) & (F.col("cy") < F.col("b"))
+    held = cut(rows.join(w, inside).select(*key, "a", "cx").distinct())
+    rows = rows.join(held.select(*key, "a").distinct(), [*key, "a"])
+    upright = r.where("x1 - x0 < 0.5").select(*(F.col(c).alias(f"u_{c}") for c in key), F.col("x0").alias("x"), F.col("y0").alias("uy0"), F.col("y1").alias("uy1"))
+    crossing = rows.join(upright, (F.col("page") == F.col("u_page")) & (F.col("group") == F.col("u_group")) & (F.col("uy0") <= F.col("a") + 2) & (F.col("uy1") >= F.col("b") - 2)).select(*key, "a", "x")
+    xs = crossing.unionByName(rows.select(*key, "a", F.explode(F.array("bx0", "bx1")).alias("x"))).distinct()
+    boxes = xs.withColumn("r", F.lead("x").over(Window.partitionBy(*key, "a").orderBy("x"))).where(F.col("r") - F.col("x") >= TICK_BOX)
+    said = held.select(*(F.col(c).alias(f"s_{c}") for c in key), F.col("a").alias("s_a"), "cx")
+    empty = boxes.join(said, (F.col("page") == F.col("s_page")) & (F.col("group") == F.col("s_group")) & (F.col("a") == F.col("s_a")) & (F.col("x") < F.col("cx")) & (F.col("cx") < F.col("r")), "left_anti")
+    return empty.select(*key, "a").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("ticks")).where(F.col("ticks") >= TICK_ROWS)
+
+
+# Lines of dots, words that tell to write on a figure, the size of such a figure, the lowest part of a page, where text begins, the least height of an image and the points kept above what comes next.
+DOTS = r"([.·…][ \t\n]?){20,}|^[.·…\t\n ]{12,}$"
+FILL_IN = r"^([0-9]{1,2}[ ]+)?(\(([a-h]|[ivx]{1,4})\) *)*(Complete|Draw|Label|Plot|Sketch|Fill in)($|[^\p{L}\p{N}_])"
+FIGURE_WIDTH, FIGURE_HEIGHT, FIGURE_MOST = 60, 40, 700
+FOOTER_ZONE, LEFT, IMAGE_HEIGHT, BLANK_PAD = 60, 45, 5, 6
+
+
+def in_band(df: DataFrame, bands: DataFrame) -> DataFrame:
+    """df (page, top, bottom and others) with the bands (band, page, top, bottom) that each row reaches into."""
+    b = bands.select("band", F.col("page").alias("__page"), F.col("top").alias("__top"), F.col("bottom").alias("__bottom"))
+    return df.join(b, (F.col("page") == F.col("__page")) & (F.col("bottom") > F.col("__top")) & (F.col("top") < F.col("__bottom")))
+
+
+def ruled_lines(bands: DataFrame, lines: DataFrame, figures: DataFrame, spaces: DataFrame) -> DataFrame:
+    """band, lines: how many ruled lines an answer needs: 0 if no marks are printed, null where the paper has a space of its own. bands: band, page, top, bottom; lines: page, top, bottom, text; figures: page, x0, top, x1, bottom; spaces: band, of
+    those with a grid or tick table (answer_grids, tick_tables; a band can be given once for each).
+
+    A space of its own is also a line of dots, or a figure in a band with a line that says to complete or draw one. Else the marks are the most that one line prints first, and lines are as answer_lines has them.
+    """
+    text = F.trim(F.regexp_replace("text", r"[ \t\n]+", " "))
+    mark = F.regexp_extract(text, r"\[([0-9]{1,2})\]", 1)
+    facts = in_band(lines, bands).groupBy("band").agg(F.max(F.trim("text").rlike(DOTS)).alias("dots"), F.max(F.nullif(mark, F.lit("")).cast("int")).alias("marks"), F.max(text.rlike(FILL_IN)).alias("told"))
+    wide, high = F.col("x1") - F.col("x0"), F.col("bottom") - F.col("top")
+    shown = in_band(figures.where((wide >= FIGURE_WIDTH) & (high >= FIGURE_HEIGHT) & (high < FIGURE_MOST)), bands).select("band").distinct().withColumn("figure", F.lit(True))
+    given = spaces.select("band").distinct().withColumn("space", F.lit(True))
+    x = bands.select("band").distinct().join(facts, "band", "left").join(shown, "band", "left").join(given, "band", "left")
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    own = yes("dots") | yes("space") | (yes("told") & yes("figure"))
+    return x.select("band", F.when(~own, F.when(F.col("marks") > 0, answer_lines(F.col("marks"))).otherwise(0)).alias("lines"))
+
+
+def trailing_blank(bands: DataFrame, lines: DataFrame, images: DataFrame, page_height: float) -> DataFrame:
+    """band, blank: the height of the empty paper below each band, down to the next line, the next image or the footer of its page. bands: band, page, bottom; lines: page, x0, top, bottom, text; images: page, top, bottom.
+
+    Footers are what noise says in the lowest part of a page; without one a page ends a third of that part above its edge. Blank lines, lines left of the text and noise count for nothing, and so does a line of over 60 points.
+    """
+    kept = lines.where((F.trim("text") != "") & (F.col("bottom") - F.col("top") <= 60))
+    idle = noise(F.trim("text"), F.col("bottom") - F.col("top"), F.col("bottom"), F.lit(page_height))
+    kept = cut(kept.select("page", "x0", "top", F.col("bottom").alias("__b"), idle.alias("idle")))
+    foot = kept.where((F.col("__b") > page_height - FOOTER_ZONE) & F.col("idle")).groupBy("page").agg(F.min("top").cast("double").alias("foot"))
+    starts = kept.where((F.col("x0") >= LEFT) & ~F.col("idle")).select("page", F.col("top").alias("y")).unionByName(images.where(F.col("bottom") - F.col("top") >= IMAGE_HEIGHT).select("page", F.col("top").alias("y")))
+    near = bands.select("band", "page", "bottom").join(starts, "page").where(F.col("y") > F.col("bottom") + 1).groupBy("band", "page").agg(F.min("y").cast("double").alias("next"))
+    x = bands.select("band", "page", "bottom").join(near, ["band", "page"], "left").join(foot, "page", "left")
+    end = F.least(F.coalesce("foot", F.lit(page_height - FOOTER_ZONE / 3)), F.col("next"))
+    return x.select("band", F.greatest(F.lit(0.0), end - F.col("bottom") - BLANK_PAD).alias("blank"))

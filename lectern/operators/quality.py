@@ -60,3 +60,44 @@ def stale(stored: DataFrame, now: DataFrame, key: str) -> DataFrame:
     """key, stale: stored prints that differ from the present ones or have none."""
     n = now.select(key, F.col("print").alias("now"))
     return stored.join(n, key, "left").select(key, F.coalesce(F.col("print") != F.col("now"), F.lit(True)).alias("stale"))
+
+
+#: Characters of a chapter's name, its number left out, that a cover has to show.
+CHAPTER_CHARS = 18
+#: What the covers of a folder's two documents are called.
+COVER_LABELS = {"QP": "QUESTIONS", "MS": "MARK SCHEME"}
+
+
+def leaf_problems(plan: DataFrame, covers: DataFrame, pages: DataFrame, held: DataFrame, notes: DataFrame) -> DataFrame:
+    """leaf, problem, detail: what folders that were built lack of their plan. plan: leaf, chapter (`number name`), year, tasks, files; covers: leaf, kind (QP or MS), text, tasks; pages: leaf, kind, page (from 1), banner; held: leaf, file; notes: leaf, text.
+
+    A folder without one of its documents has that problem alone (QP before MS). Others: a cover without the chapter's name, the year or its label; covers of unlike tasks; QP tasks that aren't the plan's, as sets; the first page after the cover without a
+    banner, for each document; files that aren't those of the plan; planned files that the notes don't mention (null notes mention none). Each check is a join on the folder; files meet as rows, so a folder's files are never held together.
+    """
+    have = covers.groupBy("leaf").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in COVER_LABELS))
+    x = plan.join(have, "leaf", "left")
+    lacks = [F.coalesce(F.col(k), F.lit(0)) == 0 for k in COVER_LABELS]
+    missing = F.when(lacks[0], "QP").when(lacks[1], "MS")
+    built = x.where(missing.isNull()).drop(*COVER_LABELS)
+    problem = lambda df, name, detail: df.select("leaf", F.lit(name).alias("problem"), detail.cast("string").alias("detail"))
+    out = [problem(x.where(missing.isNotNull()), "document missing", missing)]
+    name = F.left(F.regexp_extract("chapter", r"^[^ ]* (.*)$", 1), F.lit(CHAPTER_CHARS))
+    c = built.select("leaf", name.alias("__name"), F.col("year").cast("string").alias("__year"), F.col("tasks").alias("__planned")).join(covers, "leaf").withColumn("__text", F.coalesce("text", F.lit("")))
+    for column in ("__name", "__year"):
+        out.append(problem(c.where(~F.contains("__text", F.col(column))), "cover without", F.concat_ws(" ", "kind", column)))
+    label = F.element_at(F.create_map(*(F.lit(v) for kv in COVER_LABELS.items() for v in kv)), F.col("kind"))
+    out.append(problem(c.where(~F.contains("__text", label)), "cover not labelled", F.col("kind")))
+    as_set = lambda t: F.array_sort(F.array_distinct(t))
+    qp, ms = (c.where(F.col("kind") == k).select("leaf", "__planned", F.col("tasks").alias(k)) for k in COVER_LABELS)
+    out.append(problem(qp.join(ms.drop("__planned"), "leaf").where(~F.col("QP").eqNullSafe(F.col("MS"))), "covers disagree", F.lit(None)))
+    out.append(problem(qp.where(~as_set("QP").eqNullSafe(as_set("__planned"))), "tasks not planned", F.array_join("QP", ",")))
+    bare = pages.where((F.col("page") > 1) & ~F.coalesce("banner", F.lit(False))).join(built.select("leaf"), "leaf", "left_semi").groupBy("leaf", "kind").agg(F.min("page").alias("page"))
+    out.append(problem(bare, "page without banner", F.concat_ws(" ", "kind", "page")))
+    files = built.select("leaf", F.explode("files").alias("file"))
+    count = lambda df, n: df.groupBy("leaf", "file").agg(F.count(F.lit(1)).alias(n))
+    own = held.join(built.select("leaf"), "leaf", "left_semi")
+    both = count(files, "__want").join(count(own, "__got"), ["leaf", "file"], "full").where(~F.col("__want").eqNullSafe(F.col("__got")))
+    out.append(problem(both, "file missing or not planned", F.col("file")))
+    said = files.distinct().join(notes.select("leaf", F.col("text").alias("__note")), "leaf", "left").where(~F.contains(F.coalesce("__note", F.lit("")), F.col("file")))
+    out.append(problem(said, "file not in notes", F.col("file")))
+    return reduce(DataFrame.unionByName, out)

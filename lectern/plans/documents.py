@@ -239,3 +239,43 @@ def d10_quotes_in_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     needles = table(spark, sf_dir, "benchmark").select("item_id", fn.squeeze(F.col("text")).alias("needle"))
     texts = table(spark, sf_dir, "documents").select("doc_id", fn.squeeze(F.col("text")).alias("text"))
     return contained(needles, texts, "doc_id").select("item_id", "doc_id")
+
+
+#: Each order is a folder, its lines the tasks; covers, pages, files and notes have a fault where the key says.
+LEAVES = """pl AS (SELECT o_orderkey AS leaf, '7 ' || o_orderpriority || ' of ' || o_orderstatus || o_orderstatus || ' and more' AS chapter, year(o_orderdate) AS year, list_sort(list_distinct(list(CAST(l_linenumber AS BIGINT)))) AS tasks FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+cv AS (SELECT leaf, kind, chapter, year, tasks, CASE WHEN leaf % 11 = 1 AND kind = 'QP' THEN '' ELSE chapter END || ' ' || CASE WHEN leaf % 13 = 2 THEN '' ELSE CAST(year AS VARCHAR) END || CASE WHEN leaf % 17 = 3 THEN ' PAPER' WHEN kind = 'QP' THEN ' QUESTIONS' ELSE ' MARK SCHEME' END AS text,
+    CASE WHEN leaf % 7 = 4 AND kind = 'MS' THEN tasks || [9] WHEN leaf % 19 = 5 THEN [8] || tasks ELSE tasks END AS shown FROM pl, (VALUES ('QP'), ('MS')) AS t(kind) WHERE NOT (leaf % 23 = 6 AND kind = 'MS') AND leaf % 29 <> 7)"""
+
+
+@query(f"""WITH {LEAVES},
+ok AS (SELECT * FROM pl WHERE leaf % 23 <> 6 AND leaf % 29 <> 7), oc AS (SELECT * FROM cv WHERE leaf IN (SELECT leaf FROM ok)), fs AS (SELECT leaf, unnest(tasks) AS t FROM ok)
+SELECT leaf, 'document missing' AS problem, CASE WHEN leaf % 29 = 7 THEN 'QP' ELSE 'MS' END AS detail FROM pl WHERE leaf % 23 = 6 OR leaf % 29 = 7
+UNION ALL SELECT leaf, 'cover without', kind || ' ' || substr(chapter, 3, 18) FROM oc WHERE NOT contains(text, substr(chapter, 3, 18)) UNION ALL SELECT leaf, 'cover without', kind || ' ' || year FROM oc WHERE NOT contains(text, CAST(year AS VARCHAR))
+UNION ALL SELECT leaf, 'cover not labelled', kind FROM oc WHERE leaf % 17 = 3
+UNION ALL SELECT leaf, 'covers disagree', NULL FROM ok WHERE leaf % 7 = 4
+UNION ALL SELECT leaf, 'tasks not planned', array_to_string(shown, ',') FROM oc WHERE kind = 'QP' AND leaf % 19 = 5
+UNION ALL SELECT leaf, 'page without banner', kind || ' ' || CASE WHEN leaf % 5 > 1 THEN leaf % 5 ELSE 2 END FROM oc WHERE leaf % 3 = 0 AND (leaf % 5 > 1 OR leaf % 2 = 0)
+UNION ALL SELECT leaf, 'file missing or not planned', 'f' || t || '.zip' FROM fs WHERE (leaf + t) % 31 = 8 UNION ALL SELECT leaf, 'file missing or not planned', 'extra.zip' FROM ok WHERE leaf % 37 = 9
+UNION ALL SELECT leaf, 'file not in notes', 'f' || t || '.zip' FROM fs WHERE (leaf + t) % 41 = 10 OR leaf % 43 = 11""")
+def k14_leaf_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders held against their plan: documents, covers, banners, files and notes."""
+    leaf, o = F.col("leaf"), table(spark, sf_dir, "orders")
+    tasks = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("leaf")).agg(F.array_sort(F.collect_set(F.col("l_linenumber").cast("long"))).alias("tasks"))
+    chapter = F.concat(F.lit("7 "), "o_orderpriority", F.lit(" of "), "o_orderstatus", "o_orderstatus", F.lit(" and more"))
+    pl = o.select(F.col("o_orderkey").alias("leaf"), chapter.alias("chapter"), F.year("o_orderdate").alias("year")).join(tasks, "leaf")
+    file = lambda t: F.concat(F.lit("f"), t.cast("string"), F.lit(".zip"))
+    kinds = pl.withColumn("kind", F.explode(F.array(F.lit("QP"), F.lit("MS"))))
+    qp = F.col("kind") == "QP"
+    kept = kinds.where(~((leaf % 23 == 6) & ~qp) & (leaf % 29 != 7))
+    label = F.when(leaf % 17 == 3, " PAPER").when(qp, " QUESTIONS").otherwise(" MARK SCHEME")
+    text = F.concat(F.when((leaf % 11 == 1) & qp, "").otherwise(F.col("chapter")), F.lit(" "), F.when(leaf % 13 == 2, "").otherwise(F.col("year").cast("string")), label)
+    one = lambda n: F.array(F.lit(n).cast("long"))
+    shown = F.when((leaf % 7 == 4) & ~qp, F.concat("tasks", one(9))).when(leaf % 19 == 5, F.concat(one(8), "tasks")).otherwise(F.col("tasks"))
+    covers = kept.select("leaf", "kind", text.alias("text"), shown.alias("tasks"))
+    page = kept.select("leaf", "kind", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("page"))
+    banner = (leaf % 3 != 0) | ((F.col("page") != leaf % 5) & ~((F.col("page") == 2) & (leaf % 5 <= 1) & (leaf % 2 == 0)))
+    each = pl.select("leaf", F.explode("tasks").alias("t"))
+    held = each.where((leaf + F.col("t")) % 31 != 8).select("leaf", file(F.col("t")).alias("file")).unionByName(pl.where(leaf % 37 == 9).select("leaf", F.lit("extra.zip").alias("file")))
+    notes = pl.select("leaf", F.when(leaf % 43 != 11, F.array_join(F.transform(F.filter("tasks", lambda t: (leaf + t) % 41 != 10), file), ", ")).alias("text"))
+    plan = pl.withColumn("files", F.transform("tasks", file))
+    return quality.leaf_problems(plan, covers, page.withColumn("banner", banner), held, notes)

@@ -245,3 +245,68 @@ def k09_packed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = li.join(o, F.col("item") == F.col("o_orderkey")).withColumn("width", F.when(wide, 2 * packing.WIDTH).otherwise(400)).withColumn("cuts", F.transform(F.sequence(F.lit(1), F.floor((F.col("height") - 1) / F.col("step")).cast("int")), lambda j: (j * F.col("step")).cast("double")))
     free = F.filter("cuts", lambda c: (F.col("kind") > 1) & ((F.col("kind") > 4) | (c <= F.col("height") / 4) | (c >= F.col("height") * 0.75)))
     return packing.packed(x.withColumn("clear", free), F.col("doc") % 2 == 0)
+
+
+@query("""WITH g AS (SELECT o_orderkey AS k, 300 + o_orderkey % 3 * 20 AS mid, o_orderkey % 5 <> 0 AS split FROM orders),
+rw AS (SELECT k, mid, split, unnest([{'a': 60, 'b': 80}, {'a': 80, 'b': 80 + 8 + k % 6}, {'a': 80 + 8 + k % 6, 'b': 130}]) AS r FROM g),
+wd AS (SELECT l_orderkey AS k, 65 + l_partkey % 290 + 7.5 AS cx, 62 + l_suppkey * 7 % 60 + 4 AS cy FROM lineitem),
+hl AS (SELECT rw.k, r.a AS a, cx FROM rw JOIN wd ON wd.k = rw.k AND cy > r.a AND cy < r.b AND cx > 60 AND cx < 360),
+ce AS (SELECT k, r.a AS a, unnest(CASE WHEN split THEN [[60, mid], [mid, 360]] ELSE [[60, 360]] END) AS c FROM rw WHERE r.b - r.a >= 10),
+em AS (SELECT DISTINCT k, a FROM ce WHERE EXISTS (SELECT 1 FROM hl WHERE hl.k = ce.k AND hl.a = ce.a) AND NOT EXISTS (SELECT 1 FROM hl WHERE hl.k = ce.k AND hl.a = ce.a AND c[1] < cx AND cx < c[2]))
+SELECT k AS page, count(*) AS ticks FROM em GROUP BY k HAVING count(*) >= 2""")
+def k07_tick_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of boxes to tick. Each order is a page with a grid of three rows, its lines are the words."""
+    k = F.col("o_orderkey")
+    low, mid = 88 + k % 6, 300 + k % 3 * 20
+    number = lambda v: (v if not isinstance(v, int) else F.lit(v)).cast("double")
+    rule = lambda i, *c: F.struct((k * 8 + i).alias("id"), *(number(v).alias(n) for n, v in zip(("x0", "y0", "x1", "y1"), c)))
+    every = F.array(*(rule(i, 60, y, 360, y) for i, y in enumerate((60, 80, low, 130))), rule(4, 60, 60, 60, 130), rule(5, 360, 60, 360, 130), F.when(k % 5 != 0, rule(6, mid, 60, mid, 130)))
+    rules = table(spark, sf_dir, "orders").select(k.alias("page"), F.explode(F.filter(every, lambda r: r.isNotNull())).alias("r")).select("page", "r.*")
+    x, y = 65 + F.col("l_partkey") % 290, 62 + F.col("l_suppkey") * 7 % 60
+    words = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), x.alias("x0"), y.alias("y0"), (x + 15).alias("x1"), (y + 8).alias("y1"))
+    return layout.tick_tables(rules, words).select("page", "ticks")
+
+
+#: Each order is a page with two bands (a gap between them), its lines the text and, of another place and size, the figures and images.
+PAGES = """b AS (SELECT o_orderkey * 2 + i AS band, o_orderkey AS page, 50 + i * 350 AS top, 300 + i * 350 + o_orderkey % 3 * 30 AS bottom FROM orders, generate_series(0, 1) AS t(i)),
+l AS (SELECT l_orderkey AS page, 30 + l_suppkey % 40 AS x0, l_partkey * 7 % 820 AS top, l_partkey * 7 % 820 + 4 + l_partkey % 9 AS bottom, CASE l_partkey % 11 WHEN 0 THEN '(a) (ii)  Complete the table [4]' WHEN 1 THEN 'Draw' WHEN 2 THEN '$ ' || repeat('. ', 20 + l_suppkey % 2 - 1)
+    WHEN 3 THEN 'Explain [' || l_suppkey % 30 || '] and [9]' WHEN 4 THEN 'Turn over' WHEN 5 THEN '. . .' WHEN 6 THEN '' WHEN 7 THEN 'Drawings [2]' WHEN 8 THEN '....\t......  ..' ELSE 'plain' END AS text FROM lineitem),
+f AS (SELECT l_orderkey AS page, 50 AS x0, 50 + l_partkey % 120 AS x1, l_suppkey * 11 % 760 AS top, l_suppkey * 11 % 760 + l_partkey % 90 AS bottom FROM lineitem)"""
+
+
+def pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    k, pk, sk = F.col("o_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("i"))
+    bands = o.select((k * 2 + F.col("i")).alias("band"), k.alias("page"), (50 + F.col("i") * 350).alias("top"), (300 + F.col("i") * 350 + k % 3 * 30).alias("bottom"))
+    li, top = table(spark, sf_dir, "lineitem"), pk * 7 % 820
+    kinds = ("(a) (ii)  Complete the table [4]", "Draw", F.concat(F.lit("$ "), F.expr("repeat('. ', cast(19 + l_suppkey % 2 as int))")), F.concat(F.lit("Explain ["), (sk % 30).cast("string"), F.lit("] and [9]")), "Turn over", ". . .", "", "Drawings [2]", "....\t......  ..")
+    text = F.lit("plain")
+    for i, said in enumerate(kinds):
+        text = F.when(pk % 11 == i, said).otherwise(text)
+    lines = li.select(F.col("l_orderkey").alias("page"), (30 + sk % 40).alias("x0"), top.alias("top"), (top + 4 + pk % 9).alias("bottom"), text.alias("text"))
+    high = sk * 11 % 760
+    return bands, lines, li.select(F.col("l_orderkey").alias("page"), F.lit(50).alias("x0"), (50 + pk % 120).alias("x1"), high.alias("top"), (high + pk % 90).alias("bottom"))
+
+
+@query(rf"""WITH {PAGES},
+fa AS (SELECT band, bool_or(regexp_matches(trim(l.text), '{layout.DOTS}')) AS dots, max(TRY_CAST(regexp_extract(l.text, '\[([0-9]{{1,2}})\]', 1) AS INTEGER)) AS marks, bool_or(regexp_matches(l.text, '^(\(a\) \(ii\)  )?(Complete|Draw)( |$)')) AS told
+    FROM b JOIN l ON l.page = b.page AND l.bottom > b.top AND l.top < b.bottom GROUP BY band),
+fi AS (SELECT DISTINCT band FROM b JOIN f ON f.page = b.page AND f.bottom > b.top AND f.top < b.bottom AND x1 - x0 >= 60 AND f.bottom - f.top BETWEEN 40 AND 699)
+SELECT b.band, CASE WHEN coalesce(dots, false) OR b.band % 13 = 0 OR (coalesce(told, false) AND fi.band IS NOT NULL) THEN NULL WHEN marks > 0 THEN greatest(3, least(34, CAST(round_even(1.7 * marks, 0) AS INTEGER))) ELSE 0 END AS lines
+FROM b LEFT JOIN fa USING (band) LEFT JOIN fi USING (band)""")
+def k07_ruled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ruled lines that each band needs for an answer, none where the paper has a space of its own."""
+    bands, lines, figures = pages(spark, sf_dir)
+    return layout.ruled_lines(bands, lines, figures, bands.where("band % 13 = 0").select("band"))
+
+
+@query(rf"""WITH {PAGES},
+n AS (SELECT *, (bottom - top < 7 AND NOT regexp_matches(text, '[A-Za-z0-9]')) OR (bottom > 782 AND text = 'Turn over') AS idle FROM l WHERE trim(text) <> ''),
+ft AS (SELECT page, min(top) AS foot FROM n WHERE bottom > 782 AND idle GROUP BY page),
+y AS (SELECT page, top AS y FROM n WHERE x0 >= 45 AND NOT idle UNION ALL SELECT page, top FROM f WHERE bottom - top >= 5),
+nx AS (SELECT band, min(y) AS nxt FROM b JOIN y ON y.page = b.page AND y.y > b.bottom + 1 GROUP BY band)
+SELECT band, CAST(greatest(0, least(coalesce(foot, 822), nxt) - bottom - 6) AS DOUBLE) AS blank FROM b LEFT JOIN nx USING (band) LEFT JOIN ft ON ft.page = b.page""")
+def k07_trailing_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The empty paper below each band."""
+    bands, lines, images = pages(spark, sf_dir)
+    return layout.trailing_blank(bands, lines, images.select("page", "top", "bottom"), 842)

@@ -207,3 +207,27 @@ def test_answer_grids_against_loops(spark):
         kinds |= {w[3] for w in want}
     assert kinds == {True, False} and layout.answer_space(grids).count() <= 12
     assert layout.answer_grids(df.limit(0), ws).collect() == []
+
+
+def test_ruled_lines_and_blanks_of_odd_pages(spark):
+    """A band without a line, one on a page that no table has, null texts, and bands of one page that lines of both reach into."""
+    bands = spark.createDataFrame([(1, 1, 0.0, 100.0), (2, 1, 90.0, 200.0), (3, 2, 0.0, 100.0), (4, 9, 0.0, 10.0)], "band int, page int, top double, bottom double")
+    lines = spark.createDataFrame([(1, 50.0, 85.0, 95.0, "Say why [10]"), (1, 50.0, 150.0, 160.0, "Label the plan. [4]"), (1, 50.0, 300.0, 310.0, None), (1, 10.0, 320.0, 330.0, "left of all"), (1, 50.0, 400.0, 410.0, "next")], "page int, x0 double, top double, bottom double, text string")
+    figures = spark.createDataFrame([(1, 0.0, 120.0, 60.0, 170.0), (2, 0.0, 0.0, 90.0, 90.0)], "page int, x0 double, top double, x1 double, bottom double")
+    got = {r.band: r.lines for r in layout.ruled_lines(bands, lines, figures, bands.where("band = 9").select("band")).collect()}
+    assert got == {1: 17, 2: None, 3: 0, 4: 0}
+    blank = {r.band: r.blank for r in layout.trailing_blank(bands, lines, figures.select("page", "top", "bottom"), 842).collect()}
+    assert blank == {1: 14.0, 2: 194.0, 3: 716.0, 4: 806.0}
+
+
+def test_tick_tables(spark):
+    """A narrow empty column beside statements counts from two rows on; a row without words doesn't, nor a box under 12 points wide."""
+    def grid(page, wide, said):
+        rules = [(page, page * 20 + i, 0.0, y, 200.0, y) for i, y in enumerate((0.0, 20.0, 40.0, 60.0))] + [(page, page * 20 + 9 + i, x, 0.0, x, 60.0) for i, x in enumerate((0.0, 200.0 - wide, 200.0))]
+        return rules, [(page, 5.0, y + 5, 50.0, y + 15) for y in said]
+
+    made = [grid(1, 20, (0.0, 20.0, 40.0)), grid(2, 20, (0.0,)), grid(3, 8, (0.0, 20.0, 40.0))]
+    rules = spark.createDataFrame([r for x, _ in made for r in x], "page int, id int, x0 double, y0 double, x1 double, y1 double")
+    words = spark.createDataFrame([w for _, x in made for w in x], "page int, x0 double, y0 double, x1 double, y1 double")
+    assert [(r.page, r.ticks) for r in layout.tick_tables(rules, words).collect()] == [(1, 3)]
+    assert layout.tick_tables(rules.limit(0), words).collect() == []
