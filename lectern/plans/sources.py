@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.operators import topics
 from lectern.plans.base import query, table
 from lectern.sources import readers
 
@@ -84,3 +85,32 @@ def a11_newest_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     paper = F.struct(F.col("o_orderstatus").alias("paper"), asked.alias("questions"))
     text = table(spark, sf_dir, "orders").select(F.to_json(F.create_map(F.lit("_note"), paper, said("c", k), paper)).alias("value"))
     return readers.newest_papers(text).withColumn("tags", F.array_join("tags", "|"))
+
+
+@query("""WITH u AS (SELECT o_orderkey AS id, o_orderkey % 6 + 3 AS v, 2000 + 15 + o_custkey % 9 AS year, substr('msw', CAST(o_orderkey % 3 + 1 AS INTEGER), 1) AS season, o_orderkey % 9 AS q, CASE WHEN o_orderkey % 4 = 1 THEN 'a' ELSE '' END AS part,
+    CASE WHEN o_orderkey % 4 = 1 THEN 'Stem' || chr(10) ELSE '' END || 'Say | ' || o_orderpriority AS text, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'It is ' || o_orderstatus END AS ms, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 5 AS VARCHAR) ELSE '' END AS marks, o_orderkey % 10 = 4 AS dupe FROM orders),
+c AS (SELECT *, '3' || v AS variant, '9626_' || season || year % 100 || '_qp_3' || v AS code, q || part AS label FROM u),
+k AS (SELECT a.*, CASE WHEN a.id % 10 = 3 AND b.id IS NOT NULL THEN b.variant END AS v2, CASE WHEN a.id % 10 = 3 AND b.id IS NOT NULL THEN b.code END AS code2, b.label AS label2 FROM c a LEFT JOIN c b ON b.id = a.id + 1 AND a.id % 10 = 3 WHERE NOT a.dupe),
+e AS (SELECT *, '#### P ' || variant || coalesce(' + ' || v2, '') || ' | ' || upper(season) || ' ' || year || ' | [[' || code || '.pdf|Question' || CASE WHEN code2 IS NULL THEN '' ELSE ' P' || variant END || ']] | [[' || replace(code, 'qp', 'ms') || '.pdf|Answer' || CASE WHEN code2 IS NULL THEN '' ELSE ' P' || variant END || ']]'
+    || coalesce(' | [[' || code2 || '.pdf|Question P' || v2 || ']] | [[' || replace(code2, 'qp', 'ms') || '.pdf|Answer P' || v2 || ']]', '') AS head, label || coalesce(' / ' || label2, '') AS no FROM k),
+b AS (SELECT *, head || chr(10) || chr(10) || '| No. | Question | Marks |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || no || ' | ' || replace(replace(text, '|', '\\|'), chr(10), '<br>') || ' | ' || marks || ' |' || chr(10) || chr(10)
+    || '| Question | Answer | Marks |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || no || ' | ' || CASE WHEN ms = '' THEN '*Mark scheme is a diagram — see the linked PDF.*' ELSE ms END || ' | ' || marks || ' |' || chr(10) || chr(10) || '---' || chr(10) AS block FROM e),
+s AS (SELECT DISTINCT id, year, block, unnest([id % 3 + 1, id % 2 + 2]) AS t, id % 11 AS z FROM b WHERE id % 8 <> 5),
+p AS (SELECT *, t || '.' || z AS sub, t || ' ' || 'T-' || t AS file FROM s WHERE z < 10)
+SELECT '3' AS paper, file, 1 AS kind, 1 AS level, sub, CAST(year AS INTEGER) AS year, id, block FROM p
+UNION ALL SELECT DISTINCT '3', file, 1, 0, sub, NULL, NULL, '## ' || sub || ' S' || sub || chr(10) FROM p
+UNION ALL SELECT DISTINCT '3', file, 0, 0, NULL, NULL, NULL, '# ' || t || ' T/' || t || ' — Paper 3' || chr(10) FROM p""")
+def b04_topic_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of topic files. An order is a question, every tenth has a reprint; subtopics are made from parts' sizes."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    code = said("9626_", F.substring(F.lit("msw"), (k % 3 + 1).cast("int"), F.lit(1)), 15 + F.col("o_custkey") % 9, "_qp_3", k % 6 + 3)
+    units = o.select(
+        k.alias("id"), code.alias("paper"), (k % 9).cast("string").alias("q"), F.when(k % 4 == 1, "a").alias("part"), F.when(k % 4 == 1, "Stem").when(k % 4 == 2, " ").alias("stem"), F.lit(None).cast("string").alias("part_stem"),
+        said("Say | ", F.col("o_orderpriority")).alias("text"), F.when(k % 14 == 0, " ").when(k % 7 != 0, said("It is ", F.col("o_orderstatus"))).alias("ms"), F.when(k % 5 != 0, k % 5).alias("marks"), F.when(k % 10 == 4, k - 1).alias("dupe_of"), F.when(k % 10 == 3, F.array(k + 1)).alias("also_in"),
+    )
+    sub = lambda t: said(t, ".", k % 11)
+    tags = o.where(k % 8 != 5).select(k.alias("id"), F.array(sub(k % 3 + 1), sub(k % 2 + 2)).alias("topics"))
+    t = F.explode(F.array(*(F.lit(str(i)) for i in (1, 2, 3)))).alias("topic")
+    tree = table(spark, sf_dir, "part").select((F.col("p_size") % 10).cast("string").alias("z")).distinct().select(t, "z")
+    tree = tree.select("topic", said("T/", F.col("topic")).alias("topic_name"), said(F.col("topic"), ".", F.col("z")).alias("sub"), said("S", F.col("topic"), ".", F.col("z")).alias("sub_name"))
+    return topics.topic_files(units, tags, tree).select("paper", "file", "kind", "level", "sub", "year", "id", "block")
