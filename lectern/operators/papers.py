@@ -67,7 +67,7 @@ def rows_by_task(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """paper, page, table, n, task: rows of the outer tables, each with the task that is in force there, or null. rows: paper, page, table, lo, hi, n, cells, top, bottom (of the row); heads: paper, page, y, task, headings printed outside tables.
 
     A row labelled with a number starts that task. A row that names a task in words (`Task 4 - Webpage`) starts it too, unless rows so numbered came before: then it is a sub-heading within that task, and elsewhere the start of an appendix, which
-    has no task and is left out itself. A table ends the task in force, unless it is the first of its page, starts at the top, and no heading of another task stands above it. Sum lines and column headers further down end it; they are left out.
+    has no task and is left out itself. A table ends the task in force, unless it is the first of its page, starts at the top, and no heading of another task stands above it. Sum lines and column headers further down end it; they are left out. Rows of one n follow by the number that they name.
 
     So what happens is of three kinds: a task is set, none is, or one is kept only if it is that one. After something was set, it is in force until it is set anew or something else was to be kept: two running values over a paper's rows, no fold.
     """
@@ -77,9 +77,10 @@ def rows_by_task(rows: DataFrame, heads: DataFrame) -> DataFrame:
     head = header_row(F.col("cells")) & (F.col("some") | (F.col("bottom") - F.col("top") < HEADER_HEIGHT))
     total = cell.rlike(SUM_LABEL) | F.exists(low, lambda c: c.rlike(SUM_CELL))
     kind = F.when(F.col("m").isNotNull(), "number").when(F.col("h").isNotNull(), "heading").when(head, "header").when(total, "sum").otherwise("row")
-    pos = F.struct("page", "place", F.lit(1).alias("late"), "n")
-    x = x.withColumns({"kind": kind, "pos": pos}).withColumn("seen", F.min(F.when(F.col("kind") == "number", F.col("pos"))).over(Window.partitionBy("paper", F.coalesce("m", "h"))))
-    again = (F.col("kind") == "heading") & F.coalesce(F.col("seen") < F.col("pos"), F.lit(False))
+    at = F.struct("page", "place", "n")
+    x = x.withColumns({"kind": kind, "at": at, "pos": F.struct("page", "place", F.lit(1).alias("late"), "n", F.coalesce("m", "h").alias("named"))})
+    x = x.withColumn("seen", F.min(F.when(F.col("kind") == "number", F.col("at"))).over(Window.partitionBy("paper", F.coalesce("m", "h"))))
+    again = (F.col("kind") == "heading") & F.coalesce(F.col("seen") < F.col("at"), F.lit(False))
     ends = (F.col("kind") == "sum") | ((F.col("kind") == "header") & F.col("some") & (F.col("top") > CONTINUATION_TOP))
     sets = (F.col("kind") == "number") | ((F.col("kind") == "heading") & ~again)
     x = x.select("paper", "page", "table", "n", "pos", "kind", again.alias("again"), (sets | ends).alias("fresh"), F.when(sets, F.coalesce("m", "h")).alias("set"), F.when(again, F.col("h")).alias("keep"))
@@ -87,7 +88,7 @@ def rows_by_task(rows: DataFrame, heads: DataFrame) -> DataFrame:
     above = tables.join(heads, ["paper", "page"]).where("y < lo").groupBy("paper", "page", "table").agg(F.min("task").alias("one"), F.max("task").alias("other"))
     t = tables.join(above, ["paper", "page", "table"], "left")
     new = (F.col("place") > 1) | (F.col("lo") > CONTINUATION_TOP) | F.coalesce(F.col("one") != F.col("other"), F.lit(False))
-    start = F.struct("page", "place", F.lit(0).alias("late"), F.lit(None).cast(rows.schema["n"].dataType).alias("n"))
+    start = F.struct("page", "place", F.lit(0).alias("late"), F.lit(None).cast(rows.schema["n"].dataType).alias("n"), F.lit(None).cast("string").alias("named"))
     none = lambda kind: F.lit(None).cast(kind)
     t = t.select("paper", "page", "table", none(rows.schema["n"].dataType).alias("n"), start.alias("pos"), F.lit("table").alias("kind"), F.lit(False).alias("again"), new.alias("fresh"), none("string").alias("set"), F.when(~new, F.col("one")).alias("keep"))
     order = Window.partitionBy("paper").orderBy("pos")

@@ -179,7 +179,7 @@ ev AS (SELECT paper, page, place, 1 AS late, n, tbl, nullif(regexp_extract(trim(
     header AND (len(list_filter(cells, lambda c: trim(coalesce(c, '')) <> '')) > 0 OR bottom - top < 15) AS head, len(list_filter(cells, lambda c: trim(coalesce(c, '')) <> '')) > 0 AND top > 130 AS far,
     regexp_matches(trim(cells[1]), '(?i)^(total|mark total)\b') OR len(list_filter(cells, lambda c: regexp_matches(lower(trim(coalesce(c, ''))), '^(available|total) marks\b'))) > 0 AS total, CAST(NULL AS BOOLEAN) AS fresh, CAST(NULL AS VARCHAR[]) AS named FROM tr
   UNION ALL SELECT paper, page, place, 0, NULL, tbl, NULL, NULL, NULL, NULL, NULL, place > 1 OR lo > 130, (SELECT list(DISTINCT task) FROM hd WHERE hd.paper = ot.paper AND hd.page = ot.page AND y < lo) FROM ot),
-sq AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY page, place, late, n, m) AS i, min(CASE WHEN m IS NOT NULL THEN page * 1000000000000000 + place * 100000000000000 + n END) OVER (PARTITION BY paper, coalesce(m, h)) AS seen FROM ev),
+sq AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY page, place, late, n, coalesce(m, h)) AS i, min(CASE WHEN m IS NOT NULL THEN page * 1000000000000000 + place * 100000000000000 + n END) OVER (PARTITION BY paper, coalesce(m, h)) AS seen FROM ev),
 st AS (SELECT paper, CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS task, FALSE AS kept, CAST(NULL AS BIGINT) AS page, CAST(NULL AS BIGINT) AS tbl, CAST(NULL AS BIGINT) AS n FROM (SELECT DISTINCT paper FROM ev)
   UNION ALL
   SELECT sq.paper, sq.i, CASE WHEN late = 0 THEN CASE WHEN fresh OR len(list_filter(coalesce(named, []), lambda x: x IS DISTINCT FROM st.task)) > 0 THEN NULL ELSE st.task END
