@@ -127,3 +127,10 @@ def test_as_of_takes_facts_at_the_same_time(spark):
     rows = spark.createDataFrame([("u", 1), ("u", 5), ("v", 1)], "g string, t int")
     facts = spark.createDataFrame([("u", 1, 10), ("u", 3, 30), ("u", 3, 20)], "g string, t int, x int")
     assert {(r.g, r.t): r.y for r in sequences.as_of(rows, facts, ["g"], "t", "x", "y").collect()} == {("u", 1): 10, ("u", 5): 30, ("v", 1): None}
+
+
+def test_cut_texts_that_end_with_a_line_end(spark):
+    """Only what follows the last line end goes; a line end or another line separator at the cut doesn't take the line before with it."""
+    assert col(spark, "ab\ncd\nef", lambda c: fn.truncated(c, 6)) == "ab\ncd\n..." and col(spark, "ab\ncd\r\nef", lambda c: fn.truncated(c, 6)) == "ab\n..."
+    assert col(spark, "ab\ncd\u2028\nef", lambda c: fn.truncated(c, 7)) == "ab\ncd\u2028\n..."
+    assert col(spark, "a b\ncd e", lambda c: fn.clipped(c, 4)) == "a…"
