@@ -152,7 +152,7 @@ EDGES = ("x0", "y0", "ex", "ey")
 def tile_pairs(tiles: DataFrame, key: list[str]) -> DataFrame:
     """a_ and b_ columns of each two boxes of a tile that touch."""
     side = lambda p: tiles.select(*key, *(F.col(c).alias(f"{p}_{c}") for c in ("id", *EDGES)))
-    return side("a").join(side("b"), key).where("a_id < b_id and a_x0 <= b_ex and b_x0 <= a_ex and a_y0 <= b_ey and b_y0 <= a_ey")
+    return side("a").join(side("b").hint("merge"), key).where("a_id < b_id and a_x0 <= b_ex and b_x0 <= a_ex and a_y0 <= b_ey and b_y0 <= a_ey")
 
 
 def crowd_links(tiles: DataFrame, key: list[str], side: float) -> DataFrame:
@@ -165,7 +165,7 @@ def crowd_links(tiles: DataFrame, key: list[str], side: float) -> DataFrame:
     t = tiles.withColumns({"kx": kind("x0", "ex", "tx"), "ky": kind("y0", "ey", "ty")})
     box = F.struct("id", *EDGES)
     outer = t.groupBy(*key, "kx", "ky").agg(F.min("id").alias("least"), F.array(F.min_by(box, "x0"), F.min_by(box, "y0"), F.max_by(box, "ex"), F.max_by(box, "ey")).alias("boxes"))
-    stars = t.join(outer.drop("boxes"), [*key, "kx", "ky"]).where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    stars = t.join(outer.drop("boxes").hint("merge"), [*key, "kx", "ky"]).where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
     across = tile_pairs(outer.select(*key, F.explode(F.array_distinct("boxes")).alias("b")).select(*key, "b.*"), key).select(F.col("a_id").alias("u"), F.col("b_id").alias("v"))
     left = F.col("kx") == "begins"
     down = (F.col("ky") == "begins") == left  # the corner looks along the other diagonal if not
@@ -182,18 +182,20 @@ def touch_links(boxes: DataFrame, by: list[str], ident: str = "id", tol: float =
     A box is filed under each tile that it reaches, tol included. The pairs of a tile are compared, and a pair that meets in several tiles is given by one, that of the upper left corner of what the two share. A tile that a box fills
     gives a link from each other to the box, since it touches all of them. Any other tile with more than `most` boxes is cut in four, and the boxes are filed anew there, until tiles are narrower than tol, where crowd_links settles them:
     no crowded place pairs by its square. Boxes of one place count once.
+
+    Spark takes what is exploded for as small as what it came from, so joins of boxes and tiles are merged by hint: none is sent to the driver to be broadcast.
     """
     grown = boxes.select(F.struct(*by).alias("g"), F.col(ident).alias("id"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0")), (F.col("x1").cast("double") + tol).alias("ex"), (F.col("y1").cast("double") + tol).alias("ey"))
     grown = grown.where("id is not null")
     one = cut(grown.groupBy("g", *EDGES).agg(F.min("id").alias("id")))
-    out = [grown.withColumnRenamed("id", "u").join(one.withColumnRenamed("id", "v"), ["g", *EDGES]).where("u <> v").select("u", "v")]
+    out = [grown.withColumnRenamed("id", "u").join(one.withColumnRenamed("id", "v").hint("merge"), ["g", *EDGES]).where("u <> v").select("u", "v")]
     number = lambda c, side: F.floor(F.col(c) / side)
     tiles = one.select("*", F.explode(F.sequence(number("x0", tile), number("ex", tile))).alias("tx")).select("*", F.explode(F.sequence(number("y0", tile), number("ey", tile))).alias("ty"))
     key, side = ["g", "tx", "ty"], tile
     while True:
         fills = (F.col("x0") <= F.col("tx") * side) & (F.col("ex") >= (F.col("tx") + 1) * side) & (F.col("y0") <= F.col("ty") * side) & (F.col("ey") >= (F.col("ty") + 1) * side)
         kinds = tiles.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.when(fills, F.col("id"))).alias("full")).where("n > 1")
-        tiles = cut(tiles.join(kinds, key))
+        tiles = cut(tiles.join(kinds.hint("merge"), key))
         out.append(tiles.where("full is not null and id <> full").select(F.col("id").alias("u"), F.col("full").alias("v")))
         open_ = tiles.where("full is null")
         met = tile_pairs(open_.where(F.col("n") <= most), key)
@@ -214,7 +216,7 @@ def touch_links(boxes: DataFrame, by: list[str], ident: str = "id", tol: float =
 def touching_groups(boxes: DataFrame, by: list[str], ident: str = "id", tol: float = 3) -> DataFrame:
     """by, group (its smallest id), n, x0, y0, x1, y1: boxes that touch, be it through others, as one, with what they reach over. A box that touches none is a group of its own."""
     groups = components(touch_links(boxes, by, ident, tol))
-    g = boxes.join(groups, boxes[ident] == groups.node, "left").withColumn("group", F.coalesce("component", F.col(ident)))
+    g = boxes.join(groups.hint("merge"), boxes[ident] == groups.node, "left").withColumn("group", F.coalesce("component", F.col(ident)))
     return g.groupBy(*by, "group").agg(F.count(F.lit(1)).alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
@@ -330,7 +332,7 @@ GRID_HEIGHT, GRID_WIDTH, ROW_HEIGHT, CELL_WIDTH, EMPTY_GAP, EMPTY_SHARE = 12, 30
 def grid_rules(rules: DataFrame) -> DataFrame:
     """page, group, x0, y0, x1, y1: rules with the grid that they belong to by touching."""
     links = components(touch_links(rules, ["page"]))
-    return cut(rules.join(links, rules.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1"))))
+    return cut(rules.join(links.hint("merge"), rules.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1"))))
 
 
 def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
@@ -348,7 +350,7 @@ def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
     mid = lambda lo, hi: ((F.col(lo) + F.col(hi)) / 2).cast("double")
     w = words.select(F.col("page").alias("wp"), mid("x0", "x1").alias("cx"), mid("y0", "y1").alias("cy"), F.col("y0").cast("double").alias("wy0"), F.col("y1").cast("double").alias("wy1"))
     inside = (F.col("page") == F.col("wp")) & (F.col("cx") >= F.col("bx0") - 1) & (F.col("cx") <= F.col("bx1") + 1) & (F.col("cy") > F.col("a")) & (F.col("cy") < F.col("b"))
-    held = cut(rows.join(w, inside).select(*key, "a", "b", "cx", "wy0", "wy1"))
+    held = cut(rows.join(w.hint("merge"), inside).select(*key, "a", "b", "cx", "wy0", "wy1"))
     before = F.max("wy1").over(Window.partitionBy(*key, "a").orderBy("wy0", "wy1").rowsBetween(Window.unboundedPreceding, -1))
     gaps = held.withColumn("gap", F.col("wy0") - F.greatest(F.col("a"), before)).groupBy(*key, "a", "b").agg(F.greatest(F.max("gap"), F.col("b") - F.greatest(F.col("a"), F.max("wy1")), F.lit(0.0)).alias("gap"))
     rows = cut(rows.join(gaps.drop("b"), [*key, "a"], "left").withColumn("empty", F.col("gap").isNull() | (F.col("gap") >= EMPTY_GAP)))
