@@ -391,7 +391,7 @@ def tick_tables(rules: DataFrame, words: DataFrame) -> DataFrame:
     rows = cut(rows.where((F.col("levels") >= TICK_LEVELS) & (F.col("b") - F.col("a") >= TICK_ROW)).join(box, key).drop("levels"))
     w = words.select(F.col("page").alias("wp"), ((F.col("x0") + F.col("x1")) / 2).cast("double").alias("cx"), ((F.col("y0") + F.col("y1")) / 2).cast("double").alias("cy"))
     inside = (F.col("page") == F.col("wp")) & (F.col("cx") > F.col("bx0")) & (F.col("cx") < F.col("bx1")) & (F.col("cy") > F.col("a")) & (F.col("cy") < F.col("b"))
-    held = cut(rows.join(w, inside).select(*key, "a", "cx").distinct())
+    held = cut(rows.join(w.hint("merge"), inside).select(*key, "a", "cx").distinct())
     rows = rows.join(held.select(*key, "a").distinct(), [*key, "a"])
     upright = r.where("x1 - x0 < 0.5").select(*(F.col(c).alias(f"u_{c}") for c in key), F.col("x0").alias("x"), F.col("y0").alias("uy0"), F.col("y1").alias("uy1"))
     crossing = rows.join(upright, (F.col("page") == F.col("u_page")) & (F.col("group") == F.col("u_group")) & (F.col("uy0") <= F.col("a") + 2) & (F.col("uy1") >= F.col("b") - 2)).select(*key, "a", "x")
