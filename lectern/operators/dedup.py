@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
 from difflib import SequenceMatcher
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -55,23 +58,79 @@ def repeats(units: DataFrame, key: Column, sitting: list[str], least: int = 2) -
     return u.groupBy("key").agg(F.count_distinct("s").alias("n"), F.max("s").alias("latest")).where(F.col("n") >= least)
 
 
+class Alike:
+    """The similarity of texts to one text b, as SequenceMatcher(None, a, b).ratio() gives it, ended where it can't be over a bound any more.
+
+    Matching blocks don't depend on the order in which the stretches between them are gone through, so the widest comes first, and each open stretch counts as matched as far as it could be: unlike texts are told after a few blocks.
+    A block grows from the longest run of characters that aren't frequent in b (else from where both stretches begin), so only such runs of a are looked at.
+    """
+
+    def __init__(self, b: str):
+        self.b, self.at = b, {}
+        for j, c in enumerate(b):
+            self.at.setdefault(c, []).append(j)
+        if len(b) >= 200:  # the library's rule for very frequent characters
+            self.at = {c: js for c, js in self.at.items() if len(js) <= len(b) // 100 + 1}
+        self.runs = re.compile(f"[{''.join(map(re.escape, self.at))}]+") if self.at else None
+
+    def block(self, a: str, runs: list[tuple[int, int]], alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+        """The longest matching block of two stretches, the first in a and then in b of equal ones: its places and length."""
+        i0, j0, n0 = alo, blo, 0
+        for lo, hi in runs[bisect_right(runs, alo, key=lambda r: r[1]) : bisect_left(runs, (ahi,))]:
+            lo, hi, lengths = max(lo, alo), min(hi, ahi), {}
+            if hi - lo <= n0:
+                continue
+            for i in range(lo, hi):
+                js, ends = self.at[a[i]], lengths
+                lengths = {}
+                for j in js[bisect_left(js, blo) : bisect_left(js, bhi)]:
+                    n = lengths[j] = ends.get(j - 1, 0) + 1
+                    if n > n0:
+                        i0, j0, n0 = i - n + 1, j - n + 1, n
+        while i0 > alo and j0 > blo and a[i0 - 1] == self.b[j0 - 1]:
+            i0, j0, n0 = i0 - 1, j0 - 1, n0 + 1
+        while i0 + n0 < ahi and j0 + n0 < bhi and a[i0 + n0] == self.b[j0 + n0]:
+            n0 += 1
+        return i0, j0, n0
+
+    def ratio(self, a: str, more_than: float) -> float | None:
+        """The similarity of a, or null if it isn't over more_than."""
+        whole = len(a) + len(self.b)
+        if not whole:
+            return 1.0 if more_than < 1 else None
+        runs = [m.span() for m in self.runs.finditer(a)] if self.runs else []
+        most = min(len(a), len(self.b))
+        open_ = [(-most, 0, len(a), 0, len(self.b))]
+        while open_ and 2.0 * most / whole > more_than:
+            m, alo, ahi, blo, bhi = heappop(open_)
+            i, j, n = self.block(a, runs, alo, ahi, blo, bhi)
+            most += m + n
+            for rest in ((alo, i, blo, j), (i + n, ahi, j + n, bhi)) if n else ():
+                m = min(rest[1] - rest[0], rest[3] - rest[2])
+                if m:
+                    most += m
+                    heappush(open_, (-m, *rest))
+        r = 2.0 * most / whole
+        return r if r > more_than else None
+
+
 def ratio(a: Column, b: Column, more_than: float | None = None) -> Column:
     """Ratcliff-Obershelp similarity of two texts, as the standard library computes it (with its rule for very frequent characters; not symmetric). It has no built-in form.
 
-    more_than: null for pairs that aren't more alike than that; two upper bounds, by lengths and by counts of characters, spare most of these the comparison."""
-
-    def one(p: str | None, q: str | None) -> float | None:
-        if p is None or q is None:
-            return None
-        m = SequenceMatcher(None, p, q)
-        if more_than is not None and (m.real_quick_ratio() <= more_than or m.quick_ratio() <= more_than):
-            return None
-        r = m.ratio()
-        return r if more_than is None or r > more_than else None
+    more_than: null for pairs that aren't more alike than that; most of these are told early (see Alike). What is prepared of a text b serves all rows with it that follow each other."""
 
     @F.arrow_udf("double")
     def similarity(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([one(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.float64())
+        out, last = [], None
+        for p, q in zip(x.to_pylist(), y.to_pylist()):
+            if p is None or q is None:
+                out.append(None)
+            elif more_than is None:
+                out.append(SequenceMatcher(None, p, q).ratio())
+            else:
+                last = last if last and last.b == q else Alike(q)
+                out.append(last.ratio(p, more_than))
+        return pa.array(out, pa.float64())
 
     return similarity(a, b)
 
@@ -108,7 +167,7 @@ def near_duplicates(units: DataFrame, ident: str, paper: str, text: str, *, more
     common = F.aggregate(F.zip_with("ap", "bp", lambda m, n: F.least(m, n)), F.lit(0), lambda s, n: s + n)
     met = left.join(right, ["bucket", "band", "salt"]).where("arep < brep").where(other).where(2 * common > more_than * (F.col("an") + F.col("bn"))).select(F.col("arep").alias("a"), F.col("brep").alias("b"))
     whole = texts.select("rep", "text")
-    met = met.join(whole.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
+    met = met.join(whole.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")  # a merge: rows of one b follow each other
     s = met.select("a", "b", ratio(F.col("ta"), F.col("tb"), more_than).alias("s")).where("s is not null")
     pairs = s.select("a", "b", F.round("s", 3).alias("similarity"), F.lit("pair").alias("kind"))
     copies = keyed.drop("text", "paper").join(firsts.select("key", "rep"), "key").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))

@@ -104,3 +104,25 @@ def test_scalars_and_bounds_refuse_what_does_not_add_up(spark):
     assert tuple(stats.year_bounds(texts, spark.createDataFrame([("a", 2)], "paper string, sittings long")).first()) == ("a", 2019, 2021, 2)
     with pytest.raises(Exception, match="sittings differ"):
         stats.year_bounds(texts, spark.createDataFrame([("a", 3)], "paper string, sittings long")).collect()
+
+
+def test_alike_is_the_library_ratio_and_ends_early(monkeypatch):
+    from difflib import SequenceMatcher
+
+    from lectern.operators.dedup import Alike
+
+    rnd = random.Random(5)
+    for most in (12, 40, 500):
+        for _ in range(150):
+            b = "".join(rnd.choices("aaaabbbbccde ,.-]^x", k=rnd.randrange(most)))
+            a = "".join(c for c in b if rnd.random() < 0.9) if rnd.random() < 0.5 else "".join(rnd.choices("aaaabbbbccde ,.-]^yz", k=rnd.randrange(most)))
+            r = SequenceMatcher(None, a, b).ratio()
+            assert Alike(b).ratio(a, -1.0) == r
+            assert Alike(b).ratio(a, 0.55) == (r if r > 0.55 else None)
+    words = ["".join(rnd.choices("etaoinshrdlucmfwypvbgkjqxz", weights=range(26, 0, -1), k=rnd.randrange(2, 9))) for _ in range(500)]
+    p, q = (" ".join(rnd.choices(words, k=3000)) for _ in range(2))
+    steps, block = [], Alike.block
+    monkeypatch.setattr(Alike, "block", lambda self, *x: steps.append(x) or block(self, *x))
+    assert Alike(q).ratio(p, 0.55) is None
+    early = len(steps)
+    assert Alike(q).ratio(p, -1.0) == SequenceMatcher(None, p, q).ratio() and 0 < early < (len(steps) - early) / 2
