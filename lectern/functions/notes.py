@@ -23,11 +23,14 @@ def let(value: Column, body) -> Column:
 
 def inline(c: Column) -> Column:
     """Text within a line: escaped, code (which may break after a comma), bold, emphasis."""
-    code = F.split(html_escaped(c), "`", -1)
-    closed = F.size(code) - (F.size(code) + 1) % 2  # an odd tick at the end opens nothing
     marked = lambda x: F.regexp_replace(F.regexp_replace(x, r"\*\*([^*]+)\*\*", "<strong>$1</strong>"), r"\*([^*]+)\*", "<em>$1</em>")
-    part = lambda x, i: F.when((i % 2 == 1) & (i < closed), F.concat(F.lit("<code>"), F.replace(x, F.lit(","), F.lit(",<wbr>")), F.lit("</code>"))).when(i >= closed, F.concat(F.lit("`"), marked(x))).otherwise(marked(x))
-    return F.array_join(F.transform(code, part), "")
+
+    def of(code: Column, closed: Column) -> Column:
+        part = lambda x, i: F.when((i % 2 == 1) & (i < closed), F.concat(F.lit("<code>"), F.replace(x, F.lit(","), F.lit(",<wbr>")), F.lit("</code>"))).when(i >= closed, F.concat(F.lit("`"), marked(x))).otherwise(marked(x))
+        return F.array_join(F.transform(code, part), "")
+
+    # an odd tick at the end opens nothing
+    return let(F.split(html_escaped(c), "`", -1), lambda code: let(F.size(code) - (F.size(code) + 1) % 2, lambda closed: of(code, closed)))
 
 
 def cells(line: Column) -> Column:
@@ -43,15 +46,15 @@ def without_tags(c: Column) -> Column:
 def table_html(lines: Column) -> Column:
     """A table's lines: the heads, a separator, the rows. A table of CARD_COLUMNS or more with a cell of over CARD_CHARS is to be shown as cards, so each cell keeps the name of its column."""
     def of(heads: Column) -> Column:
-        def rows(body: Column) -> Column:
-            longest = F.array_max(F.transform(F.flatten(body), lambda x: F.length(without_tags(x))))
-            cards = (F.size(heads) >= CARD_COLUMNS) & (F.coalesce(longest, F.lit(0)) > CARD_CHARS)
+        def rows(body: Column, cards: Column) -> Column:
             td = lambda x, i: F.concat(F.lit("<td"), F.when(cards, F.concat(F.lit(' data-h="'), without_tags(F.coalesce(F.get(heads, i), F.lit(""))), F.lit('"'))).otherwise(""), F.lit(">"), x, F.lit("</td>"))
             tr = lambda r: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, td), ""), F.lit("</tr>"))
             th = F.array_join(F.transform(heads, lambda h: F.concat(F.lit("<th>"), h, F.lit("</th>"))), "")
             return F.concat(F.when(cards, '<table class="stack">').otherwise("<table>"), F.lit("<thead><tr>"), th, F.lit("</tr></thead><tbody>"), F.array_join(F.transform(body, tr), ""), F.lit("</tbody></table>"))
 
-        return let(F.transform(F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0))), cells), rows)
+        longest = lambda body: F.array_max(F.transform(F.flatten(body), lambda x: F.length(without_tags(x))))
+        shown = lambda body: let((F.size(heads) >= CARD_COLUMNS) & (F.coalesce(longest(body), F.lit(0)) > CARD_CHARS), lambda cards: rows(body, cards))
+        return let(F.transform(F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0))), cells), shown)
 
     return let(cells(F.get(lines, F.lit(0))), of)
 
@@ -74,25 +77,21 @@ def notes_html(text: Column) -> Column:
     priority label that comes right after it, blank lines aside; empty if there is none. A null text is empty."""
     def of(lines: Column) -> Column:
         bar = lambda i: F.coalesce(F.startswith(F.get(lines, i), F.lit("|")), F.lit(False))
-        every = F.sequence(F.lit(0), F.size(lines) - 1)
-        starts = F.filter(every, lambda i: bar(i) & ~bar(i - 1) & F.coalesce(F.get(lines, i + 1).rlike(SEPARATOR) & bar(i + 1), F.lit(False)))
-        ends = lambda s: F.transform(s, lambda a: F.coalesce(F.get(F.filter(every, lambda i: (i > a) & ~bar(i)), F.lit(0)), F.size(lines)))
-
-        def body(t: Column) -> Column:
-            inside = lambda i: F.exists(t, lambda x: (i >= x["a"]) & (i < x["b"]))
-            opened = lambda i: F.get(F.filter(t, lambda x: x["a"] == i), F.lit(0))
-            one = lambda x, i: F.when(opened(i).isNotNull(), let(opened(i), lambda r: table_html(F.slice(lines, r["a"] + 1, r["b"] - r["a"])))).when(~inside(i), line_html(x))
-            parts = F.filter(F.transform(lines, one), lambda x: x.isNotNull())
-            li = lambda x: F.startswith(x, F.lit("<li>"))
-            lists = lambda p: F.transform(p, lambda x, i: F.concat(F.when(li(x) & ~F.coalesce(li(F.get(p, i - 1)), F.lit(False)), "<ul>").otherwise(""), x, F.when(li(x) & ~F.coalesce(li(F.get(p, i + 1)), F.lit(False)), "</ul>").otherwise("")))
-            return let(parts, lambda p: F.array_join(lists(p), "\n"))
+        begins = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~(bar(i) & bar(i - 1)))
+        # lines that begin with a bar and follow each other are one block, any other line is one of its own; so each line is gone through once
+        blocks = let(begins, lambda b: F.transform(b, lambda a, k: F.slice(lines, a + 1, F.coalesce(F.get(b, k + 1), F.size(lines)) - a)))
+        html = lambda g: F.when((F.size(g) > 1) & F.get(g, F.lit(1)).rlike(SEPARATOR), F.array(table_html(g))).otherwise(F.transform(g, line_html))
+        parts = F.filter(F.flatten(F.transform(blocks, html)), lambda x: x.isNotNull())
+        li = lambda x: F.startswith(x, F.lit("<li>"))
+        lists = lambda p: F.transform(p, lambda x, i: F.concat(F.when(li(x) & ~F.coalesce(li(F.get(p, i - 1)), F.lit(False)), "<ul>").otherwise(""), x, F.when(li(x) & ~F.coalesce(li(F.get(p, i + 1)), F.lit(False)), "</ul>").otherwise("")))
+        body = let(parts, lambda p: F.array_join(lists(p), "\n"))
 
         said = F.filter(lines, lambda x: F.trim(x) != "")
         head = lambda x: inline(F.regexp_replace(x, "^## ", ""))
         tier = lambda s, i: F.when(F.get(s, i + 1).rlike(PRIORITY), F.concat(F.lit(" <span class=t>"), F.regexp_extract(F.get(s, i + 1), PRIORITY, 1), F.lit("</span>"))).otherwise("")
-        item = lambda s: F.filter(F.transform(s, lambda x, i: F.when(F.startswith(x, F.lit("## ")), F.concat(F.lit('<li><a href="#'), slug(without_tags(head(x))), F.lit('">'), without_tags(head(x)), F.lit("</a>"), F.coalesce(tier(s, i), F.lit("")), F.lit("</li>")))), lambda x: x.isNotNull())
-        toc = let(item(said), lambda t: F.when(F.size(t) > 0, F.concat(F.lit('<nav class="toc"><div class="lab">In this chapter</div><ol>'), F.array_join(t, ""), F.lit("</ol></nav>"))).otherwise(""))
-        spans = let(starts, lambda s: F.zip_with(s, ends(s), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-        return F.struct(let(spans, body).alias("body"), toc.alias("toc"))
+        link = lambda t: F.concat(F.lit('<li><a href="#'), slug(t), F.lit('">'), t, F.lit("</a>"))
+        item = lambda s: F.filter(F.transform(s, lambda x, i: F.when(F.startswith(x, F.lit("## ")), F.concat(let(without_tags(head(x)), link), F.coalesce(tier(s, i), F.lit("")), F.lit("</li>")))), lambda x: x.isNotNull())
+        toc = let(let(said, item), lambda t: F.when(F.size(t) > 0, F.concat(F.lit('<nav class="toc"><div class="lab">In this chapter</div><ol>'), F.array_join(t, ""), F.lit("</ol></nav>"))).otherwise(""))
+        return F.struct(body.alias("body"), toc.alias("toc"))
 
     return let(lines_of(F.coalesce(text, F.lit(""))), of)

@@ -43,3 +43,19 @@ def test_wide_tables_become_cards(spark):
     t = "| A | B<x> | C |\n|--|--|--|\n| 1 | " + "word " * 15 + "| 3 | 4 |"
     html = spark.createDataFrame([(t,)], "t string").select(notes_html(F.col("t"))["body"]).first()[0]
     assert html.startswith('<table class="stack">') and '<td data-h="A">1</td>' in html and '<td data-h="C">3</td><td data-h="">4</td>' in html
+
+
+def test_a_long_note_takes_time_in_proportion(spark):
+    import time
+
+    piece = "## head\n| A | B |\n|---|---|\n| 1 | 2 |\n- item\nlast\n"
+
+    def taken(n):
+        df = spark.createDataFrame([(piece * n,)], "t string").select(notes_html(F.col("t")).alias("h"))
+        began = time.time()
+        h = df.first().h
+        assert h.body.count("<table>") == h.body.count("<ul>") == h.toc.count("<li>") == n
+        return time.time() - began
+
+    taken(100)
+    assert taken(6400) < 20 * max(taken(800), 0.2)
