@@ -63,14 +63,18 @@ def part_rows(rows: DataFrame) -> DataFrame:
     return x.select("paper", "page", "table", "n", label.alias("label"), (first & (F.col("place") == 1) & (F.col("lo") <= CONTINUATION_TOP)).alias("continues"))
 
 
-def rows_by_task(rows: DataFrame, heads: DataFrame) -> DataFrame:
+def rows_by_task(rows: DataFrame, heads: DataFrame, tasks: int | None = None) -> DataFrame:
     """paper, page, table, n, task: rows of the outer tables, each with the task that is in force there, or null. rows: paper, page, table, lo, hi, n, cells, top, bottom (of the row); heads: paper, page, y, task, headings printed outside tables.
 
     A row labelled with a number starts that task. A row that names a task in words (`Task 4 - Webpage`) starts it too, unless rows so numbered came before: then it is a sub-heading within that task, and elsewhere the start of an appendix, which
     has no task and is left out itself. A table ends the task in force, unless it is the first of its page, starts at the top, and no heading of another task stands above it. Sum lines and column headers further down end it; they are left out. Rows of one n follow by the number that they name.
 
     So what happens is of three kinds: a task is set, none is, or one is kept only if it is that one. After something was set, it is in force until it is set anew or something else was to be kept: two running values over a paper's rows, no fold.
+
+    tasks: over how many tasks papers are dealt, where the session's own number of partitions would hold too many rows each.
     """
+    dealt = lambda df: df.repartition(tasks, "paper") if tasks else df
+    rows = dealt(rows)
     cell = F.trim(F.coalesce(F.get("cells", F.lit(0)), F.lit("")))
     low = F.transform("cells", lambda c: F.lower(F.trim(F.coalesce(c, F.lit("")))))
     x = top_tables(rows).withColumns({"m": F.nullif(F.regexp_extract(cell, TASK_ROW, 1), F.lit("")), "h": F.nullif(F.regexp_extract(cell, TASK_HEAD, 1), F.lit("")), "some": F.exists(low, lambda c: c != "")})
@@ -92,7 +96,7 @@ def rows_by_task(rows: DataFrame, heads: DataFrame) -> DataFrame:
     none = lambda kind: F.lit(None).cast(kind)
     t = t.select("paper", "page", "table", none(rows.schema["n"].dataType).alias("n"), start.alias("pos"), F.lit("table").alias("kind"), F.lit(False).alias("again"), new.alias("fresh"), none("string").alias("set"), F.when(~new, F.col("one")).alias("keep"))
     order = Window.partitionBy("paper").orderBy("pos")
-    e = x.unionByName(t).withColumn("run", F.sum(F.col("fresh").cast("int")).over(order))  # what happened since the last time that something was set
+    e = dealt(x.unionByName(t)).withColumn("run", F.sum(F.col("fresh").cast("int")).over(order))  # what happened since the last time that something was set
     e = e.withColumn("held", F.max("set").over(Window.partitionBy("paper", "run")))
     off = F.max((F.col("keep").isNotNull() & ~F.col("keep").eqNullSafe(F.col("held"))).cast("int")).over(Window.partitionBy("paper", "run").orderBy("pos"))
     e = e.withColumn("task", F.when(off == 0, F.col("held")))

@@ -10,7 +10,7 @@ from lectern.functions import papers as fn
 from lectern.functions import sql as sql_functions
 from lectern.operators import joins, papers, reports, sequences, stats
 from lectern.operators.dedup import folded
-from lectern.plans.base import query, table, units
+from lectern.plans.base import query, table, tasks_for, units
 from lectern.plans.shares import SHARES
 
 
@@ -190,7 +190,8 @@ st AS (SELECT paper, CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS task, FALS
 SELECT paper, page, tbl AS table, n, task FROM st WHERE kept""")
 def a19_rows_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A19, rows of tasks: numbered rows, headings in words, appendices, sum lines and tables that start anew. The SQL goes row by row."""
-    return papers.rows_by_task(*scheme_tables(spark, sf_dir))
+    rows, heads = scheme_tables(spark, sf_dir)
+    return papers.rows_by_task(rows, heads, tasks_for(rows, rows.count()))
 
 
 @query(r"SELECT conv_id AS paper, sum(len(string_split(text, ' '))) FILTER (WHERE role = 'user')::BIGINT AS asked_words, md5(coalesce(string_agg(CASE WHEN role = 'user' THEN text END, chr(10) ORDER BY turn), '') || chr(12) || coalesce(string_agg(CASE WHEN role <> 'user' AND turn > 1 THEN text END, chr(10) ORDER BY turn), '')) AS text_md5 FROM conversations GROUP BY conv_id")

@@ -19,3 +19,13 @@ def test_tasks_of_units_grow_with_the_rows(spark, data, monkeypatch):
     u = base.units(spark, data)
     tasks = -(-u.count() // 500)
     assert tasks > 4 and u.rdd.getNumPartitions() == tasks and u.groupBy("paper", "q").count().rdd.getNumPartitions() == tasks
+
+
+def test_rows_by_task_are_dealt_by_their_number(spark, data, monkeypatch):
+    from lectern import plans
+
+    few = sorted(map(tuple, plans.queries()["a19_rows_by_task"](spark, data).collect()), key=repr)
+    monkeypatch.setattr(base, "TASK_ROWS", 500)
+    many = plans.queries()["a19_rows_by_task"](spark, data)
+    assert many.rdd.getNumPartitions() == 12  # 6,000 lines
+    assert sorted(map(tuple, many.collect()), key=repr) == few
