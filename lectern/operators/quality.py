@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.operators.graphs import cut
 
 #: Hexadecimal digits by which digests of rows are dealt into buckets.
 BUCKET_DIGITS = 3
@@ -75,22 +76,22 @@ def leaf_problems(plan: DataFrame, covers: DataFrame, pages: DataFrame, held: Da
     banner, for each document; files that aren't those of the plan; planned files that the notes don't mention (null notes mention none). Each check is a join on the folder; files meet as rows, so a folder's files are never held together.
     """
     have = covers.groupBy("leaf").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in COVER_LABELS))
-    x = plan.join(have, "leaf", "left")
+    x = cut(plan.join(have, "leaf", "left"))  # every check goes over the folders, so they are worked out once
     lacks = [F.coalesce(F.col(k), F.lit(0)) == 0 for k in COVER_LABELS]
     missing = F.when(lacks[0], "QP").when(lacks[1], "MS")
     built = x.where(missing.isNull()).drop(*COVER_LABELS)
     problem = lambda df, name, detail: df.select("leaf", F.lit(name).alias("problem"), detail.cast("string").alias("detail"))
     out = [problem(x.where(missing.isNotNull()), "document missing", missing)]
     name = F.left(F.regexp_extract("chapter", r"^[^ ]* (.*)$", 1), F.lit(CHAPTER_CHARS))
-    c = built.select("leaf", name.alias("__name"), F.col("year").cast("string").alias("__year"), F.col("tasks").alias("__planned")).join(covers, "leaf").withColumn("__text", F.coalesce("text", F.lit("")))
-    for column in ("__name", "__year"):
-        out.append(problem(c.where(~F.contains("__text", F.col(column))), "cover without", F.concat_ws(" ", "kind", column)))
+    c = cut(built.select("leaf", name.alias("__name"), F.col("year").cast("string").alias("__year"), F.col("tasks").alias("__planned")).join(covers, "leaf").withColumn("__text", F.coalesce("text", F.lit(""))))
     label = F.element_at(F.create_map(*(F.lit(v) for kv in COVER_LABELS.items() for v in kv)), F.col("kind"))
-    out.append(problem(c.where(~F.contains("__text", label)), "cover not labelled", F.col("kind")))
     as_set = lambda t: F.array_sort(F.array_distinct(t))
-    qp, ms = (c.where(F.col("kind") == k).select("leaf", "__planned", F.col("tasks").alias(k)) for k in COVER_LABELS)
-    out.append(problem(qp.join(ms.drop("__planned"), "leaf").where(~F.col("QP").eqNullSafe(F.col("MS"))), "covers disagree", F.lit(None)))
-    out.append(problem(qp.where(~as_set("QP").eqNullSafe(as_set("__planned"))), "tasks not planned", F.array_join("QP", ",")))
+    fault = lambda name, detail, wrong: F.when(wrong, F.struct(F.lit(name).alias("problem"), detail.cast("string").alias("detail")))
+    own = [fault("cover without", F.concat_ws(" ", "kind", column), ~F.contains("__text", F.col(column))) for column in ("__name", "__year")]
+    own += [fault("cover not labelled", F.col("kind"), ~F.contains("__text", label)), fault("tasks not planned", F.array_join("tasks", ","), (F.col("kind") == "QP") & ~as_set("tasks").eqNullSafe(as_set("__planned")))]
+    out.append(c.select("leaf", F.explode(F.filter(F.array(*own), lambda f: f.isNotNull())).alias("f")).select("leaf", "f.*"))
+    qp, ms = (c.where(F.col("kind") == k).select("leaf", F.col("tasks").alias(k)) for k in COVER_LABELS)
+    out.append(problem(qp.join(ms, "leaf").where(~F.col("QP").eqNullSafe(F.col("MS"))), "covers disagree", F.lit(None)))
     bare = pages.where((F.col("page") > 1) & ~F.coalesce("banner", F.lit(False))).join(built.select("leaf"), "leaf", "left_semi").groupBy("leaf", "kind").agg(F.min("page").alias("page"))
     out.append(problem(bare, "page without banner", F.concat_ws(" ", "kind", "page")))
     files = built.select("leaf", F.explode("files").alias("file"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as fn
 from lectern.operators import dedup, quality, segments
+from lectern.operators.graphs import cut
 from lectern.operators.joins import contained
 from lectern.plans.base import query, table
 
@@ -262,7 +263,7 @@ def k14_leaf_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaf, o = F.col("leaf"), table(spark, sf_dir, "orders")
     tasks = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("leaf")).agg(F.array_sort(F.collect_set(F.col("l_linenumber").cast("long"))).alias("tasks"))
     chapter = F.concat(F.lit("7 "), "o_orderpriority", F.lit(" of "), "o_orderstatus", "o_orderstatus", F.lit(" and more"))
-    pl = o.select(F.col("o_orderkey").alias("leaf"), chapter.alias("chapter"), F.year("o_orderdate").alias("year")).join(tasks, "leaf")
+    pl = cut(o.select(F.col("o_orderkey").alias("leaf"), chapter.alias("chapter"), F.year("o_orderdate").alias("year")).join(tasks, "leaf"))  # read by each table below
     file = lambda t: F.concat(F.lit("f"), t.cast("string"), F.lit(".zip"))
     kinds = pl.withColumn("kind", F.explode(F.array(F.lit("QP"), F.lit("MS"))))
     qp = F.col("kind") == "QP"

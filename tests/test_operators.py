@@ -126,3 +126,10 @@ def test_alike_is_the_library_ratio_and_ends_early(monkeypatch):
     assert Alike(q).ratio(p, 0.55) is None
     early = len(steps)
     assert Alike(q).ratio(p, -1.0) == SequenceMatcher(None, p, q).ratio() and 0 < early < (len(steps) - early) / 2
+
+
+def test_leaf_problems_read_their_tables_once(spark, data):
+    from lectern import plans
+
+    plan = plans.queries()["k14_leaf_problems"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 0  # what the checks go over is worked out before them
