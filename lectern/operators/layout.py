@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -226,6 +229,29 @@ GROW_DOWN, GROW_UP, SIDE_PAD, EDGE_PAD = 40.0, 20.0, 1.5, 2.0
 WIDE_BOX, WIDE_FRAME, TALL_BOX = 20.0, 100.0, 700.0
 #: Height of the strips of a page in which edges and boxes meet.
 STRIP = 64.0
+#: How far an edge moves at once and up to where, by whether it goes down; upwards positions are negative.
+WAYS = {True: (GROW_DOWN, PAGE_HEIGHT - FOOT_MARGIN), False: (GROW_UP, -HEADER_ZONE)}
+
+
+def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ends (doc, down, near, far; of each doc and way by falling near) with end, where an edge that moves to them comes to rest, and moves, how often it moves on from there.
+
+    Positions of edges that go up are taken as negative, so both ways grow. An edge takes the farthest end that it can, and what is out of its reach is so for all edges behind it: a queue of ends in reach is all that is kept."""
+    page, queue = None, deque()
+    for b in batches:
+        ends, moves = [], []
+        for doc, down, near, far in zip(*(b.column(c).to_pylist() for c in ("doc", "down", "near", "far"))):
+            if (doc, down) != page:
+                page, queue = (doc, down), deque()
+            reach, last = WAYS[down]
+            at = min(near + EDGE_PAD, last)
+            while queue and (queue[0][0] - at > reach or queue[0][1] >= at):
+                queue.popleft()
+            goes = at < last and queue and queue[0][0] > at
+            ends.append(queue[0][2] if goes else at)
+            moves.append(queue[0][3] + 1 if goes else 0)
+            queue.append((near, far, ends[-1], moves[-1]))
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.float64()), pa.array(moves, pa.int32())], names=[*b.schema.names, "end", "moves"])
 
 
 def widened(clips: DataFrame, boxes: DataFrame) -> DataFrame:
@@ -234,31 +260,29 @@ def widened(clips: DataFrame, boxes: DataFrame) -> DataFrame:
     Sideways a clip takes in the boxes of over WIDE_BOX width that reach into its height. Down or up, an edge that cuts a box of at least WIDE_FRAME width moves to the box's end if that is near (GROW_DOWN, GROW_UP); it may cut another one there, so
     this goes on until no edge moves. Nothing grows beyond the margins. doc is a page; equal rows stay. clip: a key within doc.
 
-    In a round only the clips that grew in the one before are joined again. Edges and boxes meet by strips of a page, so an edge is compared with the boxes of its own strip only. Each round moves an edge by more than a point or none, and a
-    page is of a fixed height, so rounds are bounded whatever the data.
+    Where an edge goes from the end of a box doesn't depend on the clip. So the ends of each page, equal ones once, are settled in one pass along the page, whatever the rounds, and each edge is joined once, with the ends in its reach, by strips of a page.
+    A page's ends go through one task as a stream, of which it keeps those in reach of one edge; clips and their edges are dealt by strips.
     """
     b = boxes.select("doc", *(F.col(c).cast("double").alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")))
-    strips = lambda df, lo, hi: df.withColumn("strip", F.explode(F.sequence(F.floor(F.col(lo) / STRIP), F.floor(F.col(hi) / STRIP))))
-    frames = cut(strips(b.where((F.col("bx1") - F.col("bx0") >= WIDE_FRAME) & (F.col("by1") - F.col("by0") <= TALL_BOX)), "by0", "by1").select("doc", "strip", "by0", "by1").distinct())
-    start = clips.select("doc", "clip", F.col("y0").cast("double").alias("y0"), F.col("y1").cast("double").alias("y1")).distinct()
-    live, done = cut(start.withColumn("rounds", F.lit(0))), []
-    while not live.isEmpty():
-        edges = live.select("doc", "clip", F.explode(F.array(F.struct(F.lit(False).alias("down"), F.col("y0").alias("y")), F.struct(F.lit(True).alias("down"), F.col("y1").alias("y")))).alias("e")).select("doc", "clip", "e.*")
-        met = edges.withColumn("strip", F.floor(F.col("y") / STRIP)).join(frames, ["doc", "strip"]).where("by0 < y and y < by1")
-        to = F.when(F.col("down") & (F.col("by1") - F.col("y") <= GROW_DOWN), F.least(F.col("by1") + EDGE_PAD, F.lit(PAGE_HEIGHT - FOOT_MARGIN))).when(~F.col("down") & (F.col("y") - F.col("by0") <= GROW_UP), F.greatest(F.col("by0") - EDGE_PAD, F.lit(HEADER_ZONE)))
-        moved = met.withColumn("to", to).groupBy("doc", "clip").agg(F.min(F.when(~F.col("down"), F.col("to"))).alias("up"), F.max(F.when(F.col("down"), F.col("to"))).alias("low"))
-        n = live.join(moved, ["doc", "clip"], "left").select("doc", "clip", F.least("y0", "up").alias("n0"), F.greatest("y1", "low").alias("n1"), "y0", "y1", "rounds")
-        n = cut(n.withColumn("grew", (F.col("n0") < F.col("y0")) | (F.col("n1") > F.col("y1"))))
-        done.append(n.where("not grew").select("doc", "clip", F.col("n0").alias("ny0"), F.col("n1").alias("ny1"), "rounds"))
-        live = n.where("grew").select("doc", "clip", F.col("n0").alias("y0"), F.col("n1").alias("y1"), (F.col("rounds") + 1).alias("rounds"))
-    upright = reduce(DataFrame.unionByName, done) if done else live.select("doc", "clip", F.col("y0").alias("ny0"), F.col("y1").alias("ny1"), "rounds")
-    wide = strips(b.where((F.col("bx1") - F.col("bx0") > WIDE_BOX) & (F.col("by1") - F.col("by0") < TALL_BOX) & (F.col("by1") >= HEADER_ZONE) & (F.col("by0") <= PAGE_HEIGHT - HEADER_ZONE)), "by0", "by1")
-    bands = strips(clips.select("doc", "clip", F.col("y0").cast("double").alias("y0"), F.col("y1").cast("double").alias("y1")).distinct(), "y0", "y1")
-    side = bands.join(wide, ["doc", "strip"]).where("by1 > y0 and by0 < y1").groupBy("doc", "clip").agg((F.min("bx0") - SIDE_PAD).alias("left"), (F.max("bx1") + SIDE_PAD).alias("right"))
-    x = clips.join(side, ["doc", "clip"], "left").join(upright, ["doc", "clip"])
+    strips = lambda df, lo, hi: df.withColumn("strip", F.explode(F.sequence(F.floor(lo / STRIP), F.floor(hi / STRIP))))
+    way = lambda down, **c: F.struct(F.lit(down).alias("down"), *((v if down else -v).alias(k) for k, v in c.items()))
+    frames = b.where((F.col("bx1") - F.col("bx0") >= WIDE_FRAME) & (F.col("by1") - F.col("by0") <= TALL_BOX)).select("doc", "by0", "by1").repartition("doc")
+    ends = frames.select("doc", F.explode(F.array(way(True, near=F.col("by1"), far=F.col("by0")), way(False, near=F.col("by0"), far=F.col("by1")))).alias("e")).groupBy("doc", "e.down", "e.near").agg(F.min("e.far").alias("far"))
+    form = ends.withColumns({"end": F.lit(0.0), "moves": F.lit(0)}).schema
+    rest = ends.sortWithinPartitions("doc", "down", F.desc("near")).mapInArrow(settled, form)
+    reach, last = (F.when(F.col("down"), WAYS[True][i]).otherwise(WAYS[False][i]) for i in (0, 1))
+    c = clips.select("doc", "clip", F.col("y0").cast("double").alias("y0"), F.col("y1").cast("double").alias("y1"))
+    edges = c.select("doc", "clip", F.explode(F.array(way(False, y=F.col("y0")), way(True, y=F.col("y1")))).alias("e")).select("doc", "clip", "e.*").where(F.col("y") < last).withColumn("strip", F.floor(F.col("y") / STRIP))
+    met = edges.join(strips(rest, F.greatest("far", F.col("near") - reach - 1), F.col("near")), ["doc", "down", "strip"]).where((F.col("far") < F.col("y")) & (F.col("y") < F.col("near")) & (F.col("near") - F.col("y") <= reach))
+    best = lambda down: F.max(F.when(F.col("down") == F.lit(down), F.struct("near", "end", "moves")))
+    upright = met.groupBy("doc", "clip").agg(best(False).alias("up"), best(True).alias("low"))
+    wide = strips(b.where((F.col("bx1") - F.col("bx0") > WIDE_BOX) & (F.col("by1") - F.col("by0") < TALL_BOX) & (F.col("by1") >= HEADER_ZONE) & (F.col("by0") <= PAGE_HEIGHT - HEADER_ZONE)), F.col("by0"), F.col("by1"))
+    side = strips(c, F.col("y0"), F.col("y1")).join(wide, ["doc", "strip"]).where("by1 > y0 and by0 < y1").groupBy("doc", "clip").agg((F.min("bx0") - SIDE_PAD).alias("left"), (F.max("bx1") + SIDE_PAD).alias("right"))
+    x = clips.where("doc is not null and clip is not null").join(side, ["doc", "clip"], "left").join(upright, ["doc", "clip"], "left")
     x0, x1 = F.least(F.col("x0").cast("double"), F.greatest("left", F.lit(SIDES[0]))), F.greatest(F.col("x1").cast("double"), F.least("right", F.lit(SIDES[1])))
-    grown = {"x0": F.when(F.col("left").isNull(), F.col("x0").cast("double")).otherwise(x0), "x1": F.when(F.col("right").isNull(), F.col("x1").cast("double")).otherwise(x1), "y0": F.col("ny0"), "y1": F.col("ny1")}
-    return x.withColumns(grown).select(*clips.columns, "rounds")
+    grown = {"x0": F.when(F.col("left").isNull(), F.col("x0").cast("double")).otherwise(x0), "x1": F.when(F.col("right").isNull(), F.col("x1").cast("double")).otherwise(x1)}
+    grown |= {"y0": F.coalesce(-F.col("up.end"), F.col("y0").cast("double")), "y1": F.coalesce("low.end", F.col("y1").cast("double"))}
+    return x.withColumns(grown | {"rounds": F.coalesce(F.greatest(F.col("up.moves") + 1, F.col("low.moves") + 1), F.lit(0))}).select(*clips.columns, "rounds")
 
 
 def without(intervals: DataFrame, taken: DataFrame, by: list[str], lo: str = "lo", hi: str = "hi") -> DataFrame:
