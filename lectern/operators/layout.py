@@ -40,20 +40,32 @@ def line_spans(lines: DataFrame, by: list[str]) -> DataFrame:
     return lines.groupBy(*by, "page").agg((F.min("top") - TOP_PAD).cast("double").alias("lo"), (F.max("bottom") + BOTTOM_PAD).cast("double").alias("hi"))
 
 
-def labelled(lines: DataFrame, by: list[str], pattern: str) -> tuple[DataFrame, DataFrame]:
-    """The labels of one level, and the lead-ins between them. lines: by, page, top, bottom, text, of one scope each.
+def by_page(lines: DataFrame) -> DataFrame:
+    """q, page, lines (top, bottom, text; sorted): the lines of each page as one row, so that a page's text is shuffled once."""
+    return cut(lines.groupBy("q", "page").agg(F.array_sort(F.collect_list(F.struct("top", "bottom", "text"))).alias("lines")))
+
+
+def line_facts(pages: DataFrame) -> DataFrame:
+    """q, page, top, bottom, nth (its place on the page), letter, roman, ends, shown: what the labels of lines (see by_page) are found by, without their text."""
+    x = pages.select("q", "page", F.posexplode("lines").alias("nth", "l")).select("q", "page", "l.top", "l.bottom", "nth", "l.text")
+    label = lambda pattern: F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))
+    said = (F.trim("text") != "") | (F.col("bottom") - F.col("top") > 5)
+    return cut(x.select("q", "page", "top", "bottom", "nth", label(LETTER).alias("letter"), label(ROMAN).alias("roman"), F.col("text").rlike(SPACE_END).alias("ends"), said.alias("shown")).repartition("q"))
+
+
+def labelled(lines: DataFrame, by: list[str], label: str) -> tuple[DataFrame, DataFrame]:
+    """The labels of one level, and the lead-ins between them. lines: by, page, top, nth, label, ends, shown (see line_facts), of one scope each.
 
     Labels: by, label, at (its place), nth (from 1), first (the place of the scope's first label), until (of the next one), lead; a label that comes again counts once, where it is first.
     A lead-in is what stands after the last answer space (a mark or dots) between two labels: it introduces the label below. lead is where that of a label begins, or null.
     Lead-ins: by, nth (of the label that they introduce), lead, until (just above that label).
     """
     w = Window.partitionBy(*by).orderBy("page", "top")
-    own = cut(lines).withColumn("__label", F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))).withColumn("__pos", place())
+    own = lines.withColumn("__label", F.col(label)).withColumn("__pos", place())
     own = own.withColumn("__seg", F.count("__label").over(w)).withColumn("__at", F.max(F.when(F.col("__label").isNotNull(), F.col("__pos"))).over(w))  # peers of one place are counted together
-    between = own.where("__seg > 0 and __pos > __at").withColumn("__key", F.struct("page", "top", "bottom", "text"))
-    end = F.max(F.when(F.col("text").rlike(SPACE_END), F.col("__key"))).over(Window.partitionBy(*by, "__seg"))
-    shown = (F.trim("text") != "") | (F.col("bottom") - F.col("top") > 5)
-    leads = between.withColumn("__end", end).where((F.col("__key") > F.col("__end")) & shown).groupBy(*by, "__seg").agg(F.min("__key").alias("__k"))
+    between = own.where("__seg > 0 and __pos > __at").withColumn("__key", F.struct("page", "nth", "top"))
+    end = F.max(F.when(F.col("ends"), F.col("__key"))).over(Window.partitionBy(*by, "__seg"))
+    leads = between.withColumn("__end", end).where((F.col("__key") > F.col("__end")) & F.col("shown")).groupBy(*by, "__seg").agg(F.min("__key").alias("__k"))
     leads = leads.select(*by, (F.col("__seg") + 1).alias("nth"), above(place(F.col("__k.page"), F.col("__k.top"))).alias("lead"))
     order = Window.partitionBy(*by).orderBy("__pos", "__label")
     marks = own.where("__label is not null").select(*by, F.col("__label").alias("label"), F.col("__pos").alias("at"), F.row_number().over(order).cast("long").alias("nth"), F.lead("__pos").over(order).alias("until"))
@@ -66,7 +78,7 @@ def labelled(lines: DataFrame, by: list[str], pattern: str) -> tuple[DataFrame,
 def part_ranges(lines: DataFrame, spans: DataFrame) -> DataFrame:
     """q, letter, roman (null for the letter as a whole), level, lo, hi: the ranges of places that make up each part.
 
-    A part is its own stretch, from its label (or the lead-in above it) to the next label; the stems above the first label of each level that it lies in; and the lead-ins of earlier labels of these levels, as set-up carries forward.
+    lines: see line_facts. A part is its own stretch, from its label (or the lead-in above it) to the next label; the stems above the first label of each level that it lies in; and the lead-ins of earlier labels of these levels, as set-up carries forward.
     """
     ends = spans.groupBy("q").agg(F.min(place("page", "lo")).alias("top"), F.max_by(place("page", "hi"), "page").alias("bottom"))
     ranges = lambda df, level, lo, hi: df.select("q", "letter", "roman", F.lit(level).alias("level"), lo.alias("lo"), hi.alias("hi"))
@@ -82,33 +94,56 @@ def part_ranges(lines: DataFrame, spans: DataFrame) -> DataFrame:
 
     scopes = ends.select("q", F.col("top").alias("from"), F.col("bottom").alias("to"))
     inside = lines.join(scopes, "q").where((place() >= F.col("from")) & (place() < F.col("to"))).select(*lines.columns)
-    letters, ins = labelled(inside, ["q"], LETTER)
+    letters, ins = labelled(inside, ["q"], "letter")
     letters = letters.withColumnRenamed("label", "letter").withColumn("roman", F.lit(None).cast("string")).join(ends, "q")
     shared, own = pieces(letters, ins, ["q"], ["letter"], 1)
     whole = ranges(own.withColumn("roman", F.lit(None).cast("string")), 1, F.col("top"), F.col("bottom"))
     scopes = own.select("q", "letter", F.col("top").alias("from"), F.col("bottom").alias("to"))
-    within = lines.join(scopes, "q").where((place() >= F.col("from")) & (place() < F.col("to")))
-    romans, ins2 = labelled(within.select("q", "letter", "page", "top", "bottom", "text"), ["q", "letter"], ROMAN)
+    within = lines.drop("letter").join(scopes, "q").where((place() >= F.col("from")) & (place() < F.col("to")))
+    romans, ins2 = labelled(within, ["q", "letter"], "roman")
     romans = romans.withColumnRenamed("label", "roman").join(own, ["q", "letter"])
     shared2, own2 = pieces(romans, ins2, ["q", "letter"], ["letter", "roman"], 2)
     handed = shared.drop("roman").join(own2.select("q", "letter", "roman"), ["q", "letter"])
     return reduce(DataFrame.unionByName, [shared, whole, handed.select(*shared.columns), shared2, ranges(own2, 2, F.col("top"), F.col("bottom"))])
 
 
+def touching_as_one(cells: Column, gap: float) -> Column:
+    """Sorted (lo, hi) of an array as one where they overlap or lie at most gap apart."""
+    def grown(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        both = F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], x["hi"]).alias("hi"))
+        return F.when((F.size(done) > 0) & (x["lo"] <= F.try_element_at(done, F.lit(-1))["hi"] + gap), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), F.slice(cells, 1, 1), grown)
+
+
+def narrowed_lines(lines: DataFrame, spans: DataFrame | None = None) -> DataFrame:
+    """What narrowed gives, with lines: those that start in the slice, as an array of top, bottom and text, sorted.
+
+    Labels are found without the text of lines; the text is shuffled once, as one row for each page, which the slices of all parts meet there. The cells of a part on a page are one row too, which is merged by itself.
+    """
+    pages = by_page(lines)
+    if spans is None:
+        edge = lambda c, f, pad: (f(F.col("lines")[c]) + pad).cast("double")
+        spans = pages.select("q", "page", edge("top", F.array_min, -TOP_PAD).alias("lo"), edge("bottom", F.array_max, BOTTOM_PAD).alias("hi"))
+    spans = cut(spans)
+    r = part_ranges(line_facts(pages), spans).select("q", "letter", "roman", F.col("lo").alias("a"), F.col("hi").alias("b"))
+    cells = r.join(spans, "q").where((F.col("page") >= F.col("a.page")) & (F.col("page") <= F.col("b.page")))
+    lo, hi = F.when(F.col("page") == F.col("a.page"), F.col("a.y")).otherwise(F.col("lo")), F.when(F.col("page") == F.col("b.page"), F.col("b.y")).otherwise(F.col("hi"))
+    cells = cells.select("q", "letter", "roman", "page", lo.alias("lo"), hi.alias("hi")).where("hi - lo >= 1")
+    cells = cells.groupBy("q", "letter", "roman", "page").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("cells"))
+    starts = lambda s: lambda x: (s["lo"] <= x["top"]) & (x["top"] < s["hi"])
+    x = cells.join(pages, ["q", "page"]).withColumn("cells", F.filter("cells", lambda s: F.exists("lines", starts(s)))).where(F.size("cells") > 0)
+    x = x.select("q", "letter", "roman", "page", "lines", F.explode(touching_as_one(F.col("cells"), 1)).alias("s"))
+    return x.select("q", "letter", "roman", "page", "s.lo", "s.hi", F.filter("lines", starts(F.col("s"))).alias("lines"))
+
+
 def narrowed(lines: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """q, letter, roman, page, lo, hi: the slices of pages that show each part of a question, with the stems and lead-ins above it. lines: q, page, top, bottom, text; spans: q, page, lo, hi (else those of the lines).
 
     A range of places becomes a slice of each page that it runs over, within the question's own reach there; a slice of under a point, or in which no line starts, goes; slices that touch are one. Questions without labels have no rows.
     """
-    lines = cut(lines.select("q", "page", "top", "bottom", "text"))
-    spans = cut(line_spans(lines, ["q"]) if spans is None else spans)
-    r = part_ranges(lines, spans).select("q", "letter", "roman", F.col("lo").alias("a"), F.col("hi").alias("b"))
-    cells = r.join(spans, "q").where((F.col("page") >= F.col("a.page")) & (F.col("page") <= F.col("b.page")))
-    lo, hi = F.when(F.col("page") == F.col("a.page"), F.col("a.y")).otherwise(F.col("lo")), F.when(F.col("page") == F.col("b.page"), F.col("b.y")).otherwise(F.col("hi"))
-    cells = cells.select("q", "letter", "roman", "page", lo.alias("lo"), hi.alias("hi")).where("hi - lo >= 1").distinct()
-    starts = lines.select(F.col("q").alias("__q"), F.col("page").alias("__p"), F.col("top").alias("__top"))
-    cells = cells.join(starts, (F.col("q") == F.col("__q")) & (F.col("page") == F.col("__p")) & (F.col("lo") <= F.col("__top")) & (F.col("__top") < F.col("hi")), "left_semi")
-    return merged_intervals(cells, ["q", "letter", "roman", "page"], "lo", "hi", 1).drop("n")
+    return narrowed_lines(lines, spans).drop("lines")
 
 
 def part_lines(lines: DataFrame, slices: DataFrame) -> DataFrame:
