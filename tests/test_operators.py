@@ -133,3 +133,10 @@ def test_leaf_problems_read_their_tables_once(spark, data):
 
     plan = plans.queries()["k14_leaf_problems"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == 0  # what the checks go over is worked out before them
+
+
+def test_mark_ranges_have_both_levels_and_the_values_themselves(spark):
+    rows = [("a", "s1", "1", "x", 2), ("a", "s1", "1", "x", 1), ("a", "s1", "1", "y", 4), ("a", "s1", "2", "x", 3), ("a", "s2", "1", "x", 7), ("a", "s2", "3", None, 9), ("b", "s2", "3", None, None)]
+    got = {r.st: r.asDict(recursive=True) for r in reports.mark_ranges(spark.createDataFrame(rows, "st string, sitting string, task string, part string, marks long"), ["st"]).collect()}
+    assert got["a"] == {"st": "a", "sittings": 2, "times": [{"sitting": "s1", "n": 2}, {"sitting": "s2", "n": 2}], "n": 4, "least": 3, "most": 9, "values": [3, 7, 9], "repeats": 1, "part_n": 4, "part_least": 3, "part_most": 7, "part_values": [3, 4, 7], "part_repeats": 1}
+    assert got["b"] == {"st": "b", "sittings": 1, "times": [{"sitting": "s2", "n": 1}], "n": 1, "least": None, "most": None, "values": [], "repeats": 0, "part_n": 0, "part_least": None, "part_most": None, "part_values": [], "part_repeats": 0}
