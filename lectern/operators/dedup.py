@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 from heapq import heappop, heappush
 
@@ -14,11 +15,12 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import bucket_key
 from lectern.operators.graphs import cut
+from lectern.operators.joins import small
 
-#: Into how many parts the left side of a bucket's pairs is dealt.
-SALTS = 8
-#: Kinds of characters that a text's profile counts.
-PROFILE = 64
+#: Characters of the texts of a block, about: a bucket with more is dealt over blocks, which are compared two by two.
+BLOCK_CHARS = 4_000_000
+#: Kinds of characters that a text's profile counts, and characters of the grams by which texts are told apart.
+PROFILE, GRAM = 64, 6
 
 
 def folded(units: DataFrame, key: list[Column], order: Column, ident: str) -> DataFrame:
@@ -135,40 +137,127 @@ def ratio(a: Column, b: Column, more_than: float | None = None) -> Column:
     return similarity(a, b)
 
 
-def profile(text: Column) -> Column:
-    """How often characters of each of PROFILE kinds (code point modulo PROFILE) occur in a text, as array<int>; null for null."""
-
-    @F.arrow_udf("array<int>")
-    def counts(texts: pa.Array) -> pa.Array:
-        rows = [None if t is None else np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) % PROFILE, minlength=PROFILE).tolist() for t in texts.to_pylist()]
-        return pa.array(rows, pa.list_(pa.int32()))
-
-    return counts(text)
+class Block:
+    """Texts by rising length, with what shows how much two of them can have in common at most: how often characters of each of PROFILE kinds (code point modulo PROFILE) occur, how often those among them that the library takes for a text's own (see Alike),
+    and the grams of GRAM characters, each numbered by how often the text had it before, so that a text's are a set."""
+
+    def __init__(self, ids: list, lo: list, hi: list, texts: list[str]):
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+        self.ids, self.lo, self.hi, self.texts = ([c[i] for i in order] for c in (ids, lo, hi, texts))
+        self.n = np.array([len(t) for t in self.texts], np.int64)
+        self.profile, self.rare = np.zeros((2, len(order), PROFILE), np.int32)
+        grams = [np.zeros(0, np.uint64)]
+        for i, t in enumerate(self.texts):
+            codes = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+            kinds, counts = np.unique(codes, return_counts=True)
+            own = counts <= len(t) // 100 + 1 if len(t) >= 200 else np.ones(len(kinds), bool)
+            self.profile[i] = np.bincount(kinds % PROFILE, counts, PROFILE)
+            self.rare[i] = np.bincount(kinds[own] % PROFILE, counts[own], PROFILE)
+            h = np.zeros(max(len(t) - GRAM + 1, 0), np.uint64)
+            for k in range(GRAM):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(h)]
+            h = np.sort((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(24))
+            new = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint64(1)))
+            grams.append(h << np.uint64(24) | (np.arange(len(h)) - np.repeat(new, np.diff(new, append=len(h)))).astype(np.uint64))
+        self.ends = np.cumsum([len(g) for g in grams])
+        self.grams = np.concatenate(grams)
+
+
+def alike_pairs(left: Block, right: Block, more_than: float) -> Iterator[tuple[object, object, float]]:
+    """(a, b, similarity) for each text of left and each of right (of one block: each two texts) of different papers that are more alike than more_than; a is the smaller id.
+
+    What two texts match in is no more than the characters that both have. Nor is it more than the grams that both have and GRAM - 1 for each matching block, and there is one block at most for each character of b's own that both have, and one where
+    both texts begin: a block grows from such a character, or else from where both stretches begin, and but for the first these begin with unlike characters. So nearly all unlike pairs are told by counting, without going through their texts."""
+    if not len(left.ids) or not len(right.ids):
+        return
+    known, at = np.unique(right.grams, return_inverse=True)
+    at, seen = at.astype(np.int32), np.zeros(len(known) + 1, np.uint8)
+    code = {p: i for i, p in enumerate({p for b in (left, right) for c in (b.lo, b.hi) for p in c if p is not None})}
+    papers = lambda ps: np.array([code.get(p, -1) for p in ps])
+    rlo = papers(right.lo)
+    several, llo, lseveral = rlo != papers(right.hi), papers(left.lo), papers(left.lo) != papers(left.hi)
+    place = {x: i for i, x in enumerate(sorted({*left.ids, *right.ids}))}
+    lid, rid = (np.array([place[x] for x in b.ids]) for b in (left, right))
+    found: list[tuple[int, int]] = []
+    for i in range(len(left.ids)):
+        n = left.n[i]
+        lo, hi = np.searchsorted(right.n, n * more_than / (2 - more_than) - 1), np.searchsorted(right.n, n * (2 - more_than) / more_than + 1)
+        lo = max(lo, i + 1) if left is right else lo
+        if lo >= hi:
+            continue
+        js = np.arange(lo, hi)
+        js = js[(rid[lo:hi] != lid[i]) & (several[lo:hi] | lseveral[i] | ((rlo[lo:hi] != llo[i]) & (rlo[lo:hi] >= 0) & (llo[i] >= 0)))]
+        js = js[2.0 * np.minimum(left.profile[i], right.profile[js]).sum(1) > more_than * (n + right.n[js])]
+        if not len(js):
+            continue
+        own = np.where(lid[i] < rid[js], np.minimum(left.profile[i], right.rare[js]).sum(1), np.minimum(left.rare[i], right.profile[js]).sum(1))
+        open_ = 2.0 * ((GRAM - 1) * (own + 1) + np.minimum(right.n[js], n)) > more_than * (n + right.n[js])
+        js, own = js[open_], own[open_]
+        g = left.grams[left.ends[i] : left.ends[i + 1]]
+        where = np.searchsorted(known, g)
+        where = where[known[np.minimum(where, len(known) - 1)] == g] if len(known) else where[:0]
+        seen[where] = 1
+        if 4 * len(js) < hi - lo:
+            both = np.array([np.count_nonzero(seen[at[right.ends[j] : right.ends[j + 1]]]) for j in js], np.int64)
+        else:
+            sums = np.concatenate([[0], np.cumsum(seen[at[right.ends[lo] : right.ends[hi]]], dtype=np.int64)])
+            both = np.diff(sums[right.ends[lo : hi + 1] - right.ends[lo]])[js - lo]
+        seen[where] = 0
+        found += [(int(j), i) for j in js[2.0 * (both + (GRAM - 1) * (own + 1)) > more_than * (n + right.n[js])]]
+    pairs = [((right, j), (left, i)) if lid[i] < rid[j] else ((left, i), (right, j)) for j, i in found]
+    last = None
+    for (y, j), (x, i) in sorted(pairs, key=lambda p: (p[0][0] is left, p[0][1])):
+        last = last if last and last.b == y.texts[j] else Alike(y.texts[j])
+        r = last.ratio(x.texts[i], more_than)
+        if r is not None:
+            yield x.ids[i], y.ids[j], r
 
 
 def near_duplicates(units: DataFrame, ident: str, paper: str, text: str, *, more_than: float = 0.55, least_chars: int = 31) -> DataFrame:
     """a, b, similarity (three decimals), kind. `pair`: two texts, each by the smallest id that has it (a < b), of different papers, that share their first three words and are more alike than more_than.
     `copy`: b has the very text of a, the smallest id that has it. So equal texts meet others once and no holder is lost. Whole texts are compared; those under least_chars are left out.
 
-    Texts meet within a bucket (three words) and bands of length: a pair that is alike enough differs in length by a factor of (2 - more_than) / more_than at most, that is by one band. What meets are ids with profiles: what two texts have in
-    common at most shows from the counts of their characters, and only pairs that can be alike enough fetch their texts.
+    Texts meet within a bucket (three words). A bucket of over BLOCK_CHARS is dealt over blocks by bands of length: a pair that is alike enough differs in length by a factor of (2 - more_than) / more_than at most, that is by one band. Each two blocks
+    that may have such pairs meet in one group of rows, so a text is shuffled once for each block that its own meets, and not for each pair.
     """
     own = units.where(F.length(text) >= least_chars).select(F.col(ident).alias("id"), F.col(paper).alias("paper"), F.col(text).alias("text"))
     keyed = own.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
-    firsts = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.min("paper").alias("lo"), F.max("paper").alias("hi"))
-    texts = keyed.select("key", "id", "text").join(firsts, (keyed.key == firsts.key) & (keyed.id == firsts.rep)).drop(keyed.key).dropDuplicates(["rep", "key"])
+    firsts = keyed.groupBy("key").agg(F.min("id").alias("rep"))
     band = F.floor(F.log(F.length("text").cast("double")) / F.log(F.lit((2 - more_than) / more_than)))
-    x = texts.select("rep", "lo", "hi", F.length("text").alias("n"), profile(F.col("text")).alias("p"), bucket_key(F.col("text")).alias("bucket"), band.alias("band"), F.pmod(F.xxhash64("key"), F.lit(SALTS)).alias("salt"))
-    x = cut(x)  # a common opening's pairs are dealt over tasks by salt
-    side = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("rep", "lo", "hi", "n", "p")]
-    left = x.select("bucket", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "salt", *side("a"))
-    right = x.select("bucket", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), *side("b"))
-    other = (F.col("alo") != F.col("ahi")) | (F.col("blo") != F.col("bhi")) | (F.col("alo") != F.col("blo"))
-    common = F.aggregate(F.zip_with("ap", "bp", lambda m, n: F.least(m, n)), F.lit(0), lambda s, n: s + n)
-    met = left.join(right, ["bucket", "band", "salt"]).where("arep < brep").where(other).where(2 * common > more_than * (F.col("an") + F.col("bn"))).select(F.col("arep").alias("a"), F.col("brep").alias("b"))
-    whole = texts.select("rep", "text")
-    met = met.join(whole.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(whole.select(F.col("rep").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")  # a merge: rows of one b follow each other
-    s = met.select("a", "b", ratio(F.col("ta"), F.col("tb"), more_than).alias("s")).where("s is not null")
+    facts = [F.length("text").alias("n"), bucket_key(F.col("text")).alias("bucket"), band.alias("band")]
+    bands = keyed.select("key", *facts).distinct().groupBy("bucket", "band").agg(F.sum("n").alias("n"))
+    salts = F.ceil(F.col("n") / BLOCK_CHARS)
+    full = bands.groupBy("bucket").agg(F.sum("n").alias("whole"), F.map_from_entries(F.collect_list(F.struct("band", salts))).alias("salts")).where(F.col("whole") > BLOCK_CHARS).drop("whole")  # one for each BLOCK_CHARS of text at most
+    texts = own.groupBy("text").agg(F.min("id").alias("rep"), F.min("paper").alias("lo"), F.max("paper").alias("hi")).select("rep", "lo", "hi", "text", *facts[1:]).join(small(cut(full)), "bucket", "left")
+    block = lambda b, s: F.struct(b.cast("long").alias("band"), s.cast("long").alias("salt"))
+    mine = F.when(F.col("salts").isNull(), block(F.lit(0), F.lit(0))).otherwise(block(F.col("band"), F.pmod(F.xxhash64("text"), F.col("salts")[F.col("band")])))
+    near = F.filter(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1), lambda b: F.map_contains_key("salts", b))
+    met = F.when(F.col("salts").isNull(), F.array(block(F.lit(0), F.lit(0)))).otherwise(F.flatten(F.transform(near, lambda b: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("salts", b) - 1), lambda s: block(b, s)))))
+    x = texts.withColumn("mine", mine).withColumn("met", F.explode(met))
+    of = F.concat_ws(" ", *(F.format_string("%d %d", m["band"], m["salt"]) for m in (F.least("mine", "met"), F.greatest("mine", "met"))), "bucket").alias("of")
+    x = x.select(of, (F.col("mine") != F.col("met")).alias("two"), (F.col("mine") > F.col("met")).alias("second"), "rep", "lo", "hi", "text")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(rows: list[tuple]) -> pa.RecordBatch:
+            sides = [[r[3:] for r in rows if r[2] == second] for second in (False, True)]
+            one, other = (Block(*(zip(*side) if side else ((),) * 4)) for side in sides)
+            got = list(alike_pairs(one, other if rows[0][1] else one, more_than)) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], t) for k, t in enumerate((form, form, pa.float64()))], names=["a", "b", "s"])
+
+        rows: list[tuple] = []
+        for b in batches:
+            form = b.schema.field("rep").type
+            for row in zip(*(b.column(c).to_pylist() for c in ("of", "two", "second", "rep", "lo", "hi", "text"))):
+                if rows and rows[0][0] != row[0]:
+                    if len(rows) > 1:
+                        yield pairs(rows)
+                    rows = []
+                rows.append(row)
+        if len(rows) > 1:
+            yield pairs(rows)
+
+    tasks = 4 * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # two full blocks cost far more than they weigh, so small tasks aren't put together
+    s = x.repartition(tasks, "of").sortWithinPartitions("of").mapInArrow(compared, x.select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(0.0).alias("s")).schema)
     pairs = s.select("a", "b", F.round("s", 3).alias("similarity"), F.lit("pair").alias("kind"))
-    copies = keyed.drop("text", "paper").join(firsts.select("key", "rep"), "key").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
+    copies = keyed.select("key", "id").join(firsts, "key").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit("copy").alias("kind"))
     return pairs.unionByName(copies)

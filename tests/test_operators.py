@@ -140,3 +140,41 @@ def test_mark_ranges_have_both_levels_and_the_values_themselves(spark):
     got = {r.st: r.asDict(recursive=True) for r in reports.mark_ranges(spark.createDataFrame(rows, "st string, sitting string, task string, part string, marks long"), ["st"]).collect()}
     assert got["a"] == {"st": "a", "sittings": 2, "times": [{"sitting": "s1", "n": 2}, {"sitting": "s2", "n": 2}], "n": 4, "least": 3, "most": 9, "values": [3, 7, 9], "repeats": 1, "part_n": 4, "part_least": 3, "part_most": 7, "part_values": [3, 4, 7], "part_repeats": 1}
     assert got["b"] == {"st": "b", "sittings": 1, "times": [{"sitting": "s2", "n": 1}], "n": 1, "least": None, "most": None, "values": [], "repeats": 0, "part_n": 0, "part_least": None, "part_most": None, "part_values": [], "part_repeats": 0}
+
+
+def test_near_duplicates_of_a_full_bucket_are_dealt_over_blocks(spark, monkeypatch):
+    from difflib import SequenceMatcher
+
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("etaoinshrdlucmfwypvbgkjqxz", weights=range(26, 0, -1), k=rnd.randrange(2, 9))) for _ in range(80)]
+    rows = []
+    for i in range(120):
+        base = rnd.choice(rows)[2].split(" ")[3:] if rows and rnd.random() < 0.4 else rnd.choices(words, k=rnd.randrange(6, 90))
+        rows.append((i, rnd.choice(("p", "q", "r", None)), " ".join(["the", "same", "words", *(w if rnd.random() < 0.9 else rnd.choice(words) for w in base)])))
+    rows += [(200, "q", rows[5][2]), (201, "z", "another " * 9), (202, None, "another " * 9 + "é"), (203, "y", "another " * 9 + "é!")]
+    df = spark.createDataFrame(rows, "id long, paper string, text string")
+    first, owners = {}, {}
+    for i, p, t in rows:
+        first.setdefault(t, i)
+        owners.setdefault(t, set()).update([p] if p else [])
+    of = lambda t: t.split(" ")[0]
+    two = lambda x, y: len(owners[x]) > 1 or len(owners[y]) > 1 or (owners[x] and owners[y] and owners[x] != owners[y])
+    want = {(first[x], first[y], round(r, 3)) for x in first for y in first if first[x] < first[y] and of(x) == of(y) and two(x, y) and (r := SequenceMatcher(None, x, y).ratio()) > 0.55}
+    assert len(want) > 15
+    for chars in (dedup.BLOCK_CHARS, 4000, 700):
+        monkeypatch.setattr(dedup, "BLOCK_CHARS", chars)
+        got = [tuple(r) for r in dedup.near_duplicates(df, "id", "paper", "text").collect()]
+        assert sorted(r[:3] for r in got if r[3] == "pair") == sorted(want), chars
+        assert sorted(r[:2] for r in got if r[3] == "copy") == sorted((first[t], i) for i, _, t in rows if first[t] != i)
+
+
+def test_unlike_texts_are_told_without_going_through_them(monkeypatch):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("etaoinshrdlucmfwypvbgkjqxz", weights=range(26, 0, -1), k=rnd.randrange(2, 9))) for _ in range(500)]
+    texts = [" ".join(["the", "same", "words", *rnd.choices(words, k=400)]) for _ in range(30)]
+    texts += [texts[0] + " end", texts[1][:-9]]
+    gone, ratio = [], dedup.Alike.ratio
+    monkeypatch.setattr(dedup.Alike, "ratio", lambda self, a, m: gone.append(a) or ratio(self, a, m))
+    b = dedup.Block(list(range(32)), [str(i) for i in range(32)], [str(i) for i in range(32)], texts)
+    assert sorted(r[:2] for r in dedup.alike_pairs(b, b, 0.55)) == [(0, 30), (1, 31)]
+    assert len(gone) < 30  # of 496 pairs
