@@ -388,44 +388,104 @@ def drawn_rules(drawings: DataFrame) -> DataFrame:
 GRID_HEIGHT, GRID_WIDTH, ROW_HEIGHT, CELL_WIDTH, EMPTY_GAP, EMPTY_SHARE = 12, 30, 12, 20, 30, 0.25
 
 
-def grid_rules(rules: DataFrame) -> DataFrame:
-    """page, group, x0, y0, x1, y1: rules with the grid that they belong to by touching."""
-    links = components(touch_links(rules, ["page"]))
-    return cut(rules.join(links.hint("merge"), rules.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1"))))
+#: Rules of a page that are grouped within one row; those of a fuller page by tiles.
+PAGE_RULES = 256
+
+
+def grouped_in_row(boxes: Column, tol: float = 3) -> Column:
+    """The groups of an array of boxes (id, x0, y0, x1, y1; sorted by id) that touch, be it through others: an array of struct(group, its smallest id, and rules, its boxes). Each box is put to the groups so far that it touches, which become one."""
+    def touch(a: Column, b: Column) -> Column:
+        near = [a[lo] <= b[hi] + tol for lo, hi in (("x0", "x1"), ("y0", "y1"))] + [b[lo] <= a[hi] + tol for lo, hi in (("x0", "x1"), ("y0", "y1"))]
+        return F.coalesce((a["id"] == b["id"]) | reduce(lambda x, y: x & y, near), F.lit(False))
+
+    def put(groups: Column, b: Column) -> Column:
+        seen = F.transform(groups, lambda g: F.struct(F.exists(g["rules"], lambda a: touch(a, b)).alias("met"), g.alias("g")))
+
+        def merged(seen: Column) -> Column:
+            of = lambda met: F.transform(F.filter(seen, lambda s: s["met"] == F.lit(met)), lambda s: s["g"])
+            one = F.struct(F.coalesce(F.array_min(F.transform(of(True), lambda g: g["group"])), b["id"]).alias("group"), F.concat(F.flatten(F.transform(of(True), lambda g: g["rules"])), F.array(b)).alias("rules"))
+            return F.concat(of(False), F.array(one))
+
+        return F.element_at(F.transform(F.array(seen), merged), 1)
+
+    first = F.transform(F.slice(boxes, 1, 1), lambda b: F.struct(b["id"].alias("group"), F.array(b).alias("rules")))
+    return F.aggregate(F.slice(boxes, 2, F.greatest(F.size(boxes), F.lit(1))), first, put)
+
+
+def grids(rules: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """page, group, x0, y0, x1, y1, levels (the heights of its level rules, sorted), rows (those between two levels at least so far apart, as struct(a, b)), uprights (struct(x0, y0, y1)) and words (struct(y0, y1, cx); all of the page) of each grid of rules
+    that touch.
+
+    The rules of a page are one row, and so are its words: both are shuffled once, by page, and all else stays where it is. Only pages of over PAGE_RULES rules are grouped by tiles; they are counted first."""
+    r = rules.where("page is not null and id is not null").select("page", "id", *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")))
+    full = cut(r.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAGE_RULES).select("page"))
+    crowded = bool(full.limit(1).count())
+    few = r.join(full.hint("merge"), "page", "left_anti") if crowded else r
+    box = F.struct("id", "x0", "y0", "x1", "y1")
+    g = few.groupBy("page").agg(F.array_sort(F.collect_list(box)).alias("rules")).select("page", F.explode(grouped_in_row(F.col("rules"))).alias("g")).select("page", "g.group", "g.rules")
+    if crowded:
+        many = cut(r.join(full.hint("merge"), "page", "left_semi"))
+        links = components(touch_links(many, ["page"]))
+        found = many.join(links.hint("merge"), many.id == links.node, "left").select("page", F.coalesce("component", "id").alias("group"), box.alias("r"))
+        g = g.unionByName(found.groupBy("page", "group").agg(F.collect_list("r").alias("rules")))
+    of = lambda c, kept=None: F.transform(F.col("rules") if kept is None else F.filter("rules", kept), lambda x: x[c])
+    level = F.array_sort(F.array_distinct(F.transform(of("y0", lambda x: x["y1"] - x["y0"] < 0.5), lambda y: F.round(y, 1))))
+    upright = F.transform(F.filter("rules", lambda x: x["x1"] - x["x0"] < 0.5), lambda x: F.struct(x["x0"].alias("x0"), x["y0"].alias("y0"), x["y1"].alias("y1")))
+    g = g.select("page", "group", *(f(of(c)).alias(c) for f, c in ((F.array_min, "x0"), (F.array_min, "y0"), (F.array_max, "x1"), (F.array_max, "y1"))), level.alias("levels"), upright.alias("uprights"))
+    rows = F.filter(F.transform("levels", lambda a, i: F.struct(a.alias("a"), F.get("levels", i + 1).alias("b"))), lambda x: x["b"] - x["a"] >= least)
+    g = g.withColumn("rows", rows).where(F.size("rows") > 0)
+    d = lambda c: F.col(c).cast("double")
+    w = words.where("page is not null").select("page", F.struct(d("y0").alias("y0"), d("y1").alias("y1"), ((F.col("x0") + F.col("x1")) / 2).cast("double").alias("cx")).alias("w"))
+    w = w.groupBy("page").agg(F.collect_list("w").alias("words"))
+    return g.join(w.hint("merge"), "page", "left").withColumn("words", F.coalesce("words", F.array().cast("array<struct<y0:double,y1:double,cx:double>>")))
+
+
+def in_row(r: Column, wider: float = 0) -> Column:
+    """The words of a grid whose middle lies in a row of it, sorted by height; wider: how far beyond its sides they may lie (0: strictly between them)."""
+    def held(w: Column) -> Column:
+        cy = (w["y0"] + w["y1"]) / 2
+        across = (w["cx"] >= F.col("x0") - wider) & (w["cx"] <= F.col("x1") + wider) if wider else (w["cx"] > F.col("x0")) & (w["cx"] < F.col("x1"))
+        return across & (cy > r["a"]) & (cy < r["b"])
+
+    return F.array_sort(F.filter("words", held))
+
+
+def blank_cells(r: Column) -> Column:
+    """struct(l, r) of the cells of a row (a, b, held) without a word: between the upright rules that cross it and the sides of the grid."""
+    crossing = F.transform(F.filter("uprights", lambda u: (u["y0"] <= r["a"] + 2) & (u["y1"] >= r["b"] - 2)), lambda u: u["x0"])
+    xs = F.array_sort(F.array_distinct(F.concat(crossing, F.array("x0", "x1"))))
+    cells = lambda xs: F.transform(xs, lambda x, i: F.struct(x.alias("l"), F.get(xs, i + 1).alias("r")))
+    blank = lambda c: c["r"].isNotNull() & ~F.exists(r["held"], lambda w: (c["l"] < w["cx"]) & (w["cx"] < c["r"]))
+    return F.filter(F.flatten(F.transform(F.array(xs), cells)), blank)
 
 
 def answer_grids(rules: DataFrame, words: DataFrame) -> DataFrame:
     """page, group, x0, y0, x1, y1, empties, height, is_space: grids of touching rules, with how many of their cells are empty, the height of the rows that hold them, and whether the grid is a space for answers: two empty cells or more, that
-    make up EMPTY_SHARE of its area. rules: page, id, x0, y0, x1, y1 (without width or height); words: page, x0, y0, x1, y1.
+    make up EMPTY_SHARE of its area. rules: page, id (a key), x0, y0, x1, y1 (without width or height); words: page, x0, y0, x1, y1.
 
-    Rows lie between the level rules of a grid, cells between the upright ones that cross a row. A row without a word, or with a gap of EMPTY_GAP above, between or below its words, is empty as a whole and counts for two. Grids, rows, words and
-    cells meet by page and grid; words are placed by their middle.
+    Rows lie between the level rules of a grid, cells between the upright ones that cross a row. A row without a word, or with a gap of EMPTY_GAP above, between or below its words, is empty as a whole and counts for two. A grid with its rows and the
+    words of its page is one row (see grids); words are placed by their middle.
     """
-    r, key = grid_rules(rules), ["page", "group"]
-    box = r.groupBy(*key).agg(F.min("x0").alias("bx0"), F.min("y0").alias("by0"), F.max("x1").alias("bx1"), F.max("y1").alias("by1")).where((F.col("by1") - F.col("by0") >= GRID_HEIGHT) & (F.col("bx1") - F.col("bx0") >= GRID_WIDTH))
-    level = r.where("y1 - y0 < 0.5").select(*key, F.round("y0", 1).alias("a")).distinct()
-    rows = level.withColumn("b", F.lead("a").over(Window.partitionBy(*key).orderBy("a"))).where(F.col("b") - F.col("a") >= ROW_HEIGHT).join(box, key)
-    rows = cut(rows.select(*key, "a", "b", "bx0", "bx1"))
-    mid = lambda lo, hi: ((F.col(lo) + F.col(hi)) / 2).cast("double")
-    w = words.select(F.col("page").alias("wp"), mid("x0", "x1").alias("cx"), mid("y0", "y1").alias("cy"), F.col("y0").cast("double").alias("wy0"), F.col("y1").cast("double").alias("wy1"))
-    inside = (F.col("page") == F.col("wp")) & (F.col("cx") >= F.col("bx0") - 1) & (F.col("cx") <= F.col("bx1") + 1) & (F.col("cy") > F.col("a")) & (F.col("cy") < F.col("b"))
-    held = cut(rows.join(w.hint("merge"), inside).select(*key, "a", "b", "cx", "wy0", "wy1"))
-    before = F.max("wy1").over(Window.partitionBy(*key, "a").orderBy("wy0", "wy1").rowsBetween(Window.unboundedPreceding, -1))
-    gaps = held.withColumn("gap", F.col("wy0") - F.greatest(F.col("a"), before)).groupBy(*key, "a", "b").agg(F.greatest(F.max("gap"), F.col("b") - F.greatest(F.col("a"), F.max("wy1")), F.lit(0.0)).alias("gap"))
-    rows = cut(rows.join(gaps.drop("b"), [*key, "a"], "left").withColumn("empty", F.col("gap").isNull() | (F.col("gap") >= EMPTY_GAP)))
-    upright = r.where("x1 - x0 < 0.5").select(*(F.col(c).alias(f"u_{c}") for c in key), F.col("x0").alias("x"), F.col("y0").alias("uy0"), F.col("y1").alias("uy1"))
-    filled = rows.where("not empty")
-    crossing = filled.join(upright, (F.col("page") == F.col("u_page")) & (F.col("group") == F.col("u_group")) & (F.col("uy0") <= F.col("a") + 2) & (F.col("uy1") >= F.col("b") - 2)).select(*key, "a", "b", "x")
-    xs = crossing.unionByName(filled.select(*key, "a", "b", F.explode(F.array("bx0", "bx1")).alias("x"))).distinct()
-    cells = xs.withColumn("r", F.lead("x").over(Window.partitionBy(*key, "a").orderBy("x"))).where(F.col("r") - F.col("x") > CELL_WIDTH)
-    said = held.select(*(F.col(c).alias(f"s_{c}") for c in key), F.col("a").alias("s_a"), "cx")
-    blank = cells.join(said, (F.col("page") == F.col("s_page")) & (F.col("group") == F.col("s_group")) & (F.col("a") == F.col("s_a")) & (F.col("x") < F.col("cx")) & (F.col("cx") < F.col("r")), "left_anti")
-    some = blank.groupBy(*key, "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("r") - F.col("x")) * (F.col("b") - F.col("a"))).alias("area"))
-    whole = rows.where("empty").select(*key, "a", "b", F.lit(2).cast("long").alias("n"), ((F.col("b") - F.col("a")) * (F.col("bx1") - F.col("bx0"))).alias("area"))
-    sums = some.unionByName(whole).groupBy(*key).agg(F.sum("n").alias("empties"), F.sum("area").alias("area"), F.sum(F.col("b") - F.col("a")).alias("height"))
-    g = box.join(sums, key)
-    space = (F.col("empties") >= 2) & (F.col("area") >= EMPTY_SHARE * (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0")))
-    return g.select(*key, F.col("bx0").alias("x0"), F.col("by0").alias("y0"), F.col("bx1").alias("x1"), F.col("by1").alias("y1"), "empties", "height", space.alias("is_space"))
+    g = grids(rules, words, ROW_HEIGHT).where((F.col("y1") - F.col("y0") >= GRID_HEIGHT) & (F.col("x1") - F.col("x0") >= GRID_WIDTH))
+
+    def empty(r: Column) -> Column:
+        start = F.struct(r["a"].alias("reach"), F.lit(0.0).alias("gap"))
+        gap = F.aggregate(r["held"], start, lambda s, w: F.struct(F.greatest(s["reach"], w["y1"]).alias("reach"), F.greatest(s["gap"], w["y0"] - s["reach"]).alias("gap")), lambda s: F.greatest(s["gap"], r["b"] - s["reach"]))
+        return (F.size(r["held"]) == 0) | (gap >= EMPTY_GAP)
+
+    def sums(r: Column) -> Column:
+        high = r["b"] - r["a"]
+        cells = F.filter(blank_cells(r), lambda c: c["r"] - c["l"] > CELL_WIDTH)
+        area = lambda cells: F.aggregate(cells, F.lit(0.0), lambda s, c: s + (c["r"] - c["l"]) * high)
+        some = F.element_at(F.transform(F.array(cells), lambda c: F.struct(F.size(c).cast("long").alias("n"), area(c).alias("area"), high.alias("height"))), 1)
+        return F.when(empty(r), F.struct(F.lit(2).cast("long").alias("n"), (high * (F.col("x1") - F.col("x0"))).alias("area"), high.alias("height"))).otherwise(some)
+
+    g = g.withColumn("rows", F.transform("rows", lambda r: F.struct(r["a"].alias("a"), r["b"].alias("b"), in_row(r, 1).alias("held"))))
+    g = g.withColumn("rows", F.filter(F.transform("rows", sums), lambda s: s["n"] > 0)).where(F.size("rows") > 0)
+    total = lambda c, kind: F.aggregate("rows", F.lit(0).cast(kind), lambda s, r: s + r[c])
+    g = g.withColumns({"empties": total("n", "long"), "area": total("area", "double"), "height": total("height", "double")})
+    space = (F.col("empties") >= 2) & (F.col("area") >= EMPTY_SHARE * (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))
+    return g.select("page", "group", "x0", "y0", "x1", "y1", "empties", "height", space.alias("is_space"))
 
 
 def answer_space(grids: DataFrame) -> DataFrame:
@@ -442,23 +502,10 @@ def tick_tables(rules: DataFrame, words: DataFrame) -> DataFrame:
 
     A box lies between two upright rules that cross its row, or the sides of the grid. Such tables are spaces for answers, however little of their area is empty.
     """
-    r, key = grid_rules(rules), ["page", "group"]
-    box = r.groupBy(*key).agg(F.min("x0").alias("bx0"), F.max("x1").alias("bx1")).where(F.col("bx1") - F.col("bx0") >= TICK_WIDTH)
-    level = r.where("y1 - y0 < 0.5").select(*key, F.round("y0", 1).alias("a")).distinct()
-    of = Window.partitionBy(*key)
-    rows = level.withColumn("b", F.lead("a").over(of.orderBy("a"))).withColumn("levels", F.count(F.lit(1)).over(of))
-    rows = cut(rows.where((F.col("levels") >= TICK_LEVELS) & (F.col("b") - F.col("a") >= TICK_ROW)).join(box, key).drop("levels"))
-    w = words.select(F.col("page").alias("wp"), ((F.col("x0") + F.col("x1")) / 2).cast("double").alias("cx"), ((F.col("y0") + F.col("y1")) / 2).cast("double").alias("cy"))
-    inside = (F.col("page") == F.col("wp")) & (F.col("cx") > F.col("bx0")) & (F.col("cx") < F.col("bx1")) & (F.col("cy") > F.col("a")) & (F.col("cy") < F.col("b"))
-    held = cut(rows.join(w.hint("merge"), inside).select(*key, "a", "cx").distinct())
-    rows = rows.join(held.select(*key, "a").distinct(), [*key, "a"])
-    upright = r.where("x1 - x0 < 0.5").select(*(F.col(c).alias(f"u_{c}") for c in key), F.col("x0").alias("x"), F.col("y0").alias("uy0"), F.col("y1").alias("uy1"))
-    crossing = rows.join(upright, (F.col("page") == F.col("u_page")) & (F.col("group") == F.col("u_group")) & (F.col("uy0") <= F.col("a") + 2) & (F.col("uy1") >= F.col("b") - 2)).select(*key, "a", "x")
-    xs = crossing.unionByName(rows.select(*key, "a", F.explode(F.array("bx0", "bx1")).alias("x"))).distinct()
-    boxes = xs.withColumn("r", F.lead("x").over(Window.partitionBy(*key, "a").orderBy("x"))).where(F.col("r") - F.col("x") >= TICK_BOX)
-    said = held.select(*(F.col(c).alias(f"s_{c}") for c in key), F.col("a").alias("s_a"), "cx")
-    empty = boxes.join(said, (F.col("page") == F.col("s_page")) & (F.col("group") == F.col("s_group")) & (F.col("a") == F.col("s_a")) & (F.col("x") < F.col("cx")) & (F.col("cx") < F.col("r")), "left_anti")
-    return empty.select(*key, "a").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("ticks")).where(F.col("ticks") >= TICK_ROWS)
+    g = grids(rules, words, TICK_ROW).where((F.col("x1") - F.col("x0") >= TICK_WIDTH) & (F.size("levels") >= TICK_LEVELS))
+    g = g.withColumn("rows", F.transform("rows", lambda r: F.struct(r["a"].alias("a"), r["b"].alias("b"), in_row(r).alias("held"))))
+    ticks = F.filter("rows", lambda r: (F.size(r["held"]) > 0) & F.exists(blank_cells(r), lambda c: c["r"] - c["l"] >= TICK_BOX))
+    return g.select("page", "group", F.size(ticks).cast("long").alias("ticks")).where(F.col("ticks") >= TICK_ROWS)
 
 
 # Lines of dots, words that tell to write on a figure, the size of such a figure, the lowest part of a page, where text begins, the least height of an image and the points kept above what comes next.
