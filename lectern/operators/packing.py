@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.operators.graphs import cut
 from lectern.operators.sequences import dealt
 
 # Fixed values, in points: what a sheet holds across and down, where it begins, the head above an item, the space below it, what has to fit below a head or without one, the shortest slice before a turn, and what counts as nothing.
@@ -30,9 +31,6 @@ class Place(NamedTuple):
     due: bool = True
     begun: bool = False
 
-    def turned(self) -> Place:
-        return self._replace(page=self.page + 1, used=0.0, due=True)
-
     def at(self, doc: object, item: object) -> Place:
         """The place as the next clip finds it."""
         if doc != self.doc:
@@ -40,62 +38,90 @@ class Place(NamedTuple):
         return self if item == self.item else self._replace(item=item, due=True, begun=False)
 
 
-def last_cut(cuts: list[float], lo: float, hi: float) -> float | None:
+#: Sorted numbers: those of a list from one place in it up to another.
+Points = tuple[list[float], int, int]
+
+
+def last_cut(cuts: Points, lo: float, hi: float) -> float | None:
     """The last of sorted cuts over lo and up to hi."""
-    i = bisect_right(cuts, hi) - 1
-    return cuts[i] if i >= 0 and cuts[i] > lo else None
+    values, a, b = cuts
+    i = bisect_right(values, hi, a, b) - 1
+    return values[i] if i >= a and values[i] > lo else None
+
+
+def has_cut(cuts: Points, lo: float, hi: float) -> bool:
+    values, a, b = cuts
+    i = bisect_left(values, lo, a, b)
+    return i < b and values[i] <= hi
 
 
-def has_cut(cuts: list[float], lo: float, hi: float) -> bool:
-    i = bisect_left(cuts, lo)
-    return i < len(cuts) and cuts[i] <= hi
+class Clip(NamedTuple):
+    height: float
+    scale: float
+    total: float
+    each: bool
+    cuts: Points
+    clear: Points
 
 
-def too_low(p: Place, clip: dict, rest: float) -> bool:
+def too_low(used: float, due: bool, begun: bool, clip: Clip, rest: float) -> bool:
     """Whether too little of what comes would fit on the used sheet."""
-    room = SHEET - p.used
-    if room < (HEAD + LEAST_BODY if p.due else LEAST_ROOM):
+    room = SHEET - used
+    if room < (HEAD + LEAST_BODY if due else LEAST_ROOM):
         return True
-    if not p.begun:
-        return PARTS * (room - HEAD) < clip["total"]
-    return clip["each"] and rest == clip["height"] and PARTS * (room - HEAD * p.due) < rest * clip["scale"]
+    if not begun:
+        return PARTS * (room - HEAD) < clip.total
+    return clip.each and rest == clip.height and PARTS * (room - HEAD * due) < rest * clip.scale
 
 
-def laid(p: Place, clip: dict) -> tuple[Place, list[dict]]:
-    """The slices of one clip from a place on, and the place below it."""
-    done, out, height, scale = 0.0, [], clip["height"], clip["scale"]
+def laid(p: Place, clip: Clip) -> tuple[Place, list[tuple]]:
+    """The slices of one clip from a place on (page, top, lo, hi, headed, continued), and the place below it."""
+    done, out, height, scale = 0.0, [], clip.height, clip.scale
+    doc, item, page, used, due, begun = p
     while height - done > NOTHING:
         rest = height - done
-        if p.used > 0 and too_low(p, clip, rest):
-            p = p.turned()
-        body = (SHEET - p.used - HEAD * p.due) / scale
-        if body < rest - NOTHING and p.used > 0 and not has_cut(clip["clear"], done + LEAST_SLICE, done + body):
-            p = p.turned()
+        if used > 0 and too_low(used, due, begun, clip, rest):
+            page, used, due = page + 1, 0.0, True
+        body = (SHEET - used - HEAD * due) / scale
+        if body < rest - NOTHING and used > 0 and not has_cut(clip.clear, done + LEAST_SLICE, done + body):
+            page, used, due = page + 1, 0.0, True
             body = (SHEET - HEAD) / scale
         end = done + min(body, rest)
         if end < height - NOTHING:
-            cuts = (last_cut(clip[c], done, end) for c in ("clear", "cuts"))
+            cuts = (last_cut(c, done, end) for c in (clip.clear, clip.cuts))
             end = next((c for c in cuts if c is not None), end)
-        top = p.used + HEAD * p.due
-        out.append({"page": p.page, "top": TOP + top, "lo": done, "hi": end, "headed": p.due, "continued": p.due and p.begun})
-        p = p._replace(used=top + (end - done) * scale + ITEM_GAP, due=False, begun=True)
+        top = used + HEAD * due
+        out.append((page, TOP + top, done, end, due, due and begun))
+        used, due, begun = top + (end - done) * scale + ITEM_GAP, False, True
         done = end
         if height - done > NOTHING:
-            p = p.turned()
-    return p, out
+            page, used, due = page + 1, 0.0, True
+    return Place(doc, item, page, used, due, begun), out
 
 
-def runs(batches: Iterator[pa.RecordBatch], starts: dict[int, Place]) -> Iterator[tuple[int, Place, bool, list[dict]]]:
-    """(range, place, own, slices) after each clip of sorted batches; own: the document began in this range. A range begins at its place in starts, else with a new document."""
+def clips_of(batch: pa.RecordBatch) -> Iterator[tuple[int, object, object, object, Clip]]:
+    """(range, doc, item, clip, what is laid) of each row of a batch. Its gaps are one list of numbers for all rows."""
+    def points(c: str) -> Iterator[Points]:
+        gaps = batch.column(c)
+        values, ends = gaps.values.to_numpy(zero_copy_only=False).tolist(), gaps.offsets.to_pylist()
+        return ((values, a, b) for a, b in zip(ends, ends[1:]))
+
+    plain = lambda c: batch.column(c).to_pylist()
+    laid_out = map(Clip, *(batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("height", "scale", "total", "each")), points("cuts"), points("clear"))
+    return zip(plain("__range"), plain("doc"), plain("item"), plain("clip"), laid_out)
+
+
+def runs(batches: Iterator[pa.RecordBatch], starts: dict[int, Place]) -> Iterator[tuple[int, Place, bool, list[tuple]]]:
+    """(range, place, own, slices) after each clip of sorted batches; own: the document began in this range. A range begins at its place in starts, else with a new document. Slices: doc, item, clip, page, top, lo, hi, scale, headed, continued."""
     r, p, own = None, Place(), False
     for b in batches:
-        for clip in b.to_pylist():
-            if clip["__range"] != r:
-                r, own = clip["__range"], clip["__range"] not in starts
+        for range_, doc, item, clip, what in clips_of(b):
+            if range_ != r:
+                r, own = range_, range_ not in starts
                 p = starts.get(r, Place())
-            own = own or clip["doc"] != p.doc
-            p, slices = laid(p.at(clip["doc"], clip["item"]), clip)
-            yield r, p, own, [{k: clip[k] for k in ("doc", "item", "clip", "scale")} | s for s in slices]
+            own = own or doc != p.doc
+            p, slices = laid(p.at(doc, item), what)
+            yield r, p, own, [(doc, item, clip, page, top, lo, hi, what.scale, headed, continued) for page, top, lo, hi, headed, continued in slices]
 
 
 def clips_in_ranges(clips: DataFrame, each: Column) -> DataFrame:
@@ -120,22 +146,32 @@ def played(ranges: DataFrame, work: Callable[[Iterator[pa.RecordBatch], pa.Schem
     return ranges.sortWithinPartitions("__range", "doc", "item", "clip", "height", "cuts", "clear", "each").mapInArrow(lambda batches: work(batches, out), empty.schema)
 
 
+def tails(ranges: DataFrame) -> tuple[dict[int, object], DataFrame]:
+    """The first document of each range, and of each range the clips of its last one."""
+    sides = ranges.groupBy("__range").agg(F.min(F.struct("doc"))["doc"].alias("first"), F.max(F.struct("doc"))["doc"].alias("last"))
+    rows = sides.collect()  # one for each range
+    last = ranges.sparkSession.createDataFrame([(x["__range"], x["last"]) for x in rows], ranges.select("__range", F.col("doc").alias("__last")).schema)
+    kept = ranges.join(F.broadcast(last), "__range").where(F.col("doc").eqNullSafe(F.col("__last")))
+    return {x["__range"]: x["first"] for x in rows}, cut(kept.select(*ranges.columns))
+
+
 def range_starts(ranges: DataFrame) -> dict[int, Place]:
     """The place at which each range begins that goes on with the document of the one before.
 
-    All ranges are played in parallel, at first as if each began a document. A range that turns out to begin elsewhere than it was played from is played again; layouts that differ come together at the first item that both begin on a new sheet, so
-    few are played more than twice. The driver holds one place for each range, of which there are as many as shuffle partitions.
+    Where a range ends depends on its last document alone, so only that one is played, in all ranges in parallel, at first as if each began a document. A range that turns out to begin elsewhere than it was played from is played again; layouts that
+    differ come together at the first item that both begin on a new sheet, so few are played more than twice. The driver holds one place for each range, of which there are as many as shuffle partitions.
     """
+    firsts, ranges = tails(ranges)
 
     def ends(which: DataFrame, starts: dict[int, Place]) -> dict:
         def work(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
             rows = {}
             for r, p, own, _ in runs(batches, starts):
-                rows[r] = {"r": r, "first": rows[r]["first"] if r in rows else p.doc, **p._asdict(), "own": own}
+                rows[r] = {"r": r, **p._asdict(), "own": own}
             if rows:
                 yield pa.RecordBatch.from_pylist(list(rows.values()), schema=out)
 
-        columns = {"r": "int", "first": "doc", "doc": "doc", "item": "item", "page": "bigint", "used": "double", "due": "boolean", "begun": "boolean", "own": "boolean"}
+        columns = {"r": "int", "doc": "doc", "item": "item", "page": "bigint", "used": "double", "due": "boolean", "begun": "boolean", "own": "boolean"}
         return {x.r: x for x in played(which, work, columns).collect()}
 
     found = ends(ranges, {})
@@ -145,7 +181,7 @@ def range_starts(ranges: DataFrame) -> dict[int, Place]:
         starts = {}
         for a, b in zip(order, order[1:]):
             x = found[a]
-            if x.doc == found[b].first:
+            if x.doc == firsts[b]:
                 starts[b] = Place(x.doc, x.item, 0, x.used, x.due, x.begun)
         anew = {r: starts.get(r) for r in order if starts.get(r) != from_[r]}
         if not anew:
@@ -172,13 +208,14 @@ def packed(clips: DataFrame, each: Column | None = None) -> DataFrame:
     starts = range_starts(ranges)
 
     def work(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
-        rows: list[dict] = []
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), out)], schema=out)
+        rows: list[tuple] = []
         for *_, slices in runs(batches, starts):
             rows += slices
             if len(rows) >= BATCH:
-                yield pa.RecordBatch.from_pylist(rows, schema=out)
+                yield batch(rows)
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=out)
+            yield batch(rows)
 
     return played(ranges, work, {"doc": "doc", "item": "item", "clip": "clip", "page": "bigint", "top": "double", "lo": "double", "hi": "double", "scale": "double", "headed": "boolean", "continued": "boolean"})

@@ -127,3 +127,16 @@ def test_clips_of_one_height_follow_by_gaps_as_in_the_sql(spark, tmp_path, first
     df = plans.queries()["k09_packed_pages"](spark, str(tmp_path))
     assert df.count() == 4
     same(df, plans.oracle_sql()["k09_packed_pages"], str(tmp_path))
+
+
+def test_where_ranges_begin_is_told_by_their_last_documents(spark):
+    rows = [(d, i, c, 100.0 + c, 400.0, [50.0], [50.0], False) for d in [None, *range(30)] for i in range(3) for c in range(4)] + [(99, i, 0, 300.0, 400.0, [], None, False) for i in range(300)]
+    ranges = packing.clips_in_ranges(spark.createDataFrame(rows, "doc int, item int, clip int, height double, width double, cuts array<double>, clear array<double>, each boolean"), F.lit(False))
+    found = {}
+    for r in ranges.select("__range", "doc").collect():
+        found.setdefault(r["__range"], []).append(-1 if r.doc is None else r.doc)
+    firsts, last = packing.tails(ranges)
+    assert {r: -1 if d is None else d for r, d in firsts.items()} == {r: min(ds) for r, ds in found.items()}
+    kept = [(r["__range"], r.doc) for r in last.select("__range", "doc").collect()]
+    assert sorted(kept) == sorted((r, max(ds)) for r, ds in found.items() for d in ds if d == max(ds)) and len(kept) < len(rows)
+    assert len(packing.range_starts(ranges)) > 0  # the long document goes on over ranges
