@@ -171,7 +171,7 @@ def alike_pairs(left: Block, right: Block, more_than: float) -> Iterator[tuple[o
     if not len(left.ids) or not len(right.ids):
         return
     known, at = np.unique(right.grams, return_inverse=True)
-    at, seen = at.astype(np.int32), np.zeros(len(known) + 1, np.uint8)
+    at, seen = at.astype(np.intp), np.zeros(len(known) + 1, np.uint8)
     code = {p: i for i, p in enumerate({p for b in (left, right) for c in (b.lo, b.hi) for p in c if p is not None})}
     papers = lambda ps: np.array([code.get(p, -1) for p in ps])
     rlo = papers(right.lo)
@@ -198,9 +198,9 @@ def alike_pairs(left: Block, right: Block, more_than: float) -> Iterator[tuple[o
         where = where[known[np.minimum(where, len(known) - 1)] == g] if len(known) else where[:0]
         seen[where] = 1
         if 4 * len(js) < hi - lo:
-            both = np.array([np.count_nonzero(seen[at[right.ends[j] : right.ends[j + 1]]]) for j in js], np.int64)
+            both = np.array([np.count_nonzero(seen.take(at[right.ends[j] : right.ends[j + 1]])) for j in js], np.int64)
         else:
-            sums = np.concatenate([[0], np.cumsum(seen[at[right.ends[lo] : right.ends[hi]]], dtype=np.int64)])
+            sums = np.concatenate([[0], np.cumsum(seen.take(at[right.ends[lo] : right.ends[hi]]), dtype=np.int32)])
             both = np.diff(sums[right.ends[lo : hi + 1] - right.ends[lo]])[js - lo]
         seen[where] = 0
         found += [(int(j), i) for j in js[2.0 * (both + (GRAM - 1) * (own + 1)) > more_than * (n + right.n[js])]]
